@@ -129,7 +129,7 @@ class PieceEncoder:
     and drops white space. At most ``most`` pieces are kept; then it starts anew.
     """
 
-    def __init__(self, tokenizer, words: bool = False, most: int = 1_000_000):
+    def __init__(self, tokenizer, words: bool = False, most: int = 700_000):
         self.tokenizer, self.words, self.most = tokenizer, words, most
         self.model = tokenizer.model
         self.reset()

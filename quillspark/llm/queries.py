@@ -41,6 +41,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    got = remove_repeats(_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_files": op4_token_files,
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
