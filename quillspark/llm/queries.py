@@ -56,12 +56,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=SEQUENCE)
 
 
+def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bag_minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_files": op4_token_files,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_bag_minhash": op10_bag_minhash,
 }
 
 #: None of these has a result that SQL states at a fair cost; tests/llm holds them against brute force.
