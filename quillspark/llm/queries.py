@@ -48,6 +48,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op8_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .cap_filters import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_files": op4_token_files,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_cap_filters": op8_cap_filters,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_bag_minhash": op10_bag_minhash,
 }
