@@ -33,6 +33,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import held_out, identify, learn
+
+    docs = _table(spark, sf_dir, "documents")
+    got = identify(docs, learn(docs.where(~held_out(F.col("doc_id")))))
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -71,6 +79,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_language_id": op3_language_id,
     "op4_token_files": op4_token_files,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_cap_filters": op8_cap_filters,
