@@ -49,6 +49,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op6_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprints import edited_likeness
+
+    return edited_likeness(_table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_language_id": op3_language_id,
     "op4_token_files": op4_token_files,
+    "op6_weighted_sampling": op6_weighted_sampling,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_cap_filters": op8_cap_filters,
     "op9_best_fit_packing": op9_best_fit_packing,
