@@ -49,6 +49,14 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import held_out, learn, score
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    got = score(docs, learn(docs, labels.where(~held_out(F.col("doc_id")))))
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op6_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprints import edited_likeness
 
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_language_id": op3_language_id,
     "op4_token_files": op4_token_files,
+    "op5_toxicity": op5_toxicity,
     "op6_weighted_sampling": op6_weighted_sampling,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_cap_filters": op8_cap_filters,
