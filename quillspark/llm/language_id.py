@@ -185,41 +185,54 @@ def learn(rows: DataFrame) -> Model:
     return Model(languages, scores - scores.mean(axis=1, keepdims=True), scripts >= USES * np.maximum(scripts.sum(axis=0), 1))
 
 
+def label_texts(texts: pa.Array, model: Model) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """The language, the score and the spans of each text."""
+    n, width = len(texts), len(model.languages)
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
+    words = Words(texts)
+    if not width or not len(words):
+        return pa.array(["und"] * n, pa.string()), np.zeros(n), pa.array([[]] * n, kind)
+    names = pa.array(model.languages, pa.string())
+    vocabulary = Vocabulary(words)
+    label = best_path(model.of_words(vocabulary), words.codes, words.starts).astype(np.int64)
+    of = np.repeat(np.arange(n), np.diff(words.starts))
+    letters = np.bincount(of * width + label, weights=vocabulary.letters[words.codes], minlength=n * width).reshape(n, width)
+    total, best = letters.sum(axis=1), letters.argmax(axis=1)
+    score = np.where(total > 0, letters.max(axis=1) / np.maximum(total, 1), 0.0)
+    pred = pc.if_else(pa.array(total > 0), names.take(pa.array(best)), pa.scalar("und"))
+    starts = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (label[1:] != label[:-1])]))
+    span = pa.StructArray.from_arrays([pa.array(starts - words.starts[of[starts]], pa.int32()), pa.array(np.diff(np.append(starts, len(of))), pa.int32()), names.take(pa.array(label[starts]))], names=["first", "words", "lang"])
+    return pred, score, pa.ListArray.from_arrays(pa.array(np.searchsorted(of[starts], np.arange(n + 1)), pa.int32()), span)
+
+
 SCHEMA = "doc_id long, lang_pred string, score double, spans array<struct<first: int, words: int, lang: string>>"
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score and spans (first word, number of words, language)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size for each language
-    kind = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
 
     def run(batches):
-        known = sent.value
-        width = len(known.languages)
-        names = pa.array(known.languages, pa.string())
         for batch in slices(batches, most=SLICE_BYTES // 2):
-            n = batch.num_rows
-            words = Words(batch.column(1))
-            if not width or not len(words):
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(["und"] * n), pa.array([0.0] * n), pa.array([[]] * n, kind)], names=["doc_id", "lang_pred", "score", "spans"])
-                continue
-            vocabulary = Vocabulary(words)
-            label = best_path(known.of_words(vocabulary), words.codes, words.starts).astype(np.int64)
-            lengths = np.diff(words.starts)
-            of = np.repeat(np.arange(n), lengths)
-            letters = np.bincount(of * width + label, weights=vocabulary.letters[words.codes], minlength=n * width).reshape(n, width)
-            total, best = letters.sum(axis=1), letters.argmax(axis=1)
-            score = np.where(total > 0, letters.max(axis=1) / np.maximum(total, 1), 0.0)
-            pred = pc.if_else(pa.array(total > 0), names.take(pa.array(best)), pa.scalar("und"))
-            new = np.concatenate([[True], (of[1:] != of[:-1]) | (label[1:] != label[:-1])])
-            starts = np.flatnonzero(new)
-            span = pa.StructArray.from_arrays([pa.array(starts - words.starts[of[starts]], pa.int32()), pa.array(np.diff(np.append(starts, len(of))), pa.int32()), names.take(pa.array(label[starts]))], names=["first", "words", "lang"])
-            ends = np.searchsorted(of[starts], np.arange(n + 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pred, pa.array(score), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), span)], names=["doc_id", "lang_pred", "score", "spans"])
+            pred, score, spans = label_texts(batch.column(1), sent.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pred, pa.array(score), spans], names=["doc_id", "lang_pred", "score", "spans"])
 
     return doc_rows(docs).mapInArrow(run, SCHEMA)
 
 
+def filter_rows(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows, with all their columns, that have a language with at least this share of their letters."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in slices(batches, most=SLICE_BYTES // 2):
+            text = batch.column(batch.schema.get_field_index("text"))
+            _, score, _ = label_texts(text.fill_null(""), sent.value)
+            yield batch.filter(pa.array((score > 0) & (score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """The rows that are never learned from."""
     return F.crc32(doc_id.cast("string")) % 4 == 2

@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .packed import pack, unpack
 from .shared import SLICE_BYTES, doc_rows, fresh_path, materialize, parts_for, slices
@@ -66,6 +67,7 @@ class Block:
         self.id = rows["block"][0].as_py()
         self.doc_ids, self.bases = rows["doc_id"].to_numpy(), rows["base"].to_numpy()
         texts = rows["text"].combine_chunks()
+        self.rest = rows["rest"].combine_chunks() if "rest" in rows.column_names else None
         self.words = Words(texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts)
         self.size = size
         self.at, self.of = inside(self.words.starts, size)
@@ -107,16 +109,19 @@ def _blocks(batches, size: int):
 
 
 def store(docs: DataFrame) -> DataFrame:
-    """block, base, doc_id and text, in the shared folder."""
+    """block, base, n_words, doc_id, text and rest (the other columns), in the shared folder."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("rest")
+    rows = doc_rows(docs, rest)
 
     def run(batches):
         part = TaskContext.get().partitionId()
         for i, batch in enumerate(slices(batches, most=SLICE_BYTES)):
             words = np.array([len(x.split()) for x in batch.column(1).cast(pa.binary()).to_pylist()], np.int64)
-            columns = [pa.array(np.full(len(words), (part << 24) + i)), pa.array(np.cumsum(words) - words), pa.array(words), batch.column(0), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "base", "n_words", "doc_id", "text"])
+            columns = [pa.array(np.full(len(words), (part << 24) + i)), pa.array(np.cumsum(words) - words), pa.array(words), *batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "base", "n_words", "doc_id", "text", "rest"])
 
-    return materialize(doc_rows(docs).mapInArrow(run, "block long, base long, n_words long, doc_id long, text string"), "blocks")
+    schema = T.StructType([*(T.StructField(n, T.LongType()) for n in ("block", "base", "n_words")), *rows.schema])
+    return materialize(rows.mapInArrow(run, schema), "blocks")
 
 
 def _slices_of(keys: np.ndarray, ranges: int):
@@ -256,8 +261,8 @@ def repeats(stored: DataFrame, size: int, ranges: int, width_bits: int, sketched
     return _exchange(stored.select("block", "base", "doc_id", "text").mapInArrow(run, "range int, block long, kind int, data binary"), ranges, reduce)
 
 
-def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_removed and kept (the words that stay, joined by one space)."""
+def _kept(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, n_words, n_removed, kept and rest."""
     stored = store(docs)
     words = stored.agg(F.sum("n_words")).first()[0] or 0
     ranges = parts_for(docs.sparkSession, words, RANGE_WORDS)
@@ -279,6 +284,21 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(stays)])[words.starts].tolist()
             n_words = np.diff(words.starts)
             kept = [b" ".join(text[a:b]).decode("utf-8") for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([pa.array(block.doc_ids), pa.array(n_words, pa.int64()), pa.array(n_words - np.diff(ends), pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+            columns = [pa.array(block.doc_ids), pa.array(n_words, pa.int64()), pa.array(n_words - np.diff(ends), pa.int64()), pa.array(kept, pa.string())]
+            if block.rest is not None:
+                columns.append(block.rest)
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept", "rest"][: len(columns)])
+
+    fields = [("doc_id", T.LongType()), ("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept", T.StringType()), ("rest", stored.schema["rest"].dataType)]
+    return stored.select("block", "base", "doc_id", "text", "rest").mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
+
+
+def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_removed and kept (the words that stay, joined by one space)."""
+    return _kept(docs.select("doc_id", "text"), size).drop("rest")
+
 
-    return stored.select("block", "base", "doc_id", "text").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+def filter_rows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows, with all their columns, and as text the words that stay."""
+    kept = _kept(docs, size)
+    return kept.select(*(F.col("kept").alias("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in docs.columns))

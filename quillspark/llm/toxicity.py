@@ -295,6 +295,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return doc_rows(docs).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def filter_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows, with all their columns, that are not called toxic."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in slices(batches, most=SLICE_BYTES // 2):
+            text = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array(sent.value.scores(text.fill_null("")) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """The rows that are never learned from."""
     return F.crc32(doc_id.cast("string")) % 5 == 0
