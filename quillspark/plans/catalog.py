@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import monitoring
+
+_PARTS = (monitoring,)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: q for p in _PARTS for k, q in p.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: q for p in _PARTS for k, q in p.ORACLE_SQL.items()}
