@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .pieces import BYTE_OF, PieceEncoder, flat, shown, spread
-from .shared import doc_rows, slices
+from .shared import ENCODE_BYTES, doc_rows, slices
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -84,7 +84,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         encoder, table = codec(path, pattern)
-        for batch in slices(batches):
+        for batch in slices(batches, most=ENCODE_BYTES):
             texts = batch.column(1)
             ids, starts = encoder.encode(texts)
             data, begins = flat(texts)
@@ -121,7 +121,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         encoder, table = codec(path, pattern)
-        for batch in slices(batches):
+        for batch in slices(batches, most=ENCODE_BYTES):
             ids, starts = encoder.encode(batch.column(1))
             back = table.decode(ids)
             ends = np.concatenate([[0], np.cumsum(table.lengths[ids])])[starts]

@@ -10,9 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text bytes that one task should hold, and that one Python slice works on.
+#: Text bytes that one task should hold, and that one Python slice works on. The
+#: whole-array steps need some 60 bytes for each of a slice; encoders need fewer
+#: and gain from larger slices.
 TASK_BYTES = 64 << 20
-SLICE_BYTES = 10 << 20
+SLICE_BYTES = 3 << 20
+ENCODE_BYTES = 6 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

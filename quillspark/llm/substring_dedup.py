@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .packed import pack, unpack
-from .shared import SLICE_BYTES, doc_rows, fresh_path, materialize, parts_for, slices
+from .shared import doc_rows, fresh_path, materialize, parts_for, slices
 from .words import Words, inside, mix, windows
 
 WINDOW = 20
@@ -115,7 +115,7 @@ def store(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        for i, batch in enumerate(slices(batches, most=SLICE_BYTES)):
+        for i, batch in enumerate(slices(batches)):
             words = np.array([len(x.split()) for x in batch.column(1).cast(pa.binary()).to_pylist()], np.int64)
             columns = [pa.array(np.full(len(words), (part << 24) + i)), pa.array(np.cumsum(words) - words), pa.array(words), *batch.columns]
             yield pa.RecordBatch.from_arrays(columns, names=["block", "base", "n_words", "doc_id", "text", "rest"])

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .pieces import PieceEncoder
-from .shared import doc_rows, fresh_path, id_cuts, materialize, parts_for, range_of, slices
+from .shared import ENCODE_BYTES, doc_rows, fresh_path, id_cuts, materialize, parts_for, range_of, slices
 
 #: Fixed values of the public zstandard and seekable formats.
 SKIPPABLE, SKIPPABLE_DOCS = 0x184D2A5E, 0x184D2A50
@@ -117,7 +117,7 @@ def frames(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         encoder = encoder_of(path)
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         packer = zstandard.ZstdCompressor(level=3, write_checksum=True, write_content_size=True)
-        for batch in slices(batches):
+        for batch in slices(batches, most=ENCODE_BYTES):
             ids, starts = encoder.encode(batch.column(1))
             ids = ids.astype(f"<u{width}")
             plain = [ids[a:b].tobytes() + end_id.to_bytes(width, "little") for a, b in zip(starts, starts[1:], strict=False)]
