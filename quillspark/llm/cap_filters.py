@@ -14,8 +14,8 @@ Vectors that share a filter are candidates. They are joined as stars with the
 first vector of each filter, and the components of these stars hold every
 candidate pair. Within a component all cosines are computed in double
 precision, in blocks of bounded size; a large component is dealt to pairs of
-blocks. Each block pair returns a count for each vector and one link to join
-it to others by, never its pairs.
+blocks. Each block pair returns for each vector a count, and the least one that
+it is joined with there, never its pairs.
 
 Defined cases: null labels, null or zero vectors and vectors with null or
 non-finite components have no links; vectors of different lengths are not
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import by_unit, components, in_blocks, joined
 from .shared import materialize, parts_for
 
 SIMILAR = 0.98
@@ -131,41 +131,21 @@ def _listed(heads: DataFrame, blocks: int, size: int) -> DataFrame:
 
 
 def _linked(units: DataFrame, similar: float) -> DataFrame:
-    """node, n (copies of vectors linked to it within the unit) and b (one of these, the least, or null)."""
-
-    def pairs(ids, side, copies, x):
-        one, two = (side != 1), (side != 0)  # 2: a block with itself
-        a, b = np.flatnonzero(one), np.flatnonzero(two)
-        near = x[a] @ x[b].T >= similar
-        near &= ids[a][:, None] != ids[b][None, :]
-        same = bool((side == 2).all())
-        for rows, other, hits in ((a, b, near),) if same else ((a, b, near), (b, a, near.T)):
-            n = hits @ copies[other]
-            least = np.where(hits, ids[other][None, :], np.iinfo(np.int64).max).min(axis=1)
-            yield ids[rows], n, least
+    """node, n (copies of vectors linked to it within the unit) and b (the least of those that it is joined with there)."""
 
     def run(batches):
-        held: list = []
-
-        def flush():
-            t = pa.Table.from_batches(held).combine_chunks()
+        for t in by_unit(batches):
             ids, side, copies = (t[c].to_numpy() for c in ("node", "side", "copies"))
-            for node, n, least in pairs(ids, side, copies, _unit(t["v"].combine_chunks())):
+            x = _unit(t["v"].chunk(0))
+            a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            near = x[a] @ x[b].T >= similar
+            near &= ids[a][:, None] != ids[b][None, :]
+            to_a, to_b = joined(near, ids[a], ids[b])
+            sides = [(a, near, b, to_a)] if (side == 2).all() else [(a, near, b, to_a), (b, near.T, a, to_b)]
+            for own, hits, other, to in sides:
+                n = hits @ copies[other]
                 on = n > 0
-                yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(n[on].astype(np.int64)), pa.array(least[on])], names=["node", "n", "b"])
-
-        for batch in batches:
-            units_ = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-            cuts = [0, *(np.flatnonzero((units_[1:] != units_[:-1]).any(axis=1)) + 1).tolist(), len(units_)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if a == b:
-                    continue
-                if held and [held[0].column(i)[0].as_py() for i in range(3)] != units_[a].tolist():
-                    yield from flush()
-                    held.clear()
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield from flush()
+                yield pa.RecordBatch.from_arrays([pa.array(ids[own][on]), pa.array(n[on].astype(np.int64)), pa.array(to[on])], names=["node", "n", "b"])
 
     return units.mapInArrow(run, "node long, n long, b long")
 
@@ -183,15 +163,9 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
     first = listed.groupBy(*key).agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     stars = listed.join(first, key).where("node <> b").select(F.col("node").alias("a"), "b")
     groups = materialize(components(stars), "groups")
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    placed = heads.join(groups, "node").join(sizes, "component").withColumn("cuts", F.ceil(F.col("size") / BLOCK).cast("int"))
-    own = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
-    dealt = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    units = dealt.select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", side.alias("side"), "copies", "v")
-    units = units.repartition(parts_for(spark, 0, 1), "component", "i", "j").sortWithinPartitions("component", "i", "j")
+    units = in_blocks(heads.join(groups, "node"), BLOCK, ["copies", "v"])
     found = materialize(_linked(units, similar), "links")
-    joined = components(found.where("b is not null").select(F.col("node").alias("a"), "b"))
+    joined = components(found.select(F.col("node").alias("a"), "b"))
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     per_head = heads.select("label", "dim", "v", "node", "copies").join(counts, "node", "left").join(joined, "node", "left")
     per_head = per_head.select("label", "dim", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))

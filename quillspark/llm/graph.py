@@ -10,6 +10,8 @@ counts reach the driver.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +47,51 @@ def components(edges: DataFrame) -> DataFrame:
         step = more.select(F.col("node").alias("component"), F.col("to"))
         out = out.join(step, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     return out
+
+
+def joined(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least id of each row's and column's component in a table of links between ids a and b."""
+    far = np.iinfo(np.int64).max
+    own_a, own_b = a, b
+    while True:
+        to_a = np.minimum(own_a, np.where(near, own_b[None, :], far).min(axis=1, initial=far))
+        to_b = np.minimum(own_b, np.where(near.T, to_a[None, :], far).min(axis=1, initial=far))
+        if (to_a == own_a).all() and (to_b == own_b).all():
+            return own_a, own_b
+        own_a, own_b = to_a, to_b
+
+
+def in_blocks(members: DataFrame, block: int, columns: list[str]) -> DataFrame:
+    """Members (component, node, columns) dealt to units (component, i, j) of two blocks at most.
+
+    Every pair of a component meets in exactly one unit: components of up to
+    ``block`` members are one, larger ones are cut by a hash. ``side`` is 0 or 1
+    for the two blocks of a unit, and 2 where a block meets itself. Rows come
+    sorted, so that a task can take one unit after the other.
+    """
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
+    placed = members.join(sizes, "component").withColumn("_cuts", F.ceil(F.col("_n") / block).cast("int"))
+    dealt = placed.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_cuts")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)))
+    side = F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1)
+    units = dealt.select("component", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "node", side.alias("side"), *columns)
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return units.repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j")
+
+
+def by_unit(batches):
+    """The table of each unit of rows that start with component, i and j."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            if held and keys[a].tolist() != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            last = keys[a].tolist()
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
