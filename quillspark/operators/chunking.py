@@ -132,8 +132,8 @@ def section_ranges(contents: DataFrame, page_counts: DataFrame) -> DataFrame:
 
 def in_sections(pages: DataFrame, ranges: DataFrame) -> DataFrame:
     """Pages with the entry whose range they lie in: an equi-join on the document with a range condition."""
-    condition = (pages["doc_id"] == ranges["doc_id"]) & pages["page"].between(ranges["start"], ranges["end"])
-    return pages.join(ranges, condition).drop(ranges["doc_id"])
+    own = ranges.withColumnRenamed("doc_id", "_doc")
+    return pages.join(own, (F.col("doc_id") == F.col("_doc")) & F.col("page").between(F.col("start"), F.col("end"))).drop("_doc")
 
 
 def _emit(groups: DataFrame, level: str, limits: Limits, order: list[str]) -> DataFrame:

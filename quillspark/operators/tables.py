@@ -3,6 +3,8 @@ Cells are array<array<string>>; all steps are higher-order functions."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,22 +17,33 @@ LEAST_CHARS, SUMMARY_CHARS = 150, 50
 
 def clean_rows(cells: Column) -> Column:
     """Cleaned cells, without rows that are empty."""
-    cleaned = F.transform(cells, lambda row: F.transform(row, clean_cell))
+    cleaned = F.transform(cells, lambda row: F.transform(row, lambda c: clean_cell(c)))
     return F.filter(cleaned, lambda row: F.exists(row, lambda c: c != ""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value bound to a name, so that it is computed once, also within lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _cell(row: Column, i: Column) -> Column:
+    return F.coalesce(F.get(row, i), F.lit(""))
+
+
+def _width(rows: Column) -> Column:
+    return F.coalesce(F.array_max(F.transform(rows, lambda r: F.size(r))), F.lit(0))
+
+
 def fill_merged(rows: Column) -> Column:
     """Empty cells take the last value above them in their column. This also fills cells
     that are really empty, on purpose, as merged ones cannot be told apart."""
-    width = F.coalesce(F.array_max(F.transform(rows, lambda r: F.size(r))), F.lit(0))
-    cell = lambda row, i: F.coalesce(F.get(row, i), F.lit(""))
 
-    def above(row: Column, last: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.when(cell(row, i) != "", cell(row, i)).otherwise(cell(last, i)))
+    def filled(rows: Column) -> Column:
+        places = F.sequence(F.lit(0), _width(rows) - 1)
+        columns = F.transform(places, lambda i: F.aggregate(rows, F.array().cast("array<string>"), lambda done, row: F.concat(done, F.array(F.when(_cell(row, i) != "", _cell(row, i)).otherwise(F.coalesce(F.get(done, F.size(done) - 1), F.lit("")))))))
+        return let(columns, lambda c: F.transform(rows, lambda row, n: F.transform(c, lambda column: F.get(column, n))))
 
-    empty = F.array().cast("array<array<string>>")
-    folded = F.aggregate(rows, empty, lambda done, row: F.concat(done, F.array(above(row, F.coalesce(F.get(done, F.size(done) - 1), F.array().cast("array<string>"))))))
-    return F.when(width > 0, folded).otherwise(rows)
+    return let(rows, lambda r: F.when(_width(r) > 0, filled(r)).otherwise(r))
 
 
 def forward_fill(df: DataFrame, partition: str, order: str, columns: list[str]) -> DataFrame:
@@ -51,35 +64,53 @@ def _cell_length(row: Column) -> Column:
 def has_header(rows: Column) -> Column:
     """The first row has no blank and is short beside the body, or uses words of headers.
     With one column no such word is needed, on purpose."""
-    first = F.element_at(rows, 1)
-    body = _average(F.transform(F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))), _cell_length))
-    own = _cell_length(first)
-    words = F.size(F.filter(first, lambda c: c.rlike(HEADER_WORDS)))
-    signs = ((own < body * 1.5) & (own < 60)) | (words >= F.floor(F.size(first) / 2))
-    return F.when(F.size(rows) < 2, False).otherwise(~F.exists(first, lambda c: c == "") & signs)
+
+    def test(rows: Column) -> Column:
+        first = F.element_at(rows, 1)
+        body = _average(F.transform(_rest(rows), _cell_length))
+        own = _cell_length(first)
+        words = F.size(F.filter(first, lambda c: c.rlike(HEADER_WORDS)))
+        signs = ((own < body * 1.5) & (own < 60)) | (words >= F.floor(F.size(first) / 2))
+        return F.when(F.size(rows) < 2, False).otherwise(~F.exists(first, lambda c: c == "") & signs)
+
+    return let(rows, test)
+
+
+def _rest(rows: Column) -> Column:
+    return F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
 
 
 def to_markdown(rows: Column, header: Column) -> Column:
     """Padded columns; pipes in cells stay as they are. Without a header the columns are numbered."""
-    width = F.array_max(F.transform(rows, lambda r: F.size(r)))
-    names = F.transform(F.sequence(F.lit(1), width), lambda i: F.concat(F.lit("Col"), i.cast("string")))
-    head = F.when(header, F.element_at(rows, 1)).otherwise(names)
-    body = F.when(header, F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows)
-    cell = lambda row, i: F.coalesce(F.get(row, i), F.lit(""))
-    places = F.sequence(F.lit(0), width - 1)
-    widths = F.transform(places, lambda i: F.greatest(F.lit(3), F.array_max(F.transform(F.concat(F.array(head), body), lambda r: F.length(cell(r, i))))))
-    line = lambda row: F.concat(F.lit("| "), F.array_join(F.transform(places, lambda i: F.rpad(cell(row, i), F.get(widths, i), F.lit(" "))), " | "), F.lit(" |"))
-    rule = F.concat(F.lit("|"), F.array_join(F.transform(widths, lambda w: F.repeat(F.lit("-"), w + 2)), "|"), F.lit("|"))
-    return F.when(F.size(rows) > 0, F.array_join(F.concat(F.array(line(head), rule), F.transform(body, line)), "\n")).otherwise("")
+
+    def shown(rows: Column) -> Column:
+        names = F.transform(F.sequence(F.lit(1), _width(rows)), lambda i: F.concat(F.lit("Col"), i.cast("string")))
+        return let(F.when(header, rows).otherwise(F.concat(F.array(names), rows)), lambda all_: let(_widths(all_), lambda widths: lines(all_, widths)))
+
+    def _widths(all_: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), _width(all_) - 1), lambda i: F.greatest(F.lit(3), F.array_max(F.transform(all_, lambda r: F.length(_cell(r, i))))))
+
+    def lines(all_: Column, widths: Column) -> Column:
+        line = lambda row: F.concat(F.lit("| "), F.array_join(F.transform(widths, lambda w, i: F.rpad(_cell(row, i), w, F.lit(" "))), " | "), F.lit(" |"))
+        rule = F.concat(F.lit("|"), F.array_join(F.transform(widths, lambda w: F.repeat(F.lit("-"), w + 2)), "|"), F.lit("|"))
+        return let(F.transform(all_, line), lambda x: F.array_join(F.concat(F.slice(x, 1, 1), F.array(rule), _rest(x)), "\n"))
+
+    return let(rows, lambda r: F.when(F.size(r) > 0, shown(r)).otherwise(""))
 
 
 def to_plain(rows: Column, header: Column) -> Column:
     """A line for each row with its cells behind their headers; blank cells are left out."""
-    head = F.when(header, F.element_at(rows, 1)).otherwise(F.array().cast("array<string>"))
-    body = F.when(header, F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))).otherwise(rows)
-    name = lambda i: F.coalesce(F.nullif(F.get(head, i), F.lit("")), F.concat(F.lit("Col"), (i + 1).cast("string")))
-    line = lambda row: F.array_join(F.filter(F.transform(row, lambda c, i: F.when(c != "", F.concat(name(i), F.lit(": "), c))), lambda x: x.isNotNull()), " | ")
-    return F.array_join(F.filter(F.transform(body, line), lambda x: x != ""), "\n")
+
+    def shown(rows: Column) -> Column:
+        head = F.when(header, F.element_at(rows, 1)).otherwise(F.array().cast("array<string>"))
+        return let(head, lambda h: lines(F.when(header, _rest(rows)).otherwise(rows), h))
+
+    def lines(body: Column, head: Column) -> Column:
+        name = lambda i: F.coalesce(F.nullif(F.get(head, i), F.lit("")), F.concat(F.lit("Col"), (i + 1).cast("string")))
+        line = lambda row: F.array_join(F.filter(F.transform(row, lambda c, i: F.when(c != "", F.concat(name(i), F.lit(": "), c))), lambda x: x.isNotNull()), " | ")
+        return F.array_join(F.filter(F.transform(body, line), lambda x: x != ""), "\n")
+
+    return let(rows, lambda r: F.when(F.size(r) > 0, shown(r)).otherwise(""))
 
 
 def best_text(markdown: Column, summary: Column, plain: Column) -> Column:

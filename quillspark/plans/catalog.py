@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import chunks, monitoring, pages, search, streams, texts
+from .registry import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-from . import monitoring
-
-_PARTS = (monitoring,)
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: q for p in _PARTS for k, q in p.QUERIES.items()}
-ORACLE_SQL: dict[str, str] = {k: q for p in _PARTS for k, q in p.ORACLE_SQL.items()}
+_PARTS = [m.REGISTRY for m in (search, monitoring, texts, chunks, pages, streams)]
+QUERIES: dict[str, Query] = {k: q for p in _PARTS for k, q in p.queries.items()}
+ORACLE_SQL: dict[str, str] = {k: q for p in _PARTS for k, q in p.oracle_sql.items()}

@@ -7,21 +7,11 @@ from pyspark.sql import functions as F
 from ..functions import status, text
 from ..operators import jobs, ledger, rollup
 from ..sources import files
+from .registry import Registry
 from .standins import AS_OF, CHUNKS, FILES, LOG, TASKS, as_of, chunk_rows, file_rows, log_rows, table, task_rows, with_
 
-QUERIES, ORACLE_SQL = {}, {}
-
-
-def query(sql: str | None):
-    """Register a query under its function's name, with the SQL that gives the same rows."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 def _documents(spark, sf_dir):

@@ -8,8 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def read_events(spark: SparkSession, folder: str, like: DataFrame, files: int = 16) -> DataFrame:
-    """A file stream of a folder's Parquet, with ts as an instant."""
-    stream = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", "*.parquet").parquet(folder)
+    """A file stream of a Parquet table (a folder, or one file), with ts as an instant."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    single = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isFile()
+    source, names = (folder.rsplit("/", 1)) if single else (folder, "*.parquet")
+    stream = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).option("pathGlobFilter", names).parquet(source)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
