@@ -9,19 +9,20 @@ count. Points come in order of arrival, so a process ends as soon as its next
 point is later than the document's latest register. Two documents agree in a
 register with the probability of their multiset Jaccard similarity.
 
-Bands of registers give candidate pairs, and every link is verified on the
+Bands of registers give candidates, and every link is verified on the
 multisets themselves:
 
 * documents with equal multisets collapse to the first one beforehand, by a
   grouped minimum (so no group of copies, however large, meets in a task),
-* round 1 verifies each document against the first one that shares a band,
-* round 2 verifies, within bands whose members are not one class by then,
-  every pair across classes but for pairs of the band's largest class. So
-  every candidate pair is verified or already in one class, without all pairs
-  of a group of near copies.
+* a document that shares ``SHARED`` bands with the first one of each is its
+  candidate; these stars, one link for each document and band at most, are
+  contracted to candidate groups,
+* within a group all similarities are computed exactly, in pairs of blocks of
+  bounded size. A pair of blocks returns one link for each document, never
+  its pairs.
 
-With 25 bands of 4 registers a pair at the threshold of 0.8 goes unseen with
-probability 2e-6.
+With 30 bands of 4 registers a pair at the threshold of 0.8 shares fewer than
+two bands with probability 3e-6.
 
 Defined cases: a null text or one without words is in a class of its own; a
 text of fewer than five words is one shingle; repeated rows are copies; other
@@ -37,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import by_unit, components, in_blocks, joined
 from .packed import pack, unpack
 from .shared import doc_rows, materialize, slices
 from .words import Words, inside, mix, windows
 
-SHINGLE, BANDS, BAND_ROWS, SIMILAR = 5, 25, 4, 0.8
+SHINGLE, BANDS, BAND_ROWS, SIMILAR, SHARED = 5, 30, 4, 0.8, 2
+#: Documents to a block, and elements that are compared at a time.
+BLOCK, COLUMNS = 256, 4096
 _TAG = 0xD6E8FEB86659FD93
 
 
@@ -142,57 +145,75 @@ def _multisets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, data binary")
 
 
-def overlap(a: bytes, b: bytes) -> float:
-    """Multiset Jaccard similarity of two packed multisets."""
-    (ha, ca), (hb, cb) = unpack(a), unpack(b)
-    _, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-    common = int(np.minimum(ca[ia], cb[ib]).sum())
-    return common / (int(ca.sum()) + int(cb.sum()) - common)
-
-
-def _verified(pairs: DataFrame, multisets: DataFrame, similar: float) -> DataFrame:
-    """The pairs (a, b) whose multisets are similar enough."""
+def overlaps(a: list[tuple[np.ndarray, np.ndarray]], b: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Multiset Jaccard similarity of each of one list with each of the other.
+
+    The k-th copy of a shingle is an element of its own, so the common weight
+    is the number of common elements: a product of 0/1 matrices, some thousand
+    elements at a time. Elements that only one side has are left out before.
+    """
+
+    def elements(bags_: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        of = np.repeat(np.arange(len(bags_)), [len(h) for h, _ in bags_])
+        h, c = (np.concatenate([x[i] for x in bags_]) for i in (0, 1))
+        c = c.astype(np.int64)
+        copy = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
+        h = np.repeat(h, c)
+        return np.repeat(of, c), np.where(copy == 0, h, mix(h + copy.astype(np.uint64) * np.uint64(_TAG)))
+
+    (of_a, h_a), (of_b, h_b) = elements(a), elements(b)
+    shared = np.intersect1d(h_a, h_b)
+    common = np.zeros((len(a), len(b)), np.float32)
+    if len(shared):
+        sides = []
+        for of, h in ((of_a, h_a), (of_b, h_b)):
+            at = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
+            on = shared[at] == h
+            order = np.argsort(at[on], kind="stable")
+            sides.append((at[on][order], of[on][order]))
+        for start in range(0, len(shared), COLUMNS):
+            width = min(COLUMNS, len(shared) - start)
+            parts = []
+            for (at, of), n in zip(sides, (len(a), len(b)), strict=True):
+                lo, hi = np.searchsorted(at, (start, start + width))
+                m = np.zeros((n, width), np.float32)
+                m[of[lo:hi], at[lo:hi] - start] = 1
+                parts.append(m)
+            common += parts[0] @ parts[1].T
+    weight_a, weight_b = (np.array([int(c.sum()) for _, c in x], float) for x in (a, b))
+    return common / (weight_a[:, None] + weight_b[None, :] - common)
+
+
+def _linked(units: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) that join the members of each unit whose multisets are similar enough:
+    one for each member, to the least one that it is joined with."""
 
     def run(batches):
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            good = [overlap(x.as_py(), y.as_py()) >= similar for x, y in zip(left, right, strict=True)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+        for t in by_unit(batches):
+            ids, side = t["node"].to_numpy(), t["side"].to_numpy()
+            sets = [tuple(unpack(x)) for x in t["data"].to_pylist()]
+            a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            near = overlaps([sets[i] for i in a], [sets[i] for i in b]) >= similar
+            to_a, to_b = joined(near, ids[a], ids[b])
+            node, to = np.concatenate([ids[a], ids[b]]), np.concatenate([to_a, to_b])
+            on = node != to
+            yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(to[on])], names=["a", "b"])
 
-    of_a = multisets.select(F.col("node").alias("a"), F.col("data").alias("x"))
-    of_b = multisets.select(F.col("node").alias("b"), F.col("data").alias("y"))
-    return pairs.select("a", "b").join(of_a, "a").join(of_b, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return units.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class) and kept (whether it is that one)."""
     docs = doc_rows(docs)
     sketched = materialize(sketch(docs, size, bands, rows), "sketches")
-    heads = materialize(sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("node"), F.first("weight").alias("weight"), F.first("keys").alias("keys")), "heads")
-    members = heads.select("node", "weight", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1").select("key", "first")
-    dealt = materialize(members.join(shared, "key"), "bands")
-    fits = lambda a, b: F.least(a, b) >= F.greatest(a, b) * similar
-    weights = heads.select(F.col("node").alias("b"), F.col("weight").alias("w"))
-    # round 1: each with the first one that shares a band
-    firsts = dealt.where("node <> first").groupBy("node", "weight").agg(F.min("first").alias("b")).join(weights, "b").where(fits(F.col("weight"), F.col("w"))).select(F.col("node").alias("a"), "b")
-    firsts = materialize(firsts, "pairs")
-    wanted = dealt.select(F.col("node").alias("doc_id")).distinct()
-    multisets = materialize(_multisets(docs.join(wanted, "doc_id", "left_semi"), size), "multisets")
-    links = materialize(_verified(firsts, multisets, similar), "links")
-    # round 2: what a band holds of other classes
-    classes = components(links)
-    named = dealt.join(classes, "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("class"))
-    named = materialize(named, "named")
-    split = named.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max_by("class", F.struct("n", -F.col("class"))).alias("most")).where("classes > 1").select("key", "most")
-    mixed = named.join(split, "key")
-    left = mixed.where("class <> most").select("key", F.col("node").alias("a"), F.col("weight").alias("wa"), F.col("class").alias("ca"))
-    right = mixed.select("key", F.col("node").alias("b"), F.col("weight").alias("wb"), F.col("class").alias("cb"), "most")
-    across = left.join(right, "key").where("ca <> cb and (cb = most or a < b)").where(fits(F.col("wa"), F.col("wb")))
-    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(firsts, ["a", "b"], "left_anti")
-    more = materialize(_verified(across, multisets, similar), "links")
-    if not more.isEmpty():
-        classes = components(links.unionAll(more))
+    heads = materialize(sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")), "heads")
+    members = heads.select("node", F.explode("keys").alias("key"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b")).where("n > 1").select("key", "b")
+    stars = members.join(shared, "key").where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED)
+    groups = materialize(components(stars), "groups")
+    multisets = _multisets(docs.join(groups.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), size)
+    units = in_blocks(multisets.join(groups, "node"), BLOCK, ["data"])
+    classes = components(materialize(_linked(units, similar), "links"))
     of_head = heads.select("bag", "node").join(classes, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
     out = sketched.select("doc_id", "bag").join(of_head, "bag", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("class_id"))
