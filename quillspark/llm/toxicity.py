@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import doc_rows, slices
-from .words import Words
+from .words import Words, mix
 
 SAMPLE_ROWS = 200_000
 STEMS = range(4, 9)
@@ -75,7 +75,7 @@ class Lexicon:
     stems: list[str]
     weights: dict[str, float]
     trie: dict = field(default_factory=dict)
-    parts: set[str] = field(default_factory=set)
+    parts: dict[str, set[tuple[int, int, int]]] = field(default_factory=dict)
     cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -84,12 +84,15 @@ class Lexicon:
             for c in entry:
                 node = node.setdefault(c, {})
             node["entry"] = entry
-            # of k + 1 parts of an entry, one occurs unchanged in what is k edits away
+            # of k + 1 parts of an entry, one occurs unchanged, and moved by k at most, in what is k edits away
             n = allowed(entry) + 1
             ends = [len(entry) * i // n for i in range(n + 1)]
-            self.parts |= {entry[a:b] for a, b in zip(ends, ends[1:], strict=False)}
+            for a, b in zip(ends, ends[1:], strict=False):
+                self.parts.setdefault(entry[a:b], set()).add((a, len(entry), n - 1))
         self.stem_set, self.stem_sizes = set(self.stems), sorted({len(s) for s in self.stems})
         self.sizes = sorted({len(p) for p in self.parts})
+        self.longest = max(map(len, self.words), default=0) + 2
+        self.most = max(map(allowed, self.words), default=0)
 
     def find(self, word: str) -> tuple[str, int] | None:
         """The entry that a word is closest to, and the edits between them."""
@@ -100,13 +103,22 @@ class Lexicon:
         self.cache[word] = found = self._find(word)
         return found
 
+    def _may_match(self, word: str) -> bool:
+        parts, n = self.parts, len(word)
+        for size in self.sizes:
+            for i in range(n - size + 1):
+                for a, length, k in parts.get(word[i : i + size], ()):
+                    if -k <= i - a <= k and -k <= n - length <= k:
+                        return True
+        return False
+
     def _find(self, word: str) -> tuple[str, int] | None:
         for size in self.stem_sizes:
             if len(word) > size and word[:size] in self.stem_set:
                 return word[:size], 0
-        if len(word) > 40 or not any(word[i : i + size] in self.parts for size in self.sizes for i in range(len(word) - size + 1)):
+        if len(word) > self.longest or not self._may_match(word):
             return None
-        automaton = LevenshteinAutomaton(word, 2)
+        automaton = LevenshteinAutomaton(word, self.most)
         best: tuple[int, str] | None = None
         stack = [(self.trie, automaton.start)]
         while stack:
@@ -197,34 +209,56 @@ class Model:
 
 
 def _terms(labelled: DataFrame, toxic: int, among: set[str] | None) -> DataFrame:
-    """term (a stem has a final ``*``) and docs, its number of documents with one label."""
+    """term (a stem has a final ``*``) and docs, in rows of one label.
+
+    Of toxic rows ``docs`` counts the different pairs of neighbours of a term's
+    first occurrences, so that copies and near copies of one document, which
+    share their contexts, do not speak for each of its words. Of other rows,
+    which are looked through for known terms only, it counts documents.
+    """
     sent = among and labelled.sparkSession.sparkContext.broadcast(among)  # at most CANDIDATES
 
     def run(batches):
         for batch in slices(batches):
             read = Read(batch.column(1))
-            if not len(read.words):
+            n = len(read.words)
+            if not n:
                 continue
-            of = np.repeat(np.arange(batch.num_rows), np.diff(read.words.starts))
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(read.words.starts))
+            if not sent:
+                low, edge = read.words.hashes()[0], np.zeros(1, np.uint64)
+                before, after = np.concatenate([edge, low[:-1]]), np.concatenate([low[1:], edge])
+                starts = read.words.starts[:-1][np.diff(read.words.starts) > 0]
+                before[starts] = 0
+                after[starts[1:] - 1] = 0
+                seen = mix(before * np.uint64(3) + after)
             names: dict[str, int] = {}
-            rows = []
+            of, at = [], []
             for size in [0, *STEMS]:
                 term = np.full(len(read.plain), -1, np.int64)
                 for i, w in enumerate(read.plain):
                     if (len(w) > size if size else len(w) > 2) and (not sent or (w[:size] + "*" if size else w) in sent.value):
                         term[i] = names.setdefault(w[:size] + "*" if size else w, len(names))
-                pairs = np.unique(of * (1 << 32) + term[read.words.codes])
-                rows.append(pairs[pairs % (1 << 32) < len(names)] % (1 << 32))
-            docs = np.bincount(np.concatenate(rows), minlength=len(names))
-            yield pa.RecordBatch.from_arrays([pa.array(list(names)), pa.array(docs, pa.int64())], names=["term", "docs"])
-
-    counts = labelled.where(F.col("toxic") == toxic).select("doc_id", "text").mapInArrow(run, "term string, docs long")
-    return counts.groupBy("term").agg(F.sum("docs").alias("docs"))
+                places = np.flatnonzero(term[read.words.codes] >= 0)
+                own = term[read.words.codes[places]]
+                _, first = np.unique(doc[places] * (1 << 32) + own, return_index=True)  # of each document and term
+                of.append(own[first])
+                at.append(places[first])
+            of, at = np.concatenate(of), np.concatenate(at)
+            listed = pa.array(list(names), pa.string())
+            if sent:
+                yield pa.RecordBatch.from_arrays([listed, pa.array(np.bincount(of, minlength=len(names)), pa.int64())], names=["term", "n"])
+            else:
+                yield pa.RecordBatch.from_arrays([listed.take(pa.array(of)), pa.array(seen[at].view(np.int64))], names=["term", "n"])
+
+    found = labelled.where(F.col("toxic") == toxic).select("doc_id", "text").mapInArrow(run, "term string, n long")
+    return found.groupBy("term").agg((F.sum("n") if sent else F.count_distinct("n")).alias("docs"))
 
 
 def _lexicon(toxic: dict[str, int], plain: dict[str, int], n_toxic: int, n_plain: int) -> Lexicon:
     def test(t: int, n: int) -> float:
         """G-squared of the term's presence against the label."""
+        t = min(t, n_toxic)
         table = np.array([[t, n], [n_toxic - t, n_plain - n]], float)
         expected = table.sum(axis=1, keepdims=True) * table.sum(axis=0) / table.sum()
         return 2 * float((table * np.log(np.where(table > 0, table / np.maximum(expected, 1e-12), 1))).sum())

@@ -1,0 +1,370 @@
+"""Each training-data operator against a plain version of itself, on small tables with
+nulls, empty, long and repeated texts, and columns whose names clash."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from quillspark.llm import bag_minhash, byte_bpe, cap_filters, fingerprints, graph, kd_sharding, language_id, packing, shared, substring_dedup, token_files, toxicity, words  # noqa: E402
+from quillspark.llm.pieces import PieceEncoder  # noqa: E402
+
+VOCAB = ["tion", "ing", "the", "of", "and", "réeux", "ß", "x1", "don't", "日本", "a,b", "ümlaut"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, score double, kept boolean, block long, part int"
+
+
+def prose(n, seed):
+    rng = np.random.default_rng(seed)
+    return " ".join(rng.choice(VOCAB) + rng.choice(VOCAB) for _ in range(n))
+
+
+BASE = prose(120, 1)
+TEXTS = {0: BASE, 1: BASE, 2: BASE + " one more", 3: None, 4: "", 5: "  \n\t ", 6: "word", 7: prose(9000, 2), 8: prose(40, 3) + " " + BASE, 9: prose(300, 4), 10: "a b c d", 11: "a b c d", 12: "  x  　y\r\n'quoted' it's 12ab", 13: "same " * 50}
+
+
+def frame(spark, texts, repeat=()):
+    rows = [(i, t, "en", None if i % 3 == 0 else f"s{i % 2}", None, 9, 0.5, True, 7, 1) for i, t in texts.items()]
+    return spark.createDataFrame(rows + [rows[i] for i in repeat], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return frame(spark, TEXTS).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def plain_words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("aZé'9 ,.\n\r\t 　ßא日́İ", max_size=40), min_size=1, max_size=6))
+def test_encoders_agree_with_the_libraries(texts):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoder, table = byte_bpe.codec(path, public_tokenizers.PATTERN)
+    ranks = byte_bpe.read_ranks(path)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ids, starts = encoder.encode(pa.array(texts, pa.string()))
+    for i, t in enumerate(texts):
+        part = ids[starts[i] : starts[i + 1]]
+        assert part.tolist() == own.encode_ordinary(t)
+        assert table.decode(part).tobytes().decode() == t
+    for name, is_words in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        tokenizer.encode_special_tokens = True
+        ids, starts = PieceEncoder(tokenizer, is_words).encode(pa.array(texts, pa.string()))
+        for i, e in enumerate(tokenizer.encode_batch(texts, add_special_tokens=False)):
+            assert ids[starts[i] : starts[i + 1]].tolist() == e.ids
+
+
+def test_op1(spark, docs, none):
+    got = kd_sharding.shard(frame(spark, TEXTS, repeat=[2]), shards=4).collect()
+    assert len(got) == len(TEXTS) + 1 and {r["shard"] for r in got} <= set(range(4))
+    for s in range(4):
+        slots = sorted(r["slot"] for r in got if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    for r in got:
+        data = (TEXTS[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"]) == (len(data) + 8, zlib.crc32(data))
+    many = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 50 + 1).cast("int")).alias("text"), F.lit("hot").alias("source"), F.lit("en").alias("lang"))
+    sizes = [r["b"] for r in kd_sharding.shard(many, shards=24).groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(sizes) == 24 and max(sizes) / min(sizes) < 1.1
+    assert kd_sharding.shard(none, shards=4).count() == 0
+
+
+def test_op2(spark, docs, none):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    got = {r["doc_id"]: r for r in byte_bpe.round_trip(docs, path, pattern).collect()}
+    assert all(got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest() for i, t in TEXTS.items())
+    tokens = byte_bpe.encode(docs, path, pattern)
+    ranks = {v: k for k, v in byte_bpe.read_ranks(path).items()}
+    for r in tokens.where("doc_id in (9, 12)").collect():
+        text, data = TEXTS[r["doc_id"]], TEXTS[r["doc_id"]].encode()
+        for i, b, a, e in zip(r["ids"], r["byte_start"], r["char_start"], r["char_end"], strict=True):
+            assert data[b : b + len(ranks[i])] == ranks[i]
+            assert ranks[i] in text[a:e].encode()
+    assert {r["doc_id"]: r["text"] for r in byte_bpe.decode(tokens, path, pattern).collect()} == {i: t or "" for i, t in TEXTS.items()}
+    assert byte_bpe.round_trip(none, path, pattern).count() == 0
+
+
+def test_op4(spark, docs, none):
+    from pyarrow import fs
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    folder = shared.fresh_path(spark, "tokens")
+    manifest = token_files.write(docs, path, 2, folder)
+    got = {r["doc_id"]: tuple(r)[1:] for r in token_files.read(manifest).collect()}
+    tokenizer, at, wanted = Tokenizer.from_file(path), 0, {}
+    for i in sorted(TEXTS):
+        ids = np.array(tokenizer.encode(TEXTS[i] or "", add_special_tokens=False).ids + [2], "<u4")
+        wanted[i] = (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert got == wanted
+    store, name = fs.FileSystem.from_uri(manifest.orderBy("part").first()["file"])
+    with store.open_input_file(name) as f:
+        one = token_files.TokenFile(f)
+        assert one.ids(int(one.docs[0])).tolist()[-1] == 2 and one.ids(-5) is None
+    assert token_files.write_and_read(none, path, 2).count() == 0
+
+
+def test_op9(spark, docs, none):
+    rows = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 0, 256).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for pieces in by.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 256
+    total = sum(r["length"] for r in rows)
+    assert len(by) <= -(-total // 256) + 1
+    for i in TEXTS:
+        own = sorted((r["piece"], r["start"], r["length"]) for r in rows if r["doc_id"] == i)
+        assert [p for p, _, _ in own] == list(range(len(own))) and all(n == 256 for _, _, n in own[:-1]) and own
+    assert packing.pack_documents(none, public_tokenizers.path("word_bpe_49k.json"), 0, 256).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=60))
+def test_best_fit(sizes):
+    sizes = np.array(sorted(sizes, reverse=True), np.int64)
+    bins, offsets = packing.best_fit(sizes, 50)
+    for b in set(bins.tolist()):
+        own = sorted(zip(offsets[bins == b], sizes[bins == b], strict=True))
+        assert sum(s for _, s in own) <= 50 and all(o == sum(x for _, x in own[:i]) for i, (o, _) in enumerate(own))
+    assert len(set(bins.tolist())) <= -(-int(sizes.sum()) * 2 // 50) + 1
+
+
+def removed(texts, size):
+    seen, out = set(), {}
+    for i in sorted(texts):
+        w = plain_words(texts[i])
+        gone = [False] * len(w)
+        for p in range(len(w) - size + 1):
+            k = tuple(w[p : p + size])
+            if k in seen:
+                gone[p : p + size] = [True] * size
+            seen.add(k)
+        out[i] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g))
+    return out
+
+
+@pytest.mark.parametrize("size", [20, 4])
+def test_op7(docs, none, size):
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.remove_repeats(docs, size).collect()}
+    assert got == removed(TEXTS, size)
+    kept = substring_dedup.filter_rows(docs, size)
+    assert kept.columns == docs.columns and kept.where("shard = 9 and block = 7").count() == len(TEXTS)
+    assert substring_dedup.remove_repeats(none).count() == 0
+
+
+def bag(t, n=5):
+    w = plain_words(t)
+    return Counter(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else Counter()
+
+
+def test_op10(spark, none):
+    texts, rng = dict(TEXTS), np.random.default_rng(5)
+    for i in range(20, 60):  # a group of near copies with one to four changes each
+        w = BASE.split()
+        for p in rng.choice(len(w), rng.integers(1, 5), replace=False):
+            w[p] = f"new{i}"
+        texts[i] = " ".join(w)
+    root = {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = {i: bag(t) for i, t in texts.items()}
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and sets[j] and (c := (sets[i] & sets[j]).total()) / (sets[i].total() + sets[j].total() - c) >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {r["doc_id"]: r["class_id"] for r in bag_minhash.near_duplicates(frame(spark, texts, repeat=[2])).collect()}
+    assert got == {i: find(i) for i in texts}
+    assert bag_minhash.near_duplicates(none).count() == 0
+
+
+def test_bag_minhash_is_unbiased():
+    a = {f"e{i}": 1 + i % 7 for i in range(60)}
+    b = {f"e{i}": 1 + (i * 3) % 5 for i in range(20, 90)}
+    of, h, c = zip(*[(k, int.from_bytes(hashlib.blake2b(e.encode(), digest_size=8).digest(), "little"), n) for k, x in enumerate((a, b)) for e, n in x.items()], strict=True)
+    held = bag_minhash.signatures(np.array(of), np.array(h, np.uint64), np.array(c), 2, 4000)
+    exact = sum(min(a.get(e, 0), b.get(e, 0)) for e in {*a, *b}) / sum(max(a.get(e, 0), b.get(e, 0)) for e in {*a, *b})
+    assert abs((held[0] == held[1]).mean() - exact) < 0.04
+
+
+def test_op8(spark):
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((6, 16))
+    rows = [(i, (base[i % 6] + rng.standard_normal(16) * 0.05).tolist(), i % 2) for i in range(300)]
+    rows += [(300, [0.0] * 16, 1), (301, None, 1), (302, [float("nan")] + [1.0] * 15, 1), (303, rows[0][1], None), (304, rows[0][1], 0), (305, [1.0] * 3, 0), (306, [1.0, None] + [1.0] * 14, 0)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in cap_filters.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    good = {i: (np.float32(v).astype(float), label) for i, v, label in rows if label is not None and v and None not in v and np.isfinite(v).all() and any(v)}
+    links = {i: [j for j, (w, m) in good.items() if j != i and m == label and len(w) == len(v) and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.98] for i, (v, label) in good.items()}
+    for i, _, _ in rows:
+        seen, todo = {i}, [i]
+        while todo:
+            todo += (fresh := [j for j in links.get(todo.pop(), []) if j not in seen])
+            seen.update(fresh)
+        assert got[i] == (len(links.get(i, [])), min(seen))
+
+
+def test_op3(spark, none):
+    rng = np.random.default_rng(4)
+    stems = {"aa": ["sha", "ing", "tho"], "bb": ["eau", "ié", "oux"], "gr": ["αβγ", "δε", "λμ"]}
+    say = lambda lang, n: " ".join("".join(rng.choice(stems[lang], 2)) for _ in range(n))
+    rows = [(i, say(lang, int(rng.integers(1, 60))), lang) for i, lang in enumerate(list(stems) * 60)]
+    d = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 !!", "bb"), (902, say("aa", 30) + " " + say("gr", 20), None)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language_id.identify(d, language_id.learn(d.where(~language_id.held_out(F.col("doc_id"))))).collect()}
+    assert sum(got[i]["lang_pred"] == lang for i, _, lang in rows) / len(rows) > 0.97
+    assert got[900]["lang_pred"] == got[901]["lang_pred"] == "und" and got[900]["score"] == 0
+    assert [s["lang"] for s in got[902]["spans"]] == ["aa", "gr"] and [s["words"] for s in got[902]["spans"]] == [30, 20]
+    blank = language_id.learn(none)
+    assert language_id.identify(none, blank).count() == 0 and language_id.identify(d, blank).where("lang_pred = 'und'").count() == d.count()
+
+
+def viterbi(scores, switch):
+    best, back = scores[0].copy(), []
+    for s in scores[1:]:
+        step = best[:, None] - switch * (1 - np.eye(len(s)))
+        back.append(step.argmax(axis=0))
+        best = step.max(axis=0) + s
+    path = [int(best.argmax())]
+    for b in back[::-1]:
+        path.append(int(b[path[-1]]))
+    return path[::-1], float(best.max())
+
+
+def test_paths_are_the_best():
+    rng = np.random.default_rng(6)
+    scores = rng.normal(size=(30, 3)) * 4
+    codes = rng.integers(0, 30, 50)
+    starts = np.array([0, 7, 7, 30, 50])
+    label = language_id.best_path(scores, codes, starts, 2.0)
+    for a, b in ((0, 7), (7, 30), (30, 50)):
+        own, value = viterbi(scores[codes[a:b]], 2.0)
+        mine = label[a:b]
+        assert scores[codes[a:b], mine].sum() - 2.0 * (mine[1:] != mine[:-1]).sum() == pytest.approx(value)
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = _row(row, i, x, b)
+    return row[-1]
+
+
+def _row(row, i, x, b):
+    out = [i]
+    for j, y in enumerate(b, 1):
+        out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abc", max_size=8), st.text("abc", max_size=8))
+def test_levenshtein_automaton(pattern, word):
+    automaton = toxicity.LevenshteinAutomaton(pattern, 2)
+    state = automaton.start
+    for c in word:
+        state = automaton.step(state, c)
+    d = edits(pattern, word)
+    assert automaton.distance(state) == (d if d <= 2 else None)
+
+
+def test_op5(spark, none):
+    rng = np.random.default_rng(7)
+    rows, labels = [], []
+    for i in range(600):
+        w = ["".join(rng.choice(["tha", "ing", "ouo", "sti"], 3)) for _ in range(int(rng.integers(5, 60)))]
+        toxic = i % 6 == 0
+        if toxic:
+            w.insert(int(rng.integers(len(w))), ["blockhead", "nitwitted"][i % 12 // 6])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    rows += [(700, "you blokhead tha"), (701, None), (702, "")]
+    d, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([*labels, (999, 1), (701, None)], "doc_id long, toxic int")
+    model = toxicity.learn(d, known.where(~toxicity.held_out(F.col("doc_id"))))
+    assert model.lexicon.words == ["blockhead", "nitwitted"]
+    got = {r["doc_id"]: r for r in toxicity.score(d, model).collect()}
+    assert all(got[i]["predicted"] == t for i, t in labels)
+    assert got[700]["score"] > got[701]["score"] == got[702]["score"]
+    assert toxicity.filter_rows(d, model).count() == len(rows) - sum(r["predicted"] for r in got.values())
+    assert toxicity.score(none, toxicity.learn(none, known)).count() == 0
+
+
+def test_quotation_is_apart():
+    lexicon = toxicity.Lexicon(["blockhead"], [], {"blockhead": 3.0})
+    x = toxicity.features(pa.array(['he said "you blockhead" again', "you blockhead again", ""]), lexicon)
+    assert x[0, 0] == 0 < x[0, 2] and x[1, 0] > 0 == x[1, 2] and not x[2].any()
+
+
+def test_op6(spark, docs, none):
+    got = {r["doc_id"]: r for r in fingerprints.edited_likeness(docs).collect()}
+    order = sorted(TEXTS, reverse=True)
+    assert set(got) == set(TEXTS)
+    for i, n in zip(order, [*order[1:], order[0]], strict=True):
+        a, b = TEXTS[i] or "", TEXTS[n] or ""
+        half = len(a) // 2
+        assert got[i]["n_chars"] == len(a) and got[i]["edited_sha256"] == hashlib.sha256((a[: len(a) - half] + b[:half]).encode()).hexdigest()
+        assert 0 <= got[i]["near_next"] <= 1
+    assert got[0]["fingerprint"] == got[1]["fingerprint"] and got[1]["near_next"] == 1
+    assert fingerprints.edited_likeness(none).count() == 0
+    assert {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()} == {i: r["fingerprint"] for i, r in got.items()}
+
+
+def test_weighted_sampling_is_unbiased():
+    a, b = "x x x y z w w", "x y y z v w w w"
+    s = fingerprints.samples(pa.array([a, b]), 3000)
+    ca, cb = Counter(a.split()), Counter(b.split())
+    assert abs((s[0] == s[1]).mean() - (ca & cb).total() / (ca | cb).total()) < 0.04
+
+
+def test_components(spark):
+    rng = np.random.default_rng(9)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 440)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    linked = {x for e in edges if e[0] != e[1] for x in e}
+    assert got == {x: find(x) for x in linked}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_words_and_windows():
+    w = words.Words(pa.array(["a  b c\x0b", "", "d e f"]))
+    assert [w.named()[c] for c in w.codes] == [b"a", b"b", b"c", "d e".encode(), b"f"] and w.starts.tolist() == [0, 3, 3, 5]
+    at, of = words.inside(w.starts, 2)
+    assert at.tolist() == [0, 1, 3] and of.tolist() == [0, 0, 2]
