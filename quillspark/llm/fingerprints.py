@@ -34,21 +34,20 @@ PLACES = 64
 _STEP = 0x9E3779B97F4A7C15
 
 
-def _uniform(x: np.ndarray) -> np.ndarray:
-    """In (0, 1), from 52 bits."""
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) * (1.0 / (1 << 52))
+def _uniforms(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers in (0, 1), from 32 bits each."""
+    scale = 1.0 / (1 << 32)
+    return ((x >> np.uint64(32)) + 0.5) * scale, ((x & np.uint64(0xFFFFFFFF)) + 0.5) * scale
 
 
 def _values(hashes: np.ndarray, weights: np.ndarray, places: int) -> np.ndarray:
     """ln a for each word and place."""
     seed = mix(hashes[:, None] + np.arange(1, places + 1, dtype=np.uint64) * np.uint64(_STEP))
-
-    def draw(i: int) -> np.ndarray:
-        return _uniform(mix(seed + np.uint64(i * _STEP & (1 << 64) - 1)))
-
-    r = -np.log(draw(1) * draw(2))
-    ln_c = np.log(-np.log(draw(3) * draw(4)))
-    b = draw(5)
+    one, two = _uniforms(seed)
+    r = -np.log(one * two)
+    one, two = _uniforms(mix(seed + np.uint64(_STEP)))
+    ln_c = np.log(-np.log(one * two))
+    b, _ = _uniforms(mix(seed - np.uint64(_STEP)))
     step = np.floor(np.log(weights)[:, None] / r + b)
     return ln_c - r * (step - b) - r
 
@@ -156,7 +155,8 @@ def _edited(batch: pa.RecordBatch, places: int) -> pa.RecordBatch:
     """Rows of all but the last document, each followed by the next."""
     texts = batch.column(1).to_pylist()
     edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(texts, texts[1:], strict=False)]
-    prints, of_edited = samples(batch.column(1), places), samples(pa.array(edited, pa.string()), places)
+    both = samples(pa.concat_arrays([batch.column(1), pa.array(edited, pa.string())]), places)  # together: they share most words
+    prints, of_edited = both[: len(texts)], both[len(texts) :]
     own = prints[:-1]
     return pa.RecordBatch.from_arrays(
         [
