@@ -14,9 +14,12 @@ multisets themselves:
 
 * documents with equal multisets collapse to the first one beforehand, by a
   grouped minimum (so no group of copies, however large, meets in a task),
-* a document that shares ``SHARED`` bands with the first one of each is its
-  candidate; these stars, one link for each document and band at most, are
-  contracted to candidate groups,
+* documents that share two bands or more are candidates, and the components of
+  all such pairs are the candidate groups. A first round contracts the stars
+  around the first one of each band that share two bands with it. What two
+  groups of that round may still have in common are bands with members of
+  several groups; in the second round, documents meet by each two such bands
+  that they hold,
 * within a group all similarities are computed exactly, in pairs of blocks of
   bounded size. A pair of blocks returns one link for each document, never
   its pairs.
@@ -43,7 +46,7 @@ from .packed import pack, unpack
 from .shared import doc_rows, materialize, slices
 from .words import Words, inside, mix, windows
 
-SHINGLE, BANDS, BAND_ROWS, SIMILAR, SHARED = 5, 30, 4, 0.8, 2
+SHINGLE, BANDS, BAND_ROWS, SIMILAR = 5, 30, 4, 0.8
 #: Documents to a block, and elements that are compared at a time.
 BLOCK, COLUMNS = 256, 4096
 _TAG = 0xD6E8FEB86659FD93
@@ -202,15 +205,65 @@ def _linked(units: DataFrame, similar: float) -> DataFrame:
     return units.mapInArrow(run, "a long, b long")
 
 
+def _by_twos(held: DataFrame) -> DataFrame:
+    """Links (a, b) between groups that hold the same two bands, of group and keys (of a
+    document's bands): one for each group and two bands, to the least group that holds them."""
+
+    def twos(batches):
+        for batch in batches:
+            groups, lists = batch.column(0).to_numpy(), batch.column(1)
+            ends = lists.offsets.to_numpy()
+            keys = lists.values.to_numpy().view(np.uint64)
+            out, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for g, a, b in zip(groups, ends, ends[1:], strict=False):
+                k = np.sort(keys[a:b])
+                i, j = np.triu_indices(len(k), 1)
+                out.append((mix(k[i]) ^ k[j]).view(np.int64))
+                of.append(np.full(len(i), g))
+            both = np.unique(np.stack([np.concatenate(out), np.concatenate(of)], axis=1), axis=0)
+            for start in range(0, len(both), 1 << 16):
+                part = both[start : start + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["two", "node"])
+
+    def links(batches):
+        two = first = None  # of the run that is open
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            twos_, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            new = np.concatenate([[two is None or twos_[0] != two], twos_[1:] != twos_[:-1]])
+            run = np.cumsum(new)
+            to = np.concatenate([[node[0] if first is None else first], node[new]])[run]
+            two, first = twos_[-1], to[-1]
+            both = np.unique(np.stack([node, to], axis=1)[node != to], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
+
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = held.mapInArrow(twos, "two long, node long").repartition(parts, "two").sortWithinPartitions("two", "node")
+    return met.mapInArrow(links, "a long, b long").distinct()
+
+
+def _groups(heads: DataFrame) -> DataFrame:
+    """node and component of all that share two bands or more with another, of node and keys."""
+    members = heads.select("node", F.explode("keys").alias("key"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b")).where("n > 1").select("key", "b")
+    dealt = materialize(members.join(shared, "key"), "bands")
+    stars = dealt.where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = materialize(components(stars), "groups")
+    # two documents of different groups that share two bands: both bands have members of several groups
+    named = materialize(dealt.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "named")
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    held = named.join(mixed, "key").groupBy("node", "component").agg(F.collect_list("key").alias("keys")).where("size(keys) > 1")
+    more = materialize(_by_twos(held.select("component", "keys")), "links")
+    return first if more.isEmpty() else components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+
+
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class) and kept (whether it is that one)."""
     docs = doc_rows(docs)
     sketched = materialize(sketch(docs, size, bands, rows), "sketches")
     heads = materialize(sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")), "heads")
-    members = heads.select("node", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b")).where("n > 1").select("key", "b")
-    stars = members.join(shared, "key").where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED)
-    groups = materialize(components(stars), "groups")
+    groups = materialize(_groups(heads), "groups")
     multisets = _multisets(docs.join(groups.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), size)
     units = in_blocks(multisets.join(groups, "node"), BLOCK, ["data"])
     classes = components(materialize(_linked(units, similar), "links"))

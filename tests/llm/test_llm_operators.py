@@ -207,6 +207,36 @@ def test_op10(spark, none):
     assert bag_minhash.near_duplicates(none).count() == 0
 
 
+def test_op10_pairs_with_another_first_one_in_each_band(spark):
+    rng = np.random.default_rng(1)
+    pool = [[f"p{i}w{j}" for j in range(40)] for i in range(24)]
+    draw = lambda: [w for i in rng.choice(len(pool), 12, replace=False) for w in pool[i]]
+    texts = [" ".join(draw()) for _ in range(4000)]
+    for _ in range(100):
+        w = draw()
+        texts.append(" ".join(w))
+        for p in rng.choice(len(w), 10, replace=False):
+            w[p] = f"new{len(texts)}"
+        texts.append(" ".join(w))
+    of, h, c = bag_minhash.bags(pa.array(texts))
+    keys = bag_minhash.band_keys(bag_minhash.signatures(of, h, c, len(texts), 120), 30, 4)
+    for x in range(4000, len(texts), 2):
+        sets = bag(texts[x]), bag(texts[x + 1])
+        if (common := (sets[0] & sets[1]).total()) / (sets[0].total() + sets[1].total() - common) < 0.8:
+            continue
+        once = (keys[:4000] == keys[x]).sum(axis=1) == 1
+        bands = np.flatnonzero(keys[x] == keys[x + 1])
+        before = [np.flatnonzero(once & (keys[:4000, k] == keys[x, k]))[:1] for k in bands]
+        if all(map(len, before)):
+            break
+    else:
+        pytest.fail("no such pair")
+    chosen = [texts[i] for i in np.concatenate(before)]
+    found = bag_minhash.near_duplicates(frame(spark, dict(enumerate([*chosen, texts[x], texts[x + 1]])))).collect()
+    n = len(chosen)
+    assert len(bands) >= 2 and {r["doc_id"]: r["class_id"] for r in found} == {**{i: i for i in range(n)}, n: n, n + 1: n}
+
+
 def test_bag_minhash_is_unbiased():
     a = {f"e{i}": 1 + i % 7 for i in range(60)}
     b = {f"e{i}": 1 + (i * 3) % 5 for i in range(20, 90)}
