@@ -2,7 +2,8 @@
 
 Learning takes labelled rows, at most ``SAMPLE_ROWS`` of them (the ones with
 the smallest hash of the id; a bound, so that their ids and features may go to
-every task and to the driver). From them come
+every task and to the driver). Texts that repeat with one label count once in
+all that the lexicon is learned from. From them come
 
 * the lexicon: words, and stems that many different words start with, whose
   presence speaks for a toxic document by a likelihood-ratio test,
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import doc_rows, slices
+from .shared import doc_rows, materialize, slices
 from .words import Words, mix
 
 SAMPLE_ROWS = 200_000
@@ -255,6 +256,15 @@ def _terms(labelled: DataFrame, toxic: int, among: set[str] | None) -> DataFrame
     return found.groupBy("term").agg((F.sum("n") if sent else F.count_distinct("n")).alias("docs"))
 
 
+def _distinct(labelled: DataFrame) -> DataFrame:
+    """One row of each label and text: the least id's. Only ids and digests are grouped."""
+    digest = F.md5(F.encode("text", "utf-8"))
+    firsts = materialize(labelled.groupBy("toxic", digest.alias("digest")).agg(F.min("doc_id").alias("doc_id")), "firsts")
+    single = labelled.withColumn("digest", digest).join(F.broadcast(firsts), ["toxic", "digest", "doc_id"], "left_semi")  # bounded by sample_rows
+    repeated = labelled.groupBy("doc_id").count().where("count > 1")
+    return (single if repeated.isEmpty() else single.dropDuplicates(["toxic", "digest"])).select("doc_id", "text", "toxic")
+
+
 def _lexicon(toxic: dict[str, int], plain: dict[str, int], n_toxic: int, n_plain: int) -> Lexicon:
     def test(t: int, n: int) -> float:
         """G-squared of the term's presence against the label."""
@@ -295,13 +305,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     share = min(1.0, sample_rows / max(1, count))
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     labelled = doc_rows(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")  # bounded by sample_rows
-    totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    single = _distinct(labelled)
+    totals = {r["toxic"]: r["n"] for r in single.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_plain = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_plain:
         return Model(Lexicon([], [], {}), None)
     least = max(3, int(0.002 * n_toxic))
-    toxic = {r["term"]: r["docs"] for r in _terms(labelled, 1, None).where(F.col("docs") >= least).orderBy(F.desc("docs"), "term").limit(CANDIDATES).collect()}
-    plain = {r["term"]: r["docs"] for r in _terms(labelled, 0, set(toxic)).collect()} if toxic else {}
+    toxic = {r["term"]: r["docs"] for r in _terms(single, 1, None).where(F.col("docs") >= least).orderBy(F.desc("docs"), "term").limit(CANDIDATES).collect()}
+    plain = {r["term"]: r["docs"] for r in _terms(single, 0, set(toxic)).collect()} if toxic else {}
     lexicon = _lexicon(toxic, plain, n_toxic, n_plain)
     sent = spark.sparkContext.broadcast(lexicon)
 

@@ -346,6 +346,17 @@ def test_op5(spark, none):
     assert toxicity.score(none, toxicity.learn(none, known)).count() == 0
 
 
+def test_op5_copies_teach_once(spark):
+    rng = np.random.default_rng(8)
+    prose = lambda: ["".join(rng.choice(["tha", "ing", "ouo", "sti"], 3)) for _ in range(30)]
+    rows = [(i, " ".join([*prose(), *([["blockhead", "nitwitted"][i % 2], *prose()] if i < 100 else [])]), int(i < 100)) for i in range(600)]
+    rows += [(i, " ".join([*prose(), "nitwitted"]), 0) for i in range(600, 616)]
+    copy, other = " ".join(prose()), " ".join([*prose(), "blockhead"])
+    rows += [(i, copy, 1) for i in range(1000, 1400)] + [(i, other, 0) for i in range(2000, 2200)] + [(1399, copy, 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert toxicity.learn(d.select("doc_id", "text"), d.select("doc_id", "toxic")).lexicon.words == ["blockhead", "nitwitted"]
+
+
 def test_quotation_is_apart():
     lexicon = toxicity.Lexicon(["blockhead"], [], {"blockhead": 3.0})
     x = toxicity.features(pa.array(['he said "you blockhead" again', "you blockhead again", ""]), lexicon)
