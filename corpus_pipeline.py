@@ -9,7 +9,8 @@ columns of documents:
 * language: drops documents without a language (no letters), or with no
   language that at least half of their letters are in; the model is fitted on
   the ``lang`` column of what is left,
-* near_dedup: keeps the first document of each class of near copies,
+* near_dedup: keeps the first document of each class of near copies; rows
+  without an id stay, and of rows that repeat an id and its text one does,
 * substring_dedup: removes repeated passages of 20 words or more; text becomes
   the words that stay, joined by one space, and n_chars its length; a text
   that nothing is left of stays as an empty one,
@@ -39,10 +40,16 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = bag_minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    out = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
-    repeated = docs.groupBy("doc_id").count().where("count > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id"])
+    named, nameless = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    if named.groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = bag_minhash.near_duplicates(named).where("kept").select("doc_id")
+        out = named.join(kept, "doc_id", "left_semi")
+    else:  # each row is decided by a number of its own, in the order of ids
+        single = named.dropDuplicates(["doc_id", "text"]).sort("doc_id", "text")
+        rows = materialize(single.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        kept = bag_minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_row"))
+        out = rows.join(kept, "_row", "left_semi")
+    return out.select(docs.columns).unionAll(nameless)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,13 @@ def test_repeated_rows_collapse(spark):
     assert corpus_pipeline.drop_near_copies(spark, docs, FOLDER).count() == 2
 
 
+def test_rows_without_an_id_and_other_texts_of_an_id_stay(spark):
+    rows = [(None, "first words of a row without id"), (None, "and some more of another row"), (1, "a b c d e f g"), (1, "a b c d e f g"), (1, "here is another text of the same id"), (2, "a b c d e f g"), (2, "a third text of some words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, FOLDER).collect()]
+    assert sorted(got, key=str) == sorted({r for r in rows if r != (2, "a b c d e f g")}, key=str)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_registered(name):
     assert callable(queries.QUERIES[name])
