@@ -20,7 +20,7 @@ Only DataFrame functions run here. The texts are read once, for their size and
 checksum; all later passes are over a slim table in the shared folder.
 
 Defined cases: a null text has no bytes; null metadata counts as an empty
-string; other columns are ignored; rows that repeat in full may fall on either
+string, a null id as the least one; other columns are ignored; rows that repeat in full may fall on either
 side of a cut; an empty table gives an empty result.
 """
 
@@ -81,7 +81,7 @@ def _keys(rows: DataFrame) -> DataFrame:
     out = {}
     for d in DIMENSIONS:
         lo, hi = ends[f"{d}0"] or 0, ends[f"{d}1"] or 0
-        part = (F.col(d) - F.lit(lo)).cast("double") / F.lit(float(max(1, hi - lo)))
+        part = (F.coalesce(F.col(d), F.lit(lo)) - F.lit(lo)).cast("double") / F.lit(float(max(1, hi - lo)))
         out[f"k_{d}"] = F.shiftleft((part * ((1 << 30) - 1)).cast("long"), 32) + tie
     return rows.withColumns(out).drop(*[d for d in DIMENSIONS if d != "d_id"]).drop("d_id")
 

@@ -88,6 +88,13 @@ def test_op1(spark, docs, none):
     assert kd_sharding.shard(none, shards=4).count() == 0
 
 
+def test_op1_keeps_rows_without_an_id(spark):
+    rows = spark.range(400).select(F.when(F.col("id") % 5 > 0, F.col("id")).alias("doc_id"), F.lit("same text").alias("text"))
+    got = kd_sharding.shard(rows, shards=4).collect()
+    assert len(got) == 400 and {r["shard"] for r in got} == set(range(4))
+    assert sum(r["doc_id"] is None for r in got) == 80
+
+
 def test_op2(spark, docs, none):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     got = {r["doc_id"]: r for r in byte_bpe.round_trip(docs, path, pattern).collect()}
