@@ -24,6 +24,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes that the whole-array steps look at together; a longer column is cut at white space, also within a text.
+PART_BYTES = 4 << 20
+
+
+def _ends(data: np.ndarray, offsets: np.ndarray, most: int):
+    """Where the parts of some texts end: no word spans an end, and parts have at most so many
+    bytes unless one word has more."""
+    at, n = 0, len(data)
+    while n - at > most:
+        space = np.flatnonzero((data[at : at + most] == 32) | ((data[at : at + most] >= 9) & (data[at : at + most] <= 13)))
+        text = offsets[np.searchsorted(offsets, at + most, side="right") - 1]  # the last start up to there
+        found = max(at + int(space[-1]) + 1 if len(space) else at, int(text))
+        if found == at:  # one word is longer than a part
+            end = int(offsets[np.searchsorted(offsets, at + most)])
+            rest = data[at + most : end]
+            space = np.flatnonzero((rest == 32) | ((rest >= 9) & (rest <= 13)))
+            found = at + most + int(space[0]) if len(space) else end
+        at = found
+        yield at
+    if n > at:
+        yield n
+
+
 class Words:
     """The words of a column without nulls.
 
@@ -31,24 +54,32 @@ class Words:
     list of distinct words, of which ``named()`` gives the bytes.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, part_bytes: int = PART_BYTES):
         data, offsets = flat(column)
-        space = (data == 32) | ((data >= 9) & (data <= 13))
-        marks = np.zeros(len(data) + 1, bool)
-        marks[1:] |= space
-        marks[offsets] = True
-        before = np.concatenate([[0], np.cumsum(~space)])
-        kept = data[~space]
-        ends = np.zeros(len(kept) + 1, bool)
-        ends[before[np.flatnonzero(marks)]] = True
-        ends[0] = ends[-1] = True
-        cuts = np.flatnonzero(ends) if len(kept) else np.zeros(1, np.int64)
-        self.starts = np.searchsorted(cuts, before[offsets])
-        self.data, self.cuts = kept, cuts
-        buffers = [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(kept))]
-        encoded = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, buffers).dictionary_encode()
-        self.codes = encoded.indices.to_numpy()
-        self._dictionary = encoded.dictionary
+        self.starts = np.zeros(len(offsets), np.int64)
+        parts, a, total = [], 0, 0
+        for b in _ends(data, offsets, part_bytes):
+            part = data[a:b]
+            lo, hi = np.searchsorted(offsets, a), np.searchsorted(offsets, b, side="right")
+            own = offsets[lo:hi] - a
+            space = (part == 32) | ((part >= 9) & (part <= 13))
+            marks = np.zeros(len(part) + 1, bool)
+            marks[1:] |= space
+            marks[own] = True
+            before = np.concatenate([[0], np.cumsum(~space, dtype=np.int32)])
+            kept = part[~space]
+            ends = np.zeros(len(kept) + 1, bool)
+            ends[before[np.flatnonzero(marks)]] = True
+            ends[0] = ends[-1] = True
+            cuts = np.flatnonzero(ends) if len(kept) else np.zeros(1, np.int64)
+            self.starts[lo:hi] = total + np.searchsorted(cuts, before[own])
+            buffers = [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(kept))]
+            parts.append(pa.Array.from_buffers(pa.binary(), len(cuts) - 1, buffers).dictionary_encode())
+            a, total = b, total + len(cuts) - 1
+        if len(parts) > 1:
+            parts = pa.chunked_array(parts).unify_dictionaries().chunks
+        self.codes = np.concatenate([p.indices.to_numpy() for p in parts]) if parts else np.zeros(0, np.int32)
+        self._dictionary = parts[0].dictionary if parts else pa.array([], pa.binary())
 
     def named(self) -> np.ndarray:
         return self._dictionary.to_numpy(zero_copy_only=False)
