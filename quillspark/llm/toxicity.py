@@ -1,23 +1,34 @@
 """Toxicity of documents: a learned lexicon, misspellings and context.
 
-Learning takes labelled rows, at most ``SAMPLE_ROWS`` of them (the ones with
-the smallest hash of the id; a bound, so that their ids and features may go to
-every task and to the driver). Texts that repeat with one label count once in
-all that the lexicon is learned from. From them come
+Learning takes labelled rows: all of them up to ``SAMPLE_ROWS``, beyond that
+about so many by a hash of the id (a bound, so that their ids and features may
+go to every task and to the driver). Texts that repeat with one label count
+once in all that the lexicon is learned from. From them come
 
 * the lexicon: words, and stems that many different words start with, whose
-  presence speaks for a toxic document by a likelihood-ratio test,
+  presence speaks for a toxic document,
 * the weights of a logistic model over what the lexicon finds.
 
+Which terms enter is a test at a false discovery rate. A term's evidence is
+the Chernoff bound on how likely its toxic share is by chance, in nats; the
+least evidence is the smallest value above which the terms that chance could
+lift there are at most ``CHANCE`` of those found. Only terms frequent enough
+to reach it count as tests, so few labels learn the clear terms and many learn
+fainter ones, by one rule and without a cap. An entry must also be ``LIFT``
+times as frequent in toxic documents.
+
 Searching intersects a Levenshtein automaton of a word with the lexicon's
-trie, so a word matches entries within one edit (two for long entries); stems
-match by prefix. Each find is scored in its context window: finds between
-quotation marks count apart from bare ones, and finds near each other add up.
+trie, so a word matches entries within one edit (two for long entries), and
+stems by what it starts with, within one edit for long stems. Each find is
+scored in its context window: finds between quotation marks count apart from
+bare ones, and finds near each other add up.
 
 Defined cases: a null or empty text has no finds and gets the score of a text
-without any; rows without a label, and labels of unknown documents, teach
-nothing; if several labels name a document the greatest holds; without both
-kinds of labels every score is 0; other columns are ignored; an empty table
+without any; very long texts are read in parts of ``words.PART_BYTES``; rows
+without a label, and labels of unknown documents, teach nothing; if several
+labels name a document the greatest holds; rows that repeat a document are
+scored each; without both kinds of labels every score is 0; other columns are
+ignored (``filter_rows`` keeps them, whatever their names); an empty table
 gives an empty result.
 """
 
@@ -36,8 +47,10 @@ from .words import Words, mix
 
 SAMPLE_ROWS = 200_000
 STEMS = range(4, 9)
-#: Least G-squared and lift of an entry, and the most entries and candidates.
-TEST, LIFT, ENTRIES, CANDIDATES = 30.0, 8.0, 1000, 50_000
+#: Share of the lexicon that may be chance, and the least lift of an entry.
+CHANCE, LIFT = 0.1, 8.0
+#: Evidence is counted in steps of so many nats, up to so many steps.
+STEP, STEPS = 0.25, 400
 #: Words to each side of a find.
 NEAR, QUOTE_SPAN = 10, 12
 QUOTES = '["«»“”„‹›]'
@@ -65,11 +78,21 @@ class LevenshteinAutomaton:
     def distance(self, state: tuple[int, ...]) -> int | None:
         return next((k for k, s in enumerate(state) if s & self.accept), None)
 
+    def distance_before(self, state: tuple[int, ...]) -> int | None:
+        """To the nearest of what the pattern starts with and goes on after."""
+        return next((k for k, s in enumerate(state) if s & (self.accept - 1)), None)
+
 
 def allowed(entry: str) -> int:
+    """Edits that a word of the lexicon may be away."""
     return 0 if len(entry) < 5 else 1 if len(entry) < 9 else 2
 
 
+def allowed_before(stem: str) -> int:
+    """Edits between a stem and what a word starts with: many words start alike, so fewer."""
+    return 0 if len(stem) < 7 else 1
+
+
 @dataclass
 class Lexicon:
     words: list[str]
@@ -80,28 +103,28 @@ class Lexicon:
     cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        for entry in self.words:
-            node = self.trie
-            for c in entry:
-                node = node.setdefault(c, {})
-            node["entry"] = entry
-            # of k + 1 parts of an entry, one occurs unchanged, and moved by k at most, in what is k edits away
-            n = allowed(entry) + 1
-            ends = [len(entry) * i // n for i in range(n + 1)]
-            for a, b in zip(ends, ends[1:], strict=False):
-                self.parts.setdefault(entry[a:b], set()).add((a, len(entry), n - 1))
-        self.stem_set, self.stem_sizes = set(self.stems), sorted({len(s) for s in self.stems})
+        for is_stem, entries in ((False, self.words), (True, self.stems)):
+            for entry in entries:
+                node = self.trie
+                for c in entry:
+                    node = node.setdefault(c, {})
+                node["stem" if is_stem else "word"] = entry
+                # of k + 1 parts of an entry, one occurs unchanged, and moved by k at most, in what is k edits away
+                k = (allowed_before if is_stem else allowed)(entry)
+                ends = [len(entry) * i // (k + 1) for i in range(k + 2)]
+                for a, b in zip(ends, ends[1:], strict=False):
+                    self.parts.setdefault(entry[a:b], set()).add((a, -1 if is_stem else len(entry), k))
         self.sizes = sorted({len(p) for p in self.parts})
-        self.longest = max(map(len, self.words), default=0) + 2
-        self.most = max(map(allowed, self.words), default=0)
+        self.most = max([*map(allowed, self.words), *map(allowed_before, self.stems)], default=0)
 
     def find(self, word: str) -> tuple[str, int] | None:
-        """The entry that a word is closest to, and the edits between them."""
+        """The entry that a word is closest to, and the edits between them; for a stem, between it
+        and the nearest of what the word starts with and goes on after. Of equals, the first by name."""
         if word in self.cache:
             return self.cache[word]
         if len(self.cache) > 500_000:
             self.cache.clear()
-        self.cache[word] = found = self._find(word)
+        self.cache[word] = found = self._find(word) if self._may_match(word) else None
         return found
 
     def _may_match(self, word: str) -> bool:
@@ -109,29 +132,28 @@ class Lexicon:
         for size in self.sizes:
             for i in range(n - size + 1):
                 for a, length, k in parts.get(word[i : i + size], ()):
-                    if -k <= i - a <= k and -k <= n - length <= k:
+                    if -k <= i - a <= k and (length < 0 or -k <= n - length <= k):
                         return True
         return False
 
     def _find(self, word: str) -> tuple[str, int] | None:
-        for size in self.stem_sizes:
-            if len(word) > size and word[:size] in self.stem_set:
-                return word[:size], 0
-        if len(word) > self.longest or not self._may_match(word):
-            return None
         automaton = LevenshteinAutomaton(word, self.most)
-        best: tuple[int, str] | None = None
+        best = (9, "")
         stack = [(self.trie, automaton.start)]
         while stack:
             node, state = stack.pop()
             for c, below in node.items():
-                if c == "entry":
+                if c == "word":
                     d = automaton.distance(state)
                     if d is not None and d <= allowed(below):
-                        best = min(best or (9, ""), (d, below))
+                        best = min(best, (d, below))
+                elif c == "stem":
+                    d = automaton.distance_before(state)
+                    if d is not None and d <= allowed_before(below):
+                        best = min(best, (d, below))
                 elif any(after := automaton.step(state, c)):
                     stack.append((below, after))
-        return best and (best[1], best[0])
+        return (best[1], best[0]) if best[1] else None
 
 
 class Read:
@@ -209,51 +231,42 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
-def _terms(labelled: DataFrame, toxic: int, among: set[str] | None) -> DataFrame:
-    """term (a stem has a final ``*``) and docs, in rows of one label.
+def _words_seen(labelled: DataFrame) -> DataFrame:
+    """term, toxic and plain (documents with the word) of rows of doc_id, text and toxic.
 
-    Of toxic rows ``docs`` counts the different pairs of neighbours of a term's
-    first occurrences, so that copies and near copies of one document, which
-    share their contexts, do not speak for each of its words. Of other rows,
-    which are looked through for known terms only, it counts documents.
+    On the toxic side the different pairs of neighbours of a word's first
+    occurrences count, so that near copies of one document, which share their
+    contexts, do not speak for each of its words again.
     """
-    sent = among and labelled.sparkSession.sparkContext.broadcast(among)  # at most CANDIDATES
 
     def run(batches):
         for batch in slices(batches):
-            read = Read(batch.column(1))
-            n = len(read.words)
-            if not n:
+            read = Read(batch.column(0))
+            codes, starts = read.words.codes, read.words.starts
+            if not len(codes):
                 continue
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(read.words.starts))
-            if not sent:
-                low, edge = read.words.hashes()[0], np.zeros(1, np.uint64)
-                before, after = np.concatenate([edge, low[:-1]]), np.concatenate([low[1:], edge])
-                starts = read.words.starts[:-1][np.diff(read.words.starts) > 0]
-                before[starts] = 0
-                after[starts[1:] - 1] = 0
-                seen = mix(before * np.uint64(3) + after)
+            toxic = batch.column(1).to_numpy(zero_copy_only=False) == 1
             names: dict[str, int] = {}
-            of, at = [], []
-            for size in [0, *STEMS]:
-                term = np.full(len(read.plain), -1, np.int64)
-                for i, w in enumerate(read.plain):
-                    if (len(w) > size if size else len(w) > 2) and (not sent or (w[:size] + "*" if size else w) in sent.value):
-                        term[i] = names.setdefault(w[:size] + "*" if size else w, len(names))
-                places = np.flatnonzero(term[read.words.codes] >= 0)
-                own = term[read.words.codes[places]]
-                _, first = np.unique(doc[places] * (1 << 32) + own, return_index=True)  # of each document and term
-                of.append(own[first])
-                at.append(places[first])
-            of, at = np.concatenate(of), np.concatenate(at)
-            listed = pa.array(list(names), pa.string())
-            if sent:
-                yield pa.RecordBatch.from_arrays([listed, pa.array(np.bincount(of, minlength=len(names)), pa.int64())], names=["term", "n"])
-            else:
-                yield pa.RecordBatch.from_arrays([listed.take(pa.array(of)), pa.array(seen[at].view(np.int64))], names=["term", "n"])
-
-    found = labelled.where(F.col("toxic") == toxic).select("doc_id", "text").mapInArrow(run, "term string, n long")
-    return found.groupBy("term").agg((F.sum("n") if sent else F.count_distinct("n")).alias("docs"))
+            term = np.array([names.setdefault(w, len(names)) if len(w) > 2 else -1 for w in read.plain])
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            places = np.flatnonzero(term[codes] >= 0)
+            _, first = np.unique(doc[places] * (1 << 32) + term[codes[places]], return_index=True)  # of each document and word
+            at = places[first]
+            low = read.words.hashes()[0]
+            edge = np.zeros(1, np.uint64)
+            before, after = np.concatenate([edge, low[:-1]]), np.concatenate([low[1:], edge])
+            begins = starts[:-1][np.diff(starts) > 0]
+            before[begins] = 0
+            after[begins[1:] - 1] = 0
+            seen = mix(before * np.uint64(3) + after).view(np.int64)
+            listed, on = pa.array(list(names), pa.string()), toxic[doc[at]]
+            bad, good = at[on], np.bincount(term[codes[at[~on]]], minlength=len(names))
+            held = np.flatnonzero(good)
+            yield pa.RecordBatch.from_arrays([listed.take(pa.array(term[codes[bad]])), pa.array(seen[bad]), pa.array(np.zeros(len(bad), np.int64))], names=["term", "seen", "n"])
+            yield pa.RecordBatch.from_arrays([listed.take(pa.array(held)), pa.nulls(len(held), pa.int64()), pa.array(good[held])], names=["term", "seen", "n"])
+
+    found = labelled.select("text", "toxic").mapInArrow(run, "term string, seen long, n long")
+    return found.groupBy("term", "seen").agg(F.sum("n").alias("n")).groupBy("term").agg(F.count("seen").alias("toxic"), F.sum("n").alias("plain"))
 
 
 def _distinct(labelled: DataFrame) -> DataFrame:
@@ -265,36 +278,42 @@ def _distinct(labelled: DataFrame) -> DataFrame:
     return (single if repeated.isEmpty() else single.dropDuplicates(["toxic", "digest"])).select("doc_id", "text", "toxic")
 
 
-def _lexicon(toxic: dict[str, int], plain: dict[str, int], n_toxic: int, n_plain: int) -> Lexicon:
-    def test(t: int, n: int) -> float:
-        """G-squared of the term's presence against the label."""
-        t = min(t, n_toxic)
-        table = np.array([[t, n], [n_toxic - t, n_plain - n]], float)
-        expected = table.sum(axis=1, keepdims=True) * table.sum(axis=0) / table.sum()
-        return 2 * float((table * np.log(np.where(table > 0, table / np.maximum(expected, 1e-12), 1))).sum())
-
-    def lift(t: int, n: int) -> float:
-        return ((t + 0.5) / (n_toxic + 1)) / ((n + 0.5) / (n_plain + 1))
-
-    good = {k: (t, n) for k, t in toxic.items() for n in [plain.get(k, 0)] if lift(t, n) >= LIFT and test(t, n) >= TEST}
-    words = {k for k in good if k[-1] != "*"}
-    largest: dict[str, int] = {}
-    for w, t in toxic.items():
-        if w[-1] != "*":
-            for size in STEMS:
-                if len(w) > size:
-                    largest[w[:size] + "*"] = max(largest.get(w[:size] + "*", 0), t)
-    # a stem stands for many words, none of which gives most of its documents
-    stems = {k for k in good if k[-1] == "*" and good[k][0] >= 2 * largest.get(k, 1)}
+def _lexicon(words: DataFrame) -> Lexicon:
+    """The entries among terms with toxic and plain counts. What reaches the driver is two
+    histograms of at most STEPS rows, and the entries."""
+    sums = words.agg(F.sum("toxic"), F.sum("plain")).first()
+    n_toxic, n_plain = sums[0] or 0, sums[1] or 0
+    if not n_toxic or not n_plain:
+        return Lexicon([], [], {})
+    share = n_toxic / (n_toxic + n_plain)
+    longer = F.filter(F.array(*map(F.lit, STEMS)), lambda k: k < F.length("term"))
+    stems = words.select(F.explode(longer).alias("k"), "term", "toxic", "plain").groupBy(F.concat(F.expr("substring(term, 1, k)"), F.lit("*")).alias("term"))
+    stems = stems.agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"), F.max("toxic").alias("largest"))
+    terms = words.withColumn("largest", F.lit(0).cast("long")).unionByName(stems)
+    part = lambda n, of: F.when(n > 0, n * F.log(n / (F.col("toxic") + F.col("plain")) / of)).otherwise(0.0)
+    evidence = part(F.col("toxic"), share) + part(F.col("plain"), 1 - share)
+    more = F.col("toxic") > (F.col("toxic") + F.col("plain")) * share
+    terms = terms.withColumns({"evidence": F.when(more, evidence).otherwise(0.0), "most": -(F.col("toxic") + F.col("plain")) * float(np.log(share)), "lift": (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("plain") + 0.5) / (n_plain + 1))})
+    terms = materialize(terms, "terms")
+    step = lambda c: F.least(F.floor(F.col(c) / STEP), F.lit(STEPS)).cast("int")
+    tests, found = np.zeros(STEPS + 1), np.zeros(STEPS + 1)
+    for r in terms.select(F.explode(F.array(F.struct(F.lit(0).alias("what"), step("most").alias("at")), F.struct(F.lit(1).alias("what"), step("evidence").alias("at")))).alias("x")).groupBy("x").count().collect():
+        (found if r["x"]["what"] else tests)[r["x"]["at"]] = r["count"]
+    tests, found = (np.cumsum(x[::-1])[::-1] for x in (tests, found))
+    chance = tests * np.exp(-STEP * np.arange(STEPS + 1))
+    able = np.flatnonzero((chance <= CHANCE * found) & (found > 0))
+    if not len(able):
+        return Lexicon([], [], {})
+    # a stem stands for many words, of which the most frequent recurs but does not give most of its documents
+    fits = (F.col("largest") == 0) | (F.col("largest") >= 2) & (F.col("toxic") >= 2 * F.col("largest"))
+    good = {r["term"]: r for r in terms.where((F.col("evidence") >= float(STEP * able[0])) & (F.col("lift") >= LIFT) & fits).collect()}
     kept: list[str] = []
-    for k in sorted(stems, key=len):  # the shortest that is as telling as what it starts
-        longer = [lift(*good[x]) for x in stems if len(x) > len(k) and x.startswith(k[:-1])]
-        if not any(k.startswith(x[:-1]) for x in kept) and lift(*good[k]) >= 0.4 * max(longer, default=0):
-            kept.append(k)
-    words = {w for w in words if not any(w.startswith(x[:-1]) for x in kept)}
-    top = sorted([*words, *kept], key=lambda k: (-test(*good[k]), k))[:ENTRIES]
-    weights = {k.rstrip("*"): float(np.log(lift(*good[k]))) for k in top}
-    return Lexicon(sorted(k for k in top if k[-1] != "*"), sorted(k[:-1] for k in top if k[-1] == "*"), weights)
+    for k in sorted((k for k in good if k[-1] == "*"), key=lambda k: (-good[k]["evidence"], k)):
+        if not any(k.startswith(x) or x.startswith(k[:-1]) for x in kept):
+            kept.append(k[:-1])
+    entries = [k for k in good if k[-1] != "*" and not any(len(k) > len(x) and k.startswith(x) for x in kept)]
+    weights = {k: float(np.log(good[k if k in good else k + "*"]["lift"])) for k in [*entries, *kept]}
+    return Lexicon(sorted(entries), sorted(kept), weights)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -307,13 +326,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     labelled = doc_rows(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")  # bounded by sample_rows
     single = _distinct(labelled)
     totals = {r["toxic"]: r["n"] for r in single.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_plain = totals.get(1, 0), totals.get(0, 0)
-    if not n_toxic or not n_plain:
+    if not totals.get(1) or not totals.get(0):
         return Model(Lexicon([], [], {}), None)
-    least = max(3, int(0.002 * n_toxic))
-    toxic = {r["term"]: r["docs"] for r in _terms(single, 1, None).where(F.col("docs") >= least).orderBy(F.desc("docs"), "term").limit(CANDIDATES).collect()}
-    plain = {r["term"]: r["docs"] for r in _terms(single, 0, set(toxic)).collect()} if toxic else {}
-    lexicon = _lexicon(toxic, plain, n_toxic, n_plain)
+    lexicon = _lexicon(materialize(_words_seen(single), "words"))
     sent = spark.sparkContext.broadcast(lexicon)
 
     def run(batches):
@@ -330,7 +345,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and predicted (1 from a score of one half on)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most ENTRIES entries
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # what passed the test on a bounded sample
 
     def run(batches):
         for batch in slices(batches):
