@@ -11,11 +11,14 @@ the document's, and its share of the letters is the score.
 The model is small and of a fixed size for each language, so it goes to the
 driver and into the tasks; its counts cover every labelled row.
 
-Defined cases: a null text or one without letters is ``und`` with score 0;
-words without letters belong to the span before them; with nothing learned
+Defined cases: a null text or one without letters (combining marks are none)
+is ``und`` with score 0; very long texts are read in parts of
+``words.PART_BYTES``, on one path; rows that repeat a document are labelled
+each, and each teaches; words without letters belong to the span before them; with nothing learned
 every text is ``und``; a script that no language uses leaves the path as it
 is; ties go to the language first in order of its name; other columns are
-ignored; an empty table gives an empty result.
+ignored (``filter_rows`` keeps them, whatever their names); an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,7 +58,8 @@ class Vocabulary:
         spelled = pc.replace_substring_regex(pc.utf8_lower(words._dictionary.cast(pa.string())), r"[^\pL\pM]+", "")
         self.data, self.ends = flat(pc.binary_join_element_wise("", spelled, " ", "") if len(spelled) else spelled)
         lengths = np.diff(self.ends)  # with the word's end
-        self.letters = pc.utf8_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64) if len(spelled) else np.zeros(0, np.int64)
+        letters = pc.replace_substring_regex(spelled, r"\pM+", "")  # marks alone are no letters
+        self.letters = pc.utf8_length(letters).to_numpy(zero_copy_only=False).astype(np.int64) if len(spelled) else np.zeros(0, np.int64)
         self.lengths = lengths
 
     def scripts(self) -> np.ndarray:
