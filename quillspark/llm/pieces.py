@@ -16,8 +16,11 @@ text.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 LETTER, DIGIT, SIGN, TICK, SPACE, OTHER_SPACE, HIGH = range(7)
 
@@ -127,11 +130,15 @@ class PieceEncoder:
 
     ``tokenizer`` is a tokenizers.Tokenizer; ``words`` says that it folds case
     and drops white space. At most ``most`` pieces are kept; then it starts anew.
+    Strings of special tokens in a text become their ids, as the library has it,
+    unless the tokenizer says that they are ordinary text.
     """
 
     def __init__(self, tokenizer, words: bool = False, most: int = 700_000):
         self.tokenizer, self.words, self.most = tokenizer, words, most
         self.model = tokenizer.model
+        self.special = {} if tokenizer.encode_special_tokens else {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.special_pattern = "|".join(re.escape(t) for t in sorted(self.special, key=lambda t: (-len(t), t)))
         self.reset()
 
     def reset(self) -> None:
@@ -161,6 +168,28 @@ class PieceEncoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after the other, and where each text's ids start."""
+        if self.special and (marked := pc.match_substring_regex(column, self.special_pattern)).true_count:
+            return self._around(column, marked.to_numpy(zero_copy_only=False))
+        return self._plain(column)
+
+    def _around(self, column: pa.Array, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Encode what lies between special tokens; the library parts texts there before all else."""
+        parts, after, counts = [], [], np.ones(len(column), np.int64)
+        for i, text in enumerate(column.to_pylist()):
+            if marked[i]:
+                cut = re.split(f"({self.special_pattern})", text)
+                parts += cut[::2]
+                after += [*map(self.special.__getitem__, cut[1::2]), -1]
+                counts[i] = len(cut[::2])
+            else:
+                parts.append(text)
+                after.append(-1)
+        ids, starts = self._plain(pa.array(parts, pa.string()))
+        after = np.array(after)
+        before = np.concatenate([[0], np.cumsum(after >= 0)])
+        return np.insert(ids, starts[1:][after >= 0], after[after >= 0]), (starts + before)[np.concatenate([[0], np.cumsum(counts)])]
+
+    def _plain(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > self.most:
             self.reset()
         data, offsets = flat(column)

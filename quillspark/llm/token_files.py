@@ -14,8 +14,9 @@ A reader takes the two tables from the file's end and then fetches and
 decompresses the frames of the requested documents alone. Tasks write under a
 name of their own and rename, so a task that runs again leaves the same files.
 
-Defined cases: a null or empty text has the end id alone; any other column is
-ignored; rows that repeat are all written, next to each other; an empty table
+Defined cases: a null or empty text has the end id alone; strings of special
+tokens become their ids, as the library has it; a text is one frame, however
+long; any other column is ignored; rows that repeat are all written, next to each other; an empty table
 makes no file.
 """
 
@@ -49,9 +50,7 @@ FILE_DOCS = 50_000
 def encoder_of(path: str) -> PieceEncoder:
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return PieceEncoder(tokenizer)
+    return PieceEncoder(Tokenizer.from_file(path))
 
 
 def open_fs(uri: str):
