@@ -28,7 +28,7 @@ def prose(n, seed):
 
 
 BASE = prose(120, 1)
-TEXTS = {0: BASE, 1: BASE, 2: BASE + " one more", 3: None, 4: "", 5: "  \n\t ", 6: "word", 7: prose(9000, 2), 8: prose(40, 3) + " " + BASE, 9: prose(300, 4), 10: "a b c d", 11: "a b c d", 12: "  x  　y\r\n'quoted' it's 12ab", 13: "same " * 50}
+TEXTS = {0: BASE, 1: BASE, 2: BASE + " one more", 3: None, 4: "", 5: "  \n\t ", 6: "word", 7: prose(9000, 2), 8: prose(40, 3) + " " + BASE, 9: prose(300, 4), 10: "a b c d", 11: "a b c d", 12: "  x  　y\r\n'quoted' it's 12ab", 13: "same " * 50, 14: "a<|endoftext|> b <|startoftext|>c"}
 
 
 def frame(spark, texts, repeat=()):
@@ -65,9 +65,9 @@ def test_encoders_agree_with_the_libraries(texts):
         part = ids[starts[i] : starts[i + 1]]
         assert part.tolist() == own.encode_ordinary(t)
         assert table.decode(part).tobytes().decode() == t
-    for name, is_words in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+    for name, is_words, as_text in (("byte_bpe_50k.json", False, False), ("word_bpe_49k.json", True, False), ("byte_bpe_50k.json", False, True)):
         tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = as_text
         ids, starts = PieceEncoder(tokenizer, is_words).encode(pa.array(texts, pa.string()))
         for i, e in enumerate(tokenizer.encode_batch(texts, add_special_tokens=False)):
             assert ids[starts[i] : starts[i + 1]].tolist() == e.ids
@@ -88,6 +88,41 @@ def test_op1(spark, docs, none):
     assert kd_sharding.shard(none, shards=4).count() == 0
 
 
+def cut_plainly(rows, shards, first=0):
+    """(doc_id, shard) of rows of size and keys: the widest dimension at the exact weighted median."""
+    if shards == 1 or not rows:
+        return [(r["doc_id"], first) for r in rows]
+    dim = max(kd_sharding.KEYS, key=lambda k: (max(r[k] for r in rows) >> 32) - (min(r[k] for r in rows) >> 32))
+    half, total = shards // 2, sum(r["size"] for r in rows)
+    target, below, cut = total * half / shards, 0, None
+    keys = sorted({r[dim] for r in rows})
+    for k in keys:
+        w = sum(r["size"] for r in rows if r[dim] == k)
+        if below + w >= target or k == keys[-1]:
+            cut = k if abs(below + w - target) <= abs(below - target) else k - 1
+            break
+        below += w
+    left, right = [r for r in rows if r[dim] <= cut], [r for r in rows if r[dim] > cut]
+    return cut_plainly(left, half, first) + cut_plainly(right, shards - half, first + half)
+
+
+@pytest.mark.parametrize("shards", [1, 7, 24])
+def test_op1_cuts_are_exact(spark, shards):
+    rng = np.random.default_rng(shards)
+    rows = [(i, prose(int(rng.integers(0, 30)), i % 90), ["en", "de", None][i % 3], f"src{int(rng.integers(0, 25)) if i % 3 else 7}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    keys = kd_sharding._keys(kd_sharding.slim(docs, F.octet_length("text") + 8)).collect()
+    got = {r["doc_id"]: r["shard"] for r in kd_sharding.shard(docs, shards, near=0).collect()}
+    assert got == dict(cut_plainly(keys, shards))
+    assert len({r["k_d_source"] >> 52 for r in keys}) > 4  # src1 and src10 differ in the ordered part
+
+
+def test_op1_by_target_bytes(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), (F.col("id") % 9).cast("int")).alias("text"))
+    got = kd_sharding.shard(docs, target_bytes=400).groupBy("shard").agg(F.sum("size").alias("b")).agg(F.count("b"), F.max("b")).first()
+    assert got[0] == 150 and got[1] < 800
+
+
 def test_op1_keeps_rows_without_an_id(spark):
     rows = spark.range(400).select(F.when(F.col("id") % 5 > 0, F.col("id")).alias("doc_id"), F.lit("same text").alias("text"))
     got = kd_sharding.shard(rows, shards=4).collect()
@@ -121,6 +156,7 @@ def test_op4(spark, docs, none):
     tokenizer, at, wanted = Tokenizer.from_file(path), 0, {}
     for i in sorted(TEXTS):
         ids = np.array(tokenizer.encode(TEXTS[i] or "", add_special_tokens=False).ids + [2], "<u4")
+        assert i != 14 or 50256 in ids
         wanted[i] = (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     assert got == wanted
@@ -142,6 +178,12 @@ def test_op9(spark, docs, none):
             assert offset == at
             at += length
         assert at <= 256
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for r in rows:
+        ids = np.array(tokenizer.encode(TEXTS[r["doc_id"]] or "", add_special_tokens=False).ids + [0], "<u4")
+        assert r["start"] == 256 * r["piece"] and r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
     total = sum(r["length"] for r in rows)
     assert len(by) <= -(-total // 256) + 1
     for i in TEXTS:
@@ -161,6 +203,17 @@ def test_best_fit(sizes):
     assert len(set(bins.tolist())) <= -(-int(sizes.sum()) * 2 // 50) + 1
 
 
+def test_packing_tree_loses_no_merge(spark):
+    """Small partitions, of which each leaves one bin that is not half full: the tree joins them."""
+    sizes = [60] * 40 + [15] * 9
+    pieces = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack(pieces, 100, part_rows=3).collect()
+    by = Counter()
+    for r in rows:
+        by[r["sequence_id"]] += r["length"]
+    assert len(rows) == len(sizes) and max(by.values()) <= 100 and len(by) == 40
+
+
 def removed(texts, size):
     seen, out = set(), {}
     for i in sorted(texts):
@@ -274,10 +327,10 @@ def test_op3(spark, none):
     stems = {"aa": ["sha", "ing", "tho"], "bb": ["eau", "ié", "oux"], "gr": ["αβγ", "δε", "λμ"]}
     say = lambda lang, n: " ".join("".join(rng.choice(stems[lang], 2)) for _ in range(n))
     rows = [(i, say(lang, int(rng.integers(1, 60))), lang) for i, lang in enumerate(list(stems) * 60)]
-    d = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 !!", "bb"), (902, say("aa", 30) + " " + say("gr", 20), None)], "doc_id long, text string, lang string")
+    d = spark.createDataFrame([*rows, (900, None, "aa"), (901, "12 !!", "bb"), (903, "\u0301\u0308 \u0301", "aa"), (902, say("aa", 30) + " " + say("gr", 20), None)], "doc_id long, text string, lang string")
     got = {r["doc_id"]: r for r in language_id.identify(d, language_id.learn(d.where(~language_id.held_out(F.col("doc_id"))))).collect()}
     assert sum(got[i]["lang_pred"] == lang for i, _, lang in rows) / len(rows) > 0.97
-    assert got[900]["lang_pred"] == got[901]["lang_pred"] == "und" and got[900]["score"] == 0
+    assert got[900]["lang_pred"] == got[901]["lang_pred"] == got[903]["lang_pred"] == "und" and got[900]["score"] == 0
     assert [s["lang"] for s in got[902]["spans"]] == ["aa", "gr"] and [s["words"] for s in got[902]["spans"]] == [30, 20]
     blank = language_id.learn(none)
     assert language_id.identify(none, blank).count() == 0 and language_id.identify(d, blank).where("lang_pred = 'und'").count() == d.count()
@@ -332,6 +385,28 @@ def test_levenshtein_automaton(pattern, word):
     assert automaton.distance(state) == (d if d <= 2 else None)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abc", min_size=1, max_size=11), min_size=1, max_size=5), st.lists(st.text("abc", min_size=4, max_size=8), max_size=3), st.lists(st.text("abcd", max_size=13), max_size=20))
+def test_lexicon_finds_what_edit_distances_say(entries, stems, more):
+    lexicon = toxicity.Lexicon(sorted({*entries}), sorted({*stems}), {})
+    for word in [*more, *entries, *(s + "a" for s in stems), *(e[:-1] + "d" for e in entries)]:
+        options = [(d, e) for e in entries if (d := edits(word, e)) <= toxicity.allowed(e)]
+        options += [(d, e) for e in stems if word and (d := min(edits(word[:i], e) for i in range(len(word)))) <= toxicity.allowed_before(e)]
+        best = min(options, default=None)
+        assert lexicon.find(word) == (best and (best[1], best[0]))
+
+
+def test_op5_learns_from_few_labels(spark):
+    """A fortieth of the labels that the other tests have teach the same words."""
+    rng = np.random.default_rng(10)
+    word = lambda: "".join(rng.choice(["tha", "ing", "ouo", "sti"], 3))
+    rows = [(i, " ".join([word() for _ in range(30)] + (["blockhead", word(), "nitwitted"] if i < 8 else [])), int(i < 8)) for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.learn(d.select("doc_id", "text"), d.select("doc_id", "toxic"))
+    assert model.lexicon.words == ["blockhead", "nitwitted"]
+    assert {r["doc_id"] for r in toxicity.score(d, model).where("predicted = 1").collect()} == set(range(8))
+
+
 def test_op5(spark, none):
     rng = np.random.default_rng(7)
     rows, labels = [], []
@@ -411,6 +486,14 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab \n\x00é", max_size=30), max_size=5), st.sampled_from([3, 8, 1000]))
+def test_words_in_parts(texts, part):
+    w = words.Words(pa.array(texts, pa.string()), part)
+    named = w.named()
+    assert [[named[c].decode() for c in w.codes[a:b]] for a, b in zip(w.starts, w.starts[1:], strict=False)] == [plain_words(t) for t in texts]
+
+
 def test_words_and_windows():
     w = words.Words(pa.array(["a  b c\x0b", "", "d e f"]))
     assert [w.named()[c] for c in w.codes] == [b"a", b"b", b"c", "d e".encode(), b"f"] and w.starts.tolist() == [0, 3, 3, 5]
