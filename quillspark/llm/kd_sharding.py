@@ -30,6 +30,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os.path
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,7 +72,7 @@ def slim(docs: DataFrame, size: Column) -> DataFrame:
 
 
 def _keys(rows: DataFrame) -> DataFrame:
-    """Add the keys: 30 bits of the value over the table's range, then 32 of text and id (for strings: 12 of them of the value)."""
+    """Add the root node and the keys: 30 bits of the value over the table's range, then 32 of text and id (for strings: 12 of them of the value)."""
     strings = {"d_source", "d_lang"}
     ends = rows.agg(*[f(d).alias(f"{d}{n}") for d in DIMENSIONS for f, n in ((F.min, 0), (F.max, 1))]).first()
     skip = {d: len(os.path.commonprefix([(ends[f"{d}{n}"] or "").encode() for n in (0, 1)])) for d in strings}
@@ -87,12 +88,15 @@ def _keys(rows: DataFrame) -> DataFrame:
         else:
             tie = F.shiftleft(of_text, 12) + F.pmod(of_id, F.lit(1 << 12))
         out[f"k_{d}"] = F.shiftleft((part * ((1 << 30) - 1)).cast("long"), 32) + tie
-    return rows.select("doc_id", "size", "text_crc32", *[c.alias(k) for k, c in out.items()])
+    return rows.select("doc_id", "size", "text_crc32", *[c.alias(k) for k, c in out.items()], F.lit(0).alias("node"))
 
 
 def _looked_up(rows: DataFrame, table: list[tuple], schema: str, how: str = "inner") -> DataFrame:
     """Rows joined with a table by node, sent to the tasks if it is small."""
-    made = rows.sparkSession.createDataFrame(table, f"node int, {schema}")
+    schema = f"node int, {schema}"
+    names = [part.split()[0] for part in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in table])
+    made = rows.sparkSession.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema}>>")))
     return rows.join(F.broadcast(made) if len(table) <= SENT_NODES else made, "node", how)
 
 
@@ -126,7 +130,7 @@ def _cuts(at: DataFrame, shards: dict[int, int], shard_bytes: float, near: float
 
 def _dealt(rows: DataFrame, shards: int, shard_bytes: float, near: float) -> DataFrame:
     """Add the shard of each row, a level of the tree at a time."""
-    nodes, first, at, level = {0: shards}, {0: 0}, rows.withColumn("node", F.lit(0)), 0
+    nodes, first, at, level = {0: shards}, {0: 0}, rows, 0
     while any(s > 1 for s in nodes.values()):
         table, below = [], {}
         for n, (dim, cut) in _cuts(at, nodes, shard_bytes, near).items():
