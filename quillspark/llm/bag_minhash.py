@@ -20,16 +20,19 @@ multisets themselves:
   groups of that round may still have in common are bands with members of
   several groups; in the second round, documents meet by each two such bands
   that they hold,
-* within a group all similarities are computed exactly, in pairs of blocks of
-  bounded size. A pair of blocks returns one link for each document, never
-  its pairs.
+* within a group similarities are computed exactly, in pairs of blocks of
+  bounded size, until all pairs of documents that no links join yet have been
+  compared (``graph.links_within``).
 
 With 30 bands of 4 registers a pair at the threshold of 0.8 shares fewer than
 two bands with probability 3e-6.
 
 Defined cases: a null text or one without words is in a class of its own; a
-text of fewer than five words is one shingle; repeated rows are copies; other
-columns are ignored; an empty table gives an empty result.
+text of fewer than five words is one shingle, one of any length is compared
+whole; repeated rows are copies; rows that share an id but not the text are
+classed each by its text; a row without an id is compared with nothing, has no
+class and is kept; other columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -41,14 +44,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import by_unit, components, in_blocks, joined
+from .graph import BLOCK, components, links_within
 from .packed import pack, unpack
-from .shared import doc_rows, materialize, slices
+from .shared import doc_rows, join_hot, materialize, slices
 from .words import Words, inside, mix, windows
 
 SHINGLE, BANDS, BAND_ROWS, SIMILAR = 5, 30, 4, 0.8
-#: Documents to a block, and elements that are compared at a time.
-BLOCK, COLUMNS = 256, 4096
+#: Elements that are compared at a time.
+COLUMNS = 4096
 _TAG = 0xD6E8FEB86659FD93
 
 
@@ -125,27 +128,32 @@ def sketch(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int =
             n = batch.num_rows
             of, h, counts = bags(batch.column(1), size)
             keys = band_keys(signatures(of, h, counts, n, bands * rows), bands, rows)
-            ends = np.searchsorted(of, np.arange(n + 1)).tolist()
-            both = np.stack([h, counts.astype(np.uint64)], axis=1) if len(h) else np.zeros((0, 2), np.uint64)
-            raw = memoryview(np.ascontiguousarray(both).reshape(-1)).cast("B") if len(h) else b""
-            digest = [hashlib.blake2b(raw[16 * a : 16 * b], digest_size=16).digest() if b > a else None for a, b in zip(ends, ends[1:], strict=False)]
+            digest = _digests(of, h, counts, n)
             weight = np.bincount(of, weights=counts, minlength=n).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(weight), pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.reshape(-1)))], names=["doc_id", "bag", "weight", "keys"])
 
     return doc_rows(docs).mapInArrow(run, "doc_id long, bag binary, weight long, keys array<long>")
 
 
+def _digests(of: np.ndarray, h: np.ndarray, counts: np.ndarray, n: int) -> list[bytes | None]:
+    """A digest of each text's multiset; none without words."""
+    ends = np.searchsorted(of, np.arange(n + 1)).tolist()
+    both = np.stack([h, counts.astype(np.uint64)], axis=1) if len(h) else np.zeros((0, 2), np.uint64)
+    raw = memoryview(np.ascontiguousarray(both).reshape(-1)).cast("B") if len(h) else b""
+    return [hashlib.blake2b(raw[16 * a : 16 * b], digest_size=16).digest() if b > a else None for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def _multisets(docs: DataFrame, size: int) -> DataFrame:
-    """node and data (its packed multiset) of doc_id and text."""
+    """doc_id, bag (its digest) and data (the packed multiset) of doc_id and text."""
 
     def run(batches):
         for batch in slices(batches):
             of, h, counts = bags(batch.column(1), size)
             ends = np.searchsorted(of, np.arange(batch.num_rows + 1)).tolist()
             data = [pack([h[a:b], counts[a:b]]) for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["node", "data"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_digests(of, h, counts, batch.num_rows), pa.binary()), pa.array(data, pa.binary())], names=["doc_id", "bag", "data"])
 
-    return docs.mapInArrow(run, "node long, data binary")
+    return docs.mapInArrow(run, "doc_id long, bag binary, data binary")
 
 
 def overlaps(a: list[tuple[np.ndarray, np.ndarray]], b: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -187,24 +195,6 @@ def overlaps(a: list[tuple[np.ndarray, np.ndarray]], b: list[tuple[np.ndarray, n
     return common / (weight_a[:, None] + weight_b[None, :] - common)
 
 
-def _linked(units: DataFrame, similar: float) -> DataFrame:
-    """Links (a, b) that join the members of each unit whose multisets are similar enough:
-    one for each member, to the least one that it is joined with."""
-
-    def run(batches):
-        for t in by_unit(batches):
-            ids, side = t["node"].to_numpy(), t["side"].to_numpy()
-            sets = [tuple(unpack(x)) for x in t["data"].to_pylist()]
-            a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-            near = overlaps([sets[i] for i in a], [sets[i] for i in b]) >= similar
-            to_a, to_b = joined(near, ids[a], ids[b])
-            node, to = np.concatenate([ids[a], ids[b]]), np.concatenate([to_a, to_b])
-            on = node != to
-            yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(to[on])], names=["a", "b"])
-
-    return units.mapInArrow(run, "a long, b long")
-
-
 def _by_twos(held: DataFrame) -> DataFrame:
     """Links (a, b) between groups that hold the same two bands, of group and keys (of a
     document's bands): one for each group and two bands, to the least group that holds them."""
@@ -258,15 +248,25 @@ def _groups(heads: DataFrame) -> DataFrame:
     return first if more.isEmpty() else components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
 
 
-def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class) and kept (whether it is that one)."""
     docs = doc_rows(docs)
-    sketched = materialize(sketch(docs, size, bands, rows), "sketches")
-    heads = materialize(sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")), "heads")
-    groups = materialize(_groups(heads), "groups")
-    multisets = _multisets(docs.join(groups.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), size)
-    units = in_blocks(multisets.join(groups, "node"), BLOCK, ["data"])
-    classes = components(materialize(_linked(units, similar), "links"))
-    of_head = heads.select("bag", "node").join(classes, "node", "left").select("bag", F.coalesce("component", "node").alias("class"))
-    out = sketched.select("doc_id", "bag").join(of_head, "bag", "left").select("doc_id", F.coalesce("class", "doc_id").alias("class_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    sketched = materialize(sketch(docs.where("doc_id is not null"), size, bands, rows), "sketches")
+    # a number for each different multiset, as rows may share an id
+    heads = sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")).withColumn("node", F.monotonically_increasing_id())
+    heads = materialize(heads, "heads")
+    groups = materialize(_groups(heads.select("node", "keys")).join(heads.select("node", "doc_id", "bag"), "node"), "groups")
+    multisets = _multisets(docs.join(groups.select("doc_id"), "doc_id", "left_semi"), size)
+    members = multisets.join(groups, ["doc_id", "bag"]).select("component", "node", F.octet_length("data").cast("long").alias("bytes"), "data")
+    if not sketched.groupBy("doc_id").count().where("count > 1").isEmpty():
+        members = members.dropDuplicates(["node"])
+    links = links_within(members, _read, lambda a, b: overlaps(a, b) >= similar, block).select("a", "b")
+    of_node = materialize(heads.select("node", "bag", "doc_id").join(components(links), "node", "left").select("bag", F.coalesce("component", "node").alias("component"), "doc_id"), "classes")
+    named = join_hot(of_node, of_node.groupBy("component").agg(F.min("doc_id").alias("class_id")), ["component"], "bag").select("bag", "class_id")
+    same = join_hot(sketched.where("bag is not null").select("doc_id", "bag"), named, ["bag"], "doc_id").select("doc_id", "class_id")
+    alone = sketched.where("bag is null").select("doc_id", F.col("doc_id").alias("class_id")).unionAll(docs.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id")))
+    return same.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+
+
+def _read(t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [tuple(unpack(x)) for x in t["data"].to_pylist()]

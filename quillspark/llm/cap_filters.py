@@ -13,14 +13,17 @@ exceeds fewer than ``LEAST`` filters lowers its own threshold until it does.
 Vectors that share a filter are candidates. They are joined as stars with the
 first vector of each filter, and the components of these stars hold every
 candidate pair. Within a component all cosines are computed in double
-precision, in blocks of bounded size; a large component is dealt to pairs of
-blocks. Each block pair returns for each vector a count, and the least one that
-it is joined with there, never its pairs.
+precision, in blocks of bounded size (``graph.links_within``): each vector gets
+a count of its links, and links between what is not joined yet are returned,
+never pairs.
 
 Defined cases: null labels, null or zero vectors and vectors with null or
 non-finite components have no links; vectors of different lengths are not
-compared; equal vectors collapse to one with a multiplicity beforehand; other
-columns are ignored; an empty table gives an empty result. Ids are unique.
+compared; equal vectors collapse to one with a multiplicity beforehand; rows
+that repeat an id are vectors of their own, one row each in the result, and
+count as links of each other if they are near; a null id stays a row, and its
+component is the least other id or null; other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,11 +33,11 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import by_unit, components, in_blocks, joined
-from .shared import materialize, parts_for
+from .graph import components, links_within
+from .shared import join_hot, materialize, parts_for
 
 SIMILAR = 0.98
 #: Filters that a vector exceeds on average and at the least.
@@ -105,11 +108,19 @@ def _unit(column) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _rows(vectors: DataFrame) -> DataFrame:
+    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
+
+
+def _is_usable() -> Column:
+    """Whether a row of _rows may have links."""
+    ok = F.col("v").isNotNull() & F.col("label").isNotNull() & F.exists("v", lambda x: x != 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(ok, F.lit(False))
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
     """vec_id, label, dim and v of the vectors that may have links."""
-    ok = F.col("v").isNotNull() & F.col("label").isNotNull() & F.exists("v", lambda x: x != 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
-    return rows.where(F.coalesce(ok, F.lit(False))).withColumn("dim", F.size("v"))
+    return _rows(vectors).where(_is_usable()).withColumn("dim", F.size("v"))
 
 
 def _listed(heads: DataFrame, blocks: int, size: int) -> DataFrame:
@@ -130,31 +141,17 @@ def _listed(heads: DataFrame, blocks: int, size: int) -> DataFrame:
     return heads.select("node", "dim", "label", "v").mapInArrow(run, "node long, dim int, label string, filter long")
 
 
-def _linked(units: DataFrame, similar: float) -> DataFrame:
-    """node, n (copies of vectors linked to it within the unit) and b (the least of those that it is joined with there)."""
+def _read(t: pa.Table) -> np.ndarray:
+    return _unit(t["v"].combine_chunks())
 
-    def run(batches):
-        for t in by_unit(batches):
-            ids, side, copies = (t[c].to_numpy() for c in ("node", "side", "copies"))
-            x = _unit(t["v"].chunk(0))
-            a, b = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-            near = x[a] @ x[b].T >= similar
-            near &= ids[a][:, None] != ids[b][None, :]
-            to_a, to_b = joined(near, ids[a], ids[b])
-            sides = [(a, near, b, to_a)] if (side == 2).all() else [(a, near, b, to_a), (b, near.T, a, to_b)]
-            for own, hits, other, to in sides:
-                n = hits @ copies[other]
-                on = n > 0
-                yield pa.RecordBatch.from_arrays([pa.array(ids[own][on]), pa.array(n[on].astype(np.int64)), pa.array(to[on])], names=["node", "n", "b"])
-
-    return units.mapInArrow(run, "node long, n long, b long")
-
-
-def near_vectors(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
+
+def near_vectors(vectors: DataFrame, similar: float = SIMILAR, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of vec_id, embedding and label."""
     spark = vectors.sparkSession
     usable = _usable(vectors)
-    heads = materialize(usable.groupBy("label", "dim", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "vectors")
+    # a number for each different vector, as rows may share an id
+    heads = usable.groupBy("label", "dim", "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id())
+    heads = materialize(heads, "vectors")
     most = heads.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.max("dim")).first()
     blocks, size = shape(most[0] or 1, most[1] or 1)
     parts = parts_for(spark, heads.count(), TASK_ROWS)
@@ -163,13 +160,15 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
     first = listed.groupBy(*key).agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     stars = listed.join(first, key).where("node <> b").select(F.col("node").alias("a"), "b")
     groups = materialize(components(stars), "groups")
-    units = in_blocks(heads.join(groups, "node"), BLOCK, ["copies", "v"])
-    found = materialize(_linked(units, similar), "links")
-    joined = components(found.select(F.col("node").alias("a"), "b"))
-    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
-    per_head = heads.select("label", "dim", "v", "node", "copies").join(counts, "node", "left").join(joined, "node", "left")
-    per_head = per_head.select("label", "dim", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    ids = usable.join(per_head, ["label", "dim", "v"]).select("vec_id", "n_links", "component_id")
-    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(ids, "vec_id", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return every.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    members = heads.join(groups, "node").select("component", "node", (8 * F.col("dim")).cast("long").alias("bytes"), "copies", "v")
+    found = materialize(links_within(members, _read, lambda a, b: a @ b.T >= similar, block, count=True), "links")
+    joined = components(found.where("b is not null").select("a", "b"))
+    counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    of_node = materialize(heads.select("node", "least").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least"), "classes")
+    named = join_hot(of_node, of_node.groupBy("component").agg(F.min("least").alias("component_id")), ["component"], "node").select("node", "component_id")
+    per_head = heads.select("label", "dim", "v", "node", "copies").join(counts, "node", "left").join(named, "node")
+    per_head = per_head.select("label", "dim", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    linked = join_hot(usable, per_head, ["label", "dim", "v"], "vec_id").select("vec_id", "n_links", "component_id")
+    rest = _rows(vectors).where(~_is_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    out = linked.unionAll(rest)
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

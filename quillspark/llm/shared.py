@@ -63,6 +63,14 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(by)
 
 
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, salts: int = 16) -> DataFrame:
+    """Inner join with a table of distinct keys, when a key may hold a large share of the rows:
+    each key's rows are dealt to ``salts`` tasks by a hash of another column."""
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
+    every = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return dealt.join(every, [*on, "_salt"]).drop("_salt")
+
+
 def slices(batches, column: str = "text", most: int = SLICE_BYTES):
     """Cut Arrow record batches so that each holds about ``most`` bytes of text."""
     for batch in batches:
