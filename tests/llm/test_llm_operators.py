@@ -262,11 +262,19 @@ def test_op10(spark, none):
             if i < j and sets[i] and sets[j] and (c := (sets[i] & sets[j]).total()) / (sets[i].total() + sets[j].total() - c) >= 0.8:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
-    got = {r["doc_id"]: r["class_id"] for r in bag_minhash.near_duplicates(frame(spark, texts, repeat=[2])).collect()}
-    assert got == {i: find(i) for i in texts}
+    for block in (bag_minhash.BLOCK, 16, 5):  # with smaller ones the group is compared by blocks
+        got = [(r["doc_id"], r["class_id"]) for r in bag_minhash.near_duplicates(frame(spark, texts, repeat=[2]), block=block).collect()]
+        assert sorted(got) == sorted([(i, find(i)) for i in texts] + [(2, find(2))])
     assert bag_minhash.near_duplicates(none).count() == 0
 
 
+def test_op10_repeated_and_nameless_rows(spark):
+    other = prose(60, 77)
+    rows = [(1, BASE), (1, other), (1, BASE), (2, BASE + " more"), (3, other + " x"), (None, BASE), (4, None), (4, "")]
+    got = [tuple(r) for r in bag_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1, True)] * 3 + [(2, 1, False), (3, 1, False), (None, None, True), (4, 4, True), (4, 4, True)], key=str)
+
+
 def test_op10_pairs_with_another_first_one_in_each_band(spark):
     rng = np.random.default_rng(1)
     pool = [[f"p{i}w{j}" for j in range(40)] for i in range(24)]
@@ -311,7 +319,10 @@ def test_op8(spark):
     base = rng.standard_normal((6, 16))
     rows = [(i, (base[i % 6] + rng.standard_normal(16) * 0.05).tolist(), i % 2) for i in range(300)]
     rows += [(300, [0.0] * 16, 1), (301, None, 1), (302, [float("nan")] + [1.0] * 15, 1), (303, rows[0][1], None), (304, rows[0][1], 0), (305, [1.0] * 3, 0), (306, [1.0, None] + [1.0] * 14, 0)]
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in cap_filters.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    given_ = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({"v": F.lit(1), "node": F.lit("x"), "copies": F.lit(2)})
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in cap_filters.near_vectors(given_).collect()}
+    assert got == {r["vec_id"]: (r["n_links"], r["component_id"]) for r in cap_filters.near_vectors(given_, block=20).collect()}
+    assert cap_filters.near_vectors(given_.limit(0)).count() == 0
     good = {i: (np.float32(v).astype(float), label) for i, v, label in rows if label is not None and v and None not in v and np.isfinite(v).all() and any(v)}
     links = {i: [j for j, (w, m) in good.items() if j != i and m == label and len(w) == len(v) and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.98] for i, (v, label) in good.items()}
     for i, _, _ in rows:
@@ -322,6 +333,34 @@ def test_op8(spark):
         assert got[i] == (len(links.get(i, [])), min(seen))
 
 
+def test_op8_repeated_and_nameless_rows(spark):
+    v = [1.0, 2.0, 3.0]
+    rows = [(1, v, "a"), (1, v, "a"), (1, [0.0, 0.0, 1.0], "a"), (2, [1.0, 2.0, 3.001], "a"), (2, None, "a"), (None, v, "b"), (7, v, "b"), (None, None, None)]
+    got = [tuple(r) for r in cap_filters.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, 2, 1, True), (1, 2, 1, True), (1, 0, 1, True), (2, 2, 1, False), (2, 0, 2, True), (None, 1, 7, None), (7, 1, 7, True), (None, 0, None, None)], key=str)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_links_within_large_groups(spark, seed):
+    """Points on a line, near if within 1: components, and counts of copies, against a plain search."""
+    rng = np.random.default_rng(seed)
+    rows = [(g, g * 1000 + i, 8, float(x), int(rng.integers(1, 3))) for g in range(3) for i, x in enumerate([rng.uniform(0, 60, 70), np.concatenate([rng.uniform(0, 1, 90), rng.uniform(5, 9, 6)]), rng.uniform(0, 9, 4)][g])]
+    members = spark.createDataFrame(rows, "component long, node long, bytes long, x double, copies long")
+    near = {n: {m: c for h, m, _, y, c in rows if h == g and m != n and abs(x - y) <= 1} for g, n, _, x, _ in rows}
+    for count in (True, False):
+        found = graph.links_within(members, lambda t: t["x"].to_numpy(), lambda a, b: np.abs(a[:, None] - b[None, :]) <= 1, block=8, count=count).collect()
+        assert all(r["b"] is not None or count for r in found)
+        if count:
+            assert {r["a"]: r["n"] for r in found if r["b"] is None} == {n: sum(m.values()) for n, m in near.items() if m}
+        joined = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame([(r["a"], r["b"]) for r in found if r["b"] is not None], "a long, b long")).collect()}
+        for n in near:
+            seen, todo = {n}, [n]
+            while todo:
+                todo += (fresh := [m for m in near[todo.pop()] if m not in seen])
+                seen.update(fresh)
+            assert joined.get(n, n) == min(seen)
+
+
 def test_op3(spark, none):
     rng = np.random.default_rng(4)
     stems = {"aa": ["sha", "ing", "tho"], "bb": ["eau", "ié", "oux"], "gr": ["αβγ", "δε", "λμ"]}
