@@ -3,6 +3,8 @@ where Python's would be, which Java asks for by ``(?U)``."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,11 +24,13 @@ def clean_text(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"[ \t]+", " "))
 
 
-def clean_cell(c: Column, most: int = 500) -> Column:
-    """Text of a table cell on one line, cut with an ellipsis."""
+def clean_cell(c: Column, most: int | None = 500) -> Column:
+    """Text of a table cell on one line, cut with an ellipsis beyond ``most`` characters (None: whole)."""
     c = F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), "¶", " "), "­", "")
     c = F.regexp_replace(F.regexp_replace(c, r"[\r\n\t]+", " "), r" {2,}", " ")
     c = strip(F.regexp_replace(c, CONTROL, ""))
+    if most is None:
+        return c
     return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most - 3), F.lit("…"))).otherwise(c)
 
 
@@ -43,12 +47,21 @@ def paragraph_key(c: Column) -> Column:
     return F.lower(strip(F.regexp_replace(c, r"(?U)\s+", " ")))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value bound to a name, so that it is computed once, also within lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def dedup_paragraphs(c: Column, separator: str = r"\n{2,}", joiner: str = "\n\n") -> Column:
-    """First occurrence of each paragraph, compared without case and spacing, as written."""
-    parts = F.split(c, separator)
-    keys = F.transform(parts, paragraph_key)
-    first = F.filter(F.arrays_zip(parts.alias("p"), keys.alias("k")), lambda x, i: (x["k"] != "") & (F.array_position(keys, x["k"]) == i + 1))
-    return F.array_join(F.transform(first, lambda x: x["p"]), joiner)
+    """First occurrence of each paragraph, compared without case and spacing, as written.
+
+    Keys are sorted with their places, so a text costs n log n of its paragraphs.
+    """
+    keyed = F.transform(F.split(c, separator), lambda p, i: F.struct(paragraph_key(p).alias("k"), i.alias("i"), p.alias("p")))
+    ordered = F.sort_array(F.filter(keyed, lambda x: x["k"] != ""))
+    firsts = let(ordered, lambda s: F.filter(s, lambda x, i: (i == 0) | (x["k"] != F.get(s, i - 1)["k"])))
+    in_place = F.sort_array(F.transform(firsts, lambda x: F.struct(x["i"], x["p"])))
+    return F.array_join(F.transform(in_place, lambda x: x["p"]), joiner)
 
 
 def with_section(text: Column, title: Column) -> Column:
@@ -109,10 +122,12 @@ def numbered_heading(c: Column) -> Column:
     return F.when((number != "") & (F.length(strip(c)) <= 150), F.size(F.split(number, r"\.")))
 
 
-#: Words that start a heading by themselves.
-HEADING_WORDS = "Executive Summary|Introduction|Conclusion|References|Background|Objectives?|Methods?|Results?|Discussion|Summary|Overview|Efficacy|Safety|Pharmacokinetics|Pharmacodynamics|Clinical|Preclinical|Regulatory|Administrative"
-HEADING_PARTS = "SECTION|CHAPTER|ANNEX|APPENDIX|PART|SCHEDULE"
-HEADING = rf"(?im)\A\s*(\d+(\.\d+){{0,3}}\s+[A-Z][^\n]{{0,100}}|[A-Z][A-Z\s\-]{{3,50}}|({HEADING_PARTS})\s+\w[^\n]{{0,80}}|({HEADING_WORDS})[^\n]{{0,80}})\s*$"
+#: Fixed value: what a line is that may be a heading.
+HEADING = (
+    r"(?im)\A\s*(\d+(\.\d+){0,3}\s+[A-Z][^\n]{0,100}|[A-Z][A-Z\s\-]{3,50}|(SECTION|CHAPTER|ANNEX|APPENDIX|PART|SCHEDULE)\s+\w[^\n]{0,80}"
+    r"|(Executive Summary|Introduction|Conclusion|References|Background|Objectives?|Methods?|Results?|Discussion|Summary|Overview"
+    r"|Efficacy|Safety|Pharmacokinetics|Pharmacodynamics|Clinical|Preclinical|Regulatory|Administrative)[^\n]{0,80})\s*$"
+)
 
 
 def is_page_heading(c: Column) -> Column:

@@ -9,6 +9,9 @@ Arrow function does for a batch of texts at a time.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -30,32 +33,30 @@ class Limits:
     contents_least: int = 3
 
 
-SENTENCE_ENDS = (". ", ".\n", "? ", "! ")
 SEGMENTS = T.ArrayType(T.StringType())
+#: Where a text may be cut, by two signs: at a blank line, or behind a sentence.
+PARAGRAPH, SENTENCE = re.compile(r"(?=\n\n)"), re.compile(r"\.\n|[.?!] ")
+
+
+def cuts(text: str, limits: Limits) -> Iterator[tuple[int, int]]:
+    """Overlapping ranges of a text. A range ends with a blank line of its second half, else with
+    a sentence of its last two thirds, else at the target."""
+    listed = [([m.start() for m in p.finditer(text)], part) for p, part in ((PARAGRAPH, 2), (SENTENCE, 3))]
+    start, end = 0, 0
+    while end < len(text):
+        start = max(start + 1, end - limits.overlap) if end else 0
+        end = min(start + limits.target, len(text))
+        if end < len(text):
+            options = (places[i - 1] + 2 for places, part in listed if (i := bisect_right(places, end - 2)) and places[i - 1] > start + limits.target // part)
+            end = next(options, end)
+        yield start, end
 
 
 def segments(text: str, limits: Limits) -> list[str]:
-    """Overlapping parts of a text, cut after a paragraph or a sentence where one ends late enough."""
+    """A text, or if it is too long its overlapping parts, without those that are too short."""
     text = text.strip()
-    n = len(text)
-    if n <= limits.most:
-        return [text] if n >= limits.least else []
-    out, start = [], 0
-    while True:
-        end = min(start + limits.target, n)
-        if end < n:
-            blank = text.rfind("\n\n", start, end)
-            sentence = max(text.rfind(s, start, end) for s in SENTENCE_ENDS)
-            if blank > start + limits.target // 2:
-                end = blank + 2
-            elif sentence > start + limits.target // 3:
-                end = sentence + 2
-        part = text[start:end].strip()
-        if len(part) >= limits.least:
-            out.append(part)
-        if end >= n:
-            return out
-        start = max(start + 1, end - limits.overlap)
+    ranges = cuts(text, limits) if len(text) > limits.most else [(0, len(text))]
+    return [part for a, b in ranges if len(part := text[a:b].strip()) >= limits.least]
 
 
 def split_long(text: Column, limits: Limits) -> Column:

@@ -53,20 +53,21 @@ def median_size(sizes: Column) -> Column:
 
 
 def _order(boxes: list[dict], width: float) -> list[int]:
-    """Places of boxes in reading order, by columns if there are two."""
-    middle, n = width / 2, len(boxes)
-    on_left = [(b["x0"] + b["x1"]) / 2 < middle for b in boxes]
-    if not (n >= 4 and 0.25 * n < sum(on_left) < 0.75 * n):
+    """Places of boxes in reading order; ties go by place. With two columns, boxes of both that
+    start within 10 of each other are one row, read from the left."""
+    n, left = len(boxes), {i for i, b in enumerate(boxes) if b["x0"] + b["x1"] < width}
+    if n < 4 or not n < 4 * len(left) < 3 * n:
         return sorted(range(n), key=lambda i: (round(boxes[i]["y0"] / 5) * 5, boxes[i]["x0"]))
-    down = lambda side: sorted((i for i in range(n) if on_left[i] == side), key=lambda i: (boxes[i]["y0"], boxes[i]["x0"]), reverse=True)
-    left, right, out = down(True), down(False), []
-    while left and right:
-        gap = boxes[left[-1]]["y0"] - boxes[right[-1]]["y0"]
-        if abs(gap) < 10:  # one row
-            out += [left.pop(), right.pop()]
-        else:
-            out.append(left.pop() if gap < 0 else right.pop())
-    return out + left[::-1] + right[::-1]
+    columns = [[], []]
+    for i in sorted(range(n), key=lambda i: (boxes[i]["y0"], boxes[i]["x0"])):
+        columns[i not in left].append(i)
+    out, at = [], [0, 0]
+    while all(k < len(c) for k, c in zip(at, columns, strict=True)):
+        gap = boxes[columns[0][at[0]]]["y0"] - boxes[columns[1][at[1]]]["y0"]
+        for side in (0, 1) if abs(gap) < 10 else (int(gap > 0),):
+            out.append(columns[side][at[side]])
+            at[side] += 1
+    return out + columns[0][at[0] :] + columns[1][at[1] :]
 
 
 def reading_order(boxes: Column, width: Column) -> Column:

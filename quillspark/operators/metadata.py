@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
+#: Characters from the start that rules look at, unless told otherwise (None: the whole text).
 MOST_CHARS = 250_000
 
 
-def extract(text: Column, rule: dict) -> Column:
+def extract(text: Column, rule: dict, most: int | None = MOST_CHARS) -> Column:
     """The trimmed value, or null where nothing is found."""
     method = rule["method"]
     if method == "constant":
         return F.lit(rule["value"]).cast("string")
-    head = F.substring(text, 1, MOST_CHARS)
+    head = text if most is None else F.substring(text, 1, most)
     if method == "label":
         pattern = rf"(?im)^\s*\Q{rule['label']}\E\s*[:#\-]\s*(.+?)\s*$"
         group = 1
@@ -27,11 +28,11 @@ def extract(text: Column, rule: dict) -> Column:
     return F.nullif(strip(F.regexp_extract(head, pattern, group)), F.lit(""))
 
 
-def fields(text: Column, rules: dict[str, dict]) -> Column:
+def fields(text: Column, rules: dict[str, dict], most: int | None = MOST_CHARS) -> Column:
     """A map of the fields that have a value."""
     if not rules:
         return F.create_map().cast("map<string,string>")
-    entries = F.array(*(F.struct(F.lit(n).alias("key"), extract(text, r).alias("value")) for n, r in sorted(rules.items())))
+    entries = F.array(*(F.struct(F.lit(n).alias("key"), extract(text, r, most).alias("value")) for n, r in sorted(rules.items())))
     return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
 
 

@@ -3,12 +3,10 @@ Cells are array<array<string>>; all steps are higher-order functions."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_cell
+from ..functions.text import clean_cell, let
 
 #: Words that headers of tables use.
 HEADER_WORDS = r"(?i)\b(id|no|name|date|type|code|status|value|total|count|description|category|item|ref|result|unit|parameter|subject|dose|group|visit|day|week|month|year)\b"
@@ -21,11 +19,6 @@ def clean_rows(cells: Column) -> Column:
     return F.filter(cleaned, lambda row: F.exists(row, lambda c: c != ""))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """The body with the value bound to a name, so that it is computed once, also within lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _cell(row: Column, i: Column) -> Column:
     return F.coalesce(F.get(row, i), F.lit(""))
 

@@ -80,11 +80,17 @@ def page_kinds(spark, sf_dir):
     return o.select(F.col("o_orderkey").alias("page"), layout.page_kind(F.pmod("o_orderkey", F.lit(150)), F.pmod("o_orderkey", F.lit(3))).alias("kind"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {BOXES}, o AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY id) - 1 i, count(*) OVER (PARTITION BY page) n, x0 + x1 < 600 on_left FROM boxes),
+p AS (SELECT page, any_value(n) n, count(*) FILTER (on_left) k, list(i ORDER BY round_even(y0 / 5, 0), x0, i) single, coalesce(list({{'i': i, 'y': y0}} ORDER BY y0, x0, i) FILTER (on_left), []) l, coalesce(list({{'i': i, 'y': y0}} ORDER BY y0, x0, i) FILTER (NOT on_left), []) r FROM o GROUP BY 1),
+s AS (SELECT page, l, r, CAST(1 AS BIGINT) a, CAST(1 AS BIGINT) b, CAST([] AS BIGINT[]) done FROM p WHERE n >= 4 AND 4 * k > n AND 4 * k < 3 * n
+  UNION ALL SELECT page, l, r, a + CAST(gap < 10 AS BIGINT), b + CAST(gap > -10 AS BIGINT), list_concat(list_concat(done, CASE WHEN gap < 10 THEN [l[a].i] ELSE [] END), CASE WHEN gap > -10 THEN [r[b].i] ELSE [] END)
+  FROM (SELECT *, CASE WHEN abs(l[a].y - r[b].y) < 10 THEN 0 WHEN l[a].y < r[b].y THEN -99 ELSE 99 END gap FROM s WHERE a <= len(l) AND b <= len(r)) q),
+e AS (SELECT page, list_concat(list_concat(done, list_transform(l[a:], lambda x: x.i)), list_transform(r[b:], lambda x: x.i)) places FROM s WHERE a > len(l) OR b > len(r))
+SELECT page, array_to_string(places, ',') places FROM e UNION ALL SELECT page, array_to_string(single, ',') FROM p WHERE NOT (n >= 4 AND 4 * k > n AND 4 * k < 3 * n)""")
 def reading_order(spark, sf_dir):
     pages = _boxes(spark, sf_dir).groupBy("page").agg(F.sort_array(F.collect_list(F.struct("id", "x0", "y0", "x1", "y1"))).alias("b"))
     boxes = F.transform("b", lambda e: F.struct(*(e[k].alias(k) for k in layout.BOX)))
-    return pages.select("page", layout.reading_order(boxes, F.lit(600.0)).alias("places"))
+    return pages.select("page", F.array_join(layout.reading_order(boxes, F.lit(600.0)).cast("array<string>"), ",").alias("places"))
 
 
 @query("SELECT conv_id doc_id, turn page, string_agg(w, ' ' ORDER BY i) AS text, avg(c) confidence, count(*) word_count, NOT (avg(c) < 0.6 AND count(*) > 5) accepted FROM (SELECT conv_id, turn, unnest(string_split(text, ' ')) w, unnest(range(len(string_split(text, ' ')))) i, CASE WHEN conv_id % 2 = 0 THEN 0.5 ELSE 0.75 END::DOUBLE c FROM conversations) GROUP BY 1, 2")

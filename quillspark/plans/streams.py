@@ -31,6 +31,13 @@ def _memory(spark, df, name: str, mode: str):
     return spark.table(view)
 
 
+def _stored(spark, df, name: str):
+    """The rows of a stream that only appends, by way of a Parquet table: nothing passes the driver."""
+    path = _folder(spark, name)
+    events.run_to_parquet(df, path, _folder(spark, f"{name}-offsets"))
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _events(spark, sf_dir):
     return events.read_events(spark, f"{sf_dir}/events.parquet", table(spark, sf_dir, "events"))
 
@@ -56,7 +63,15 @@ def events_session(spark, sf_dir):
     return got.select("user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n")
 
 
-@query()
+@query("""WITH RECURSIVE q AS (SELECT 'd' || CAST(user_id % 10 AS VARCHAR) deployment, epoch_us(ts) / 1e6 ts, value tokens, event_type = 'error' refused FROM events),
+d AS (SELECT deployment, list({'ts': ts, 'tokens': tokens, 'refused': refused} ORDER BY ts, tokens, refused) r FROM q GROUP BY 1),
+s AS (SELECT deployment, CAST(0 AS BIGINT) i, CAST(1 AS DOUBLE) req, CAST(10 AS DOUBLE) tok, CAST(0 AS DOUBLE) last, CAST(0 AS DOUBLE) cool, CAST(1 AS DOUBLE) mul, FALSE granted, CAST(0 AS DOUBLE) wait FROM d
+  UNION ALL SELECT deployment, i + 1, CASE WHEN ok THEN r2 - 1 ELSE req END, CASE WHEN ok THEN t2 - x.tokens ELSE tok END, CASE WHEN ok THEN x.ts ELSE last END,
+    CASE WHEN x.refused THEN greatest(cool, x.ts + 2) ELSE cool END, CASE WHEN x.refused THEN greatest(0.2, mul * 0.8) WHEN ok THEN least(1, mul + 0.002) ELSE mul END, ok, CASE WHEN x.refused THEN 0 ELSE w END
+  FROM (SELECT *, NOT x.refused AND w <= 0 ok FROM (SELECT *, greatest(0, cool - x.ts, CASE WHEN r2 < 1 THEN (1 - r2) * 60 / (0.02 * mul) ELSE 0 END, CASE WHEN t2 < x.tokens THEN (x.tokens - t2) * 60 / (1.0 * mul) ELSE 0 END) w
+    FROM (SELECT *, least(1, req + greatest(0, x.ts - last) * 0.02 * mul / 60) r2, least(10, tok + greatest(0, x.ts - last) * 1.0 * mul / 60) t2 FROM (SELECT s.*, d.r[i + 1] x FROM s JOIN d USING (deployment) WHERE i < len(d.r)) a) b) c) e)
+SELECT deployment, round(r[i].ts, 6) ts, r[i].tokens tokens, CASE WHEN r[i].refused THEN 429 ELSE 200 END status, granted, round(wait, 4) wait, round(mul, 6) multiplier FROM s JOIN d USING (deployment) WHERE i > 0""")
 def quota_bucket(spark, sf_dir):
     rows = _events(spark, sf_dir).select(F.concat(F.lit("d"), F.pmod("user_id", F.lit(10)).cast("string")).alias("deployment"), (F.unix_micros("ts") / 1e6).alias("ts"), F.col("value").alias("tokens"), F.when(F.col("event_type") == "error", 429).otherwise(200).alias("status"))
-    return _memory(spark, quota.throttle(rows, 0.02, 1.0, 10.0), "quota", "append")
+    got = _stored(spark, quota.throttle(rows, 0.02, 1.0, 10.0), "quota")
+    return got.select("deployment", F.round("ts", 6).alias("ts"), "tokens", "status", "granted", F.round("wait", 4).alias("wait"), F.round("multiplier", 6).alias("multiplier"))
