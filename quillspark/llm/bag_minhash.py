@@ -253,7 +253,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHING
     docs = doc_rows(docs)
     sketched = materialize(sketch(docs.where("doc_id is not null"), size, bands, rows), "sketches")
     # a number for each different multiset, as rows may share an id
-    heads = sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")).withColumn("node", F.monotonically_increasing_id())
+    heads = sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id())
     heads = materialize(heads, "heads")
     groups = materialize(_groups(heads.select("node", "keys")).join(heads.select("node", "doc_id", "bag"), "node"), "groups")
     multisets = _multisets(docs.join(groups.select("doc_id"), "doc_id", "left_semi"), size)
@@ -261,9 +261,9 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHING
     if not sketched.groupBy("doc_id").count().where("count > 1").isEmpty():
         members = members.dropDuplicates(["node"])
     links = links_within(members, _read, lambda a, b: overlaps(a, b) >= similar, block).select("a", "b")
-    of_node = materialize(heads.select("node", "bag", "doc_id").join(components(links), "node", "left").select("bag", F.coalesce("component", "node").alias("component"), "doc_id"), "classes")
-    named = join_hot(of_node, of_node.groupBy("component").agg(F.min("doc_id").alias("class_id")), ["component"], "bag").select("bag", "class_id")
-    same = join_hot(sketched.where("bag is not null").select("doc_id", "bag"), named, ["bag"], "doc_id").select("doc_id", "class_id")
+    of_node = materialize(heads.select("node", "bag", "doc_id", "copies").join(components(links), "node", "left").select("bag", F.coalesce("component", "node").alias("component"), "doc_id", "copies"), "classes")
+    named = join_hot(of_node, of_node.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n")), ["component"], "bag", "n").select("bag", "class_id", "copies")
+    same = join_hot(sketched.where("bag is not null").select("doc_id", "bag"), named, ["bag"], "doc_id", "copies").select("doc_id", "class_id")
     alone = sketched.where("bag is null").select("doc_id", F.col("doc_id").alias("class_id")).unionAll(docs.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id")))
     return same.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 

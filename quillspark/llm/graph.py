@@ -175,7 +175,7 @@ def links_within(members: DataFrame, read: Callable, near: Callable, block: int
     members = materialize(members, "members")
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), F.sum("bytes").alias("_bytes"))
     cuts = F.greatest(F.ceil(F.col("_n") / block), F.ceil(F.col("_bytes") / block_bytes)).cast("long")
-    sizes = materialize(sizes.where("_n > 1").select("component", F.least(cuts, "_n").alias("_cuts")), "sizes")
+    sizes = materialize(sizes.where("_n > 1").select("component", F.least(cuts, "_n").alias("_cuts"), "_n"), "sizes")
     parts = parts_for(members.sparkSession, members.count(), TASK_MEMBERS)
 
     def whole(batches):
@@ -192,7 +192,7 @@ def links_within(members: DataFrame, read: Callable, near: Callable, block: int
     large = sizes.where("_cuts > 1")
     if large.isEmpty():
         return found
-    return found.unionByName(_large(join_hot(members, large, ["component"], "node"), read, near, block, count, block_bytes))
+    return found.unionByName(_large(join_hot(members, large, ["component"], "node", "_n").drop("_n"), read, near, block, count, block_bytes))
 
 
 def _large(members: DataFrame, read: Callable, near: Callable, block: int, count: bool, block_bytes: int) -> DataFrame:
@@ -224,11 +224,11 @@ def _large(members: DataFrame, read: Callable, near: Callable, block: int, count
     per_label = named.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
     plan = per_label.groupBy("component").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.max(F.struct("n", "label", "bytes")).alias("m"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("labels"))
     cuts = lambda n, size: F.greatest(F.ceil(n / block), F.least(n, F.ceil(size / block_bytes))).cast("long")
-    plan = plan.select("component", "major", cuts(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("rest"), cuts(F.col("m.n"), F.col("m.bytes")).alias("own"), "labels")
+    plan = plan.select("component", "major", cuts(F.col("n") - F.col("m.n"), F.col("bytes") - F.col("m.bytes")).alias("rest"), cuts(F.col("m.n"), F.col("m.bytes")).alias("own"), "labels", F.col("n").alias("_n"))
     plan = materialize(plan if count else plan.where("labels > 1"), "block-plan")
     if plan.isEmpty():
         return links
-    again = join_hot(named, plan, ["component"], "node").withColumn("block", F.when(F.col("label") == F.col("major"), F.col("rest") + F.pmod(F.xxhash64("node"), F.col("own"))).otherwise(F.pmod(F.xxhash64("node"), F.greatest("rest", F.lit(1)))))
+    again = join_hot(named, plan, ["component"], "node", "_n").withColumn("block", F.when(F.col("label") == F.col("major"), F.col("rest") + F.pmod(F.xxhash64("node"), F.col("own"))).otherwise(F.pmod(F.xxhash64("node"), F.greatest("rest", F.lit(1)))))
     _store(again.select("component", "block", "node", "label", *[c for c in members.columns if c not in ("component", "node", "bytes", "_cuts")]), folder)
     # blocks from 0 to rest - 1 have members of several labels, those from rest on of one
     every = plan.select("component", "rest", (F.col("rest") + F.col("own")).alias("all"))

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 TASK_BYTES = 64 << 20
 SLICE_BYTES = 3 << 20
 ENCODE_BYTES = 6 << 20
+#: A key is hot if it has over this part of all rows.
+HOT = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,11 +65,18 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(by)
 
 
-def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, salts: int = 16) -> DataFrame:
-    """Inner join with a table of distinct keys, when a key may hold a large share of the rows:
-    each key's rows are dealt to ``salts`` tasks by a hash of another column."""
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-    every = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, copies: str, salts: int = 16) -> DataFrame:
+    """Inner join with a table of distinct keys, of which ``copies`` says how many rows each has.
+
+    Keys with over a ``HOT``-th of the rows, of which there are fewer than HOT
+    (so their list may go to every task), are dealt to ``salts`` tasks each by a
+    hash of another column.
+    """
+    total = table.agg(F.sum(copies)).first()[0] or 0
+    hot = F.broadcast(table.where(F.col(copies) * HOT > total).select(*on, F.lit(True).alias("_hot")))
+    dealt = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts))).otherwise(0)).drop("_hot")
+    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(0).cast("long")
+    every = table.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_hot")
     return dealt.join(every, [*on, "_salt"]).drop("_salt")
 
 
