@@ -116,12 +116,6 @@ def csv_guard(c: Column) -> Column:
     return F.when(F.regexp_replace(c, r"(?U)^\s+", "").rlike(r"^[=+\-@]"), F.concat(F.lit("'"), c)).otherwise(c)
 
 
-def numbered_heading(c: Column) -> Column:
-    """Depth of a heading such as ``1.2.3 Title`` (levels up to six), else null."""
-    number = F.regexp_extract(strip(c), r"^(\d+(?:\.\d+){0,5})\s+[A-Za-z][^\n]{1,120}$", 1)
-    return F.when((number != "") & (F.length(strip(c)) <= 150), F.size(F.split(number, r"\.")))
-
-
 #: Fixed value: what a line is that may be a heading.
 HEADING = (
     r"(?im)\A\s*(\d+(\.\d+){0,3}\s+[A-Z][^\n]{0,100}|[A-Z][A-Z\s\-]{3,50}|(SECTION|CHAPTER|ANNEX|APPENDIX|PART|SCHEDULE)\s+\w[^\n]{0,80}"

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from .batching import ProviderError
+
 
 @dataclass(frozen=True)
 class HashEmbedder:
@@ -48,3 +50,38 @@ class StoredOcr:
 
     def __call__(self, images: list[bytes]) -> list[tuple[str, float]]:
         return [self.known.get(hashlib.sha256(i).hexdigest(), ("", 0.0)) for i in images]
+
+
+@dataclass(frozen=True)
+class Refusing:
+    """Embeds as HashEmbedder does, but refuses requests with a text that holds a word."""
+
+    word: str
+    reason: str
+    dimensions: int = 8
+
+    def __call__(self, texts: list[str]) -> list[list[float]]:
+        if any(self.word in t for t in texts):
+            raise ProviderError(self.reason, 400)
+        return HashEmbedder(self.dimensions)(texts)
+
+
+@dataclass(frozen=True)
+class FirstWords:
+    """Summarises by the first words."""
+
+    words: int = 12
+
+    def __call__(self, texts: list[str]) -> list[str]:
+        return [" ".join(t.split()[: self.words]) for t in texts]
+
+
+@dataclass(frozen=True)
+class PlainTextParser:
+    """Reads UTF-8 text as a file: form feeds part pages, of one text element each."""
+
+    def __call__(self, content: bytes) -> tuple[list, list[dict]]:
+        if not content:
+            raise ValueError("broken file")
+        pages = enumerate(content.decode("utf-8").split("\f"), 1)
+        return [], [{"page": n, "kind": "text", "x0": 0.0, "y0": 0.0, "x1": 1.0, "y1": 1.0, "text": text} for n, text in pages]

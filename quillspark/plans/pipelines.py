@@ -1,28 +1,120 @@
-"""Whole workloads made of the operators: ingest, rechunk and backfill."""
+"""Whole workloads made of the operators: ingest, rechunk, backfill and answers.
+
+What calls a parser or a model is stored before it is used, so that each input
+is parsed and sent once, also when a later step runs again.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import batching, chunking, ledger, metadata, retrieval, token_chunking
+from ..operators import batching, chunking, layout, ledger, metadata, retrieval, tables, token_chunking
+from ..operators.batching import Calls
 from ..sources import extracted, pdf
-
-
-def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callable, provider: Callable, dimensions: int, limits: chunking.Limits = chunking.Limits()) -> DataFrame:
-    """Chunks with vectors of the files that the log does not hold as done.
+from ..sources.store import stored
+
+#: Characters of a table that are told to a model, and its share of sure words below which a text on an image or a chart is dropped.
+TABLE_CHARS, SURE, SURE_CHART, FEW_WORDS = 2000, 0.60, 0.40, 5
+
+
+@dataclass(frozen=True)
+class Providers:
+    """Calls that executors can load; what is missing is left out."""
+
+    embed: Callable[[list[str]], list]
+    ocr: Callable[[list[bytes]], list[tuple[str, float]]] | None = None
+    summarise: Callable[[list[str]], list[str]] | None = None
+
+
+def _called(rows: DataFrame, value: str, provider: Callable[[list], list], schema: str, name: str) -> DataFrame:
+    """Rows with a provider's answers to a column, stored. ``schema`` names the answers' columns."""
+    keep = [c for c in rows.columns if c != value]
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                answers = provider(b.column(b.schema.get_field_index(value)).to_pylist())
+                columns = zip(*(a if isinstance(a, tuple) else (a,) for a in answers), strict=True)
+                yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), *map(pa.array, columns)], names=[*keep, *(part.split()[0] for part in schema.split(", "))])
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return stored(rows.select(*keep, value).mapInArrow(run, f"{kinds}, {schema}"), name)
+
+
+def analyse(elements: DataFrame) -> DataFrame:
+    """Elements with their page's kind (native, scanned or blank), in reading order."""
+    page = Window.partitionBy("doc_id", "page")
+    chars = F.coalesce(F.sum(F.when(F.col("kind") == "text", F.length(F.trim("text")))).over(page), F.lit(0))
+    rows = elements.withColumn("page_kind", layout.page_kind(chars, F.count_if(F.col("kind") == "image").over(page)))
+    by_page = rows.groupBy("doc_id", "page").agg(F.sort_array(F.collect_list(F.struct("ordinal", *layout.BOX))).alias("b"), F.max("x1").alias("width"))
+    boxes = F.transform("b", lambda e: F.struct(*(F.coalesce(e[k], F.lit(0.0)).alias(k) for k in layout.BOX)))
+    ordered = by_page.select("doc_id", "page", "b", F.posexplode(layout.reading_order(boxes, F.coalesce("width", F.lit(0.0)))).alias("place", "i"))
+    places = ordered.select("doc_id", "page", F.get("b", F.col("i"))["ordinal"].alias("ordinal"), "place")
+    return rows.join(places, ["doc_id", "page", "ordinal"]).withColumn("ordinal", F.col("place")).drop("place")
+
+
+def recognise(elements: DataFrame, ocr: Callable[[list[bytes]], list[tuple[str, float]]]) -> DataFrame:
+    """Elements whose images have the text that is recognised on them, if it is sure enough.
+    On a scanned page that is the page's text; axes' numbers around an image make it a chart."""
+    key = ["doc_id", "page"]
+    named = elements.withColumn("id", F.col("ordinal"))
+    images = layout.charts(named.where("kind = 'image'").select(*key, "id", *layout.BOX, "image"), named.where("kind = 'text'").select(*key, "id", *layout.BOX, "text"), key)
+    read = _called(images.where("image is not null").select(*key, "id", "is_chart", "image"), "image", ocr, "said string, confidence double", "recognised")
+    words = F.size(F.filter(F.split("said", r"\s+"), lambda w: w != ""))
+    sure = (F.col("confidence") >= F.when(F.col("is_chart"), SURE_CHART).otherwise(SURE)) | (words <= FEW_WORDS)
+    said = read.select(*key, F.col("id").alias("ordinal"), F.when(sure, F.col("said")).alias("said"), "is_chart")
+    joined = elements.join(said, [*key, "ordinal"], "left")
+    kind = F.when((F.col("kind") == "image") & (F.col("page_kind") == "scanned"), "text").when(F.coalesce("is_chart", F.lit(False)), "chart").otherwise(F.col("kind"))
+    return joined.withColumns({"text": F.when(F.col("kind") == "image", F.coalesce("said", F.lit(""))).otherwise(F.col("text")), "kind": kind}).drop("said", "is_chart")
+
+
+def with_tables(elements: DataFrame, summarise: Callable[[list[str]], list[str]] | None) -> DataFrame:
+    """Elements whose tables have their text: Markdown with a summary, or plain."""
+    w = Window.partitionBy("doc_id", "page").orderBy("ordinal")
+    cells = elements.where("kind = 'table'").withColumn("table_index", F.row_number().over(w) - 1).where("cells is not null")
+    found = tables.process_tables(cells.select("doc_id", "page", "table_index", "cells")).select("doc_id", "page", "table_index", "markdown", "plain_text")
+    if summarise:
+        found = stored(found, "tables")
+        asked = found.where(F.length("markdown") >= tables.SUMMARY_CHARS).select("doc_id", "page", "table_index", F.left("markdown", F.lit(TABLE_CHARS)).alias("shown"))
+        found = found.join(_called(asked, "shown", summarise, "summary string", "summaries"), ["doc_id", "page", "table_index"], "left")
+    else:
+        found = found.withColumn("summary", F.lit(None).cast("string"))
+    texts = found.select("doc_id", "page", "table_index", tables.best_text(F.col("markdown"), F.col("summary"), F.col("plain_text")).alias("best_text"))
+    return tables.into_elements(elements, texts)
+
+
+@dataclass(frozen=True)
+class Ingested:
+    chunks: DataFrame
+    log: DataFrame
+
+
+def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callable, providers: Providers, dimensions: int, now: Column, limits: chunking.Limits = chunking.Limits(), calls: Calls = Calls()) -> Ingested:
+    """Chunks with vectors of the files that the log does not hold as done, and the log after them.
 
     ``files`` is metadata; ``contents`` (doc_id, content) is read only for what
-    survives the decision.
+    survives the decision. A file that cannot be parsed, has no chunk or gets
+    no vector is logged as an error, and the others go on.
     """
-    wanted = ledger.decide(files, log).where("should_process").select("doc_id", "file_name", "file_path")
-    elements = pdf.parse(contents.join(wanted.select("doc_id"), "doc_id", "left_semi"), parser)
-    good = elements.where("error is null")
-    toc = good.where("kind = 'toc'").select("doc_id", F.col("ordinal").alias("position"), F.col("text").alias("title"), "page")
-    chunks = chunking.chunk_documents(chunking.pages_of(good.where("kind <> 'toc'")), toc, limits)
-    return _embedded(chunks, provider, dimensions).join(wanted, "doc_id")
+    wanted = stored(ledger.decide(files, log).where("should_process").select("doc_id", "file_name", "file_path", "file_hash", "file_size", "last_modified"), "wanted")
+    parsed = stored(pdf.parse(contents.join(wanted.select("doc_id"), "doc_id", "left_semi"), parser), "elements")
+    toc = parsed.where("kind = 'toc'").select("doc_id", F.col("ordinal").alias("position"), F.col("text").alias("title"), "page")
+    elements = analyse(parsed.where("error is null and kind <> 'toc'"))
+    if providers.ocr:
+        elements = recognise(stored(elements, "analysed"), providers.ocr)
+    pages = chunking.pages_of(with_tables(stored(elements, "read"), providers.summarise))
+    chunks = stored(_embedded(chunking.chunk_documents(pages, toc, limits), providers.embed, dimensions, calls).join(wanted.select("doc_id", "file_name", "file_path"), "doc_id"), "embedded")
+    counts = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("chunk_count"), F.count_if(F.col("embedding_status") == "SUCCESS").alias("good"))
+    seen = parsed.groupBy("doc_id").agg(F.max("page").alias("pages_total"), F.max("error").alias("failure"))
+    rows = wanted.join(seen, "doc_id", "left").join(counts, "doc_id", "left")
+    error = F.when(F.col("failure").isNotNull(), F.left("failure", F.lit(2000))).when(F.col("chunk_count").isNull(), "no chunks").when(F.col("good") == 0, "no vectors")
+    changes = rows.select(*wanted.columns, F.when(error.isNull(), "SUCCESS").otherwise("ERROR").alias("status"), error.alias("error_message"), F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"), F.coalesce("pages_total", F.lit(0)).alias("pages_total"), error.isNotNull().alias("increment_retry"))
+    return Ingested(chunks, ledger.upsert_log(log, changes, now))
 
 
 def rechunk(rows: DataFrame, mapping: dict[str, str], policy: token_chunking.Policy, rules: dict | None = None, tokenizer=None) -> DataFrame:
@@ -36,17 +128,33 @@ def rechunk(rows: DataFrame, mapping: dict[str, str], policy: token_chunking.Pol
     return metadata.attach(chunks, pages, rules.get("document", {}), rules.get("chunk", {}), rules.get("inherit_document_fields", True)).join(docs.select("doc_id", "file_path", "file_name", "source_hash"), "doc_id")
 
 
-def _embedded(chunks: DataFrame, provider: Callable, dimensions: int) -> DataFrame:
-    vectors = batching.embed(chunks, "chunk_id", "chunk_text", provider, dimensions).select(F.col("key").alias("chunk_id"), F.col("status").alias("embedding_status"), F.col("vector").alias("chunk_vector"))
-    return chunks.join(vectors, "chunk_id")
+def _embedded(chunks: DataFrame, provider: Callable, dimensions: int, calls: Calls) -> DataFrame:
+    chunks = stored(chunks, "chunks")
+    found = stored(batching.embed(chunks, "chunk_id", "chunk_text", provider, dimensions, calls), "vectors")
+    return chunks.join(found.select(F.col("key").alias("chunk_id"), F.col("status").alias("embedding_status"), F.col("vector").alias("chunk_vector")), "chunk_id")
+
 
+def eligible(source: DataFrame, vector: str, reuse: bool = True, most: int | None = None) -> int:
+    """How many rows a backfill would take: the count of a dry run."""
+    n = source.where(F.col(vector).isNull() if reuse else F.lit(True)).count()
+    return n if most is None else min(n, most)
 
-def backfill(source: DataFrame, key: str, text: str, vector: str, provider: Callable, dimensions: int, reuse: bool = True) -> DataFrame:
-    """The outcome of every row of a source: what is skipped, refused, embedded, or had changed meanwhile."""
+
+def discover(source: DataFrame, key: str, vector: str, reuse: bool = True, after=None, page: int | None = None) -> DataFrame:
+    """Ids to embed, in order, beyond a cursor and at most a page of them."""
+    rows = source.where(F.col(vector).isNull() if reuse else F.lit(True)).select(key)
+    if after is not None:
+        rows = rows.where(F.col(key) > F.lit(after))
+    rows = rows.orderBy(key)
+    return rows if page is None else rows.limit(page)
+
+
+def backfill(source: DataFrame, key: str, text: str, vector: str, provider: Callable, dimensions: int, reuse: bool = True, calls: Calls = Calls(), ids: DataFrame | None = None) -> DataFrame:
+    """The outcome of every row of a source, or of the wanted ids: what is skipped, refused, embedded, or had changed meanwhile."""
     tokens = batching.total_tokens(F.col(text))
-    classed = ledger.classify(source.select(key), source, key, text, vector, tokens, reuse=reuse)
+    classed = stored(ledger.classify(source.select(key) if ids is None else ids.select(key), source, key, text, vector, tokens, reuse=reuse, batch_tokens=calls.batch_tokens), "classes")
     todo = classed.where(F.col("class") == "BATCH")
-    done = batching.embed(todo, key, text, provider, dimensions)
+    done = stored(batching.embed(todo, key, text, provider, dimensions, calls), "vectors")
     keyed = todo.select(F.col(key).cast("string").alias("key"), F.col(key).alias("_id"), F.md5(F.col(text)).alias("digest"))
     fresh = done.join(keyed, "key").select(F.col("_id").alias(key), "digest", F.col("vector").alias("new_vector"), "status", "message")
     good = ledger.commit_vectors(source, fresh.where("status = 'SUCCESS'"), key, text, vector, reuse)
@@ -55,10 +163,34 @@ def backfill(source: DataFrame, key: str, text: str, vector: str, provider: Call
     return good.unionByName(bad).unionByName(rest)
 
 
+@dataclass(frozen=True)
+class Round:
+    """What a round of a backfill leaves: all tasks, the outcomes of its own, and its failure events."""
+
+    tasks: DataFrame
+    outcomes: DataFrame
+    events: DataFrame
+
+
+def backfill_round(source: DataFrame, tasks: DataFrame, job: str, owner: str, token: str, now: Column, key: str, text: str, vector: str, provider: Callable, dimensions: int, limit: int, lease_seconds: int = 300, reuse: bool = True, calls: Calls = Calls(), latest: Callable[[], DataFrame] | None = None) -> Round:
+    """Claim tasks, embed their rows and settle them.
+
+    A result counts only for a task that still has the claim's token in the
+    ``latest`` tasks, so a worker that lost its lease changes nothing.
+    """
+    claimed = stored(ledger.claim(tasks.where(F.col("job_key") == job), owner, token, now, lease_seconds, limit), "claimed")
+    mine = claimed.where(F.col("claim_token") == token)
+    ids = mine.select(F.col("row_id").cast(source.schema[key].dataType).alias(key))
+    outcomes = stored(backfill(source, key, text, vector, provider, dimensions, reuse, calls, ids), "outcomes")
+    status, code = F.split_part("outcome", F.lit("/"), F.lit(1)), F.nullif(F.split_part("outcome", F.lit("/"), F.lit(2)), F.lit(""))
+    moved = F.col("outcome") == "SOURCE_CHANGED"
+    results = outcomes.select(F.lit(job).alias("job_key"), F.col(key).cast(tasks.schema["row_id"].dataType).alias("row_id"), F.lit(token).alias("claim_token"), F.when(moved, "SKIPPED").otherwise(status).alias("status"), F.when(moved, F.col("outcome")).otherwise(F.split_part(code, F.lit(":"), F.lit(1))).alias("code"), F.when(~moved, code).alias("message"))
+    after, events = ledger.finish(claimed if latest is None else latest(), results, now)
+    return Round(after, outcomes, events)
+
+
 def answer(chunks: DataFrame, query: DataFrame, question: str, chat: Callable[[list[dict]], str], k: int = retrieval.DEFAULT, **where) -> str:
     """Retrieve, build the prompt and ask: k rows and one message list reach the driver."""
-    from pyspark.sql import Window
-
     found = retrieval.top_k(chunks, query, "chunk_vector", "chunk_id", k, **where)
     ranked = retrieval.with_defaults(found).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("similarity"), "chunk_id")))
     sent = retrieval.messages(ranked, "rank", question).first()["messages"]

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..sources.store import shared_folder
 from ..streaming import events, quota
 from .registry import Registry
 from .standins import table
@@ -15,26 +15,16 @@ REGISTRY = Registry()
 query = REGISTRY.query
 
 
-def _folder(spark, name: str) -> str:
-    """A fresh folder that all executors share; a temporary one only on a local master."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="streams-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _memory(spark, df, name: str, mode: str):
     view = f"{name}_{uuid.uuid4().hex}"
-    events.run_once(df, view, mode, _folder(spark, name))
+    events.run_once(df, view, mode, shared_folder(spark, name))
     return spark.table(view)
 
 
 def _stored(spark, df, name: str):
     """The rows of a stream that only appends, by way of a Parquet table: nothing passes the driver."""
-    path = _folder(spark, name)
-    events.run_to_parquet(df, path, _folder(spark, f"{name}-offsets"))
+    path = shared_folder(spark, name)
+    events.run_to_parquet(df, path, shared_folder(spark, f"{name}-offsets"))
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -114,10 +114,10 @@ def csv_guard(spark, sf_dir):
     return sinks.safe_csv(_docs(spark, sf_dir).select("doc_id", cell.alias("cell")))
 
 
-@query("SELECT coalesce(t.doc_id, n.doc_id) doc_id, CASE WHEN n.doc_id IS NOT NULL THEN n.text ELSE t.text END AS text, CASE WHEN t.doc_id IS NOT NULL THEN t.source ELSE n.source END source FROM (SELECT doc_id, left(text, 20) AS text, source FROM documents WHERE doc_id % 3 <> 0) t FULL JOIN (SELECT doc_id, lower(left(text, 20)) AS text, 'new' source FROM documents WHERE doc_id % 2 = 0) n ON t.doc_id = n.doc_id")
+@query("SELECT coalesce(t.doc_id, n.doc_id) doc_id, CASE WHEN n.doc_id IS NOT NULL THEN n.text ELSE t.text END AS text, CASE WHEN t.doc_id IS NOT NULL THEN t.source ELSE n.source END source FROM (SELECT doc_id, text, source FROM documents WHERE doc_id % 3 <> 0) t FULL JOIN (SELECT doc_id, 'new ' || text AS text, 'new' source FROM documents WHERE doc_id % 2 = 0) n ON t.doc_id = n.doc_id")
 def upsert_chunks(spark, sf_dir):
-    docs = _docs(spark, sf_dir).select("doc_id", F.left("text", F.lit(20)).alias("text"), "source")
-    new = docs.where(F.pmod("doc_id", F.lit(2)) == 0).select("doc_id", F.lower("text").alias("text"), F.lit("new").alias("source"))
+    docs = _docs(spark, sf_dir).select("doc_id", "text", "source")
+    new = docs.where(F.pmod("doc_id", F.lit(2)) == 0).select("doc_id", F.concat(F.lit("new "), "text").alias("text"), F.lit("new").alias("source"))
     return sinks.upsert(docs.where(F.pmod("doc_id", F.lit(3)) != 0), new, ["doc_id"], ["text"])
 
 

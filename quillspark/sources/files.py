@@ -14,8 +14,9 @@ def _glob(extensions: list[str]) -> str:
     return "*.{" + ",".join(map(either, extensions)) + "}" if len(extensions) > 1 else "*." + either(extensions[0])
 
 
-def crawl(spark: SparkSession, root: str, extensions: list[str] = [".pdf"], with_hash: bool = False) -> DataFrame:  # noqa: B006
-    """Files below a folder: doc_id, file_path, file_name, file_size, last_modified, and on demand file_hash.
+def crawl(spark: SparkSession, root: str, extensions: list[str] = [".pdf"], with_hash: bool = False, most: int | None = None) -> DataFrame:  # noqa: B006
+    """Files below a folder: doc_id, file_path, file_name, file_size, last_modified, and on demand file_hash;
+    ``most`` takes only the first ones by path, for trial runs.
 
     Without the hash only metadata is read: the content column is pruned away.
     """
@@ -25,12 +26,14 @@ def crawl(spark: SparkSession, root: str, extensions: list[str] = [".pdf"], with
         path_id(path).alias("doc_id"), path.alias("file_path"), F.element_at(F.split(path, "/"), -1).alias("file_name"),
         F.col("length").alias("file_size"), F.col("modificationTime").alias("last_modified"), *([F.sha2("content", 256).alias("file_hash")] if with_hash else []),
     )
-    return rows
+    return rows if most is None else rows.orderBy("file_path").limit(most)
 
 
-def hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """file_path and file_hash of the given files, read on the executors: for the files that a decision needs it of."""
-    return spark.read.format("binaryFile").load(paths).select(path_slashes(F.col("path")).alias("file_path"), F.sha2("content", 256).alias("file_hash"))
+def contents(spark: SparkSession, root: str, wanted: DataFrame, extensions: list[str] = [".pdf"]) -> DataFrame:  # noqa: B006
+    """doc_id, content and file_hash of the wanted files (doc_id) below a folder, read on the executors."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", _glob(extensions))
+    rows = reader.load(root).select(path_id(path_slashes(F.col("path"))).alias("doc_id"), "content", F.sha2("content", 256).alias("file_hash"))
+    return rows.join(wanted.select("doc_id"), "doc_id", "left_semi")
 
 
 def from_listing(listing: DataFrame, extensions: list[str] = [".pdf"]) -> DataFrame:  # noqa: B006

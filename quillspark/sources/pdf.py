@@ -1,8 +1,9 @@
 """PDF files as rows of elements, through any parser.
 
 A parser is a callable that executors can load: bytes -> (contents, elements),
-with contents as (level, title, page) and elements as dicts of page, kind,
-x0, y0, x1, y1 and text. No parser is built in. A file that cannot be read
+with contents as (level, title, page) and elements as dicts of page, kind
+(text, image or table), x0, y0, x1, y1, text, cells (rows of a table's cells)
+and image (bytes). No parser is built in. A file that cannot be read
 gives one row with the error, and never ends the job.
 """
 
@@ -13,8 +14,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-SCHEMA = "doc_id string, page int, ordinal int, kind string, x0 double, y0 double, x1 double, y1 double, text string, error string"
-_ARROW = pa.schema([("doc_id", pa.string()), ("page", pa.int32()), ("ordinal", pa.int32()), ("kind", pa.string()), *((k, pa.float64()) for k in ("x0", "y0", "x1", "y1")), ("text", pa.string()), ("error", pa.string())])
+SCHEMA = "doc_id string, page int, ordinal int, kind string, x0 double, y0 double, x1 double, y1 double, text string, cells array<array<string>>, image binary, error string"
+_ARROW = pa.schema([("doc_id", pa.string()), ("page", pa.int32()), ("ordinal", pa.int32()), ("kind", pa.string()), *((k, pa.float64()) for k in ("x0", "y0", "x1", "y1")), ("text", pa.string()), ("cells", pa.list_(pa.list_(pa.string()))), ("image", pa.binary()), ("error", pa.string())])
 
 
 def parse(files: DataFrame, parser: Callable[[bytes], tuple[list, list[dict]]]) -> DataFrame:

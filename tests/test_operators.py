@@ -1,6 +1,7 @@
 """Pinned cases of operators, mostly those without SQL."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from hypothesis import given, settings
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import status, text
 from quillspark.operators import batching, chunking, jobs, layout, ledger, providers, quota, rollup, tables, token_chunking
+from quillspark import schema
 from quillspark.plans import pipelines, profile
-from quillspark.sources import extracted, files, pdf, sinks
+from quillspark.sources import extracted, files, pdf, sinks, store
+from quillspark.streaming import backfill as stream
 
 NOW = dt.datetime(2024, 1, 1, 12)
 
@@ -62,12 +65,26 @@ def bad_is_400(texts):
 
 
 def test_a_bad_row_fails_alone():
-    got = list(batching.call_isolating(bad_is_400, [("ok1", "x"), ("bad", "bad"), ("ok2", "y")], wait=lambda s: None))
+    got = list(batching.call_isolating(bad_is_400, [("ok1", "x", 2), ("bad", "bad", 2), ("ok2", "y", 2)], wait=lambda s: None))
     assert [(r, s) for r, s, _, _ in got] == [("ok1", "SUCCESS"), ("bad", "FAILED"), ("ok2", "SUCCESS")]
 
 
+class Reserved:
+    def __init__(self):
+        self.reserved, self.cooled, self.good = [], [], 0
+
+    def reserve(self, tokens):
+        self.reserved.append(tokens)
+
+    def cooldown(self, seconds):
+        self.cooled.append(seconds)
+
+    def succeeded(self):
+        self.good += 1
+
+
 def test_quota_is_reserved_for_every_try_and_429_cools_down():
-    calls, reserved, cooled = [], [], []
+    calls, seen = [], Reserved()
 
     def provider(texts):
         calls.append(texts)
@@ -75,8 +92,50 @@ def test_quota_is_reserved_for_every_try_and_429_cools_down():
             raise batching.ProviderError("slow down", 429, 7.0)
         return [[1.0]]
 
-    assert next(batching.call_isolating(provider, [("a", "x")], wait=lambda s: None, reserve=reserved.append, cooldown=cooled.append))[1] == "SUCCESS"
-    assert reserved == [1, 1] and cooled == [7.0]
+    assert next(batching.call_isolating(provider, [("a", "x", 10)], wait=lambda s: None, throttle=seen))[1] == "SUCCESS"
+    assert seen.reserved == [10, 10] and seen.cooled == [7.0] and seen.good == 1
+
+
+def test_a_throttle_waits_until_its_bucket_grants():
+    now, waits = [0.0], []
+
+    def wait(seconds):
+        waits.append(seconds)
+        now[0] += seconds
+
+    t = batching.Throttle(quota.Bucket(60, 600, 50, requests=1, tokens=50), lambda: now[0], wait)
+    t.reserve(50)
+    t.reserve(20)
+    assert sum(waits) == pytest.approx(2.0)
+    t.cooldown(9)
+    t.reserve(1)
+    assert now[0] >= 11 and t.bucket.multiplier == 0.8
+
+
+@pytest.mark.parametrize("headers,seconds", [({"retry-after-ms": "1500", "Retry-After": "9"}, 1.5), ({"Retry-After": "9"}, 9.0), ({"Retry-After": "soon"}, 2.0), ({}, 2.0), ({"Retry-After": "0"}, 0.1)])
+def test_retry_after(headers, seconds):
+    assert batching.retry_after(headers) == seconds
+
+
+def test_only_a_failed_write_runs_again():
+    tries = []
+
+    def write():
+        tries.append(1)
+        if len(tries) < 3:
+            raise OSError("deadlock")
+        return "done"
+
+    assert store.retrying(write, wait=lambda s: None) == "done" and len(tries) == 3
+    tries.clear()
+
+    def fails():
+        tries.append(1)
+        raise OSError("deadlock")
+
+    with pytest.raises(OSError):
+        store.retrying(fails, attempts=6, wait=lambda s: None)
+    assert len(tries) == 6
 
 
 def test_fatal_errors_are_raised():
@@ -84,7 +143,7 @@ def test_fatal_errors_are_raised():
         raise batching.FatalProviderError("401", 401)
 
     with pytest.raises(batching.FatalProviderError):
-        list(batching.call_isolating(provider, [("a", "x")]))
+        list(batching.call_isolating(provider, [("a", "x", 1)]))
 
 
 def test_bucket():
@@ -143,12 +202,51 @@ def test_truncate(spark, t, n):
     assert len(got) <= max(len(t) if len(t) // 4 <= n else 4 * n, 4 * n) and t.startswith(got)
 
 
-def test_tokens_stay_within_the_budget():
-    policy, words = token_chunking.Policy(40, 10, 8), token_chunking.WordTokenizer()
-    pages = [{"page": i, "elements": [{"kind": "text", "text": "1.2 Heading here\n" + "word " * 70}, {"kind": "table", "text": "a | b"}]} for i in (1, 2)]
-    got = token_chunking.chunk_one("d", pages, [{"level": 1, "title": "Top", "page": 1}], policy, words)
-    assert all(len(words.encode(c["chunk_text"])) <= 40 for c in got) and got[-1]["chunk_total"] == len(got)
-    assert got[0]["section_title"] == "Top" or "1.2 Heading here" in got[0]["headers"]
+def filled_plainly(units, policy, tokenizer):
+    """Chunks by joining one part after the other and measuring what comes."""
+    size = lambda t: len(tokenizer.encode(t))
+
+    def text(parts):
+        body = "\n".join(p.text for p in parts)
+        title = parts[0].path[-1] if policy.preserve_headers and parts[0].path else ""
+        return body if not title or body.casefold().startswith(title.casefold()) else f"{title}\n\n{body}"
+
+    done, held = [], []
+    for unit in units:
+        room = policy.max_tokens - 4 - (size(unit.path[-1] + "\n\n") if policy.preserve_headers and unit.path else 0)
+        for t in token_chunking.within(unit.text, room, tokenizer):
+            part = token_chunking.Part(t, unit.page, unit.path, unit.kind)
+            full = bool(held) and size(text([*held, part])) > policy.max_tokens
+            turned = bool(held) and held[-1].path != part.path
+            if full or (turned and size(text(held)) >= policy.min_tokens):
+                done.append(held)
+                tail = token_chunking.Part(tokenizer.decode(tokenizer.encode(held[-1].text)[-policy.overlap_tokens :]), held[-1].page, held[-1].path, held[-1].kind)
+                held = [tail] if full and not turned and policy.overlap_tokens and size(text([tail, part])) <= policy.max_tokens else []
+            held.append(part)
+    return [(text(h), {p.page for p in h}) for h in [*done, held] if h]
+
+
+LINES = st.lists(st.sampled_from(["1.2 Head x", "1 Top", "2.1.1 Deep", "SECTION z", "", "a, b. c", "Alpha", "word " * 3, "word " * 25, "y" * 70]), max_size=6).map("\n".join)
+PAGE = st.fixed_dictionaries({"elements": st.lists(st.fixed_dictionaries({"kind": st.sampled_from(["text", "text", "table"]), "text": LINES}), max_size=3), "raw_text": st.sampled_from([None, "raw text"]), "is_blank": st.sampled_from([False, False, True])})
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PAGE, max_size=4), st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["Alpha", "Beta"]), st.integers(1, 4)), max_size=3), st.sampled_from([20, 40, 60]), st.sampled_from([0, 5, 10]), st.sampled_from([0, 4, 9]), st.booleans())
+def test_token_chunks_are_filled_greedily(pages, contents, most, least, overlap, headers):
+    policy, words = token_chunking.Policy(most, least, overlap, headers), token_chunking.WordTokenizer()
+    pages = [p | {"page": i, "error": None} for i, p in enumerate(pages, 1)]
+    contents = [{"level": level, "title": title, "page": page} for level, title, page in contents]
+    got = token_chunking.chunk_one("d", pages, contents, policy, words)
+    units = list(token_chunking.parts_of(pages, contents))
+    assert [c["chunk_text"] for c in got] == [t for t, _ in filled_plainly(units, policy, words)]
+    assert all(len(words.encode(c["chunk_text"])) <= most and c["chunk_total"] == len(got) for c in got)
+    assert all(u.page not in {p["page"] for p in pages if p["is_blank"]} for u in units)
+
+
+def test_paths_of_headings():
+    pages = [{"page": 2, "elements": [{"kind": "text", "text": "1 One\nbody\n1.1 Sub\nmore\n\nnext"}]}, {"page": 1, "elements": [], "raw_text": "raw"}, {"page": 3, "elements": [{"kind": "text", "text": "x"}], "error": "bad"}]
+    got = [(p.text, p.page, p.path) for p in token_chunking.parts_of(pages, [{"level": 1, "title": "Top", "page": 1}])]
+    assert got == [("raw", 1, ("Top",)), ("1 One", 2, ("1 One",)), ("body", 2, ("1 One",)), ("1.1 Sub", 2, ("1 One", "1.1 Sub")), ("more", 2, ("1 One", "1.1 Sub")), ("next", 2, ("1 One", "1.1 Sub"))]
 
 
 def test_tables(spark):
@@ -192,21 +290,121 @@ def test_sinks_and_files(spark, tmp_path):
     assert files.store_uri("s3://b/k/x") == ("b", "k/x") and files.store_uri("http://x") is None
 
 
-def test_ingest_and_backfill(spark):
-    def parser(content):
-        if content == b"bad":
-            raise ValueError("broken")
-        return [], [{"page": 1, "kind": "text", "x0": 0.0, "y0": 0.0, "x1": 1.0, "y1": 1.0, "text": content.decode() + " word" * 60}]
-
-    f = spark.createDataFrame([("a", "a.pdf", "/a.pdf", "h", 5, NOW, True), ("b", "b.pdf", "/b.pdf", "h", 5, NOW, True)], "doc_id string, file_name string, file_path string, file_hash string, file_size long, last_modified timestamp, readable boolean")
-    log = spark.createDataFrame([], "doc_id string, status string, retry_count int, file_hash string, last_modified timestamp")
-    content = spark.createDataFrame([("a", bytearray(b"hello")), ("b", bytearray(b"bad"))], "doc_id string, content binary")
-    got = pipelines.ingest(f, content, log, parser, providers.HashEmbedder(8), 8).collect()
-    assert [(r["doc_id"], r["embedding_status"], len(r["chunk_vector"])) for r in got] == [("a", "SUCCESS", 8)]
-    assert pdf.parse(content, parser).where("error is not null").count() == 1
-    rows = spark.createDataFrame([(1, "text one", None), (2, " ", None), (3, "done", [1.0]), (4, "x" * 40_000, None)], "id long, t string, v array<float>")
-    out = {r["id"]: r["outcome"] for r in pipelines.backfill(rows, "id", "t", "v", providers.HashEmbedder(8), 8).collect()}
-    assert out == {1: "SUCCESS", 2: "SKIPPED/EMPTY_TEXT", 3: "SKIPPED/ALREADY_DONE", 4: "FAILED/INPUT_TOO_LONG"}
+def stand_ins():
+    """Classes of a function travel to the workers by value."""
+
+    class Parser:
+        """A page of text, a scanned page, and a page with a table and a chart."""
+
+        def __call__(self, content):
+            if content == b"bad":
+                raise ValueError("broken")
+            box = lambda y: {"x0": 0.0, "y0": float(y), "x1": 100.0, "y1": float(y + 10)}
+            if content == b"empty":
+                return [], [{"page": 1, "kind": "text", "text": "x"} | box(0)]
+            cells = [["Name", "Dose"], ["alpha", "5 mg and then some more words"], ["beta", "6 mg and then some more words"], ["gamma", "7 mg and then some more words"]]
+            return [], [
+                {"page": 1, "kind": "text", "text": "second " + "word " * 60} | box(50),
+                {"page": 1, "kind": "text", "text": content.decode() + " " + "word " * 60} | box(0),
+                {"page": 2, "kind": "image", "image": b"scan"} | box(0),
+                {"page": 3, "kind": "table", "cells": cells} | box(0),
+                {"page": 3, "kind": "text", "text": "axis 10 20 30% " + "long text " * 20} | box(25),
+                {"page": 3, "kind": "image", "image": b"chart"} | box(30),
+                {"page": 3, "kind": "image", "image": b"noise"} | box(300),
+            ]
+
+    class Counting:
+        """Writes a file for each text that it is asked for."""
+
+        def __init__(self, folder):
+            self.folder = folder
+
+        def __call__(self, texts):
+            for _ in texts:
+                open(f"{self.folder}/{uuid.uuid4().hex}", "w").close()
+            return providers.HashEmbedder(8)(texts)
+
+    class Ocr:
+        def __call__(self, images):
+            return [{b"scan": ("scanned words " * 30, 0.9), b"chart": ("rising line of six words here", 0.5), b"noise": ("a b c d e f g", 0.5)}[i] for i in images]
+
+    return Parser, Counting, Ocr
+
+
+Parser, Counting, Ocr = stand_ins()
+
+
+def test_ingest(spark, tmp_path):
+    names = ["a", "bad", "empty", "done"]
+    f = spark.createDataFrame([(n, f"{n}.pdf", f"/{n}.pdf", "h", 5, NOW, True) for n in names], "doc_id string, file_name string, file_path string, file_hash string, file_size long, last_modified timestamp, readable boolean")
+    log = spark.createDataFrame([("done", "SUCCESS", 0, "h", NOW, NOW, NOW, None, 3, 1), ("bad", "ERROR", 1, "h", NOW, NOW, NOW, "old", 0, 0)], "doc_id string, status string, retry_count int, file_hash string, last_modified timestamp, ingested_at timestamp, updated_at timestamp, error_message string, chunk_count int, pages_total int")
+    content = spark.createDataFrame([(n, bytearray(n.encode())) for n in names], "doc_id string, content binary")
+    got = pipelines.ingest(f, content, log, Parser(), pipelines.Providers(Counting(tmp_path), Ocr(), providers.FirstWords(4)), 8, F.lit(NOW))
+    chunks, rows = got.chunks.orderBy("chunk_index").collect(), {r["doc_id"]: r for r in got.log.collect()}
+    assert {r["doc_id"] for r in chunks} == {"a"} and all(len(r["chunk_vector"]) == 8 and r["embedding_status"] == "SUCCESS" for r in chunks)
+    text = "\n".join(r["chunk_text"] for r in chunks)
+    assert text.index("a word") < text.index("second word") < text.index("scanned words") < text.index("| alpha")
+    assert "[TABLE SUMMARY]\n| Name | Dose" in text and "[CHART]\nrising line" in text and "a b c d" not in text
+    assert {k: (r["status"], r["error_message"], r["retry_count"]) for k, r in rows.items()} == {"a": ("SUCCESS", None, 0), "bad": ("ERROR", "broken", 2), "empty": ("ERROR", "no chunks", 0), "done": ("SUCCESS", None, 0)}
+    assert rows["a"]["pages_total"] == 3 and rows["a"]["chunk_count"] == len(chunks) == len(list(tmp_path.iterdir()))
+    assert pdf.parse(content, Parser()).where("error is not null").count() == 1
+
+
+def test_backfill_sends_each_text_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "text one", None), (2, " ", None), (3, "done", [1.0]), (4, "x" * 40_000, None), *((i, f"text {i}", None) for i in range(10, 30))], "id long, t string, v array<float>")
+    out = {r["id"]: r["outcome"] for r in pipelines.backfill(rows, "id", "t", "v", Counting(tmp_path), 8).collect()}
+    assert out == {1: "SUCCESS", 2: "SKIPPED/EMPTY_TEXT", 3: "SKIPPED/ALREADY_DONE", 4: "FAILED/INPUT_TOO_LONG"} | dict.fromkeys(range(10, 30), "SUCCESS")
+    assert len(list(tmp_path.iterdir())) == 21
+    assert pipelines.eligible(rows, "v") == 23 and pipelines.eligible(rows, "v", most=5) == 5
+    assert [r["id"] for r in pipelines.discover(rows, "id", "v", after=4, page=2).collect()] == [10, 11]
+
+
+def test_requests_stay_within_the_limits(spark):
+    class Limited:
+        def __call__(self, texts):
+            assert len(texts) <= 3 and sum(max(1, len(t) // 4) for t in texts) <= 20
+            return providers.HashEmbedder(8)(texts)
+
+    rows = spark.createDataFrame([(i, "word " * (i % 16)) for i in range(1, 90)], "id long, t string").where("t <> ''")
+    got = batching.embed(rows, "id", "t", Limited(), 8, batching.Calls(3, 20, workers=2, rpm=60_000, tpm=6_000_000))
+    assert got.where("status = 'SUCCESS'").count() == rows.count()
+
+
+def test_a_round_of_a_backfill(spark):
+    source = spark.createDataFrame([(i, f"text {i}", None) for i in range(6)] + [(6, "refused", None)], "id long, t string, v array<float>")
+    tasks = spark.createDataFrame([("j", i, "PENDING", None, None, None, 0, None, None, NOW) for i in [*range(7), 99]], "job_key string, row_id long, status string, owner string, claim_token string, lease_until timestamp, attempts int, error_code string, error_message string, updated_at timestamp")
+    args = (source, tasks, "j", "me", "t1", F.lit(NOW), "id", "t", "v", providers.Refusing("refused", "bad"), 8)
+    got = pipelines.backfill_round(*args, limit=20)
+    assert {r["row_id"]: (r["status"], r["error_code"]) for r in got.tasks.collect()} == {i: ("SUCCESS", None) for i in range(6)} | {6: ("FAILED", "API_FAILURE"), 99: ("SKIPPED", "MISSING")}
+    assert got.events.select("row_id").collect()[0][0] == 6
+    # another worker has taken the tasks meanwhile: nothing of this round counts
+    late = pipelines.backfill_round(*args, limit=20, latest=lambda: ledger.claim(tasks, "other", "t2", F.lit(NOW), 300, 20))
+    assert late.tasks.where("status = 'RUNNING' and owner = 'other'").count() == 8
+
+
+def test_mapped_tables_are_checked(spark):
+    good = spark.createDataFrame([(1, "a", [1.0]), (2, "b", None)], "i long, t string, v array<float>")
+    schema.validate_source(good, "i", "t", "v", 1)
+    for bad, args in ((good, ("i", "t", "v", 2)), (good.union(good), ("i", "t", "v", 1)), (good, ("t", "i", "v", 1)), (good, ("i", "t", "x", 1))):
+        with pytest.raises(ValueError):
+            schema.validate_source(bad, *args)
+    assert schema.identifier("a_1") == "`a_1`"
+    with pytest.raises(ValueError):
+        schema.identifier("a; drop")
+
+
+def test_refused_vectors_and_new_rows_of_a_stream(spark, tmp_path):
+    chunks = spark.createDataFrame([("c", [0.0, 0.0])], "chunk_id string, v array<double>")
+    with pytest.raises(Exception, match="invalid vector in c"):
+        sinks.checked_profile_chunks(chunks, "v", 2).collect()
+    path, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    spark.createDataFrame([(1, "one"), (2, " ")], "id long, t string").write.parquet(path)
+    for more in (0, 1):
+        if more:
+            spark.createDataFrame([(3, "three")], "id long, t string").write.mode("append").parquet(path)
+        rows = spark.readStream.schema("id long, t string").parquet(path)
+        stream.run_available(stream.embed_stream(rows, "id", "t", providers.HashEmbedder(4), 4), lambda df, n: df.write.mode("append").parquet(out), f"file://{tmp_path}/offsets")
+    assert sorted(r["key"] for r in spark.read.parquet(out).collect()) == ["1", "3"]
 
 
 def test_rechunk(spark):
