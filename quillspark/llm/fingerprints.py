@@ -14,8 +14,9 @@ fingerprint keeps: 8 hexadecimal digits for each place.
 
 Defined cases: a null text is empty; texts without words have the fingerprint
 of zeros, and are alike only among themselves; equal texts have equal
-fingerprints; other columns are ignored; an empty table gives an empty result;
-of rows that share a doc_id the greater text comes first in descending order.
+fingerprints; very long texts are read in parts of ``words.PART_BYTES``; other
+columns are ignored; an empty table gives an empty result; of rows that share a
+doc_id the greater text comes first in descending order; a null id is the least.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import TASK_BYTES, doc_rows, id_cuts, parts_for, range_of, slices
+from .shared import TASK_BYTES, doc_rows, id_ranges, parts_for, slices, with_following, with_id, without_id
 from .words import Words, mix
 
 PLACES = 64
@@ -118,18 +119,16 @@ def edited_likeness(docs: DataFrame, places: int = PLACES) -> DataFrame:
     follows its last one.
     """
     spark = docs.sparkSession
-    docs = doc_rows(docs)
-    ends = docs.agg(F.max("doc_id").alias("top"), F.sum(F.octet_length("text")).alias("size")).first()
-    if ends["top"] is None:
+    docs = doc_rows(docs).withColumn("doc_id", with_id(F.col("doc_id")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    if size is None:
         return spark.createDataFrame([], SCHEMA)
-    cuts = id_cuts(docs, parts_for(spark, ends["size"], TASK_BYTES / 2))
-    own = range_of(F.col("doc_id"), cuts)
-    is_cut = F.col("doc_id").isin(cuts) if cuts else F.lit(False)
-    # a range's cut is the greatest id of the range below: it follows this range's least
-    places_ = F.array(F.struct(own.alias("part"), F.lit(False).alias("guest")))
-    places_ = F.concat(places_, F.when(is_cut, F.array(F.struct((own + 1).alias("part"), F.lit(True).alias("guest")))).otherwise(F.array()))
-    places_ = F.concat(places_, F.when(F.col("doc_id") == ends["top"], F.array(F.struct(F.lit(0).alias("part"), F.lit(True).alias("guest")))).otherwise(F.array()))
-    dealt = docs.select("doc_id", "text", F.inline(places_)).repartitionById(len(cuts) + 1, "part").sortWithinPartitions("guest", F.desc("doc_id"), F.desc("text"))
+    ranged, parts = id_ranges(docs, parts_for(spark, size, TASK_BYTES / 2))
+    # the greatest id of a range follows the least one of the next range, and the greatest of all the least of all
+    place = lambda part, guest: F.array(F.struct(part.cast("int").alias("part"), F.lit(guest).alias("guest")))
+    none = F.array().cast("array<struct<part:int,guest:boolean>>")
+    places_ = F.concat(place(F.col("part"), False), F.when(F.col("following").isNotNull(), place(F.col("following"), True)).otherwise(none))
+    dealt = with_following(ranged, parts).select("doc_id", "text", F.inline(places_)).repartitionById(parts, "part").sortWithinPartitions("guest", F.desc("doc_id"), F.desc("text"))
 
     def run(batches):
         carried = None
@@ -148,7 +147,7 @@ def edited_likeness(docs: DataFrame, places: int = PLACES) -> DataFrame:
                 yield _edited(batch, places)
             carried = batch.slice(batch.num_rows - 1)
 
-    return dealt.mapInArrow(run, SCHEMA)
+    return dealt.mapInArrow(run, SCHEMA).withColumn("doc_id", without_id(F.col("doc_id")))
 
 
 def _edited(batch: pa.RecordBatch, places: int) -> pa.RecordBatch:

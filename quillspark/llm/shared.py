@@ -7,7 +7,7 @@ import uuid
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text bytes that one task should hold, and that one Python slice works on. The
@@ -60,6 +60,18 @@ def doc_rows(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+#: Stands for a null id where ids are ordered: it is the least one.
+NO_ID = -(1 << 63)
+
+
+def with_id(doc_id: Column) -> Column:
+    return F.coalesce(doc_id, F.lit(NO_ID).cast("long"))
+
+
+def without_id(doc_id: Column) -> Column:
+    return F.when(doc_id != NO_ID, doc_id)
+
+
 def remainder(doc_id: Column, by: int) -> Column:
     """crc32 of the id's decimal text, modulo ``by``: the folds of the contracts."""
     return F.crc32(doc_id.cast("string")) % F.lit(by)
@@ -95,21 +107,51 @@ def slices(batches, column: str = "text", most: int = SLICE_BYTES):
         yield batch.slice(start)
 
 
-def id_cuts(docs: DataFrame, parts: int) -> list[int]:
-    """Ids that cut the table into about ``parts`` even ranges (each an existing id).
+def cuts_below(cuts: Column, value: Column, most: int) -> Column:
+    """How many of at most ``most`` sorted cuts lie below a value, by halving."""
+    ends = F.struct(F.lit(0).alias("lo"), F.array_size(cuts).alias("hi"))
+
+    def step(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        below = (at["lo"] < at["hi"]) & (F.get(cuts, middle) < value)
+        return F.struct(F.when(below, middle + 1).otherwise(at["lo"]).alias("lo"), F.when(below, at["hi"]).otherwise(middle).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, most.bit_length()))), ends, step)["lo"]
+
+
+#: Cuts of the ids that the driver holds; ranges beyond them are cut once more by a table.
+COARSE = 1000
+
+
+def id_ranges(docs: DataFrame, parts: int, coarse: int = COARSE) -> tuple[DataFrame, int]:
+    """docs with part, and the number of parts: about ``parts`` even ranges of doc_id, in order.
 
-    Reads the id column alone. The ids are bounded in number by ``parts``.
+    Ids are cut in two levels, so that neither the driver nor a row sees all
+    cuts: the driver takes at most ``coarse`` of them, and each coarse range has
+    a row of its own ones.
     """
-    if parts <= 1:
-        return []
-    points = [i / parts for i in range(1, parts)]
-    got = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, points)), F.lit(20 * parts)).alias("c")).first()["c"]
-    return sorted(set(got or []))
-
-
-def range_of(doc_id: Column, cuts: list[int]) -> Column:
-    """Number of cuts below the id: its range's place (ids up to a cut lie before it)."""
-    if not cuts:
-        return F.lit(0)
-    listed = F.array(*(F.lit(int(c)).cast("long") for c in cuts))
-    return F.array_size(F.filter(listed, lambda c: c < doc_id)).cast("int")
+    wide = min(parts, coarse)
+    fine = -(-parts // wide)
+    points = lambda n: F.array(*(F.lit(i / n) for i in range(1, n)))
+    found = docs.agg(F.percentile_approx("doc_id", points(wide), F.lit(max(10_000, 20 * wide))).alias("c")).first()["c"] if wide > 1 else None
+    ends = sorted(set(found or []))
+    listed = F.array(*(F.lit(int(c)).cast("long") for c in ends)) if ends else F.array().cast("array<long>")
+    place = cuts_below(listed, F.col("doc_id"), len(ends))
+    if fine == 1:
+        return docs.withColumn("part", place), len(ends) + 1
+    own = docs.select("doc_id", place.alias("_wide")).groupBy("_wide").agg(F.array_sort(F.array_distinct(F.percentile_approx("doc_id", points(fine), F.lit(20 * fine)))).alias("_cuts"))
+    rows = docs.withColumn("_wide", place).join(_sent(materialize(own, "id-cuts"), parts), "_wide")  # a row for each coarse range
+    return rows.withColumn("part", F.col("_wide") * fine + cuts_below(F.col("_cuts"), F.col("doc_id"), fine)).drop("_wide", "_cuts"), (len(ends) + 1) * fine
+
+
+def _sent(table: DataFrame, parts: int) -> DataFrame:
+    """A table with some bytes for each part, sent to every task unless there are too many."""
+    return F.broadcast(table) if parts <= 1_000_000 else table
+
+
+def with_following(ranged: DataFrame, parts: int) -> DataFrame:
+    """Adds following: for the greatest id of a range the number of the next range that has rows (after the last: the first), else null."""
+    order = Window.orderBy("part")  # a row for each range
+    ends = ranged.groupBy("part").agg(F.max("doc_id").alias("_end")).withColumn("following", F.coalesce(F.lead("part").over(order), F.first("part").over(order)))
+    out = ranged.join(_sent(materialize(ends, "id-ends"), parts), "part")
+    return out.withColumn("following", F.when(F.col("doc_id") == F.col("_end"), F.col("following"))).drop("_end")

@@ -16,8 +16,8 @@ name of their own and rename, so a task that runs again leaves the same files.
 
 Defined cases: a null or empty text has the end id alone; strings of special
 tokens become their ids, as the library has it; a text is one frame, however
-long; any other column is ignored; rows that repeat are all written, next to each other; an empty table
-makes no file.
+long; any other column is ignored; rows that repeat are all written, next to each other; rows without an
+id come first, under the least number; an empty table makes no file.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .pieces import PieceEncoder
-from .shared import ENCODE_BYTES, doc_rows, fresh_path, id_cuts, materialize, parts_for, range_of, slices
+from .shared import ENCODE_BYTES, doc_rows, fresh_path, id_ranges, materialize, parts_for, slices, with_id, without_id
 
 #: Fixed values of the public zstandard and seekable formats.
 SKIPPABLE, SKIPPABLE_DOCS = 0x184D2A5E, 0x184D2A50
@@ -110,7 +110,7 @@ class TokenFile:
 
 
 def frames(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, width, n_tokens, frame, size and check: each document as a frame."""
+    """doc_id, part, width, n_tokens, frame, size and check: each document of doc_id, text and part as a frame."""
 
     def run(batches):
         encoder = encoder_of(path)
@@ -123,16 +123,17 @@ def frames(docs: DataFrame, path: str, end_id: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([width] * len(plain), pa.int32()),
                     pa.array(np.diff(starts) + 1, pa.int64()),
                     pa.array(map(packer.compress, plain), pa.binary()),
                     pa.array(map(len, plain), pa.int64()),
                     pa.array([xxhash.xxh64_intdigest(x) & 0xFFFFFFFF for x in plain], pa.int64()),
                 ],
-                names=["doc_id", "width", "n_tokens", "frame", "size", "check"],
+                names=["doc_id", "part", "width", "n_tokens", "frame", "size", "check"],
             )
 
-    return doc_rows(docs).mapInArrow(run, "doc_id long, width int, n_tokens long, frame binary, size long, check long")
+    return docs.select("doc_id", "text", F.coalesce("part", F.lit(0)).cast("int").alias("part")).mapInArrow(run, "doc_id long, part int, width int, n_tokens long, frame binary, size long, check long")
 
 
 def write(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame:
@@ -141,8 +142,8 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame:
     Returns a row for each file: part (its place), file, n_docs and n_tokens.
     """
     count = docs.count()
-    cuts = id_cuts(docs.select(F.col("doc_id").cast("long").alias("doc_id")), parts_for(docs.sparkSession, count, FILE_DOCS))
-    dealt = frames(docs, path, end_id).withColumn("part", range_of(F.col("doc_id"), cuts)).repartitionById(len(cuts) + 1, "part").sortWithinPartitions("doc_id", "check", "frame")
+    ranged, parts = id_ranges(doc_rows(docs).withColumn("doc_id", with_id(F.col("doc_id"))), parts_for(docs.sparkSession, count, FILE_DOCS))
+    dealt = frames(ranged, path, end_id).repartitionById(parts, "part").sortWithinPartitions("doc_id", "check", "frame")
 
     def run(batches):
         writer = name = None
@@ -183,7 +184,7 @@ def read(manifest: DataFrame) -> DataFrame:
                         at += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long").withColumn("doc_id", without_id(F.col("doc_id")))
 
 
 def write_and_read(docs: DataFrame, path: str, end_id: int) -> DataFrame:
