@@ -6,7 +6,8 @@ Tokens may end within a character: offsets then name the character that the
 token's first byte lies in up to the one after its last byte, and decoding
 joins bytes before it reads characters.
 
-Defined cases: a null or empty text has no ids; any other column is ignored;
+Defined cases: a null or empty text has no ids; a text of any length is one row
+(encoders need some 15 bytes for each of its own); any other column is ignored;
 repeated rows give repeated results; an empty table gives an empty result. Ids
 that the vocabulary lacks raise an error on decoding.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from functools import cache
 
 import numpy as np
@@ -79,24 +81,35 @@ def _lists(values: np.ndarray, starts: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, kind))
 
 
+class Tokens:
+    """The ids of a slice of texts, and for each the place of its first byte and its characters.
+
+    ``starts`` says where each text's ids start; places count from the text's start.
+    """
+
+    def __init__(self, texts: pa.Array, encoder: PieceEncoder, table: ByteTable):
+        self.ids, self.starts = encoder.encode(texts)
+        data, begins = flat(texts)
+        ends = np.cumsum(table.lengths[self.ids])  # the pieces tile the texts
+        firsts = ends - table.lengths[self.ids]
+        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        of = np.repeat(np.arange(len(texts)), np.diff(self.starts))
+        self.byte_start = firsts - begins[:-1][of]
+        self.char_start = chars[firsts + 1] - 1 - chars[begins[:-1]][of]
+        self.char_end = chars[ends] - chars[begins[:-1]][of]
+        # a token is split if its end lies within a character: the next byte goes on with it
+        self.splits = np.append((data & 0xC0) == 0x80, False)[ends] if len(ends) else np.zeros(0, bool)
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids, and for each token byte_start, char_start and char_end."""
 
     def run(batches):
         encoder, table = codec(path, pattern)
         for batch in slices(batches, most=ENCODE_BYTES):
-            texts = batch.column(1)
-            ids, starts = encoder.encode(texts)
-            data, begins = flat(texts)
-            lengths = table.lengths[ids]
-            ends = np.cumsum(lengths)
-            firsts = ends - lengths  # in the slice; the pieces tile the texts
-            chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-            of = np.repeat(np.arange(len(texts)), np.diff(starts))
-            bases = chars[begins[:-1]][of]
-            whole = chars[firsts + 1] - 1 - bases
-            columns = [batch.column(0), _lists(ids.astype(np.int32), starts, pa.int32())]
-            columns += [_lists(x, starts, pa.int32()) for x in (firsts - begins[:-1][of], whole, chars[ends] - bases)]
+            got = Tokens(batch.column(1), encoder, table)
+            columns = [batch.column(0), _lists(got.ids.astype(np.int32), got.starts, pa.int32())]
+            columns += [_lists(x, got.starts, pa.int32()) for x in (got.byte_start, got.char_start, got.char_end)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "byte_start", "char_start", "char_end"])
 
     return doc_rows(docs).mapInArrow(run, "doc_id long, ids array<int>, byte_start array<int>, char_start array<int>, char_end array<int>")
@@ -116,24 +129,29 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Digests of what ``encode`` and ``decode`` give, in one pass over the texts:
-    doc_id, n_tokens, ids_sha256 and decoded_sha256."""
+    """Digests of what ``encode`` and ``decode`` give, in one pass over the texts: doc_id, n_tokens,
+    ids_sha256, decoded_sha256, offsets_crc32 (of byte_start, char_start and char_end as little-endian
+    32-bit integers, one list after the other) and n_split (tokens that end within a character)."""
 
     def run(batches):
         encoder, table = codec(path, pattern)
         for batch in slices(batches, most=ENCODE_BYTES):
-            ids, starts = encoder.encode(batch.column(1))
-            back = table.decode(ids)
-            ends = np.concatenate([[0], np.cumsum(table.lengths[ids])])[starts]
-            words, text = memoryview(ids.astype("<u4")).cast("B"), memoryview(back)
+            got = Tokens(batch.column(1), encoder, table)
+            starts, back = got.starts, table.decode(got.ids)
+            ends = np.concatenate([[0], np.cumsum(table.lengths[got.ids])])[starts]
+            words, text = memoryview(got.ids.astype("<u4")).cast("B"), memoryview(back)
+            offsets = [memoryview(x.astype("<i4")).cast("B") for x in (got.byte_start, got.char_start, got.char_end)]
+            pairs = list(zip(starts.tolist(), starts[1:].tolist(), strict=False))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(np.diff(starts), pa.int64()),
-                    pa.array([hashlib.sha256(words[4 * a : 4 * b]).hexdigest() for a, b in zip(starts, starts[1:], strict=False)]),
+                    pa.array([hashlib.sha256(words[4 * a : 4 * b]).hexdigest() for a, b in pairs]),
                     pa.array([hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(ends, ends[1:], strict=False)]),
+                    pa.array([zlib.crc32(offsets[2][4 * a : 4 * b], zlib.crc32(offsets[1][4 * a : 4 * b], zlib.crc32(offsets[0][4 * a : 4 * b]))) for a, b in pairs], pa.int64()),
+                    pa.array(np.diff(np.concatenate([[0], np.cumsum(got.splits)])[starts]), pa.int64()),
                 ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "offsets_crc32", "n_split"],
             )
 
-    return doc_rows(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return doc_rows(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_crc32 long, n_split long")
