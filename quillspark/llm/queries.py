@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 SHARDS, SEQUENCE = 24, 2048
 
 
@@ -102,6 +105,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_bag_minhash": op10_bag_minhash,
 }
-
-#: None of these has a result that SQL states at a fair cost; tests/llm holds them against brute force.
-ORACLE_SQL: dict[str, str] = {}
