@@ -6,9 +6,8 @@ columns of documents:
 
 * toxicity: drops documents that the model, fitted on the labels of the
   tables' folder, calls toxic,
-* language: drops documents without a language (no letters), or with no
-  language that at least half of their letters are in; the model is fitted on
-  the ``lang`` column of what is left,
+* language: drops documents without a language (no letters); those in several
+  languages stay; the model is fitted on the ``lang`` column of what is left,
 * near_dedup: keeps the first document of each class of near copies; rows
   without an id stay, and of rows that repeat an id and its text one does,
 * substring_dedup: removes repeated passages of 20 words or more; text becomes
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from quillspark.llm import bag_minhash, language_id, packing, substring_dedup, toxicity
 from quillspark.llm.shared import materialize
 
-CAPACITY, END_ID, LEAST_SHARE = 2048, 0, 0.5
+CAPACITY, END_ID = 2048, 0
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.filter_rows(docs, language_id.learn(docs), LEAST_SHARE)
+    return language_id.filter_rows(docs, language_id.learn(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +67,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Learned models and packing have no SQL form; tests/llm holds the stages against brute force.
+#: Learned models and packing have no SQL form; tests/llm holds each stage against a plain version of its own.
 ORACLE_SQL = None
 
 

@@ -224,8 +224,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return doc_rows(docs).mapInArrow(run, SCHEMA)
 
 
-def filter_rows(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows, with all their columns, that have a language with at least this share of their letters."""
+def filter_rows(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
+    """The rows, with all their columns, that have a language, of at least this share of their letters."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
