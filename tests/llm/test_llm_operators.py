@@ -135,6 +135,11 @@ def test_op2(spark, docs, none):
     got = {r["doc_id"]: r for r in byte_bpe.round_trip(docs, path, pattern).collect()}
     assert all(got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest() for i, t in TEXTS.items())
     tokens = byte_bpe.encode(docs, path, pattern)
+    for r in tokens.collect():
+        data = b"".join(np.array(r[c], "<i4").tobytes() for c in ("byte_start", "char_start", "char_end"))
+        splits = sum(a < b for a, b in zip(r["char_start"][1:], r["char_end"], strict=False))
+        assert (got[r["doc_id"]]["offsets_crc32"], got[r["doc_id"]]["n_split"]) == (zlib.crc32(data), splits)
+    assert got[12]["n_split"] > 0
     ranks = {v: k for k, v in byte_bpe.read_ranks(path).items()}
     for r in tokens.where("doc_id in (9, 12)").collect():
         text, data = TEXTS[r["doc_id"]], TEXTS[r["doc_id"]].encode()
@@ -228,6 +233,19 @@ def removed(texts, size):
     return out
 
 
+def test_op7_over_many_blocks(spark, monkeypatch):
+    """Small blocks, groups and ranges: every exchange has many rows of each kind."""
+    rng = np.random.default_rng(11)
+    pool = [prose(25, 100 + i) for i in range(6)]
+    texts = {int(i): " ".join([prose(int(rng.integers(0, 30)), 1000 + int(i)), *(pool[k] for k in rng.integers(0, 6, rng.integers(0, 3)))]) for i in range(120)}
+    real = shared.slices
+    monkeypatch.setattr(substring_dedup, "slices", lambda batches: real(batches, most=700))
+    monkeypatch.setattr(substring_dedup, "RANGE_WORDS", 300)
+    monkeypatch.setattr(substring_dedup, "GATHERED", 40)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.remove_repeats(frame(spark, texts).repartition(3), 20).collect()}
+    assert got == removed(texts, 20)
+
+
 @pytest.mark.parametrize("size", [20, 4])
 def test_op7(docs, none, size):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.remove_repeats(docs, size).collect()}
@@ -505,6 +523,33 @@ def test_weighted_sampling_is_unbiased():
     assert abs((s[0] == s[1]).mean() - (ca & cb).total() / (ca | cb).total()) < 0.04
 
 
+def test_ids_are_cut_in_two_levels(spark):
+    rng = np.random.default_rng(3)
+    ids = sorted({int(x) for x in rng.integers(-(1 << 62), 1 << 62, 700)}) + [0, 0, 0]
+    docs = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    for parts, coarse in ((1, 9), (7, 9), (24, 5), (200, 14)):
+        ranged, n = shared.id_ranges(docs, parts, coarse)
+        rows = sorted((r["doc_id"], r["part"], r["following"]) for r in shared.with_following(ranged, n).collect())
+        assert [i for i, _, _ in rows] == sorted(ids) and all(0 <= p < n for _, p, _ in rows)
+        by = {}
+        for i, p, f in rows:
+            by.setdefault(p, []).append((i, f))
+        order = sorted(by)
+        assert [p for _, p, _ in rows] == sorted(p for _, p, _ in rows) and len(order) > parts * 0.8
+        for p, after in zip(order, [*order[1:], order[0]], strict=True):
+            assert {f for i, f in by[p] if i == by[p][-1][0]} == {after}
+            assert all(f is None for i, f in by[p] if i != by[p][-1][0])
+
+
+def test_op6_over_many_ranges(spark, monkeypatch):
+    texts = {i * 37: prose(int(n), i) for i, n in enumerate(np.random.default_rng(2).integers(0, 40, 90))}
+    docs = frame(spark, texts)
+    whole = sorted(map(tuple, fingerprints.edited_likeness(docs).collect()))
+    monkeypatch.setattr(fingerprints, "TASK_BYTES", 1200)
+    monkeypatch.setattr(shared.id_ranges, "__defaults__", (4,))
+    assert sorted(map(tuple, fingerprints.edited_likeness(docs).collect())) == whole and len(whole) == 90
+
+
 def test_components(spark):
     rng = np.random.default_rng(9)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 440)]
@@ -538,3 +583,15 @@ def test_words_and_windows():
     assert [w.named()[c] for c in w.codes] == [b"a", b"b", b"c", "d e".encode(), b"f"] and w.starts.tolist() == [0, 3, 3, 5]
     at, of = words.inside(w.starts, 2)
     assert at.tolist() == [0, 1, 3] and of.tolist() == [0, 0, 2]
+
+
+def test_rows_without_an_id_stay(spark):
+    """In the operators that order ids, a null id is the least."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = spark.createDataFrame([(None, BASE), (None, "x"), (5, BASE), (3, None)], "doc_id long, text string")
+    ids = [3, 5, None, None]
+    for got in (token_files.write_and_read(rows, path, 2), fingerprints.edited_likeness(rows), substring_dedup.remove_repeats(rows), packing.pack_documents(rows, public_tokenizers.path("word_bpe_49k.json"), 0).where("piece = 0")):
+        assert sorted((r["doc_id"] for r in got.collect()), key=lambda x: (x is None, x)) == ids
+    assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(rows).where("doc_id = 5").collect()} == {5: 120}
+    alone = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
+    assert fingerprints.edited_likeness(alone).first()["near_next"] == 1
