@@ -8,7 +8,9 @@ millions of filters, and a vector is decoded to the list of all filters that
 it exceeds a threshold with by combining block scores, best first, under a
 bound on what the blocks to come can add. The number of filters follows the
 number of vectors, so that unrelated vectors rarely share one. A vector that
-exceeds fewer than ``LEAST`` filters lowers its own threshold until it does.
+exceeds too few filters lowers its own threshold until it has enough. Both
+numbers grow with the logarithm of the vectors, which keeps the share of near
+pairs without a common filter level.
 
 Vectors that share a filter are candidates. They are joined as stars with the
 first vector of each filter, and the components of these stars hold every
@@ -40,11 +42,12 @@ from .graph import components, links_within
 from .shared import join_hot, materialize, parts_for
 
 SIMILAR = 0.98
-#: Filters that a vector exceeds on average and at the least.
-LISTED, LEAST = 24, 14
+#: Filters that a vector exceeds on average and at the least among SMALL vectors of a label, and more of
+#: both for each doubling: as filters grow in number, two near vectors share fewer of them.
+LISTED, LEAST, SMALL, MORE = 24, 14, 5000, (5, 4)
 BLOCK = 1024
-#: Filters for each vector of the largest label: unrelated vectors then share one with few others.
-FILTERS_PER_VECTOR = 32 * LISTED
+#: Filters for each one that a vector of the largest label lists: unrelated vectors then share one with few others.
+FILTERS_PER_LISTED = 32
 #: Rows that one task decodes.
 TASK_ROWS = 50_000
 
@@ -62,9 +65,15 @@ def code(dim: int, blocks: int, size: int) -> tuple[np.ndarray, list[np.ndarray]
     return order, books
 
 
+def listing(vectors: int) -> tuple[int, int]:
+    """Filters that a vector exceeds on average and at the least, for so many vectors with one label at most."""
+    doublings = max(0.0, float(np.log2(max(1, vectors) / SMALL)))
+    return int(LISTED + MORE[0] * doublings), int(LEAST + MORE[1] * doublings)
+
+
 def shape(vectors: int, dim: int) -> tuple[int, int]:
     """Blocks and codes a block, for so many vectors with one label at most."""
-    wanted = max(1 << 16, vectors * FILTERS_PER_VECTOR)
+    wanted = max(1 << 16, vectors * FILTERS_PER_LISTED * listing(vectors)[0])
     blocks = min(2, dim)
     while blocks < dim and wanted ** (1 / blocks) > 4096:
         blocks += 1
@@ -84,19 +93,19 @@ def decode(scores: list[np.ndarray], threshold: float) -> np.ndarray:
     return numbers
 
 
-def filters_of(x: np.ndarray, blocks: int, size: int) -> list[np.ndarray]:
-    """The filters that each unit vector exceeds."""
+def filters_of(x: np.ndarray, blocks: int, size: int, listed: int = LISTED, least: int = LEAST) -> list[np.ndarray]:
+    """The filters that each unit vector exceeds: ``listed`` on average, ``least`` at the least."""
     dim = x.shape[1]
     order, books = code(dim, blocks, size)
     parts = np.array_split(x[:, order], np.cumsum([b.shape[1] for b in books])[:-1], axis=1)
     scores = [p @ b.T for p, b in zip(parts, books, strict=True)]
     filters = float(size) ** blocks
-    start = -NormalDist().inv_cdf(min(0.5, LISTED / filters)) / np.sqrt(dim)
+    start = -NormalDist().inv_cdf(min(0.5, listed / filters)) / np.sqrt(dim)
     out = []
     for i in range(len(x)):
         own, threshold = [s[i] for s in scores], start
         found = decode(own, threshold)
-        while len(found) < min(LEAST, filters):
+        while len(found) < min(least, filters):
             threshold -= 0.1 / np.sqrt(dim)
             found = decode(own, threshold)
         out.append(found)
@@ -123,7 +132,7 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return _rows(vectors).where(_is_usable()).withColumn("dim", F.size("v"))
 
 
-def _listed(heads: DataFrame, blocks: int, size: int) -> DataFrame:
+def _listed(heads: DataFrame, blocks: int, size: int, listed: int, least: int) -> DataFrame:
     """node and key (label, dimension and filter) for every filter of every vector."""
 
     def run(batches):
@@ -133,7 +142,7 @@ def _listed(heads: DataFrame, blocks: int, size: int) -> DataFrame:
                 rows = batch.filter(pa.array(dims == dim))
                 for start in range(0, rows.num_rows, 512):
                     part = rows.slice(start, 512)
-                    found = filters_of(_unit(part.column(3)), min(blocks, int(dim)), size)
+                    found = filters_of(_unit(part.column(3)), min(blocks, int(dim)), size, listed, least)
                     counts = np.fromiter(map(len, found), np.int64, len(found))
                     at = pa.array(np.repeat(np.arange(len(found)), counts))
                     yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), part.column(2).take(at), pa.array(np.concatenate(found))], names=["node", "dim", "label", "filter"])
@@ -155,7 +164,7 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR, block: int = BLOC
     most = heads.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.max("dim")).first()
     blocks, size = shape(most[0] or 1, most[1] or 1)
     parts = parts_for(spark, heads.count(), TASK_ROWS)
-    listed = materialize(_listed(heads.repartition(parts), blocks, size), "filters")
+    listed = materialize(_listed(heads.repartition(parts), blocks, size, *listing(most[0] or 1)), "filters")
     key = ["label", "dim", "filter"]
     first = listed.groupBy(*key).agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     stars = listed.join(first, key).where("node <> b").select(F.col("node").alias("a"), "b")
