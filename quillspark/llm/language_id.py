@@ -37,6 +37,7 @@ from .shared import doc_rows, materialize, slices
 from .words import Words, mix
 
 BUCKET_BITS, LONGEST, SWITCH = 16, 4, 8.0
+FAN_IN = 64
 #: A language is a candidate for a script that at least this share of its words has.
 USES = 0.005
 #: First code points of runs of scripts; fixed values of Unicode's blocks.
@@ -179,7 +180,12 @@ def learn(rows: DataFrame) -> Model:
     schema = "lang string, counts binary"
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     partial = known.mapInArrow(count, schema).repartition(parts, F.monotonically_increasing_id()).mapInArrow(merge, schema)
-    found = {r["lang"]: unpack(r["counts"], sorted_first=False)[0].astype(np.float64) for r in materialize(partial, "ngrams").repartition(1).mapInArrow(merge, schema).collect()}
+    # up a tree, so that no task merges more than FAN_IN tables of each language
+    while parts > 1:
+        partial = materialize(partial.withColumn("to", F.spark_partition_id() % -(-parts // FAN_IN)), "ngrams")
+        parts = -(-parts // FAN_IN)
+        partial = partial.repartitionById(parts, "to").select("lang", "counts").mapInArrow(merge, schema)
+    found = {r["lang"]: unpack(r["counts"], sorted_first=False)[0].astype(np.float64) for r in partial.collect()}
     languages = sorted(found)
     if not languages:
         return Model([], np.zeros((size, 0)), np.zeros((len(_NAMES), 0), bool))
