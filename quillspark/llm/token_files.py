@@ -95,14 +95,29 @@ class TokenFile:
         self.width, self.docs = body[0], np.frombuffer(body, "<i8", offset=1)
         self.starts = np.cumsum(self.entries[:, 0]) - self.entries[:, 0]
 
-    def ids_at(self, place: int) -> np.ndarray:
-        """The ids of the document at a place in the file, with its checksums tested."""
-        packed, plain, check = map(int, self.entries[place])
-        data = zstandard.ZstdDecompressor().decompress(self.source.read_at(packed, int(self.starts[place])), max_output_size=plain)
+    def _plain(self, place: int, frame: bytes) -> np.ndarray:
+        plain, check = map(int, self.entries[place, 1:])
+        data = zstandard.ZstdDecompressor().decompress(frame, max_output_size=plain)
         if len(data) != plain or xxhash.xxh64_intdigest(data) & 0xFFFFFFFF != check:
             raise ValueError(f"frame {place} is damaged")
         return np.frombuffer(data, f"<u{self.width}").astype(np.uint32)
 
+    def ids_at(self, place: int) -> np.ndarray:
+        """The ids of the document at a place in the file, with its checksums tested."""
+        return self._plain(place, self.source.read_at(int(self.entries[place, 0]), int(self.starts[place])))
+
+    def every(self, most: int = 4 << 20):
+        """The ids of all documents in order; neighbouring frames are fetched together."""
+        ends = self.starts + self.entries[:, 0]
+        at = 0
+        while at < len(self.docs):
+            to = max(at + 1, int(np.searchsorted(ends, self.starts[at] + most, side="right")))
+            raw = self.source.read_at(int(ends[to - 1] - self.starts[at]), int(self.starts[at]))
+            for place in range(at, to):
+                a = int(self.starts[place] - self.starts[at])
+                yield self._plain(place, raw[a : a + int(self.entries[place, 0])])
+            at = to
+
     def ids(self, doc_id: int) -> np.ndarray | None:
         """The ids of one document, or None if the file lacks it."""
         found = np.flatnonzero(self.docs == doc_id)
@@ -178,8 +193,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 store, name = open_fs(row["file"])
                 with store.open_input_file(name) as source:
                     found, at, out = TokenFile(source), row["base"], []
-                    for place, doc_id in enumerate(found.docs.tolist()):
-                        ids = found.ids_at(place)
+                    for doc_id, ids in zip(found.docs.tolist(), found.every(), strict=True):
                         out.append((doc_id, at, len(ids), zlib.crc32(ids.astype("<u4"))))
                         at += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
