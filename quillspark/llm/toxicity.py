@@ -271,7 +271,7 @@ def _words_seen(labelled: DataFrame) -> DataFrame:
 
 def _distinct(labelled: DataFrame) -> DataFrame:
     """One row of each label and text: the least id's. Only ids and digests are grouped."""
-    digest = F.md5(F.encode("text", "utf-8"))
+    digest = F.unhex(F.md5(F.encode("text", "utf-8")))
     firsts = materialize(labelled.groupBy("toxic", digest.alias("digest")).agg(F.min("doc_id").alias("doc_id")), "firsts")
     single = labelled.withColumn("digest", digest).join(F.broadcast(firsts), ["toxic", "digest", "doc_id"], "left_semi")  # bounded by sample_rows
     repeated = labelled.groupBy("doc_id").count().where("count > 1")
