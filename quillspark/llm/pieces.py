@@ -134,7 +134,7 @@ class PieceEncoder:
     unless the tokenizer says that they are ordinary text.
     """
 
-    def __init__(self, tokenizer, words: bool = False, most: int = 700_000):
+    def __init__(self, tokenizer, words: bool = False, most: int = 400_000):
         self.tokenizer, self.words, self.most = tokenizer, words, most
         self.model = tokenizer.model
         self.special = {} if tokenizer.encode_special_tokens else {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}

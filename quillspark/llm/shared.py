@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 #: whole-array steps need some 60 bytes for each of a slice; encoders need fewer
 #: and gain from larger slices.
 TASK_BYTES = 64 << 20
-SLICE_BYTES = 3 << 20
-ENCODE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
+ENCODE_BYTES = 3 << 20
 #: A key is hot if it has over this part of all rows.
 HOT = 1000
 
