@@ -9,6 +9,8 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -169,6 +171,14 @@ def test_op4(spark, docs, none):
     with store.open_input_file(name) as f:
         one = token_files.TokenFile(f)
         assert one.ids(int(one.docs[0])).tolist()[-1] == 2 and one.ids(-5) is None
+        one_first = one.ids_at(0).tolist()
+        for most in (1, 100, 1 << 20):
+            assert [x.tolist() for x in one.every(most)] == [one.ids_at(i).tolist() for i in range(len(one.docs))]
+        whole = bytearray(f.read_at(f.size(), 0))
+    whole[int(one.starts[1]) + 9] ^= 1
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        token_files.TokenFile(pa.BufferReader(bytes(whole))).ids_at(1)
+    assert token_files.TokenFile(pa.BufferReader(bytes(whole))).ids_at(0).tolist() == one_first
     assert token_files.write_and_read(none, path, 2).count() == 0
 
 
@@ -393,6 +403,37 @@ def test_op3(spark, none):
     assert language_id.identify(none, blank).count() == 0 and language_id.identify(d, blank).where("lang_pred = 'und'").count() == d.count()
 
 
+def test_word_scores_are_sums_of_log_shares(spark):
+    """Counts of n-grams by a dict and plain loops, hashed one by one."""
+    texts = [("aa", "Shaing tho, ing-a 12"), ("aa", "ingé tho"), ("bb", "eau ié éau"), ("gr", "αβγ δε")]
+    model = language_id.learn(spark.createDataFrame(texts, "lang string, text string"))
+    spell = lambda w: re.sub(r"[^a-zéαβγδε]", "", w.lower()).encode()
+
+    def buckets(word):
+        for n in range(1, 5):
+            padded = (b" " if n > 1 else b"") + word + b" "
+            for i in range(len(padded) - n + 1):
+                code = np.array([int.from_bytes(padded[i : i + n], "big") + (n << 56)], np.uint64)
+                yield int(words.mix(code)[0] >> np.uint64(64 - language_id.BUCKET_BITS))
+
+    counts = {x: np.full(1 << language_id.BUCKET_BITS, 0.5) for x in ("aa", "bb", "gr")}
+    for lang, text in texts:
+        for w in filter(None, map(spell, text.split())):
+            for b in buckets(w):
+                counts[lang][b] += 1
+    logs = np.stack([np.log(c / c.sum()) for c in counts.values()], axis=1)
+    logs -= logs.mean(axis=1, keepdims=True)
+    text = "ing éau αβ tho γeau x"
+    read = words.Words(pa.array([text]))
+    got = model.of_words(language_id.Vocabulary(read))[read.codes]
+    for row, w in zip(got, text.split(), strict=True):
+        own = sum(logs[b] for b in buckets(spell(w))) / 2
+        greek = w[0] in "αβγδε"
+        able = np.array([not greek, not greek, greek])
+        own = np.where(able, own, -1e3)
+        assert row == pytest.approx(np.maximum(own - own.max(), -20))
+
+
 def viterbi(scores, switch):
     best, back = scores[0].copy(), []
     for s in scores[1:]:
@@ -496,6 +537,32 @@ def test_op5_copies_teach_once(spark):
     assert toxicity.learn(d.select("doc_id", "text"), d.select("doc_id", "toxic")).lexicon.words == ["blockhead", "nitwitted"]
 
 
+def plain_features(text, lexicon):
+    """Finds one after the other, each looked at in its surroundings."""
+    tokens = plain_words(text)
+    spelled = [re.sub(r"[^a-z]", "", w.lower()) for w in tokens]
+    marks = [bool(re.search(toxicity.QUOTES, w)) for w in tokens]
+    finds = [(i, *f) for i, w in enumerate(spelled) if w and (f := lexicon.find(w))]
+    if not finds:
+        return [0.0] * 6
+    value = {i: lexicon.weights[e] / (1 + d) for i, e, d in finds}
+    span = toxicity.QUOTE_SPAN
+    quoted = {i for i, _, _ in finds if any(marks[max(0, i - span) : i + 1]) and any(marks[i : i + span + 1])}
+    bare = {i: (0.0 if i in quoted else v) for i, v in value.items()}
+    near = max(sum(v for j, v in bare.items() if abs(i - j) <= toxicity.NEAR) for i in bare)
+    sums = [sum(bare[i] for i, _, d in finds if d == 0), sum(bare[i] for i, _, d in finds if d > 0), sum(value[i] for i in quoted), near, len({e for _, e, _ in finds}), 100 * len(finds) / len(tokens)]
+    return [float(np.log1p(x)) for x in sums]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["blockhead", "blokhead,", "nitwit", '"nitwitted"', '"', "a", "fine,", "dolt", "doltish", '"b', "Blockheads"]), max_size=40).map(" ".join), min_size=1, max_size=4))
+def test_features_of_finds(texts):
+    lexicon = toxicity.Lexicon(["blockhead", "nitwit"], ["dolt"], {"blockhead": 3.0, "nitwit": 2.0, "dolt": 1.5})
+    got = toxicity.features(pa.array(texts), lexicon)
+    for row, t in zip(got, texts, strict=True):
+        assert row == pytest.approx(plain_features(t, lexicon))
+
+
 def test_quotation_is_apart():
     lexicon = toxicity.Lexicon(["blockhead"], [], {"blockhead": 3.0})
     x = toxicity.features(pa.array(['he said "you blockhead" again', "you blockhead again", ""]), lexicon)
@@ -516,6 +583,37 @@ def test_op6(spark, docs, none):
     assert {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(docs).collect()} == {i: r["fingerprint"] for i, r in got.items()}
 
 
+def plain_sample(text, places):
+    """The least value of each place, word by word, by the definition."""
+    counts, out = Counter(plain_words(text)), []
+    step = 0x9E3779B97F4A7C15
+    one = lambda x: words.mix(np.array([x & (1 << 64) - 1], np.uint64))[0]
+    halves = lambda x: (((int(x) >> 32) + 0.5) / 2**32, ((int(x) & 0xFFFFFFFF) + 0.5) / 2**32)
+    for place in range(1, places + 1):
+        least = np.inf
+        for w, n in counts.items():
+            h = int.from_bytes(xxhash.xxh3_128_digest(w.encode())[:8], "little")
+            seed = int(one(h + place * step))
+            (a, b), (c, d), (e, _) = halves(seed), halves(one(seed + step)), halves(one(seed - step))
+            r, ln_c = -np.log(a * b), np.log(-np.log(c * d))
+            t = np.floor(np.log(float(n)) / r + e)
+            least = min(least, ln_c - r * (t - e) - r)
+        out.append((int(one(int(np.float64(least).view(np.uint64)))) >> 32 | 1) if counts else 0)
+    return out
+
+
+def test_op6_by_the_definition(spark):
+    texts = {1: "a b a c", 2: "", 3: "b b b d e a", 4: "a c a b", 9: prose(40, 6)}
+    got = {r["doc_id"]: r for r in fingerprints.edited_likeness(frame(spark, {i: t for i, t in enumerate([texts.get(k, "") for k in range(10)])})).collect()}
+    own = {i: plain_sample(texts.get(i, ""), fingerprints.PLACES) for i in range(10)}
+    for i in range(10):
+        a, b = texts.get(i, ""), texts.get((i - 1) % 10, "")
+        edited = plain_sample(a[: len(a) - len(a) // 2] + b[: len(a) // 2], fingerprints.PLACES)
+        spelled = "".join(f"{x:08x}" for x in own[i])
+        assert got[i]["fingerprint"] == spelled and got[i]["edited_fingerprint"] == "".join(f"{x:08x}" for x in edited)
+        assert got[i]["near_edited"] == np.mean(np.array(own[i]) == edited) and got[i]["near_next"] == np.mean(np.array(own[i]) == own[(i - 1) % 10])
+
+
 def test_weighted_sampling_is_unbiased():
     a, b = "x x x y z w w", "x y y z v w w w"
     s = fingerprints.samples(pa.array([a, b]), 3000)
@@ -595,3 +693,28 @@ def test_rows_without_an_id_stay(spark):
     assert {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(rows).where("doc_id = 5").collect()} == {5: 120}
     alone = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
     assert fingerprints.edited_likeness(alone).first()["near_next"] == 1
+
+
+def test_a_very_long_text(spark):
+    """One text of several parts (words.PART_BYTES) among short ones, in all operators that read words."""
+    long = " ".join(f"{VOCAB[i % 10]}{i % 977}x" for i in range(700_000))
+    assert len(long.encode()) > 5 << 20
+    docs = spark.createDataFrame([(1, long, "en"), (2, long + " end", "en"), (3, "short text", "en"), (4, "ça va", "fr")], "doc_id long, text string, lang string")
+    assert {r["doc_id"]: r["class_id"] for r in bag_minhash.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"] > 690_000) for r in substring_dedup.remove_repeats(docs).collect()} == {1: (700_000, True), 2: (700_001, True), 3: (2, False), 4: (2, False)}
+    near = {r["doc_id"]: (r["n_chars"], r["near_next"]) for r in fingerprints.edited_likeness(docs).collect()}
+    assert near[2][0] == len(long) + 4 and near[2][1] > 0.9
+    assert [r["lang_pred"] for r in language_id.identify(docs, language_id.learn(docs)).where("doc_id <> 3").orderBy("doc_id").collect()] == ["en", "en", "fr"]
+    lexicon = toxicity.Lexicon(["blockhead"], [], {"blockhead": 3.0})
+    assert (toxicity.features(pa.array([long + " blockhead", "blockhead"]), lexicon)[:, 0] > 0).all()
+
+
+def test_clashing_columns_and_repeated_rows_of_filters(spark):
+    rows = [(1, "sha ing tho", "aa", 1, 0.5, "x", 3), (1, "sha ing tho", "aa", 1, 0.5, "x", 3), (2, None, "aa", None, None, None, None), (None, "eau ié", "bb", 0, 0.1, "y", 4)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int, score double, lang_pred string, predicted int")
+    kept = language_id.filter_rows(d, language_id.learn(d))
+    assert kept.columns == d.columns and sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows if r[1]), key=str)
+    assert [r["lang_pred"] for r in language_id.identify(d, language_id.learn(d)).orderBy("doc_id").collect()] == ["bb", "aa", "aa", "und"]
+    model = toxicity.learn(d, d.select("doc_id", "toxic"))
+    assert toxicity.filter_rows(d, model).columns == d.columns and toxicity.filter_rows(d, model).count() == 4
+    assert toxicity.score(d, model).count() == 4
