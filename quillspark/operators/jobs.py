@@ -60,6 +60,13 @@ def latest_jobs(jobs: DataFrame, limit: int) -> DataFrame:
     return jobs.orderBy(F.desc("created_at"), "job_key").limit(min(max(limit, 1), JOBS))
 
 
+def label(profile: Column, schema: Column, table: Column, key: Column, most: Column) -> Column:
+    """What a job is shown as: its profile, source, key and limit."""
+    source = F.coalesce(F.nullif(F.concat_ws(".", F.nullif(schema, F.lit("")), F.nullif(table, F.lit(""))), F.lit("")), F.lit("Older job · target unlabeled"))
+    limit = F.when(most > 0, F.concat(F.lit("pilot ≤"), F.format_number(most, 0)))
+    return F.concat_ws(" · ", F.nullif(profile, F.lit("")), source, F.left(key, F.lit(12)), limit)
+
+
 def dashboard_order(summary: DataFrame) -> DataFrame:
     """Jobs with active claims first, then the newest."""
     return summary.orderBy((F.col("active") > 0).desc(), F.desc("created_at"), "job_key")

@@ -145,6 +145,12 @@ def not_current(docs: DataFrame, results: DataFrame) -> DataFrame:
     return docs.join(results, ["doc_id", "source_hash", "profile_hash"], "left_anti")
 
 
+def unlocked(docs: DataFrame, locks: DataFrame, owner: str, as_of: Column) -> DataFrame:
+    """Documents that nobody else holds: locks have doc_id, owner and until."""
+    held = locks.where((F.col("until") > as_of) & (F.col("owner") != owner))
+    return docs.join(held.select("doc_id"), "doc_id", "left_anti")
+
+
 def failed_documents(log: DataFrame) -> DataFrame:
     return log.where(F.col("status") == "ERROR").orderBy(F.desc("updated_at"), "doc_id")
 

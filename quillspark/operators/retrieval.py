@@ -70,3 +70,9 @@ def messages(results: DataFrame, rank: str, question: str, subject: str = "the d
 def citations(results: DataFrame, rank: str) -> DataFrame:
     """A line for each result."""
     return results.select(F.format_string("[%d] %s p.%s-%s | %s | %s | %.4f", F.col(rank), "file_name", F.col("page_start").cast("string"), F.col("page_end").cast("string"), "section_title", "chunk_id", "similarity").alias("citation"))
+
+
+def as_json(results: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: the results' columns as a JSON array in the order of rank."""
+    listed = results.agg(F.sort_array(F.collect_list(F.struct("rank", *columns))).alias("l"))
+    return listed.select(F.to_json("l").alias("json"))

@@ -53,6 +53,11 @@ def priorities(documents: DataFrame, limit: int = PRIORITIES) -> DataFrame:
     return rows.orderBy(F.desc("missing"), "doc_id").limit(limit)
 
 
+def shown_priorities(priorities_: DataFrame) -> DataFrame:
+    """Priorities as they are shown: with a dash for no name, and the share in per cent."""
+    return priorities_.select("doc_id", F.coalesce("file_name", F.lit("—")).alias("file_name"), "chunks", "embedded", "missing", F.round(100 * coverage(F.col("embedded"), F.col("chunks")), 1).alias("coverage_pct"), F.coalesce("noted", F.lit(0)).alias("noted"))
+
+
 def with_stage(documents: DataFrame) -> DataFrame:
     chunks, embedded = F.col("chunks"), F.col("embedded")
     return documents.withColumns({"stage": document_stage(chunks, embedded), "coverage_pct": F.round(100 * coverage(embedded, chunks), 1)})

@@ -44,6 +44,11 @@ def doc_priority_top25(spark, sf_dir):
     return rollup.priorities(_documents(spark, sf_dir)).select("doc_id", "chunks", "embedded", "missing")
 
 
+@query(with_(CHUNKS, DOCUMENTS) + "SELECT doc_id, file_name, chunks, embedded, chunks - embedded AS missing, round(100.0 * embedded / chunks, 1) coverage_pct, noted FROM docs WHERE doc_id IS NOT NULL AND chunks > embedded ORDER BY missing DESC, doc_id LIMIT 25")
+def shown_priorities(spark, sf_dir):
+    return rollup.shown_priorities(rollup.priorities(_documents(spark, sf_dir)))
+
+
 @query(with_(CHUNKS, DOCUMENTS) + "SELECT doc_id, CASE WHEN chunks <= 0 THEN 'Unknown' WHEN embedded >= chunks THEN 'Complete' WHEN embedded > 0 THEN 'Partial' ELSE 'Not started' END stage, round(100.0 * embedded / chunks, 1) coverage_pct FROM docs")
 def doc_stage(spark, sf_dir):
     return rollup.with_stage(_documents(spark, sf_dir)).select("doc_id", "stage", "coverage_pct")

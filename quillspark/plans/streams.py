@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..sources.store import shared_folder
@@ -15,16 +13,10 @@ REGISTRY = Registry()
 query = REGISTRY.query
 
 
-def _memory(spark, df, name: str, mode: str):
-    view = f"{name}_{uuid.uuid4().hex}"
-    events.run_once(df, view, mode, shared_folder(spark, name))
-    return spark.table(view)
-
-
-def _stored(spark, df, name: str):
-    """The rows of a stream that only appends, by way of a Parquet table: nothing passes the driver."""
+def _stored(spark, df, name: str, run):
+    """The rows that a stream leaves in a Parquet table."""
     path = shared_folder(spark, name)
-    events.run_to_parquet(df, path, shared_folder(spark, f"{name}-offsets"))
+    run(df, path, shared_folder(spark, f"{name}-offsets"))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -34,14 +26,14 @@ def _events(spark, sf_dir):
 
 @query("SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) window_start_us, event_type, count(*) n, round(sum(value), 2) total FROM events GROUP BY 1, 2")
 def events_tumbling(spark, sf_dir):
-    got = _memory(spark, events.tumbling(_events(spark, sf_dir)), "tumbling", "complete")
+    got = _stored(spark, events.tumbling(_events(spark, sf_dir)), "tumbling", events.run_whole)
     return got.select(F.unix_micros("window_start").alias("window_start_us"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
 @query("""WITH w AS (SELECT event_type, unnest([time_bucket(INTERVAL 12 HOUR, ts), time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 12 HOUR]) s FROM events)
 SELECT epoch_us(s) window_start_us, event_type, count(*) n FROM w GROUP BY 1, 2""")
 def events_sliding(spark, sf_dir):
-    got = _memory(spark, events.tumbling(_events(spark, sf_dir), slide="12 hours"), "sliding", "complete")
+    got = _stored(spark, events.tumbling(_events(spark, sf_dir), slide="12 hours"), "sliding", events.run_whole)
     return got.select(F.unix_micros("window_start").alias("window_start_us"), "event_type", "n")
 
 
@@ -49,7 +41,7 @@ def events_sliding(spark, sf_dir):
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) k FROM g)
 SELECT user_id, epoch_us(min(ts)) start_us, epoch_us(max(ts) + INTERVAL 2 HOUR) end_us, count(*) n FROM s GROUP BY user_id, k""")
 def events_session(spark, sf_dir):
-    got = _memory(spark, events.sessions(_events(spark, sf_dir), gap="2 hours"), "session", "complete")
+    got = _stored(spark, events.sessions(_events(spark, sf_dir), gap="2 hours"), "session", events.run_whole)
     return got.select("user_id", F.unix_micros("session_start").alias("start_us"), F.unix_micros("session_end").alias("end_us"), "n")
 
 
@@ -63,5 +55,5 @@ s AS (SELECT deployment, CAST(0 AS BIGINT) i, CAST(1 AS DOUBLE) req, CAST(10 AS
 SELECT deployment, round(r[i].ts, 6) ts, r[i].tokens tokens, CASE WHEN r[i].refused THEN 429 ELSE 200 END status, granted, round(wait, 4) wait, round(mul, 6) multiplier FROM s JOIN d USING (deployment) WHERE i > 0""")
 def quota_bucket(spark, sf_dir):
     rows = _events(spark, sf_dir).select(F.concat(F.lit("d"), F.pmod("user_id", F.lit(10)).cast("string")).alias("deployment"), (F.unix_micros("ts") / 1e6).alias("ts"), F.col("value").alias("tokens"), F.when(F.col("event_type") == "error", 429).otherwise(200).alias("status"))
-    got = _stored(spark, quota.throttle(rows, 0.02, 1.0, 10.0), "quota")
+    got = _stored(spark, quota.throttle(rows, 0.02, 1.0, 10.0), "quota", events.run_to_parquet)
     return got.select("deployment", F.round("ts", 6).alias("ts"), "tokens", "status", "granted", F.round("wait", 4).alias("wait"), F.round("multiplier", 6).alias("multiplier"))

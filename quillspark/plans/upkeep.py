@@ -177,3 +177,25 @@ def ingest_log(spark, sf_dir):
     contents = docs.select(key.alias("doc_id"), F.encode(F.when(F.pmod("doc_id", F.lit(6)) == 0, "").otherwise(F.col("text")), "utf-8").alias("content"))
     got = pipelines.ingest(found.drop("m"), contents, log, providers.PlainTextParser(), pipelines.Providers(providers.HashEmbedder(8)), 8, as_of())
     return got.log.join(found.where("m <> 1").select("doc_id"), "doc_id", "left_semi").select("doc_id", "status", "error_message", "pages_total")
+
+
+@query("SELECT o_orderkey, concat_ws(' · ', CASE WHEN o_orderkey % 2 = 0 THEN 'p' || o_orderkey % 5 END, CASE WHEN o_orderkey % 3 = 0 THEN 'Older job · target unlabeled' ELSE 's.t' || o_orderkey % 7 END, left(md5(CAST(o_orderkey AS VARCHAR)), 12), CASE WHEN o_custkey % 4 > 0 THEN 'pilot ≤' || format('{:,}', o_custkey % 4 * 1234) END) job_label FROM orders")
+def job_labels(spark, sf_dir):
+    o, key = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    m = lambda n: F.pmod(key, F.lit(n))
+    source = F.when(m(3) > 0, F.concat(F.lit("t"), m(7).cast("string")))
+    return o.select("o_orderkey", jobs.label(F.when(m(2) == 0, F.concat(F.lit("p"), m(5).cast("string"))), F.when(m(3) > 0, "s"), source, F.md5(key.cast("string")), F.pmod("o_custkey", F.lit(4)) * 1234).alias("job_label"))
+
+
+@query("SELECT o_orderkey doc_id FROM orders WHERE NOT (o_orderkey % 4 = 0 AND o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0)")
+def unlocked_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"))
+    m = lambda n: F.pmod("doc_id", F.lit(n)) == 0
+    until = F.when(m(5), as_of() - F.expr("interval 1 hour")).otherwise(as_of() + F.expr("interval 1 hour"))
+    return ledger.unlocked(docs, docs.where(m(4)).select("doc_id", F.when(m(3), "me").otherwise("other").alias("owner"), until.alias("until")), "me", as_of())
+
+
+@query(f"WITH {CHANGED}, {QUERY_ROW}, {TOP}, r AS (SELECT row_number() OVER (ORDER BY similarity DESC, vec_id) n, * FROM top) SELECT '[' || string_agg('{{\"rank\":' || n || ',\"chunk_id\":\"' || vec_id || '\",\"label\":' || label || '}}', ',' ORDER BY n) || ']' AS json FROM r".replace("{{", "{").replace("}}", "}"))
+def results_json(spark, sf_dir):
+    rows = _top(spark, sf_dir).select(F.row_number().over(Window.orderBy(F.desc("similarity"), "vec_id")).alias("rank"), F.col("vec_id").cast("string").alias("chunk_id"), "label")  # eight rows
+    return retrieval.as_json(rows, ["chunk_id", "label"])

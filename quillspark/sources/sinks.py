@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import csv_guard
 from ..functions.vectors import is_valid
+from .store import stored
 
 
 def ensure(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -96,11 +97,30 @@ def safe_csv(df: DataFrame) -> DataFrame:
     return df.select(*(csv_guard(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns))
 
 
-def foreach_upsert(path: str, key: list[str], update: list[str]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: upserts a batch into the table at a path. A batch that runs again changes nothing more."""
+#: The column that a table is partitioned by, to be changed in parts.
+BUCKET = "bucket"
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        table = batch.sparkSession.read.parquet(path)
-        replace(upsert(table, batch.dropDuplicates(key).select(*[c for c in table.columns if c in batch.columns]), key, update), path)
 
-    return write
+def bucketed(df: DataFrame, key: list[str], buckets: int) -> DataFrame:
+    """The rows with the bucket of their key, to be written partitioned by it."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+
+
+def upsert_into(path: str, rows: DataFrame, key: list[str], update: list[str], buckets: int = 0, now: Column | None = None) -> None:
+    """Upsert rows into the table at a path. Of a table of so many buckets only those that the rows
+    fall into are read and written; one without is replaced as a whole. Running again changes nothing more."""
+    table = rows.sparkSession.read.parquet(path)
+    rows = rows.dropDuplicates(key).select(*[c for c in table.columns if c in rows.columns and c != BUCKET])
+    if not buckets:
+        replace(upsert(table, rows, key, update, now), path)
+        return
+    rows = bucketed(rows, key, buckets)
+    touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())  # at most all buckets
+    if touched:
+        after = stored(upsert(table.where(F.col(BUCKET).isin(touched)), rows, [*key, BUCKET], update, now), "upsert")
+        after.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+
+
+def foreach_upsert(path: str, key: list[str], update: list[str], buckets: int = 0) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: upserts each batch into the table at a path."""
+    return lambda batch, batch_id: upsert_into(path, batch, key, update, buckets)

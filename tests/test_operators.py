@@ -138,6 +138,20 @@ def test_only_a_failed_write_runs_again():
     assert len(tries) == 6
 
 
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(1, 30)), max_size=60))
+def test_greedy_batches(spark, rows):
+    rows = [(g, i, t) for i, (g, t) in enumerate(rows)]
+    got = {(r["g"], r["o"]): r["batch"] for r in batching.greedy_batches(spark.createDataFrame(rows, "g long, o long, t long"), "g", "o", "t", 3, 25).collect()}
+    state = {}
+    for g, o, t in rows:
+        number, size, total = state.get(g, (0, 0, 0))
+        if size and (size == 3 or total + t > 25):
+            number, size, total = number + 1, 0, 0
+        state[g] = number, size + 1, total + t
+        assert got[g, o] == number
+
+
 def test_fatal_errors_are_raised():
     def provider(texts):
         raise batching.FatalProviderError("401", 401)
@@ -283,6 +297,14 @@ def test_sinks_and_files(spark, tmp_path):
     for _ in range(2):
         write(spark.createDataFrame([(2, "B", "y"), (3, "c", "y")], "id long, t string, s string"), 0)
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a", "x"), (2, "B", "x"), (3, "c", "y")]
+    parts = f"file://{tmp_path}/parts"
+    sinks.bucketed(spark.range(40).selectExpr("id", "'old' t"), ["id"], 8).write.partitionBy("bucket").parquet(parts)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "parts").rglob("*.parquet")}
+    for _ in range(2):
+        sinks.foreach_upsert(parts, ["id"], ["t"], 8)(spark.createDataFrame([(3, "new"), (99, "new")], "id long, t string"), 0)
+    got = {r["id"]: r["t"] for r in spark.read.parquet(parts).collect()}
+    assert got == {i: "old" for i in range(40)} | {3: "new", 99: "new"}
+    assert sum(p.exists() and p.stat().st_mtime_ns == n for p, n in before.items()) >= 6  # other buckets are as they were
     (tmp_path / "f").mkdir()
     (tmp_path / "f/a.PDF").write_bytes(b"1")
     (tmp_path / "f/b.txt").write_bytes(b"2")
