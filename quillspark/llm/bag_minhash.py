@@ -261,9 +261,15 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHING
     if not sketched.groupBy("doc_id").count().where("count > 1").isEmpty():
         members = members.dropDuplicates(["node"])
     links = links_within(members, _read, lambda a, b: overlaps(a, b) >= similar, block).select("a", "b")
-    of_node = materialize(heads.select("node", "bag", "doc_id", "copies").join(components(links), "node", "left").select("bag", F.coalesce("component", "node").alias("component"), "doc_id", "copies"), "classes")
-    named = join_hot(of_node, of_node.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n")), ["component"], "bag", "n").select("bag", "class_id", "copies")
-    same = join_hot(sketched.where("bag is not null").select("doc_id", "bag"), named, ["bag"], "doc_id", "copies").select("doc_id", "class_id")
+    # only multisets with links or copies have a class that is not their one row's id
+    found = materialize(components(links), "components")
+    linked = materialize(heads.select("node", "bag", "doc_id", "copies").join(found, "node"), "linked")
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    named = join_hot(linked, least, ["component"], "bag", "n").select("bag", "class_id", "copies")
+    copied = heads.where("copies > 1").join(found, "node", "left_anti").select("bag", F.col("doc_id").alias("class_id"), "copies")
+    classes = materialize(named.unionAll(copied), "classes")
+    every = join_hot(sketched.where("bag is not null").select("doc_id", "bag"), classes, ["bag"], "doc_id", "copies", how="left")
+    same = every.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     alone = sketched.where("bag is null").select("doc_id", F.col("doc_id").alias("class_id")).unionAll(docs.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id")))
     return same.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 

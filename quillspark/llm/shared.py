@@ -77,8 +77,8 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(by)
 
 
-def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, copies: str, salts: int = 16) -> DataFrame:
-    """Inner join with a table of distinct keys, of which ``copies`` says how many rows each has.
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, copies: str, salts: int = 16, how: str = "inner") -> DataFrame:
+    """Join with a table of distinct keys, of which ``copies`` says how many rows each has.
 
     Keys with over a ``HOT``-th of the rows, of which there are fewer than HOT
     (so their list may go to every task), are dealt to ``salts`` tasks each by a
@@ -89,7 +89,7 @@ def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, cop
     dealt = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts))).otherwise(0)).drop("_hot")
     last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(0).cast("long")
     every = table.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_hot")
-    return dealt.join(every, [*on, "_salt"]).drop("_salt")
+    return dealt.join(every, [*on, "_salt"], how).drop("_salt")
 
 
 def slices(batches, column: str = "text", most: int = SLICE_BYTES):
