@@ -77,8 +77,7 @@ def _ingest(spark: SparkSession, a: argparse.Namespace) -> dict:
     found = files.crawl(spark, root, extensions, with_hash=True, most=a.max_files).withColumn("readable", F.lit(True))
     if a.dry_run:
         return ledger.crawl_stats(ledger.decide(found, log, force=a.force)).first().asDict(recursive=True)
-    taken = log.where("false") if a.force else log
-    got = pipelines.ingest(found, files.contents(spark, root, found, extensions), taken, plug_in(a.parser), pipelines.Providers(plug_in(a.embedder)), a.dimensions, F.current_timestamp())
+    got = pipelines.ingest(found, files.contents(spark, root, found, extensions), log, plug_in(a.parser), pipelines.Providers(plug_in(a.embedder)), a.dimensions, F.current_timestamp(), force=a.force)
     chunks = sinks.ensure(spark, a.chunks, schema.CHUNKS)
     fresh = got.chunks.withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}).select(chunks.columns)
     sinks.replace(sinks.replace_documents(chunks, fresh, ["doc_id"]), a.chunks)

@@ -94,14 +94,14 @@ class Ingested:
     log: DataFrame
 
 
-def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callable, providers: Providers, dimensions: int, now: Column, limits: chunking.Limits = chunking.Limits(), calls: Calls = Calls()) -> Ingested:
-    """Chunks with vectors of the files that the log does not hold as done, and the log after them.
+def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callable, providers: Providers, dimensions: int, now: Column, limits: chunking.Limits = chunking.Limits(), calls: Calls = Calls(), force: bool = False) -> Ingested:
+    """Chunks with vectors of the files that the log does not hold as done (or of all, by force), and the log after them.
 
     ``files`` is metadata; ``contents`` (doc_id, content) is read only for what
     survives the decision. A file that cannot be parsed, has no chunk or gets
     no vector is logged as an error, and the others go on.
     """
-    wanted = stored(ledger.decide(files, log).where("should_process").select("doc_id", "file_name", "file_path", "file_hash", "file_size", "last_modified"), "wanted")
+    wanted = stored(ledger.decide(files, log, force=force).where("should_process").select("doc_id", "file_name", "file_path", "file_hash", "file_size", "last_modified"), "wanted")
     parsed = stored(pdf.parse(contents.join(wanted.select("doc_id"), "doc_id", "left_semi"), parser), "elements")
     toc = parsed.where("kind = 'toc'").select("doc_id", F.col("ordinal").alias("position"), F.col("text").alias("title"), "page")
     elements = analyse(parsed.where("error is null and kind <> 'toc'"))

@@ -99,6 +99,10 @@ def test_ingest_of_a_folder_and_of_a_file(spark, tmp_path, capsys):
     assert command.main(["ingest", "--file", f"file://{tmp_path}/in/a.txt", *tables]) == 0
     chunks = spark.read.parquet(f"file://{tmp_path}/chunks").collect()
     assert sorted(r["file_name"] for r in chunks) == ["a.txt", "b.txt"] and any("other words" in r["chunk_text"] for r in chunks)
+    capsys.readouterr()
+    assert command.main(["ingest", "--file", f"file://{tmp_path}/in/a.txt", *tables, "--dry-run"]) == 0
+    assert said(capsys)["to_process"] == 0
+    assert command.main(["ingest", "--file", f"file://{tmp_path}/in/a.txt", *tables, "--force"]) == 0
     assert command.main(["stats", "--log", f"file://{tmp_path}/log"]) == 0
     assert said(capsys) == {"SUCCESS": 2}
 
