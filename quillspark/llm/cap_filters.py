@@ -177,7 +177,7 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR, block: int = BLOC
     named = join_hot(of_node, of_node.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")), ["component"], "node", "n").select("node", "component_id")
     per_head = heads.select("label", "dim", "v", "node", "copies").join(counts, "node", "left").join(named, "node")
     per_head = per_head.select("label", "dim", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id", "copies")
-    linked = join_hot(usable, per_head, ["label", "dim", "v"], "vec_id", "copies").select("vec_id", "n_links", "component_id")
+    linked = join_hot(usable, per_head, ["label", "dim", "v"], "vec_id", "copies", small=0).select("vec_id", "n_links", "component_id")
     rest = _rows(vectors).where(~_is_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = linked.unionAll(rest)
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -18,6 +18,8 @@ SLICE_BYTES = 2 << 20
 ENCODE_BYTES = 3 << 20
 #: A key is hot if it has over this part of all rows.
 HOT = 1000
+#: Rows of some 100 bytes that may go to every task, counted before.
+SMALL_ROWS = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,14 +79,16 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(by)
 
 
-def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, copies: str, salts: int = 16, how: str = "inner") -> DataFrame:
+def join_hot(rows: DataFrame, table: DataFrame, on: list[str], salt_by: str, copies: str, salts: int = 16, how: str = "inner", small: int = SMALL_ROWS) -> DataFrame:
     """Join with a table of distinct keys, of which ``copies`` says how many rows each has.
 
-    Keys with over a ``HOT``-th of the rows, of which there are fewer than HOT
+    A table of at most ``small`` rows goes to every task. Of a larger one, keys with over a ``HOT``-th of the rows, of which there are fewer than HOT
     (so their list may go to every task), are dealt to ``salts`` tasks each by a
     hash of another column.
     """
-    total = table.agg(F.sum(copies)).first()[0] or 0
+    total, n = table.agg(F.coalesce(F.sum(copies), F.lit(0)), F.count(F.lit(1))).first()
+    if n <= small:
+        return rows.join(F.broadcast(table), on, how)
     hot = F.broadcast(table.where(F.col(copies) * HOT > total).select(*on, F.lit(True).alias("_hot")))
     dealt = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts))).otherwise(0)).drop("_hot")
     last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(0).cast("long")
