@@ -648,6 +648,15 @@ def test_op6_over_many_ranges(spark, monkeypatch):
     assert sorted(map(tuple, fingerprints.edited_likeness(docs).collect())) == whole and len(whole) == 90
 
 
+@pytest.mark.parametrize("small", [0, 100])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_with_hot_keys(spark, small, how):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(900, "alone")], "id long, k string")
+    table = rows.where("k <> 'alone'").groupBy("k").agg(F.count("id").alias("n"), F.min("id").alias("least"))
+    got = {r["id"]: r["least"] for r in shared.join_hot(rows, table, ["k"], "id", "n", how=how, small=small).collect()}
+    assert got == {i: 1 if i % 3 else i for i in range(300)} | ({900: None} if how == "left" else {})
+
+
 def test_components(spark):
     rng = np.random.default_rng(9)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 440)]
