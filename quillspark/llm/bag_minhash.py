@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .graph import BLOCK, components, links_within
 from .packed import pack, unpack
-from .shared import doc_rows, join_hot, materialize, slices
+from .shared import doc_rows, join_hot, materialize, slices, tidy
 from .words import Words, inside, mix, windows
 
 SHINGLE, BANDS, BAND_ROWS, SIMILAR = 5, 30, 4, 0.8
@@ -123,6 +123,7 @@ def band_keys(held: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def sketch(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """doc_id, bag (a digest of the multiset; null without words), weight and keys (of its bands)."""
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             n = batch.num_rows
@@ -146,6 +147,7 @@ def _digests(of: np.ndarray, h: np.ndarray, counts: np.ndarray, n: int) -> list[
 def _multisets(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, bag (its digest) and data (the packed multiset) of doc_id and text."""
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             of, h, counts = bags(batch.column(1), size)
@@ -199,6 +201,7 @@ def _by_twos(held: DataFrame) -> DataFrame:
     """Links (a, b) between groups that hold the same two bands, of group and keys (of a
     document's bands): one for each group and two bands, to the least group that holds them."""
 
+    @tidy
     def twos(batches):
         for batch in batches:
             groups, lists = batch.column(0).to_numpy(), batch.column(1)
@@ -215,6 +218,7 @@ def _by_twos(held: DataFrame) -> DataFrame:
                 part = both[start : start + (1 << 16)]
                 yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["two", "node"])
 
+    @tidy
     def links(batches):
         two = first = None  # of the run that is open
         for batch in batches:

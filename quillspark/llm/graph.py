@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, join_hot, materialize, parts_for
+from .shared import fresh_path, join_hot, materialize, parts_for, tidy
 
 #: Members and bytes of them that a block should have, unless told otherwise, and members a task sends.
 BLOCK, BLOCK_BYTES, TASK_MEMBERS = 256, 16 << 20, 20_000
@@ -114,6 +114,7 @@ def _name(folder: str, component: int, block: int) -> tuple:
 def _store(members: DataFrame, folder: str) -> DataFrame:
     """Write a file for each block, now: (component, block). A file is complete when it has its name."""
 
+    @tidy
     def run(batches):
         done = []
         for t in by_unit(batches, 2):
@@ -178,6 +179,7 @@ def links_within(members: DataFrame, read: Callable, near: Callable, block: int
     sizes = materialize(sizes.where("_n > 1").select("component", F.least(cuts, "_n").alias("_cuts"), "_n"), "sizes")
     parts = parts_for(members.sparkSession, members.count(), TASK_MEMBERS)
 
+    @tidy
     def whole(batches):
         for t in by_unit(batches, 1):
             ids, x = t["node"].to_numpy(), read(t)
@@ -203,6 +205,7 @@ def _large(members: DataFrame, read: Callable, near: Callable, block: int, count
     # the least block that a hash has filled is the pivot
     pivots = names.groupBy("component").agg(F.min("block").alias("pivot"))
 
+    @tidy
     def with_pivot(batches):
         known = pivot = None
         for component, b, p in (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)):
@@ -239,6 +242,7 @@ def _large(members: DataFrame, read: Callable, near: Callable, block: int, count
         units = units.select("component", "block", "all", "rest", F.explode(F.expr(f"sequence(0L, all - 1, {STRIP}L)")).alias("begin"))
         units = units.select("component", "block", "begin", F.least(F.col("begin") + STRIP, "all").alias("end"), "rest")
 
+    @tidy
     def compare(batches):
         for component, b, begin, end, rest in (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)):
             t = _load(folder, component, b)

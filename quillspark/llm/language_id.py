@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .packed import pack, unpack
 from .pieces import flat
-from .shared import doc_rows, materialize, slices
+from .shared import doc_rows, materialize, slices, tidy
 from .words import Words, mix
 
 BUCKET_BITS, LONGEST, SWITCH = 16, 4, 8.0
@@ -146,6 +146,7 @@ def learn(rows: DataFrame) -> Model:
     """Learn from rows of text and lang; those with a null in either are left out."""
     size = 1 << BUCKET_BITS
 
+    @tidy
     def count(batches):
         grams: dict[str, np.ndarray] = {}
         for batch in slices(batches):
@@ -168,6 +169,7 @@ def learn(rows: DataFrame) -> Model:
         if grams:
             yield pa.RecordBatch.from_arrays([pa.array(list(grams)), pa.array([pack([x], sorted_first=False) for x in grams.values()], pa.binary())], names=["lang", "counts"])
 
+    @tidy
     def merge(batches):
         total: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -222,6 +224,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score and spans (first word, number of words, language)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size for each language
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             pred, score, spans = label_texts(batch.column(1), sent.value)
@@ -234,6 +237,7 @@ def filter_rows(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
     """The rows, with all their columns, that have a language, of at least this share of their letters."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             text = batch.column(batch.schema.get_field_index("text"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pieces import PieceEncoder, spread
-from .shared import ENCODE_BYTES, doc_rows, materialize, parts_for, slices
+from .shared import ENCODE_BYTES, doc_rows, materialize, parts_for, slices, tidy
 
 CARRY, FAN_IN, PART_ROWS = 256, 8, 100_000
 #: A bin is nearly full, and closed, if at most this share of it is free.
@@ -49,6 +49,7 @@ def encoder_of(path: str) -> PieceEncoder:
 def pieces_of(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece."""
 
+    @tidy
     def run(batches):
         encoder = encoder_of(path)
         for batch in slices(batches, most=ENCODE_BYTES):
@@ -122,6 +123,7 @@ def _pack(rows: pa.Table, capacity: int, node: int, first: int, last: bool) -> t
 def _round(rows: DataFrame, capacity: int, level: int, last: bool) -> DataFrame:
     """Pack each partition by itself; ``node`` becomes a number of level and partition."""
 
+    @tidy
     def run(batches):
         held = list(batches)
         if sum(b.num_rows for b in held):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -111,6 +113,28 @@ def slices(batches, column: str = "text", most: int = SLICE_BYTES):
         yield batch.slice(start)
 
 
+def release() -> None:
+    """Give memory that is free back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """An Arrow function whose worker releases its memory after each task: workers live on
+    through other stages, beside the JVM of their executor."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def cuts_below(cuts: Column, value: Column, most: int) -> Column:
     """How many of at most ``most`` sorted cuts lie below a value, by halving."""
     ends = F.struct(F.lit(0).alias("lo"), F.array_size(cuts).alias("hi"))

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .packed import pack, unpack
-from .shared import doc_rows, fresh_path, materialize, parts_for, slices, with_id, without_id
+from .shared import doc_rows, fresh_path, materialize, parts_for, slices, tidy, with_id, without_id
 from .words import Words, inside, mix, windows
 
 WINDOW = 20
@@ -128,6 +128,7 @@ def store(docs: DataFrame) -> DataFrame:
     rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("rest")
     rows = doc_rows(docs, rest).withColumn("doc_id", with_id(F.col("doc_id")))
 
+    @tidy
     def run(batches):
         part = TaskContext.get().partitionId()
         for i, batch in enumerate(slices(batches)):
@@ -163,12 +164,14 @@ def _exchange(sent: DataFrame, ranges: int, reduce) -> tuple[str, int]:
     spark = sent.sparkSession
     folder, buckets = fresh_path(spark, "filed"), parts_for(spark, ranges, 8)
 
+    @tidy
     def answer(batches):
         rows = [row for batch in batches for row in batch.to_pylist()]
         if rows:
             out = [{"block": block, "kind": kind, "data": data} for block, kind, data in reduce(rows)]
             yield pa.RecordBatch.from_pylist(out, pa.schema([("block", pa.int64()), *list(SENT)[2:]]))
 
+    @tidy
     def file(batches):
         from pyarrow import fs
 
@@ -262,6 +265,7 @@ def sketch(stored: DataFrame, size: int, ranges: int, width_bits: int) -> tuple[
         def __init__(self, block: Block):
             self.id, self.places = block.id, block.anchors()[1]
 
+    @tidy
     def run(batches):
         for some in _gathered(map(Places, _blocks(batches, size)), lambda b: len(b.places)):
             places, group = np.concatenate([b.places for b in some]), some[0].id >> GROUP_BITS << GROUP_BITS
@@ -328,6 +332,7 @@ def repeats(stored: DataFrame, size: int, ranges: int, width_bits: int, sketched
         ends = np.flatnonzero(_runs(block[later])).tolist() + [len(later)] if len(later) else []
         return [x[order[first]] for x in (h, check, doc, block, n)], [(int(block[later[a]]), n[later[a:b]]) for a, b in zip(ends, ends[1:], strict=False)]
 
+    @tidy
     def run(batches):
         filed, often, group = Filed(sketched), None, None
 
@@ -369,6 +374,7 @@ def _kept(docs: DataFrame, size: int) -> DataFrame:
     width_bits = max(16, int(words * CELLS_PER_WORD).bit_length())
     starts = repeats(stored, size, ranges, width_bits, sketch(stored, size, ranges, width_bits))
 
+    @tidy
     def run(batches):
         filed = Filed(starts)
         for block in _blocks(batches, size):

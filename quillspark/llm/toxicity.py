@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import doc_rows, materialize, slices
+from .shared import doc_rows, materialize, slices, tidy
 from .words import Words, mix
 
 SAMPLE_ROWS = 200_000
@@ -239,6 +239,7 @@ def _words_seen(labelled: DataFrame) -> DataFrame:
     contexts, do not speak for each of its words again.
     """
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             read = Read(batch.column(0))
@@ -331,6 +332,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     lexicon = _lexicon(materialize(_words_seen(single), "words"))
     sent = spark.sparkContext.broadcast(lexicon)
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             x = features(batch.column(0), sent.value)
@@ -347,6 +349,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and predicted (1 from a score of one half on)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # what passed the test on a bounded sample
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             s = sent.value.scores(batch.column(1))
@@ -359,6 +362,7 @@ def filter_rows(docs: DataFrame, model: Model) -> DataFrame:
     """The rows, with all their columns, that are not called toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches):
         for batch in slices(batches):
             text = batch.column(batch.schema.get_field_index("text"))

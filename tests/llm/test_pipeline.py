@@ -1,5 +1,9 @@
 """The stages of the pipeline on the smallest tables, each against what its operator decides."""
 
+import os
+import subprocess
+import sys
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +98,36 @@ def test_stages_decide_as_plain_versions_do(spark):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_registered(name):
     assert callable(queries.QUERIES[name])
+
+
+HELD = """
+import ctypes, re, sys
+import numpy as np, pyarrow as pa
+from quillspark.llm import bag_minhash, language_id
+
+class Rows:  # hands out the function that a worker runs
+    columns = schema = None
+    def mapInArrow(self, run, schema):
+        return run
+
+def used():
+    return sum(map(int, re.findall(r"Pss_Anon: +(\\d+)", open("/proc/self/smaps_rollup").read()))) // 1024
+
+rng = np.random.default_rng(1)
+texts = [" ".join(map(str, rng.integers(0, 5000, 40_000))) for _ in range(20)]
+batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts)], names=["doc_id", "text"])
+run = bag_minhash._multisets(Rows(), 5)
+for _ in run([batch]):
+    pass
+held = used()
+pa.default_memory_pool().release_unused()
+ctypes.CDLL(None).malloc_trim(0)
+print(held - used())
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_a_worker_gives_its_memory_back():
+    """What is free after a task does not stay with a worker, which lives on beside its executor."""
+    out = subprocess.run([sys.executable, "-c", HELD], capture_output=True, text=True, check=True, cwd=os.path.dirname(corpus_pipeline.__file__))
+    assert int(out.stdout) < 10
