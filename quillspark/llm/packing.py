@@ -1,7 +1,7 @@
 """Hierarchical residual packing of documents into sequences of bounded length.
 
 Documents are encoded and cut into pieces of at most the capacity. Partitions
-pack their pieces best-fit, longest first, and close nearly full bins. What
+pack their pieces best-fit, longest first, and close full bins. What
 stays underfull goes up a merge tree, where whole bins are the items of the
 next best-fit round, until the root has closed the last ones.
 
@@ -9,10 +9,10 @@ Items of a round are dealt by their number, so that every partition sees the
 whole mix of lengths. Of any two bins that a round leaves, one is more than half
 full (else the later one's items had gone into the earlier one), so a node has
 at most one that can still go into another, and a merge needs one host for
-each. A node therefore sends on its ``CARRY`` emptiest bins and closes the
-fuller ones: on a way of L levels at most FAN_IN * L of them are filled, and as
-long as that is less than ``CARRY`` a bin that is closed is never missed, as an
-emptier one is at hand. So nodes stay small at every size, and no merge is lost.
+each. Above a node with L levels over it at most FAN_IN * L of its bins are
+filled, so it sends on its emptiest bins, ``CARRY`` or more than FAN_IN * L if
+that is more, and closes only fuller ones: a bin that is closed is never missed,
+as an emptier one is at hand. So nodes stay small at every size, and no merge is lost.
 
 Defined cases: a null or empty text is a piece with the end id alone; a text of
 any length is cut; strings of special tokens become their ids, as the library
@@ -34,9 +34,8 @@ from pyspark.sql import functions as F
 from .pieces import PieceEncoder, spread
 from .shared import ENCODE_BYTES, doc_rows, materialize, parts_for, slices, tidy
 
+#: CARRY is the least number of bins that a node sends on; it grows with the levels above.
 CARRY, FAN_IN, PART_ROWS = 256, 8, 100_000
-#: A bin is nearly full, and closed, if at most this share of it is free.
-NEARLY = 1 / 256
 
 
 @cache
@@ -100,8 +99,8 @@ ROW = ["doc_id", "piece", "start", "length", "ids_crc32", "node", "bin", "fill",
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, node long, bin long, fill long, offset long, closed boolean"
 
 
-def _pack(rows: pa.Table, capacity: int, node: int, first: int, last: bool) -> tuple[pa.Table, int]:
-    """One best-fit round over whole bins (at first: single pieces)."""
+def _pack(rows: pa.Table, capacity: int, node: int, first: int, above: int) -> tuple[pa.Table, int]:
+    """One best-fit round over whole bins (at first: single pieces); ``above`` is how many more follow."""
     get = lambda name: rows[name].to_numpy()
     order = np.lexsort([get(x) for x in ("ids_crc32", "piece", "doc_id", "offset", "bin", "node", "fill")])
     order = order[np.argsort(-get("fill")[order], kind="stable")]
@@ -111,23 +110,28 @@ def _pack(rows: pa.Table, capacity: int, node: int, first: int, last: bool) -> t
     item = np.cumsum(new) - 1
     into, at = best_fit(fill[new], capacity)
     filled = np.bincount(into, weights=fill[new]).astype(np.int64)
-    closed = filled >= capacity - int(capacity * NEARLY)
-    if last:
+    closed = filled >= capacity
+    if not above:
         closed[:] = True
-    elif (open_ := np.flatnonzero(~closed)).size > CARRY:
-        closed[open_[np.argsort(filled[open_], kind="stable")[CARRY:]]] = True
+    elif (open_ := np.flatnonzero(~closed)).size > (carry := max(CARRY, FAN_IN * above + 1)):
+        closed[open_[np.argsort(filled[open_], kind="stable")[carry:]]] = True
     columns = [rows[x] for x in ROW[:5]] + [pa.array(np.full(len(item), node)), pa.array(first + into[item]), pa.array(filled[into[item]]), pa.array(offset + at[item]), pa.array(closed[into[item]])]
     return pa.table(columns, names=ROW), first + len(filled)
 
 
-def _round(rows: DataFrame, capacity: int, level: int, last: bool) -> DataFrame:
+def _levels(parts: int) -> int:
+    """Rounds of the merge tree above so many nodes."""
+    return 0 if parts == 1 else 1 + _levels(-(-parts // FAN_IN))
+
+
+def _round(rows: DataFrame, capacity: int, level: int, above: int) -> DataFrame:
     """Pack each partition by itself; ``node`` becomes a number of level and partition."""
 
     @tidy
     def run(batches):
         held = list(batches)
         if sum(b.num_rows for b in held):
-            table, _ = _pack(pa.Table.from_batches(held), capacity, (level << 40) + TaskContext.get().partitionId(), 0, last)
+            table, _ = _pack(pa.Table.from_batches(held), capacity, (level << 40) + TaskContext.get().partitionId(), 0, above)
             yield from table.to_batches(max_chunksize=100_000)
 
     return rows.select(*ROW[:9]).mapInArrow(run, SCHEMA)
@@ -142,7 +146,7 @@ def pack(pieces: DataFrame, capacity: int, part_rows: int = PART_ROWS) -> DataFr
     items = pieces.withColumns({"node": F.lit(-1).cast("long"), "bin": F.monotonically_increasing_id(), "fill": F.col("length"), "offset": F.lit(0).cast("long")})
     rows, level, done = items.repartition(parts, "bin"), 0, []
     while True:
-        packed = materialize(_round(rows, capacity, level, parts == 1), "packed")
+        packed = materialize(_round(rows, capacity, level, _levels(parts)), "packed")
         done.append(packed.where("closed"))
         if parts == 1:
             break

@@ -229,6 +229,43 @@ def test_packing_tree_loses_no_merge(spark):
     assert len(rows) == len(sizes) and max(by.values()) <= 100 and len(by) == 40
 
 
+def test_packing_tree_fills_nearly_full_bins(spark):
+    """What one partition leaves goes into the last free place of another one's bins."""
+    for sizes in ([255, 1], [255, 255, 1], [254, 255, 2]):
+        pieces = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+        rows = packing.pack(pieces, 256, part_rows=1).collect()
+        assert len(rows) == len(sizes) and len({r["sequence_id"] for r in rows}) == len(sizes) - 1
+
+
+def test_packing_sends_on_as_many_bins_as_can_be_filled(monkeypatch):
+    """Many underfull bins and few places for them: as many sequences as if no bin were closed before the root."""
+    rng = np.random.default_rng(5)
+
+    def tree(leaves, capacity):
+        rows = []
+        for i, sizes in enumerate(leaves):
+            n = len(sizes)
+            at = np.arange(n)
+            rows.append(pa.table({"doc_id": at, "piece": pa.array(np.zeros(n), pa.int32()), "start": np.zeros(n, np.int64), "length": sizes, "ids_crc32": np.zeros(n, np.int64), "node": np.full(n, -1), "bin": at, "fill": sizes, "offset": np.zeros(n, np.int64)}))
+        level, done = 0, 0
+        while True:
+            out = [packing._pack(t, capacity, (level << 40) + i, 0, packing._levels(len(rows)))[0] for i, t in enumerate(rows) if t.num_rows]
+            for t in out:
+                done += len({(r["node"], r["bin"]) for r in t.filter(t["closed"]).select(["node", "bin"]).to_pylist()})
+            if len(rows) == 1:
+                return done
+            left = [t.filter(pa.compute.invert(t["closed"])) for t in out]
+            rows = [pa.concat_tables(left[i : i + packing.FAN_IN]) for i in range(0, len(left), packing.FAN_IN)]
+            level += 1
+
+    for _ in range(20):
+        leaves = [np.concatenate([rng.integers(51, 101, rng.integers(5, 60)), rng.integers(1, 51, 1)]).astype(np.int64) for _ in range(70)]
+        monkeypatch.setattr(packing, "CARRY", 1)  # only what the levels above ask for
+        few = tree(leaves, 100)
+        monkeypatch.setattr(packing, "CARRY", 10**9)
+        assert few == tree(leaves, 100)
+
+
 def removed(texts, size):
     seen, out = set(), {}
     for i in sorted(texts):
