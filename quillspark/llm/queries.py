@@ -15,6 +15,8 @@ from .oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 SHARDS, SEQUENCE = 24, 2048
+#: Conversations open as the first of each 20 does, by 0 to 3 turns.
+OPENING_PERIOD, OPENING_KINDS = 20, 4
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +95,29 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judge
+
+    got = judge(_table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import compress, digest, with_label_error
+
+    codes, books = compress(_table(spark, sf_dir, "embeddings"))
+    named = F.lit(None if books is None else digest(books)).cast("string")
+    return with_label_error(codes).select("vec_id", "code", "error", "label_error", named.alias("codebooks_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import numbered, trie, with_openings
+    from .shared import materialize
+
+    turns = materialize(numbered(_table(spark, sf_dir, "conversations")), "turns")
+    return trie(with_openings(turns, OPENING_PERIOD, OPENING_KINDS)).drop("digest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_byte_bpe": op2_byte_bpe,
@@ -104,4 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cap_filters": op8_cap_filters,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_bag_minhash": op10_bag_minhash,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_prefix_trie": op13_prefix_trie,
 }
