@@ -46,9 +46,9 @@ WINDOW = 5
 #: Fixed values of the base rules: least words, and percent of words in repeated windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 SYMBOLS = b"#*$%&|<>"
-#: Texts counted for and against each rule on good texts before any has voted, and on bad ones.
+#: Good and bad texts, and right and wrong votes on bad ones, counted before any is seen.
 PRIOR, PRIOR_BAD = (9.0, 1.0), (1.0, 1.0)
-#: The claimed share of right votes on good texts; it counts as often as the data.
+#: The claimed share of right votes on good texts; it counts as often as the data (and PRIOR).
 SPARES = 0.99
 ROUNDS, KEEP = 200, 0.5
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words", "n_bare_words", "n_upper", "n_lower", "n_stops"]
@@ -230,7 +230,7 @@ def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, spares: flo
         last = np.concatenate([[share], good, bad])
         share = (on.sum() + PRIOR[0]) / (counts.sum() + sum(PRIOR))
         right, wrong = on @ plus, on @ minus
-        good = (right + spares * (right + wrong) + PRIOR[0]) / (2 * (right + wrong) + sum(PRIOR))
+        good = (right + spares * (right + wrong + sum(PRIOR))) / (2 * (right + wrong) + sum(PRIOR))
         right, wrong = off @ minus, off @ plus
         bad = np.maximum((right + PRIOR_BAD[0]) / (right + wrong + sum(PRIOR_BAD)), 1 - good)  # no rule is worse than chance
         if np.abs(np.concatenate([[share], good, bad]) - last).max() < 1e-9:
