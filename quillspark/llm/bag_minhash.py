@@ -14,18 +14,17 @@ multisets themselves:
 
 * documents with equal multisets collapse to the first one beforehand, by a
   grouped minimum (so no group of copies, however large, meets in a task),
-* documents that share two bands or more are candidates, and the components of
-  all such pairs are the candidate groups. A first round contracts the stars
-  around the first one of each band that share two bands with it. What two
-  groups of that round may still have in common are bands with members of
-  several groups; in the second round, documents meet by each two such bands
-  that they hold,
-* within a group similarities are computed exactly, in pairs of blocks of
-  bounded size, until all pairs of documents that no links join yet have been
-  compared (``graph.links_within``).
-
-With 30 bands of 4 registers a pair at the threshold of 0.8 shares fewer than
-two bands with probability 3e-6.
+* documents that share a band are candidates if their registers agree as well: of
+  the ``bands * rows`` registers, of which a sketch keeps 4 bits each, a pair
+  at the threshold differs in at most ``registers_apart``. So pages that share a
+  template, and thus many bands, are not chained into one group
+  (``graph.candidate_groups``), unless their similarity comes close to the threshold,
+* within a group similarities are computed exactly, of pairs whose sketches
+  agree in the same way, in pairs of blocks of bounded size, until all pairs of
+  documents that no links join yet have been compared (``graph.links_within``).
+
+With 30 bands of 4 registers a pair at the threshold of 0.8 shares no band with
+probability 1.3e-7, and differs in more registers with 1e-6.
 
 Defined cases: a null text or one without words is in a class of its own; a
 text of fewer than five words is one shingle, one of any length is compared
@@ -44,14 +43,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .graph import BLOCK, components, links_within
+from .graph import BLOCK, candidate_groups, components, links_within, words_apart
 from .packed import pack, unpack
 from .shared import doc_rows, join_hot, materialize, slices, tidy
 from .words import Words, inside, mix, windows
 
 SHINGLE, BANDS, BAND_ROWS, SIMILAR = 5, 30, 4, 0.8
+#: Bits of a register in a sketch, and standard deviations of their differences that a near pair may be off.
+SKETCH_BITS, DEVIATIONS = 4, 5
 #: Elements that are compared at a time.
 COLUMNS = 4096
+#: Share of a block's pairs with agreeing sketches from which all of them are compared at once.
+DENSE = 0.05
 _TAG = 0xD6E8FEB86659FD93
 
 
@@ -120,20 +123,41 @@ def band_keys(held: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sketches(held: np.ndarray) -> np.ndarray:
+    """Some bits of each register, 16 registers to a 64-bit word."""
+    bits = mix(held.view(np.uint64)) & np.uint64((1 << SKETCH_BITS) - 1)
+    each = 64 // SKETCH_BITS
+    padded = np.zeros((len(bits), -(-bits.shape[1] // each) * each), np.uint64)
+    padded[:, : bits.shape[1]] = bits
+    shifts = (np.arange(each) * SKETCH_BITS).astype(np.uint64)
+    return (padded.reshape(len(bits), -1, each) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def registers_apart(similar: float, registers: int) -> int:
+    """Registers of a sketch in which a pair with this similarity differs at most."""
+    share = (1 - similar) * (1 - 0.5**SKETCH_BITS)
+    return int(np.ceil(registers * share + DEVIATIONS * np.sqrt(registers * share * (1 - share)))) + 1
+
+
 def sketch(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """doc_id, bag (a digest of the multiset; null without words), weight and keys (of its bands)."""
+    """doc_id, bag (a digest of the multiset; null without words), weight, keys (of its bands) and sketch."""
 
     @tidy
     def run(batches):
         for batch in slices(batches):
             n = batch.num_rows
             of, h, counts = bags(batch.column(1), size)
-            keys = band_keys(signatures(of, h, counts, n, bands * rows), bands, rows)
+            held = signatures(of, h, counts, n, bands * rows)
+            keys, bits = band_keys(held, bands, rows), sketches(held)
             digest = _digests(of, h, counts, n)
             weight = np.bincount(of, weights=counts, minlength=n).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(weight), pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(keys.reshape(-1)))], names=["doc_id", "bag", "weight", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), pa.array(weight), _lists(keys), _lists(bits)], names=["doc_id", "bag", "weight", "keys", "sketch"])
+
+    return doc_rows(docs).mapInArrow(run, "doc_id long, bag binary, weight long, keys array<long>, sketch array<long>")
 
-    return doc_rows(docs).mapInArrow(run, "doc_id long, bag binary, weight long, keys array<long>")
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.reshape(-1)))
 
 
 def _digests(of: np.ndarray, h: np.ndarray, counts: np.ndarray, n: int) -> list[bytes | None]:
@@ -197,59 +221,29 @@ def overlaps(a: list[tuple[np.ndarray, np.ndarray]], b: list[tuple[np.ndarray, n
     return common / (weight_a[:, None] + weight_b[None, :] - common)
 
 
-def _by_twos(held: DataFrame) -> DataFrame:
-    """Links (a, b) between groups that hold the same two bands, of group and keys (of a
-    document's bands): one for each group and two bands, to the least group that holds them."""
+def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Multiset Jaccard similarity of two sorted multisets."""
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    both = b[0][at] == a[0]
+    common = int(np.minimum(a[1][both], b[1][at[both]]).sum())
+    return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
-    @tidy
-    def twos(batches):
-        for batch in batches:
-            groups, lists = batch.column(0).to_numpy(), batch.column(1)
-            ends = lists.offsets.to_numpy()
-            keys = lists.values.to_numpy().view(np.uint64)
-            out, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for g, a, b in zip(groups, ends, ends[1:], strict=False):
-                k = np.sort(keys[a:b])
-                i, j = np.triu_indices(len(k), 1)
-                out.append((mix(k[i]) ^ k[j]).view(np.int64))
-                of.append(np.full(len(i), g))
-            both = np.unique(np.stack([np.concatenate(out), np.concatenate(of)], axis=1), axis=0)
-            for start in range(0, len(both), 1 << 16):
-                part = both[start : start + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["two", "node"])
 
-    @tidy
-    def links(batches):
-        two = first = None  # of the run that is open
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            twos_, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            new = np.concatenate([[two is None or twos_[0] != two], twos_[1:] != twos_[:-1]])
-            run = np.cumsum(new)
-            to = np.concatenate([[node[0] if first is None else first], node[new]])[run]
-            two, first = twos_[-1], to[-1]
-            both = np.unique(np.stack([node, to], axis=1)[node != to], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
-
-    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = held.mapInArrow(twos, "two long, node long").repartition(parts, "two").sortWithinPartitions("two", "node")
-    return met.mapInArrow(links, "a long, b long").distinct()
-
-
-def _groups(heads: DataFrame) -> DataFrame:
-    """node and component of all that share two bands or more with another, of node and keys."""
-    members = heads.select("node", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b")).where("n > 1").select("key", "b")
-    dealt = materialize(members.join(shared, "key"), "bands")
-    stars = dealt.where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    first = materialize(components(stars), "groups")
-    # two documents of different groups that share two bands: both bands have members of several groups
-    named = materialize(dealt.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "named")
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    held = named.join(mixed, "key").groupBy("node", "component").agg(F.collect_list("key").alias("keys")).where("size(keys) > 1")
-    more = materialize(_by_twos(held.select("component", "keys")), "links")
-    return first if more.isEmpty() else components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+def near_bags(limit: int, similar: float):
+    """Which pairs of two blocks (sketches, multisets) are near: those with agreeing sketches are compared exactly."""
+    _, apart = words_apart(SKETCH_BITS)
+
+    def near(a, b) -> np.ndarray:
+        hits = apart(a[0], b[0]) <= limit
+        if hits.mean() > DENSE:
+            i, j = np.flatnonzero(hits.any(axis=1)), np.flatnonzero(hits.any(axis=0))
+            hits[np.ix_(i, j)] &= overlaps([a[1][x] for x in i], [b[1][x] for x in j]) >= similar
+        else:
+            for i, j in np.argwhere(hits):
+                hits[i, j] = similarity(a[1][i], b[1][j]) >= similar
+        return hits
+
+    return near
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE, bands: int = BANDS, rows: int = BAND_ROWS, block: int = BLOCK) -> DataFrame:
@@ -257,14 +251,16 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHING
     docs = doc_rows(docs)
     sketched = materialize(sketch(docs.where("doc_id is not null"), size, bands, rows), "sketches")
     # a number for each different multiset, as rows may share an id
-    heads = sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id())
+    heads = sketched.where("bag is not null").groupBy("bag").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("copies")).withColumn("node", F.monotonically_increasing_id())
     heads = materialize(heads, "heads")
-    groups = materialize(_groups(heads.select("node", "keys")).join(heads.select("node", "doc_id", "bag"), "node"), "groups")
+    limit = registers_apart(similar, bands * rows)
+    found = candidate_groups(heads.select("node", "keys", "sketch"), limit, SKETCH_BITS)
+    groups = materialize(found.join(heads.select("node", "doc_id", "bag", "sketch"), "node"), "groups")
     multisets = _multisets(docs.join(groups.select("doc_id"), "doc_id", "left_semi"), size)
-    members = multisets.join(groups, ["doc_id", "bag"]).select("component", "node", F.octet_length("data").cast("long").alias("bytes"), "data")
+    members = multisets.join(groups, ["doc_id", "bag"]).select("component", "node", F.octet_length("data").cast("long").alias("bytes"), "sketch", "data")
     if not sketched.groupBy("doc_id").count().where("count > 1").isEmpty():
         members = members.dropDuplicates(["node"])
-    links = links_within(members, _read, lambda a, b: overlaps(a, b) >= similar, block).select("a", "b")
+    links = links_within(members, _read, near_bags(limit, similar), block).select("a", "b")
     # only multisets with links or copies have a class that is not their one row's id
     found = materialize(components(links), "components")
     linked = materialize(heads.select("node", "bag", "doc_id", "copies").join(found, "node"), "linked")
@@ -278,5 +274,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, size: int = SHING
     return same.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
-def _read(t: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-    return [tuple(unpack(x)) for x in t["data"].to_pylist()]
+def _read(t: pa.Table) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    bits = t["sketch"].combine_chunks()
+    own = bits.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(bits), -1)
+    return own, [tuple(unpack(x)) for x in t["data"].to_pylist()]

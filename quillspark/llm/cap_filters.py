@@ -7,17 +7,20 @@ choice of one code per block is a filter. So a few thousand codes span
 millions of filters, and a vector is decoded to the list of all filters that
 it exceeds a threshold with by combining block scores, best first, under a
 bound on what the blocks to come can add. The number of filters follows the
-number of vectors, so that unrelated vectors rarely share one. A vector that
+number of vectors, so that a vector shares filters with some few unrelated ones
+only. A vector that
 exceeds too few filters lowers its own threshold until it has enough. Both
 numbers grow with the logarithm of the vectors, which keeps the share of near
 pairs without a common filter level.
 
-Vectors that share a filter are candidates. They are joined as stars with the
-first vector of each filter, and the components of these stars hold every
-candidate pair. Within a component all cosines are computed in double
-precision, in blocks of bounded size (``graph.links_within``): each vector gets
-a count of its links, and links between what is not joined yet are returned,
-never pairs.
+Vectors that share a filter are candidates if their signs along random
+directions agree, too: of ``SIGNS`` signs a pair at the threshold has at most
+``signs_apart`` different ones (but for one pair in a thousand million), which
+unrelated vectors, or those with a common offset, do not come near. So what chains
+into a group are close vectors, not all that meet in some filter. Within a
+group cosines are computed in double precision, in blocks of
+bounded size (``graph.links_within``): each vector gets a count of its links,
+and links between what is not joined yet are returned, never pairs.
 
 Defined cases: null labels, null or zero vectors and vectors with null or
 non-finite components have no links; vectors of different lengths are not
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components, links_within
+from .graph import candidate_groups, components, links_within
 from .shared import join_hot, materialize, parts_for
 
 SIMILAR = 0.98
@@ -48,6 +51,8 @@ LISTED, LEAST, SMALL, MORE = 24, 14, 5000, (5, 4)
 BLOCK = 1024
 #: Filters for each one that a vector of the largest label lists: unrelated vectors then share one with few others.
 FILTERS_PER_LISTED = 32
+#: Signs that a vector is sketched by, and standard deviations of their number that a near pair may be off.
+SIGNS, DEVIATIONS = 256, 7
 #: Rows that one task decodes.
 TASK_ROWS = 50_000
 
@@ -112,8 +117,25 @@ def filters_of(x: np.ndarray, blocks: int, size: int, listed: int = LISTED, leas
     return out
 
 
+@cache
+def directions(dim: int) -> np.ndarray:
+    return np.random.default_rng([dim, SIGNS]).standard_normal((dim, SIGNS))
+
+
+def signs(x: np.ndarray) -> np.ndarray:
+    """The signs of each vector along random directions, as rows of 64-bit words."""
+    return np.packbits(x @ directions(x.shape[1]) > 0, axis=1).view(np.int64)
+
+
+def signs_apart(similar: float) -> int:
+    """Different signs that a pair at this cosine has at most."""
+    share = np.arccos(max(-1.0, min(1.0, similar))) / np.pi
+    return int(np.ceil(SIGNS * share + DEVIATIONS * np.sqrt(SIGNS * share * (1 - share)))) + 1
+
+
 def _unit(column) -> np.ndarray:
     x = np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components would not hold
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -133,7 +155,7 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _listed(heads: DataFrame, blocks: int, size: int, listed: int, least: int) -> DataFrame:
-    """node and key (label, dimension and filter) for every filter of every vector."""
+    """node, keys (of label, dimension and filter, for every filter that it exceeds) and sketch (its signs) of every vector."""
 
     def run(batches):
         for batch in batches:
@@ -142,12 +164,16 @@ def _listed(heads: DataFrame, blocks: int, size: int, listed: int, least: int) -
                 rows = batch.filter(pa.array(dims == dim))
                 for start in range(0, rows.num_rows, 512):
                     part = rows.slice(start, 512)
-                    found = filters_of(_unit(part.column(3)), min(blocks, int(dim)), size, listed, least)
-                    counts = np.fromiter(map(len, found), np.int64, len(found))
-                    at = pa.array(np.repeat(np.arange(len(found)), counts))
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), part.column(2).take(at), pa.array(np.concatenate(found))], names=["node", "dim", "label", "filter"])
+                    x = _unit(part.column(3))
+                    found = filters_of(x, min(blocks, int(dim)), size, listed, least)
+                    ends = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+                    own = signs(x)
+                    arrays = [part.column(0), part.column(1), part.column(2), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found))), pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * own.shape[1], pa.int32()), pa.array(own.reshape(-1)))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["node", "dim", "label", "filters", "sketch"])
 
-    return heads.select("node", "dim", "label", "v").mapInArrow(run, "node long, dim int, label string, filter long")
+    found = heads.select("node", "dim", "label", "v").mapInArrow(run, "node long, dim int, label string, filters array<long>, sketch array<long>")
+    # hashes that coincide bring some more vectors together, none apart
+    return found.select("node", F.transform("filters", lambda f: F.xxhash64("label", "dim", f)).alias("keys"), "sketch")
 
 
 def _read(t: pa.Table) -> np.ndarray:
@@ -165,10 +191,7 @@ def near_vectors(vectors: DataFrame, similar: float = SIMILAR, block: int = BLOC
     blocks, size = shape(most[0] or 1, most[1] or 1)
     parts = parts_for(spark, heads.count(), TASK_ROWS)
     listed = materialize(_listed(heads.repartition(parts), blocks, size, *listing(most[0] or 1)), "filters")
-    key = ["label", "dim", "filter"]
-    first = listed.groupBy(*key).agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    stars = listed.join(first, key).where("node <> b").select(F.col("node").alias("a"), "b")
-    groups = materialize(components(stars), "groups")
+    groups = materialize(candidate_groups(listed, signs_apart(similar)), "groups")
     members = heads.join(groups, "node").select("component", "node", (8 * F.col("dim")).cast("long").alias("bytes"), "copies", "v")
     found = materialize(links_within(members, _read, lambda a, b: a @ b.T >= similar, block, count=True), "links")
     joined = components(found.where("b is not null").select("a", "b"))

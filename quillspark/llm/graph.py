@@ -22,6 +22,13 @@ they compare:
 
 So every pair of different labels is compared, while rows stay in proportion
 to the members: tasks return links between labels, and a count for each member.
+
+``candidate_groups`` makes the groups, of nodes with keys in common. A common
+key alone joins nothing: sketches of some bytes must agree as well, so that
+boilerplate or a common direction does not chain all of a key's nodes together.
+Each node is compared with the first one of each of its keys in Spark; only
+keys where that leaves somebody out go through ``links_within``, with the
+sketches as what is compared.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import fresh_path, join_hot, materialize, parts_for, tidy
@@ -104,6 +111,61 @@ def by_unit(batches, keys: int):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def words_apart(fold: int = 1) -> tuple[Callable, Callable]:
+    """How many places of two sketches differ, as a column of two arrays of 64-bit words and as a
+    matrix of two arrays of rows of them. A place has ``fold`` bits (1, 2 or 4)."""
+    mask = {1: 0xFFFFFFFFFFFFFFFF, 2: 0x5555555555555555, 4: 0x1111111111111111}[fold]
+    signed = mask - (1 << 64) if mask >> 63 else mask
+
+    def column(a: Column, b: Column) -> Column:
+        def word(x: Column) -> Column:
+            for shift in (1, 2)[: fold.bit_length() - 1]:
+                x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+            return F.bit_count(x.bitwiseAND(F.lit(signed).cast("long")))
+
+        return F.aggregate(F.zip_with(a, b, lambda x, y: word(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+
+    def matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        total = np.zeros((len(a), len(b)), np.int16)
+        for x, y in zip(a.T, b.T, strict=True):
+            z = x[:, None] ^ y[None, :]
+            for shift in (1, 2)[: fold.bit_length() - 1]:
+                z |= z >> np.uint64(shift)
+            total += np.bitwise_count(z & np.uint64(mask))
+        return total
+
+    return column, matrix
+
+
+#: Sketches that are compared with each other at a time.
+SKETCHES = 1024
+
+
+def candidate_groups(sketches: DataFrame, limit: int, fold: int = 1, block: int = SKETCHES) -> DataFrame:
+    """node and component of nodes that are joined by pairs with a key in common and sketches that
+    differ in at most ``limit`` places, of node, keys and sketch (arrays of longs)."""
+    apart, apart_matrix = words_apart(fold)
+    members = sketches.select("node", "sketch", F.explode("keys").alias("key"))
+    firsts = members.groupBy("key").agg(F.min(F.struct("node", "sketch")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = join_hot(members, materialize(firsts, "firsts"), ["key"], "node", "n")
+    near = apart(F.col("sketch"), F.col("first.sketch")) <= limit
+    met = materialize(met.select("key", "node", "n", F.col("first.node").alias("b"), near.alias("near")), "met")
+    links = met.where("near and node <> b").select(F.col("node").alias("a"), "b").distinct()
+    # where somebody is not near the first one, the others may be
+    open_keys = materialize(met.where("not near and n > 2").groupBy("key").agg(F.max("n").alias("n")), "open-keys")
+    if not open_keys.isEmpty():
+        several = join_hot(met.select("key", "node"), open_keys, ["key"], "node", "n").select(F.col("key").alias("component"), "node")
+        several = several.join(sketches.select("node", "sketch"), "node").withColumn("bytes", 8 * F.size("sketch").cast("long"))
+
+        def read(t: pa.Table) -> np.ndarray:
+            column = t["sketch"].combine_chunks()
+            return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(column), -1)
+
+        found = links_within(several, read, lambda a, b: apart_matrix(a, b) <= limit, block)
+        links = links.unionAll(found.select("a", "b"))
+    return components(links)
+
+
 def _name(folder: str, component: int, block: int) -> tuple:
     from pyarrow import fs
 

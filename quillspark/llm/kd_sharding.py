@@ -13,9 +13,11 @@ is bounded by the number of shards and never depends on the rows.
 The key of a dimension carries the dimension's value in its high bits, then
 (for strings, of which only the first bytes after the table's common prefix
 are ordered) a hash of the whole value, and a hash of text and id in its low
-ones. So different values stay apart, one value that holds a third of all rows
-(a hot source) is cut where the bytes ask for it, and equal texts stay side by
-side unless a cut must pass through their group. Dimensions are the source,
+ones. So different values stay apart, and one value that holds a third of all rows
+(a hot source) is cut where the bytes ask for it. The rows of one text all take the
+metadata and the id of the least of them if they have at most ``TOGETHER`` of a
+shard's bytes; so they have one key and one shard, and a shard is off by some parts
+of that. A larger group is cut like any rows. Dimensions are the source,
 the language, the length and the id; width is measured in parts of the whole
 table's range, and ties go to the first.
 
@@ -36,11 +38,13 @@ import os.path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import materialize, parts_for
+from .shared import join_hot, materialize, parts_for
 
 BINS = 1024
 #: A cut is near enough if what it can still move is this part of a shard.
 NEAR = 1 / 2000
+#: Rows of one text that have at most this part of a shard's bytes stay in one shard.
+TOGETHER = 1 / 20
 SLOT_ROWS = 200_000
 DIMENSIONS = ("d_source", "d_lang", "d_length", "d_id")
 KEYS = [f"k_{d}" for d in DIMENSIONS]
@@ -64,11 +68,21 @@ def slim(docs: DataFrame, size: Column) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         size.cast("long").alias("size"),
         F.crc32(F.encode(text, "utf-8")).alias("text_crc32"),
+        F.xxhash64(text).alias("text_hash"),
         string("source").alias("d_source"),
         string("lang").alias("d_lang"),
         F.length(text).cast("long").alias("d_length"),
     )
-    return rows.withColumn("d_id", F.col("doc_id"))
+    return rows.withColumn("d_id", F.col("doc_id")).withColumn("tie_id", F.col("doc_id"))
+
+
+def tied(rows: DataFrame, most_bytes: float) -> DataFrame:
+    """Rows of slim, where those of one text that have at most so many bytes in all have the metadata and id of the least."""
+    same, taken = ["text_hash", "size"], [*DIMENSIONS, "tie_id"]
+    groups = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", *taken)).alias("least")).where("n > 1")
+    met = join_hot(rows, materialize(groups, "kd-groups"), same, "doc_id", "n", how="left")
+    few = F.col("n") * F.col("size") <= most_bytes
+    return met.select("doc_id", "size", "text_crc32", *[F.when(few, F.col(f"least.{c}")).otherwise(F.col(c)).alias(c) for c in taken])
 
 
 def _keys(rows: DataFrame) -> DataFrame:
@@ -78,7 +92,7 @@ def _keys(rows: DataFrame) -> DataFrame:
     skip = {d: len(os.path.commonprefix([(ends[f"{d}{n}"] or "").encode() for n in (0, 1)])) for d in strings}
     rows = rows.withColumns({f"n_{d}": _number(F.col(d), skip[d]) if d in strings else F.col(d) for d in DIMENSIONS})
     ends = rows.agg(*[f(f"n_{d}").alias(f"{d}{n}") for d in DIMENSIONS for f, n in ((F.min, 0), (F.max, 1))]).first()
-    of_text, of_id = F.shiftrightunsigned(F.col("text_crc32"), 12), F.xxhash64("doc_id")
+    of_text, of_id = F.shiftrightunsigned(F.col("text_crc32"), 12), F.xxhash64("tie_id")
     out = {}
     for d in DIMENSIONS:
         lo, hi = ends[f"{d}0"] or 0, ends[f"{d}1"] or 0
@@ -161,15 +175,17 @@ def number_rows(rows: DataFrame, group: str, order: list[str], name: str) -> Dat
     return numbered.join(starts, [group, "_bucket"]).withColumn(name, (F.col("_start") + F.col("_row") - 1).cast("long")).drop("_bucket", "_start", "_row")
 
 
-def shard(docs: DataFrame, shards: int = 0, target_bytes: int = 0, near: float = NEAR) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 0, target_bytes: int = 0, near: float = NEAR, together: float = TOGETHER) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot: near-equal bytes in each shard.
 
     Give the number of shards, or the bytes that a leaf should have. ``near``
-    is the part of a shard that a cut may leave on the wrong side (0: none).
+    is the part of a shard that a cut may leave on the wrong side (0: none),
+    ``together`` the part of a shard up to which equal texts are not parted.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 8
-    rows = materialize(_keys(materialize(slim(docs, size), "kd-slim")), "kd-keys")
+    rows = materialize(slim(docs, size), "kd-slim")
     total = rows.agg(F.sum("size")).first()[0] or 0
     shards = shards or max(1, -(-total // max(1, target_bytes)))
+    rows = materialize(_keys(materialize(tied(rows, together * total / shards), "kd-tied") if together else rows), "kd-keys")
     dealt = _dealt(rows, shards if total else 1, total / shards, near)
     return number_rows(dealt, "shard", ["doc_id", "text_crc32"], "slot")

@@ -33,11 +33,13 @@ from pyspark.sql import functions as F
 
 from .packed import pack, unpack
 from .pieces import flat
-from .shared import doc_rows, materialize, slices, tidy
+from .shared import SLICE_BYTES, doc_rows, materialize, slices, tidy
 from .words import Words, mix
 
 BUCKET_BITS, LONGEST, SWITCH = 16, 4, 8.0
 FAN_IN = 64
+#: Languages whose scores are looked up at a time; with more of them, slices of texts are smaller.
+FEW = 16
 #: A language is a candidate for a script that at least this share of its words has.
 USES = 0.005
 #: First code points of runs of scripts; fixed values of Unicode's blocks.
@@ -99,9 +101,10 @@ class Model:
         """Scores of words by language, the best candidate at 0; zero for all without letters."""
         out = np.zeros((len(vocabulary.letters), len(self.languages)))
         for buckets, counts in vocabulary.grams():
-            sums = np.concatenate([np.zeros((1, out.shape[1])), np.cumsum(self.scores[buckets], axis=0)])
             ends = np.cumsum(counts)
-            out += sums[ends] - sums[ends - counts]
+            for at in range(0, out.shape[1], FEW):
+                sums = np.concatenate([np.zeros((1, out[:1, at : at + FEW].shape[1])), np.cumsum(self.scores[buckets, at : at + FEW], axis=0)])
+                out[:, at : at + FEW] += sums[ends] - sums[ends - counts]
         able = self.candidates[vocabulary.scripts()] if len(out) else np.ones(out.shape, bool)
         able |= ~able.any(axis=1, keepdims=True)
         out = np.where(able, out / 2, -1e3)
@@ -120,8 +123,9 @@ def best_path(scores: np.ndarray, codes: np.ndarray, starts: np.ndarray, switch:
     order = np.argsort(-lengths, kind="stable")
     begin, n = starts[:-1][order], len(order)
     width = scores.shape[1]
-    label = np.zeros(len(codes), np.int8)
-    stays, bests = np.zeros((len(codes), width), bool), np.zeros(len(codes), np.int8)
+    kind = np.min_scalar_type(max(width - 1, 0))
+    label = np.zeros(len(codes), kind)
+    stays, bests = np.zeros((len(codes), -(-width // 8)), np.uint8), np.zeros(len(codes), kind)  # a bit for each language
     state = np.zeros((n, width))
     longest = int(lengths.max(initial=0))
     active = np.searchsorted(-lengths[order], -np.arange(longest), side="left").tolist()
@@ -131,14 +135,15 @@ def best_path(scores: np.ndarray, codes: np.ndarray, starts: np.ndarray, switch:
         own, at = state[:k], begin[:k] + t
         best = own.argmax(axis=1)
         moved = own[rows[:k], best][:, None] - switch
-        stays[at], bests[at] = own >= moved, best
+        stays[at], bests[at] = np.packbits(own >= moved, axis=1), best
         state[:k] = np.maximum(own, moved) + scores[codes[at]]
     current = state.argmax(axis=1)
     for t in range(longest - 1, -1, -1):
         k = active[t]
         at = begin[:k] + t
         label[at] = current[:k]
-        current[:k] = np.where(stays[at, current[:k]], current[:k], bests[at])
+        own = current[:k]
+        current[:k] = np.where(stays[at, own >> 3] >> (7 - (own & 7)) & 1, own, bests[at])
     return label
 
 
@@ -197,6 +202,11 @@ def learn(rows: DataFrame) -> Model:
     return Model(languages, scores - scores.mean(axis=1, keepdims=True), scripts >= USES * np.maximum(scripts.sum(axis=0), 1))
 
 
+def _slice_bytes(model: Model) -> int:
+    """Text bytes to work on at a time: scores have a column for each language."""
+    return SLICE_BYTES * FEW // max(FEW, len(model.languages))
+
+
 def label_texts(texts: pa.Array, model: Model) -> tuple[pa.Array, np.ndarray, pa.Array]:
     """The language, the score and the spans of each text."""
     n, width = len(texts), len(model.languages)
@@ -226,7 +236,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     @tidy
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=_slice_bytes(sent.value)):
             pred, score, spans = label_texts(batch.column(1), sent.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pred, pa.array(score), spans], names=["doc_id", "lang_pred", "score", "spans"])
 
@@ -239,7 +249,7 @@ def filter_rows(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
 
     @tidy
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=_slice_bytes(sent.value)):
             text = batch.column(batch.schema.get_field_index("text"))
             _, score, _ = label_texts(text.fill_null(""), sent.value)
             yield batch.filter(pa.array((score > 0) & (score >= least)))
@@ -248,5 +258,5 @@ def filter_rows(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
 
 
 def held_out(doc_id: Column) -> Column:
-    """The rows that are never learned from."""
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    """The rows that are never learned from; a row without an id is none of them, and teaches."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

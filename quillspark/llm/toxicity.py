@@ -325,6 +325,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     share = min(1.0, sample_rows / max(1, count))
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     labelled = doc_rows(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")  # bounded by sample_rows
+    n_rows = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(F.broadcast(sample), "doc_id").count()
+    if n_rows > 2 * sample_rows:  # ids repeat, with other texts
+        labelled = labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(sample_rows / n_rows * (1 << 20)))
     single = _distinct(labelled)
     totals = {r["toxic"]: r["n"] for r in single.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals.get(1) or not totals.get(0):
@@ -372,5 +375,5 @@ def filter_rows(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def held_out(doc_id: Column) -> Column:
-    """The rows that are never learned from."""
-    return F.crc32(doc_id.cast("string")) % 5 == 0
+    """The rows that are never learned from; a row without an id is none of them (it has no label either)."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))

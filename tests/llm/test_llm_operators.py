@@ -114,7 +114,7 @@ def test_op1_cuts_are_exact(spark, shards):
     rows = [(i, prose(int(rng.integers(0, 30)), i % 90), ["en", "de", None][i % 3], f"src{int(rng.integers(0, 25)) if i % 3 else 7}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     keys = kd_sharding._keys(kd_sharding.slim(docs, F.octet_length("text") + 8)).collect()
-    got = {r["doc_id"]: r["shard"] for r in kd_sharding.shard(docs, shards, near=0).collect()}
+    got = {r["doc_id"]: r["shard"] for r in kd_sharding.shard(docs, shards, near=0, together=0).collect()}
     assert got == dict(cut_plainly(keys, shards))
     assert len({r["k_d_source"] >> 52 for r in keys}) > 4  # src1 and src10 differ in the ordered part
 
