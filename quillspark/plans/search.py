@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..operators import batching, retrieval, rollup
+from ..operators import batching, retrieval, rollup, vector_index
 from .registry import Registry
 from .standins import table
 
@@ -70,3 +70,35 @@ SELECT CAST(substr(source, 4) AS BIGINT) source, doc_id, batch FROM f""".replace
 def greedy_batches(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(F.substring("source", 4, 9).cast("long").alias("source"), "doc_id", batching.total_tokens(F.col("text")).alias("tokens"))
     return batching.greedy_batches(rows, "source", "doc_id", "tokens", 16, 6000)
+
+
+#: The k most similar rows for every row whose id is divisible by 50, among rows of other labels than 5, ties by id.
+NEAREST = f"""WITH {CHANGED}, fine AS (SELECT vec_id, label, CAST(v AS DOUBLE[]) v FROM e WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x <> 0)) > 0),
+near AS (SELECT a.vec_id query_id, b.vec_id, round(list_cosine_similarity(a.v, b.v), 6) similarity FROM fine a JOIN fine b ON b.label <> 5 WHERE a.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank FROM near)"""
+
+
+def _indexed(spark, sf_dir):
+    """The rows, a search of their index for the queries, and the number of lists that these need."""
+    rows = _vectors(spark, sf_dir)
+    index = vector_index.build(rows, "vec_id", "v", keep=("label",))
+    asked = rows.where(F.pmod("vec_id", F.lit(50)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    given = (index, rows, "v", asked, "query_id", "q", 8, F.col("label") != 5)
+    return rows, lambda **o: vector_index.search(*given, decimals=6, **o), lambda: vector_index.probes_for(*given)
+
+
+@query(f"{NEAREST} SELECT query_id, vec_id, similarity, rank FROM ranked WHERE rank <= 8")
+def vector_index_exact(spark, sf_dir):
+    """An index search that proves that nothing is missing."""
+    _, search, _ = _indexed(spark, sf_dir)
+    return search(exact=True)
+
+
+@query(f"{NEAREST} SELECT count(DISTINCT query_id) n_queries, count(*) n_found, TRUE recall_is_enough FROM ranked WHERE rank <= 8")
+def vector_index_recall(spark, sf_dir):
+    """The approximate search, with its recall against the exact one (0.9 is enough)."""
+    _, search, tuned = _indexed(spark, sf_dir)
+    found, truth = search(probes=tuned()), search(exact=True)
+    both = truth.select("query_id", "vec_id").join(found.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
+    counts = found.agg(F.countDistinct("query_id").alias("n_queries"), F.count(F.lit(1)).alias("n_found"))
+    return counts.crossJoin(both.agg((F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_is_enough")))  # one row each
