@@ -145,14 +145,18 @@ def candidate_groups(sketches: DataFrame, limit: int, fold: int = 1, block: int
     """node and component of nodes that are joined by pairs with a key in common and sketches that
     differ in at most ``limit`` places, of node, keys and sketch (arrays of longs)."""
     apart, apart_matrix = words_apart(fold)
-    members = sketches.select("node", "sketch", F.explode("keys").alias("key"))
-    firsts = members.groupBy("key").agg(F.min(F.struct("node", "sketch")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = join_hot(members, materialize(firsts, "firsts"), ["key"], "node", "n")
-    near = apart(F.col("sketch"), F.col("first.sketch")) <= limit
-    met = materialize(met.select("key", "node", "n", F.col("first.node").alias("b"), near.alias("near")), "met")
-    links = met.where("near and node <> b").select(F.col("node").alias("a"), "b").distinct()
+    members = sketches.select("node", F.explode("keys").alias("key"))
+    firsts = members.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = materialize(join_hot(members, materialize(firsts, "firsts"), ["key"], "node", "n"), "met")
+    # many keys name the same pair: sketches go with pairs, not with keys
+    pairs = materialize(met.where("node <> b").select("node", "b").distinct(), "pairs")
+    leading = pairs.groupBy(F.col("b").alias("node")).agg(F.count(F.lit(1)).alias("n")).join(sketches.select("node", F.col("sketch").alias("first")), "node").withColumnRenamed("node", "b")
+    both = join_hot(pairs.join(sketches.select("node", "sketch"), "node"), materialize(leading, "leading"), ["b"], "node", "n")
+    judged = materialize(both.select("node", "b", (apart(F.col("sketch"), F.col("first")) <= limit).alias("near")), "judged")
+    links = judged.where("near").select(F.col("node").alias("a"), "b")
     # where somebody is not near the first one, the others may be
-    open_keys = materialize(met.where("not near and n > 2").groupBy("key").agg(F.max("n").alias("n")), "open-keys")
+    far = met.where("n > 2").join(judged.where("not near").select("node", "b"), ["node", "b"], "left_semi")
+    open_keys = materialize(far.groupBy("key").agg(F.max("n").alias("n")), "open-keys")
     if not open_keys.isEmpty():
         several = join_hot(met.select("key", "node"), open_keys, ["key"], "node", "n").select(F.col("key").alias("component"), "node")
         several = several.join(sketches.select("node", "sketch"), "node").withColumn("bytes", 8 * F.size("sketch").cast("long"))
