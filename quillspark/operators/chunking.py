@@ -125,16 +125,39 @@ def _grouped(pages: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def section_ranges(contents: DataFrame, page_counts: DataFrame) -> DataFrame:
-    """doc_id, position, title, start and end of each entry: up to the page before the next one's."""
-    w = Window.partitionBy("doc_id").orderBy("position")
-    rows = contents.withColumn("next", F.lead("page").over(w)).join(page_counts, "doc_id")
+    """doc_id, position, title, start and end of each entry: up to the page before the next one's.
+
+    Counts travel as rows beside the entries, so each document is sorted once and nothing is joined.
+    """
+    none = lambda c: F.lit(None).cast(contents.schema[c].dataType).alias(c)
+    entries = contents.select("doc_id", "position", "title", "page", F.lit(None).cast("int").alias("page_count"))
+    counts = page_counts.select("doc_id", none("position"), none("title"), none("page"), F.col("page_count").cast("int").alias("page_count"))
+    document = Window.partitionBy("doc_id")
+    in_order = document.orderBy(F.col("page_count").isNotNull(), "position")
+    rows = entries.withColumn("entry", F.lit(True)).unionByName(counts.withColumn("entry", F.lit(False)))
+    rows = rows.withColumn("next", F.lead("page").over(in_order)).withColumn("page_count", F.max("page_count").over(document)).where("entry and page_count is not null")
     return rows.select("doc_id", "position", "title", F.col("page").alias("start"), F.least(F.coalesce(F.col("next") - 1, F.col("page_count")), F.col("page_count")).alias("end"))
 
 
 def in_sections(pages: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Pages with the entry whose range they lie in: an equi-join on the document with a range condition."""
-    own = ranges.withColumnRenamed("doc_id", "_doc")
-    return pages.join(own, (F.col("doc_id") == F.col("_doc")) & F.col("page").between(F.col("start"), F.col("end"))).drop("_doc")
+    """Pages with the entries whose ranges they lie in.
+
+    Pages and ranges of a document are sorted together by page, and each page
+    takes the last range before it, so work follows their number and not
+    its square. Entries whose pages go back start another run of ranges; a page is
+    looked up once in each run of its document (nearly always one).
+    """
+    document = Window.partitionBy("doc_id")
+    back = F.col("start") < F.lag("start").over(document.orderBy("position"))
+    own = ranges.withColumn("_run", F.sum(F.when(back, 1).otherwise(0)).over(document.orderBy("position").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    names, columns = [c for c in ranges.columns if c != "doc_id"], [c for c in pages.columns if c != "doc_id"]
+    entries = own.where("start <= end").select("doc_id", F.col("start").cast("long").alias("_at"), F.lit(0).alias("_kind"), F.struct(*names).alias("_range"), "_run", *[F.lit(None).cast(pages.schema[c].dataType).alias(c) for c in columns])
+    looked = pages.select("doc_id", F.col("page").cast("long").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(entries.schema["_range"].dataType).alias("_range"), F.lit(None).cast("long").alias("_run"), *columns)
+    rows = entries.unionByName(looked).withColumn("_runs", F.max("_run").over(document))
+    rows = rows.withColumn("_run", F.explode(F.when(F.col("_kind") == 0, F.array("_run")).otherwise(F.sequence(F.lit(0).cast("long"), "_runs"))))
+    before = Window.partitionBy("doc_id", "_run").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.withColumn("_range", F.last("_range", ignorenulls=True).over(before)).where((F.col("_kind") == 1) & (F.col("_at") <= F.col("_range.end")))
+    return found.select("doc_id", *columns, *[F.col(f"_range.{c}").alias(c) for c in names])
 
 
 def _emit(groups: DataFrame, level: str, limits: Limits, order: list[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BOX = ("x0", "y0", "x1", "y1")
+#: Square points that an image must have to count.
+SMALL = 2500.0
 
 
 def area(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -19,17 +21,43 @@ def overlap_share(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return F.coalesce(F.try_divide(common, F.least(area(*(a[k] for k in BOX)), area(*(b[k] for k in BOX)))), F.lit(0.0))
 
 
-def overlapping(left: DataFrame, right: DataFrame, key: list[str], margin: float = 0.0, least: float = 0.01) -> DataFrame:
+#: Side of a cell of the grid that boxes meet in, in points.
+CELL = 64.0
+
+
+def in_cells(rows: DataFrame, name: str, cell: float = CELL) -> DataFrame:
+    """A row for each cell (cx, cy) of the grid that a box touches, from its column ``name`` (x0, y0, x1, y1)."""
+    box = F.col(name)
+    at = lambda v, size: F.floor(v / size).cast("long")
+    span = lambda low, high: F.sequence(at(low, F.lit(cell)), F.greatest(at(low, F.lit(cell)), at(high, F.lit(cell))))
+    return rows.withColumn("cx", F.explode(span(box["x0"], box["x1"]))).withColumn("cy", F.explode(span(box["y0"], box["y1"])))
+
+
+def candidates(left: DataFrame, right: DataFrame, key: list[str], margin: float = 0.0, cell: float = CELL) -> DataFrame:
+    """Pairs (l and r, structs of id and box) whose boxes, the left one grown, have a cell in common, each once.
+
+    Pairs meet in a join by key and cell. A pair with several common cells is
+    kept in the one where its common part begins. A page in points has some
+    hundred cells; for other units give another ``cell``.
+    """
+    box = lambda grow: F.struct("id", *((F.col(k) + (g * grow)).alias(k) for k, g in zip(BOX, (-1, -1, 1, 1), strict=True)))
+    whole = F.col("x0").isNotNull() & F.col("y0").isNotNull() & F.col("x1").isNotNull() & F.col("y1").isNotNull()
+    a = in_cells(left.where(whole).select(*key, box(margin).alias("l")), "l", cell)
+    b = in_cells(right.where(whole).select(*key, box(0.0).alias("r")), "r", cell)
+    begins = lambda k: F.floor(F.greatest(F.col("l")[k], F.col("r")[k]) / cell).cast("long")
+    return a.join(b, [*key, "cx", "cy"]).where((F.col("cx") == begins("x0")) & (F.col("cy") == begins("y0"))).drop("cx", "cy")
+
+
+def overlapping(left: DataFrame, right: DataFrame, key: list[str], margin: float = 0.0, least: float = 0.01, cell: float = CELL) -> DataFrame:
     """Pairs of elements of one page that overlap, the left one grown by a margin.
 
-    ``left`` and ``right`` have the key columns, an id and a box; the join is on
-    the key, so pairs stay within a page, which bounds them.
+    ``left`` and ``right`` have the key columns, an id and a box. Only boxes
+    with a cell of the page's grid in common are compared, so a page of
+    thousands of boxes costs about as many pairs as overlap.
     """
-    a = left.select(*key, F.col("id").alias("left_id"), *(F.col(k).alias(f"l_{k}") for k in BOX))
-    b = right.select(*key, F.col("id").alias("right_id"), *(F.col(k).alias(f"r_{k}") for k in BOX))
-    grow = {"x0": -margin, "y0": -margin, "x1": margin, "y1": margin}
-    share = overlap_share({k: F.col(f"l_{k}") + grow[k] for k in BOX}, {k: F.col(f"r_{k}") for k in BOX})
-    return a.join(b, key).withColumn("share", share).where(F.col("share") > least).select(*key, "left_id", "right_id", "share")
+    sides = [{k: F.col(s)[k] for k in BOX} for s in ("l", "r")]
+    pairs = candidates(left, right, key, margin, cell).withColumn("share", overlap_share(*sides))
+    return pairs.where(F.col("share") > least).select(*key, F.col("l.id").alias("left_id"), F.col("r.id").alias("right_id"), "share")
 
 
 def charts(images: DataFrame, texts: DataFrame, key: list[str], margin: float = 20.0, numbers: int = 3) -> DataFrame:
@@ -41,6 +69,11 @@ def charts(images: DataFrame, texts: DataFrame, key: list[str], margin: float =
     return joined.withColumn("is_chart", found >= numbers).drop("around")
 
 
+def is_small_image(kind: Column) -> Column:
+    """Icons, rules and bullets; an image without a box is none."""
+    return F.coalesce((kind == "image") & ((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) < SMALL), F.lit(False))
+
+
 def page_kind(native_chars: Column, images: Column) -> Column:
     """A page with little text of its own and images is read as one scanned image."""
     return F.when((native_chars < 100) & (images > 0), "scanned").when((native_chars == 0) & (images == 0), "blank").otherwise("native")

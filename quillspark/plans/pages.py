@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import layout, tables
+from ..sources import pdf, store
 from .registry import Registry
 from .standins import table
 
@@ -97,3 +98,20 @@ def reading_order(spark, sf_dir):
 def ocr_results(spark, sf_dir):
     words = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("page"), F.posexplode(F.split("text", " ")).alias("at", "text"), F.when(F.pmod("conv_id", F.lit(2)) == 0, 0.5).otherwise(0.75).alias("confidence"), F.lit("en").alias("language"))
     return layout.ocr_result(words, ["doc_id", "page"]).drop("language")
+
+
+#: Pages of one made document, and those of a range.
+DOCUMENT_PAGES, RANGE_PAGES = 40, 7
+
+
+@query(f"""WITH p AS (SELECT page_id // {DOCUMENT_PAGES} d, row_number() OVER (PARTITION BY page_id // {DOCUMENT_PAGES} ORDER BY page_id) page, page_id % 17 = 3 bad, replace(coalesce(html, ''), chr(12), ' ') t FROM pages),
+l AS (SELECT d, page, bad, unnest(string_split(t, chr(10))) line FROM p)
+SELECT 'doc-' || d doc_id, CAST(page AS INTEGER) page, count(*) FILTER (NOT bad AND trim(line, ' ' || chr(9) || chr(13)) <> '') n_elements, coalesce(sum(length(line)) FILTER (NOT bad AND trim(line, ' ' || chr(9) || chr(13)) <> ''), 0)::BIGINT n_chars, any_value(CASE WHEN bad THEN 'page ' || page || ' cannot be read' END) error FROM l GROUP BY 1, 2
+HAVING bool_or(bad) OR count(*) FILTER (trim(line, ' ' || chr(9) || chr(13)) <> '') > 0""")
+def page_ranges(spark, sf_dir):
+    """Documents of many pages, written as files of a plain format and read back by ranges of pages: a page that fails is a row."""
+    rows = table(spark, sf_dir, "pages").select(F.concat(F.lit("doc-"), F.floor(F.col("page_id") / DOCUMENT_PAGES).cast("string")).alias("doc_id"), "page_id", F.concat(F.when(F.pmod("page_id", F.lit(17)) == 3, F.lit("\0")).otherwise(""), F.replace(F.coalesce("html", F.lit("")), F.lit("\f"), F.lit(" "))).alias("t"))
+    whole = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", "t"))), lambda x: x["t"]), "\f").alias("text"))  # at most DOCUMENT_PAGES pages
+    files = store.written_files(whole.select("doc_id", F.encode("text", "utf-8").alias("content")), "documents")
+    parsed = pdf.parse_ranges(files, pdf.TextPages(), RANGE_PAGES).where("kind = 'text' or error is not null")
+    return parsed.groupBy("doc_id", "page").agg(F.count("kind").alias("n_elements"), F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("long").alias("n_chars"), F.max("error").alias("error"))

@@ -47,7 +47,8 @@ def _called(rows: DataFrame, value: str, provider: Callable[[list], list], schem
 
 
 def analyse(elements: DataFrame) -> DataFrame:
-    """Elements with their page's kind (native, scanned or blank), in reading order."""
+    """Elements with their page's kind (native, scanned or blank), in reading order; images too small to say anything are left out."""
+    elements = elements.where(~layout.is_small_image(F.col("kind")))
     page = Window.partitionBy("doc_id", "page")
     chars = F.coalesce(F.sum(F.when(F.col("kind") == "text", F.length(F.trim("text")))).over(page), F.lit(0))
     rows = elements.withColumn("page_kind", layout.page_kind(chars, F.count_if(F.col("kind") == "image").over(page)))
@@ -97,12 +98,14 @@ class Ingested:
 def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callable, providers: Providers, dimensions: int, now: Column, limits: chunking.Limits = chunking.Limits(), calls: Calls = Calls(), force: bool = False) -> Ingested:
     """Chunks with vectors of the files that the log does not hold as done (or of all, by force), and the log after them.
 
-    ``files`` is metadata; ``contents`` (doc_id, content) is read only for what
+    ``files`` is metadata; ``contents`` (doc_id and content, or for a parser of
+    pages doc_id and path) is read only for what
     survives the decision. A file that cannot be parsed, has no chunk or gets
-    no vector is logged as an error, and the others go on.
+    no vector is logged as an error, and the others go on; a page that cannot be read is left out of its file.
     """
     wanted = stored(ledger.decide(files, log, force=force).where("should_process").select("doc_id", "file_name", "file_path", "file_hash", "file_size", "last_modified"), "wanted")
-    parsed = stored(pdf.parse(contents.join(wanted.select("doc_id"), "doc_id", "left_semi"), parser), "elements")
+    taken = contents.join(wanted.select("doc_id"), "doc_id", "left_semi")
+    parsed = stored(pdf.parse(taken, parser) if "content" in contents.columns else pdf.parse_ranges(taken, parser), "elements")
     toc = parsed.where("kind = 'toc'").select("doc_id", F.col("ordinal").alias("position"), F.col("text").alias("title"), "page")
     elements = analyse(parsed.where("error is null and kind <> 'toc'"))
     if providers.ocr:
@@ -110,7 +113,7 @@ def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callab
     pages = chunking.pages_of(with_tables(stored(elements, "read"), providers.summarise))
     chunks = stored(_embedded(chunking.chunk_documents(pages, toc, limits), providers.embed, dimensions, calls).join(wanted.select("doc_id", "file_name", "file_path"), "doc_id"), "embedded")
     counts = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("chunk_count"), F.count_if(F.col("embedding_status") == "SUCCESS").alias("good"))
-    seen = parsed.groupBy("doc_id").agg(F.max("page").alias("pages_total"), F.max("error").alias("failure"))
+    seen = parsed.groupBy("doc_id").agg(F.max("page").alias("pages_total"), F.max(F.when(F.col("page").isNull(), F.col("error"))).alias("failure"))
     rows = wanted.join(seen, "doc_id", "left").join(counts, "doc_id", "left")
     error = F.when(F.col("failure").isNotNull(), F.left("failure", F.lit(2000))).when(F.col("chunk_count").isNull(), "no chunks").when(F.col("good") == 0, "no vectors")
     changes = rows.select(*wanted.columns, F.when(error.isNull(), "SUCCESS").otherwise("ERROR").alias("status"), error.alias("error_message"), F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"), F.coalesce("pages_total", F.lit(0)).alias("pages_total"), error.isNotNull().alias("increment_retry"))

@@ -7,7 +7,9 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable
+from hashlib import sha256
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,6 +31,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_files(contents: DataFrame, name: str) -> DataFrame:
+    """doc_id and path of a file for each row of doc_id and content, in the shared folder. A file has its name once it is complete."""
+    folder = shared_folder(contents.sparkSession, name)
+
+    def run(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base)
+        for batch in batches:
+            paths = []
+            for doc_id, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                named = sha256(doc_id.encode()).hexdigest()  # an id may hold anything
+                own = f"{base}/.{named}-{uuid.uuid4().hex}"
+                with store.open_output_stream(own) as sink:
+                    sink.write(content or b"")
+                try:
+                    store.move(own, f"{base}/{named}")
+                except OSError:  # a task that ran before has left the same file, and the store does not replace it
+                    store.delete_file(own)
+                paths.append(f"{folder}/{named}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["doc_id", "path"])
+
+    return stored(contents.select("doc_id", "content").mapInArrow(run, "doc_id string, path string"), name)
+
+
 def retrying(action: Callable[[], object], transient: tuple[type[Exception], ...] = (OSError,), attempts: int = 6, wait: Callable[[float], None] = time.sleep):
     """The action's result; failures that pass by themselves are tried again, only the action and nothing before it."""
     for n in range(attempts):

@@ -38,3 +38,24 @@ def run_whole(df: DataFrame, path: str, checkpoint: str) -> None:
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str) -> None:
     """Append finished rows to a Parquet table, exactly once, until all that is there now is processed."""
     df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+
+def failures_of(tasks: DataFrame, failures: DataFrame, within: str = "1 hour", late: str = "1 hour") -> DataFrame:
+    """Failures that follow an event of the same user in time, as a join of two streams: both have
+    user_id, ts and event_id, and state is kept only as long as a partner may still come."""
+    a = tasks.select("user_id", F.col("event_id").alias("task_id"), F.col("ts").alias("task_ts")).withWatermark("task_ts", late)
+    b = failures.select(F.col("user_id").alias("_user"), F.col("event_id").alias("failure_id"), F.col("ts").alias("failure_ts")).withWatermark("failure_ts", late)
+    near = F.expr(f"user_id = _user AND failure_ts >= task_ts AND failure_ts <= task_ts + INTERVAL {within}")
+    return a.join(b, near).select("user_id", "task_id", "failure_id")
+
+
+def once(events: DataFrame, key: str = "event_id", late: str = "1 hour") -> DataFrame:
+    """The first of events that are sent again within the watermark's delay."""
+    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
+
+
+def run_counted(df: DataFrame, path: str, checkpoint: str) -> int:
+    """run_to_parquet, and how many rows (of partial sums, for a grouping) came too late for the watermark."""
+    q = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return sum(s.numRowsDroppedByWatermark for p in q.recentProgress for s in p.stateOperators)
