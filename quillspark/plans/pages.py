@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import layout, tables
+from ..operators import layout, regions, tables
 from ..sources import pdf, store
 from .registry import Registry
 from .standins import table
@@ -115,3 +116,25 @@ def page_ranges(spark, sf_dir):
     files = store.written_files(whole.select("doc_id", F.encode("text", "utf-8").alias("content")), "documents")
     parsed = pdf.parse_ranges(files, pdf.TextPages(), RANGE_PAGES).where("kind = 'text' or error is not null")
     return parsed.groupBy("doc_id", "page").agg(F.count("kind").alias("n_elements"), F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("long").alias("n_chars"), F.max("error").alias("error"))
+
+
+def _table_boxes(spark, sf_dir):
+    """A page for each nation: a title, then a row of four columns for each customer, of boxes a word each; some
+    cells are missing, and every fifth customer's second cell has another line below."""
+    c = table(spark, sf_dir, "customer")
+    rows = c.select("c_nationkey", "c_custkey", "c_mktsegment", "c_name", (F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) * 26.0 + 100).alias("y"))
+    word = lambda x, dy, text: F.struct((F.lit(x) if isinstance(x, int) else x).cast("double").alias("x"), F.lit(float(dy)).alias("dy"), text.alias("t"))
+    key = F.col("c_custkey")
+    words = F.array(word(10, 0, key.cast("string")), word(110, 1, F.col("c_mktsegment")), word(114 + 6 * F.length("c_mktsegment"), 0, F.lit("x")), F.when(key % 3 != 0, word(250, 0, F.col("c_name"))), word(420, 2, F.lit("note")), word(452, 1, (key % 7).cast("string")), F.when(key % 5 == 0, word(112, 13, F.lit("goes on"))))
+    boxes = rows.select("c_nationkey", "y", F.explode(F.array_compact(words)).alias("w")).select("c_nationkey", (F.col("y") + F.col("w.dy")).alias("y0"), F.col("w.x").alias("x0"), F.col("w.t").alias("text"))
+    title = c.select("c_nationkey").distinct().select("c_nationkey", F.lit(40.0).alias("y0"), F.lit(10.0).alias("x0"), F.lit("A title over the table").alias("text"))
+    every = boxes.unionByName(title).withColumn("id", F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.xxhash64("y0", "x0"))))
+    return every.select(F.lit("d").alias("doc_id"), F.col("c_nationkey").alias("page"), "id", "x0", "y0", (F.col("x0") + 6 * F.length("text")).alias("x1"), (F.col("y0") + 10).alias("y1"), "text")
+
+
+@query("""WITH r AS (SELECT c_nationkey page, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS "row", c_custkey k, c_mktsegment s, c_name n, count(*) OVER (PARTITION BY c_nationkey) many FROM customer),
+c AS (SELECT page, "row", unnest([0, 1, 2, 3]) AS "column", unnest([CAST(k AS VARCHAR), s || ' x' || CASE WHEN k % 5 = 0 THEN ' goes on' ELSE '' END, CASE WHEN k % 3 <> 0 THEN n END, 'note ' || k % 7]) AS text FROM r WHERE many > 2)
+SELECT page, CAST("row" AS INTEGER) AS "row", "column", text FROM c WHERE text IS NOT NULL""")
+def table_regions(spark, sf_dir):
+    found = regions.table_cells(_table_boxes(spark, sf_dir))
+    return found.select("page", "row", "column", "text")

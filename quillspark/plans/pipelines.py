@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import batching, chunking, layout, ledger, metadata, retrieval, tables, token_chunking
+from ..operators import batching, chunking, layout, ledger, metadata, regions, retrieval, tables, token_chunking
 from ..operators.batching import Calls
 from ..sources import extracted, pdf
 from ..sources.store import stored
@@ -95,19 +95,21 @@ class Ingested:
     log: DataFrame
 
 
-def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callable, providers: Providers, dimensions: int, now: Column, limits: chunking.Limits = chunking.Limits(), calls: Calls = Calls(), force: bool = False) -> Ingested:
+def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callable, providers: Providers, dimensions: int, now: Column, limits: chunking.Limits = chunking.Limits(), calls: Calls = Calls(), force: bool = False, find_tables: bool = False) -> Ingested:
     """Chunks with vectors of the files that the log does not hold as done (or of all, by force), and the log after them.
 
     ``files`` is metadata; ``contents`` (doc_id and content, or for a parser of
     pages doc_id and path) is read only for what
     survives the decision. A file that cannot be parsed, has no chunk or gets
     no vector is logged as an error, and the others go on; a page that cannot be read is left out of its file.
+    With ``find_tables`` text boxes that stand in rows and columns become tables, for parsers that give no cells.
     """
     wanted = stored(ledger.decide(files, log, force=force).where("should_process").select("doc_id", "file_name", "file_path", "file_hash", "file_size", "last_modified"), "wanted")
     taken = contents.join(wanted.select("doc_id"), "doc_id", "left_semi")
     parsed = stored(pdf.parse(taken, parser) if "content" in contents.columns else pdf.parse_ranges(taken, parser), "elements")
     toc = parsed.where("kind = 'toc'").select("doc_id", F.col("ordinal").alias("position"), F.col("text").alias("title"), "page")
-    elements = analyse(parsed.where("error is null and kind <> 'toc'"))
+    placed = parsed.where("error is null and kind <> 'toc'")
+    elements = analyse(stored(regions.into_elements(placed), "placed") if find_tables else placed)
     if providers.ocr:
         elements = recognise(stored(elements, "analysed"), providers.ocr)
     pages = chunking.pages_of(with_tables(stored(elements, "read"), providers.summarise))
