@@ -55,6 +55,7 @@ def build() -> argparse.ArgumentParser:
     c.add_argument("--profile", required=True)
     c.add_argument("--set", action="append", default=[], metavar="SECTION.KEY=VALUE")
     c.add_argument("--out", required=True)
+    c.add_argument("--ranks", help="file of ranks of the profile's tokenizer; without it words are counted")
     c = commands.add_parser("backfill", help="embed rows without a vector")
     c.add_argument("--table", required=True)
     c.add_argument("--profile", required=True)
@@ -116,9 +117,10 @@ def _rechunk(spark: SparkSession, a: argparse.Namespace) -> dict:
     mapping = {k: p["extracted_content"][v] for k, v in names.items() if p["extracted_content"].get(v)}
     c = p["chunking"]
     policy = token_chunking.Policy(c["max_tokens"], c["min_tokens"], c["overlap_tokens"], c["preserve_headers"])
-    chunks = pipelines.rechunk(spark.read.parquet(a.table), mapping, policy, p["metadata"])
+    tokenizer = token_chunking.RankTokenizer(a.ranks, token_chunking.PATTERNS[c["tokenizer"]]) if a.ranks else None
+    chunks, failed = pipelines.rechunk_settling(spark.read.parquet(a.table), mapping, policy, p["metadata"], tokenizer)
     chunks.withColumn("profile_hash", F.lit(p["_fingerprint"])).write.parquet(a.out)
-    return {"run": uuid.uuid4().hex, "chunks": spark.read.parquet(a.out).count()}
+    return {"run": uuid.uuid4().hex, "chunks": spark.read.parquet(a.out).count(), "failed": failed.count(), "tokens": c["tokenizer"] if a.ranks else "words"}
 
 
 def main(arguments: list[str] | None = None) -> int:

@@ -145,4 +145,4 @@ def token_chunks(spark, sf_dir):
     pages = F.transform(F.sort_array(F.collect_list(F.struct("turn", "text", "role", "blank"))), lambda p: F.struct((p["turn"] + 1).cast("int").alias("page"), element(p).alias("elements"), p["blank"].alias("is_blank")))
     turns = table(spark, sf_dir, "conversations").withColumn("blank", F.pmod("conv_id", F.lit(7)) == F.col("turn"))
     rows = turns.groupBy(F.col("conv_id").cast("string").alias("doc_id")).agg(pages.alias("pages"))
-    return token_chunking.chunk_documents(rows.withColumn("contents", F.array().cast("array<struct<level:int,title:string,page:int>>")), TOKEN_POLICY).drop("headers")
+    return token_chunking.chunk_documents(rows.withColumn("contents", F.array().cast("array<struct<level:int,title:string,page:int>>")), TOKEN_POLICY).drop("headers", "error")

@@ -31,19 +31,34 @@ class Providers:
     summarise: Callable[[list[str]], list[str]] | None = None
 
 
-def _called(rows: DataFrame, value: str, provider: Callable[[list], list], schema: str, name: str) -> DataFrame:
-    """Rows with a provider's answers to a column, stored. ``schema`` names the answers' columns."""
+#: Requests to recognisers and summarisers: of few items, in so many tasks at most.
+SMALL_CALLS = Calls(batch_size=16, workers=8)
+
+
+def _called(rows: DataFrame, value: str, provider: Callable[[list], list], schema: str, name: str, calls: Calls = SMALL_CALLS) -> DataFrame:
+    """Rows with a provider's answers to a column, stored. ``schema`` names the answers' columns.
+
+    At most ``calls.workers`` requests are under way. One that fails is tried
+    again, one with a bad item is halved until that stands alone; an item without an answer has nulls.
+    """
     keep = [c for c in rows.columns if c != value]
+    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    arrow = {"string": pa.string(), "double": pa.float64()}
+    types = [arrow[part.split()[1]] for part in schema.split(", ")]
 
     def run(batches):
-        for b in batches:
-            if b.num_rows:
-                answers = provider(b.column(b.schema.get_field_index(value)).to_pylist())
-                columns = zip(*(a if isinstance(a, tuple) else (a,) for a in answers), strict=True)
-                yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), *map(pa.array, columns)], names=[*keep, *(part.split()[0] for part in schema.split(", "))])
+        for whole in batches:
+            for start in range(0, whole.num_rows, calls.batch_size):
+                b = whole.slice(start, calls.batch_size)
+                items = [(i, v, 1) for i, v in enumerate(b.column(b.schema.get_field_index(value)).to_pylist())]
+                said = {i: a for i, status, _, a in batching.call_isolating(provider, items, calls.attempts) if status == "SUCCESS"}
+                answers = [said.get(i) for i in range(len(items))]
+                columns = zip(*(a if isinstance(a, tuple) else (a,) * (a is not None) or (None,) * len(names) for a in answers), strict=True)
+                arrays = [*(b.column(b.schema.get_field_index(c)) for c in keep), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return stored(rows.select(*keep, value).mapInArrow(run, f"{kinds}, {schema}"), name)
+    return stored(rows.select(*keep, value).repartition(calls.workers).mapInArrow(run, f"{kinds}, {schema}"), name)
 
 
 def analyse(elements: DataFrame) -> DataFrame:
@@ -123,14 +138,20 @@ def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callab
 
 
 def rechunk(rows: DataFrame, mapping: dict[str, str], policy: token_chunking.Policy, rules: dict | None = None, tokenizer=None) -> DataFrame:
-    """Chunks by tokens, with metadata, of documents that are already text."""
+    """Chunks by tokens, with metadata, of documents that are already text; those that cannot be cut are left out."""
+    return rechunk_settling(rows, mapping, policy, rules, tokenizer)[0]
+
+
+def rechunk_settling(rows: DataFrame, mapping: dict[str, str], policy: token_chunking.Policy, rules: dict | None = None, tokenizer=None) -> tuple[DataFrame, DataFrame]:
+    """The same, and doc_id and error of the documents that cannot be cut."""
     docs = extracted.documents(rows, mapping)
     element = lambda p: F.array(F.struct(F.lit("text").alias("kind"), p["text"].alias("text")))
     structured = docs.select("doc_id", F.transform("pages", lambda p: F.struct(p["page"].cast("int").alias("page"), element(p).alias("elements"))).alias("pages"), F.array().cast("array<struct<level:int,title:string,page:int>>").alias("contents"))
-    chunks = token_chunking.chunk_documents(structured, policy, tokenizer)
+    cut = stored(token_chunking.chunk_documents(structured, policy, tokenizer), "cut")
+    chunks, failed = cut.where("error is null").drop("error"), cut.where("error is not null").select("doc_id", "error")
     rules = rules or {}
     pages = docs.select("doc_id", F.inline("pages"))
-    return metadata.attach(chunks, pages, rules.get("document", {}), rules.get("chunk", {}), rules.get("inherit_document_fields", True)).join(docs.select("doc_id", "file_path", "file_name", "source_hash"), "doc_id")
+    return metadata.attach(chunks, pages, rules.get("document", {}), rules.get("chunk", {}), rules.get("inherit_document_fields", True)).join(docs.select("doc_id", "file_path", "file_name", "source_hash"), "doc_id"), failed
 
 
 def _embedded(chunks: DataFrame, provider: Callable, dimensions: int, calls: Calls) -> DataFrame:

@@ -1,9 +1,11 @@
 """Pinned cases of operators, mostly those without SQL."""
 
 import datetime as dt
+import re
 import uuid
 
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -257,6 +259,69 @@ def test_token_chunks_are_filled_greedily(pages, contents, most, least, overlap,
     assert all(u.page not in {p["page"] for p in pages if p["is_blank"]} for u in units)
 
 
+class PatternTokenizer:
+    """Pieces of a published pattern: a mark takes the line end along, a word the space before it."""
+
+    def __init__(self):
+        self.pattern = regex.compile(token_chunking.PATTERNS["cl100k_base"])
+
+    def encode(self, t):
+        return self.pattern.findall(t)
+
+    def decode(self, pieces):
+        return "".join(pieces)
+
+
+def within_plainly(t, room, tokenizer):
+    """Word by word, measuring what is held."""
+    if len(tokenizer.encode(t)) <= room:
+        return [t]
+    out, held = [], ""
+    for word in re.findall(r"\S+\s*", t):
+        if len(tokenizer.encode(word)) > room:
+            out.append(held.strip())
+            pieces, held = tokenizer.encode(word), ""
+            out += [tokenizer.decode(pieces[i : i + room]) for i in range(0, len(pieces), room)]
+        elif held and len(tokenizer.encode(held + word)) > room:
+            out, held = [*out, held.strip()], word
+        else:
+            held += word
+    return [x for x in [*out, held.strip()] if x]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab .,\n1-", max_size=200), st.integers(3, 30))
+def test_parts_are_filled_word_by_word(t, room):
+    assert token_chunking.within(t, room, PatternTokenizer()) == within_plainly(t, room, PatternTokenizer())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["x.", "y.\nz!", "1 Top", "", "word. " * 4, "a, b. c", "-" * 9 + ".", "one two three. " * 9]), max_size=8).map("\n".join), max_size=4), st.sampled_from([20, 40, 60]), st.sampled_from([0, 5, 12]), st.sampled_from([0, 4, 9]))
+def test_chunks_are_measured_as_they_are(texts, most, least, overlap):
+    policy, pieces = token_chunking.Policy(most, least, overlap, True), PatternTokenizer()
+    pages = [{"page": i, "elements": [{"kind": "text", "text": t}]} for i, t in enumerate(texts, 1)]
+    got = token_chunking.chunk_one("d", pages, [], policy, pieces)
+    assert [c["chunk_text"] for c in got] == [t for t, _ in filled_plainly(list(token_chunking.parts_of(pages, [])), policy, pieces)]
+
+
+def test_a_document_that_cannot_be_cut_is_a_row(spark):
+    rows = spark.createDataFrame([("bad", 1, "1 " + "Long heading " * 8 + "\nbody"), ("good", 1, "body " * 30)], "doc_id string, page int, t string")
+    chunks, failed = pipelines.rechunk_settling(rows, {"doc_id": "doc_id", "text": "t", "page": "page"}, token_chunking.Policy(20, 5, 2))
+    assert {r["doc_id"] for r in chunks.collect()} == {"good"} and [(r["doc_id"], "too long" in r["error"]) for r in failed.collect()] == [("bad", True)]
+
+
+def test_calls_that_fail_leave_the_others(spark):
+    class Choosy:
+        def __call__(self, values):
+            if any("bad" in v for v in values):
+                raise batching.ProviderError("refused", 400)
+            return [(v.upper(), 0.5) for v in values]
+
+    rows = spark.createDataFrame([(i, "bad" if i == 11 else f"v{i}") for i in range(40)], "id long, v string")
+    got = {r["id"]: (r["said"], r["sure"]) for r in pipelines._called(rows, "v", Choosy(), "said string, sure double", "calls", batching.Calls(batch_size=5, workers=3)).collect()}
+    assert got == {i: (None, None) if i == 11 else (f"V{i}", 0.5) for i in range(40)}
+
+
 def test_paths_of_headings():
     pages = [{"page": 2, "elements": [{"kind": "text", "text": "1 One\nbody\n1.1 Sub\nmore\n\nnext"}]}, {"page": 1, "elements": [], "raw_text": "raw"}, {"page": 3, "elements": [{"kind": "text", "text": "x"}], "error": "bad"}]
     got = [(p.text, p.page, p.path) for p in token_chunking.parts_of(pages, [{"level": 1, "title": "Top", "page": 1}])]
@@ -328,11 +393,11 @@ def stand_ins():
             return [], [
                 {"page": 1, "kind": "text", "text": "second " + "word " * 60} | box(50),
                 {"page": 1, "kind": "text", "text": content.decode() + " " + "word " * 60} | box(0),
-                {"page": 2, "kind": "image", "image": b"scan"} | box(0),
+                {"page": 2, "kind": "image", "image": b"scan"} | box(0) | {"y1": 70.0},
                 {"page": 3, "kind": "table", "cells": cells} | box(0),
                 {"page": 3, "kind": "text", "text": "axis 10 20 30% " + "long text " * 20} | box(25),
-                {"page": 3, "kind": "image", "image": b"chart"} | box(30),
-                {"page": 3, "kind": "image", "image": b"noise"} | box(300),
+                {"page": 3, "kind": "image", "image": b"chart"} | box(30) | {"y1": 60.0},
+                {"page": 3, "kind": "image", "image": b"noise"} | box(300) | {"y1": 330.0},
             ]
 
     class Counting:
