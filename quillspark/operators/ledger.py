@@ -151,6 +151,38 @@ def unlocked(docs: DataFrame, locks: DataFrame, owner: str, as_of: Column) -> Da
     return docs.join(held.select("doc_id"), "doc_id", "left_anti")
 
 
+def take_locks(locks: DataFrame, docs: DataFrame, owner: str, as_of: Column, seconds: int) -> DataFrame:
+    """Locks (doc_id, owner, until) after an owner has asked for documents: it gets those that nobody else
+    holds, and prolongs its own. Locks that are over stay until they are taken or released."""
+    wanted = docs.select("doc_id", F.lit(True).alias("_wanted")).distinct()
+    rows = locks.join(wanted, "doc_id", "full")
+    gets = F.col("_wanted") & (F.col("owner").isNull() | (F.col("owner") == owner) | (F.col("until") <= as_of))
+    gets = F.coalesce(gets, F.lit(False))
+    return rows.select("doc_id", F.when(gets, F.lit(owner)).otherwise(F.col("owner")).alias("owner"), F.when(gets, as_of + F.make_dt_interval(secs=F.lit(seconds))).otherwise(F.col("until")).alias("until"))
+
+
+def release_locks(locks: DataFrame, owner: str, docs: DataFrame | None = None) -> DataFrame:
+    """Locks without the owner's: all of them, or those of some documents."""
+    own = locks.where(F.col("owner") == owner)
+    gone = own.select("doc_id") if docs is None else own.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id")
+    return locks.join(gone, "doc_id", "left_anti")
+
+
+def register_run(runs: DataFrame, job: str, deployment: str, rpm: float, tpm: float, now: Column, profile: str | None = None, source: str | None = None) -> DataFrame:
+    """Runs (job_key, deployment_key, rpm, tpm, profile_name, source_table, started_at) after a run is registered.
+
+    A job that is there already goes on: it keeps what is not given anew. Other
+    jobs of one deployment must have the same limits, as they draw from one quota.
+    """
+    other = runs.where((F.col("deployment_key") == deployment) & (F.col("job_key") != job) & ((F.col("rpm") != rpm) | (F.col("tpm") != tpm))).first()
+    if other is not None:
+        raise ValueError(f"deployment {deployment} has other limits in job {other['job_key']}: {other['rpm']:g} requests and {other['tpm']:g} tokens a minute")
+    one = runs.sparkSession.range(1).select(F.lit(job).alias("job_key"), F.lit(deployment).alias("d"), F.lit(float(rpm)).alias("r"), F.lit(float(tpm)).alias("t"), F.lit(profile).cast("string").alias("p"), F.lit(source).cast("string").alias("s"), now.alias("n"))
+    rows = runs.join(one, "job_key", "full")
+    new = {"deployment_key": "d", "rpm": "r", "tpm": "t", "profile_name": "p", "source_table": "s", "started_at": "n"}
+    return rows.select("job_key", *(F.coalesce(n, c).alias(c) for c, n in new.items()))
+
+
 def failed_documents(log: DataFrame) -> DataFrame:
     return log.where(F.col("status") == "ERROR").orderBy(F.desc("updated_at"), "doc_id")
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .. import schema
 from ..functions import status, vectors
 from ..operators import chunking, jobs, layout, ledger, providers, retrieval, tables
 from ..operators.batching import Calls
-from ..sources import files, sinks
+from ..sources import files, listing, sinks
+from ..sources.commits import Tables, write_isolating
+from ..sources.store import shared_folder, written_below
 from . import pipelines
 from .chunks import TRIM
 from .registry import Registry
@@ -199,3 +202,46 @@ def unlocked_documents(spark, sf_dir):
 def results_json(spark, sf_dir):
     rows = _top(spark, sf_dir).select(F.row_number().over(Window.orderBy(F.desc("similarity"), "vec_id")).alias("rank"), F.col("vec_id").cast("string").alias("chunk_id"), "label")  # eight rows
     return retrieval.as_json(rows, ["chunk_id", "label"])
+
+
+@query("""WITH d AS (SELECT o_orderkey doc_id, o_orderkey % 4 = 0 held, CASE WHEN o_orderkey % 3 = 0 THEN 'me' ELSE 'other' END owner, o_orderkey % 5 <> 0 valid FROM orders)
+SELECT CAST(doc_id AS VARCHAR) doc_id, CASE WHEN doc_id % 2 = 0 AND (NOT held OR owner = 'me' OR NOT valid) THEN 'me' ELSE owner END owner, CASE WHEN doc_id % 2 = 0 AND (NOT held OR owner = 'me' OR NOT valid) THEN 600 WHEN valid THEN 3600 ELSE -3600 END AS "seconds" FROM d WHERE held OR doc_id % 2 = 0""")
+def document_locks(spark, sf_dir):
+    """Locks after an owner has asked for every other document."""
+    docs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("doc_id"), "o_orderkey")
+    m = lambda n: F.pmod("o_orderkey", F.lit(n)) == 0
+    until = F.when(m(5), as_of() - F.expr("interval 1 hour")).otherwise(as_of() + F.expr("interval 1 hour"))
+    locks = docs.where(m(4)).select("doc_id", F.when(m(3), "me").otherwise("other").alias("owner"), until.alias("until"))
+    got = ledger.take_locks(locks, docs.where(m(2)), "me", as_of(), 600)
+    return got.select("doc_id", "owner", (F.unix_seconds("until") - F.unix_seconds(as_of())).cast("int").alias("seconds"))
+
+
+@query("""WITH c AS (SELECT CAST(conv_id AS VARCHAR) doc_id, turn, conv_id % 2 = 0 fresh FROM conversations), a AS (SELECT doc_id, turn, CASE WHEN fresh THEN 'p2' ELSE 'p1' END profile_hash FROM c UNION ALL SELECT doc_id, turn, 'p1' FROM c WHERE fresh)
+SELECT doc_id, profile_hash, CAST(count(*) AS INTEGER) chunk_count, count(*) chunks FROM a GROUP BY 1, 2""")
+def committed_results(spark, sf_dir):
+    """Results and chunks of two profiles, each in one commit; the second batch is sent twice."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("doc_id"), "turn", F.lit("h").alias("source_hash"))
+    tables = Tables(spark, shared_folder(spark, "results"), {"results": schema.PROFILE_RESULTS, "chunks": "doc_id string, turn long, profile_hash string, source_hash string"})
+    half = rows.where(F.pmod(F.col("doc_id").cast("long"), F.lit(2)) == 0)
+    for n, profile, some in ((0, "p1", rows), (1, "p2", half), (1, "p2", half.unionAll(half))):
+        tables.save_profile_result(some, profile, as_of(), "results", n)
+    counts = tables.read("chunks").groupBy("doc_id", "profile_hash").agg(F.count(F.lit(1)).alias("chunks"))
+    return tables.read("results").select("doc_id", "profile_hash", "chunk_count").join(counts, ["doc_id", "profile_hash"])
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_id <> 417")
+def isolated_commits(spark, sf_dir):
+    """Rows of which one cannot be written: the others are committed by halves."""
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type")
+    tables = Tables(spark, shared_folder(spark, "isolated"), {"events": "event_id long, event_type string"})
+    poison = F.when(F.col("event_id") == 417, F.raise_error(F.lit("cannot be written"))).otherwise(F.col("event_type"))
+    write_isolating(rows, "event_id", lambda part: tables.append("events", part.withColumn("event_type", poison)))
+    return tables.read("events")
+
+
+@query("SELECT 'in/' || source || '/' || doc_id || '.pdf' AS key, octet_length(encode(coalesce(text, ''))) size FROM documents")
+def listed_prefixes(spark, sf_dir):
+    """Documents written below a folder for each source, and listed by a task for each folder."""
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("in/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("key"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content"))
+    root = written_below(docs, "store")
+    return listing.store_listing(spark, root, depth=2).select("key", "size")

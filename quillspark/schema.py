@@ -13,6 +13,8 @@ CHUNKS = "chunk_id string, doc_id string, file_name string, file_path string, ch
 PROFILE_RESULTS = "doc_id string, profile_hash string, source_hash string, chunk_count int, updated_at timestamp"
 TASKS = "job_key string, row_id string, status string, owner string, claim_token string, lease_until timestamp, attempts int, error_code string, error_message string, processing_comment string, updated_at timestamp"
 QUOTA = "deployment_key string, rpm double, tpm double, requests double, tokens double, last_refill timestamp, cooldown timestamp, multiplier double"
+LOCKS = "doc_id string, owner string, until timestamp"
+RUNS = "job_key string, deployment_key string, rpm double, tpm double, profile_name string, source_table string, started_at timestamp"
 ELEMENTS = "doc_id string, page int, ordinal int, kind string, x0 double, y0 double, x1 double, y1 double, text string"
 
 #: Types that may identify a row of a mapped table.

@@ -57,6 +57,25 @@ def written_files(contents: DataFrame, name: str) -> DataFrame:
     return stored(contents.select("doc_id", "content").mapInArrow(run, "doc_id string, path string"), name)
 
 
+def written_below(contents: DataFrame, name: str) -> str:
+    """The folder of shared storage where each row of key and content is a file at its key."""
+    root = shared_folder(contents.sparkSession, name)
+
+    def run(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for key, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                store.create_dir(f"{base}/{key}".rsplit("/", 1)[0])
+                with store.open_output_stream(f"{base}/{key}") as sink:
+                    sink.write(content or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    contents.select("key", "content").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+    return root
+
+
 def retrying(action: Callable[[], object], transient: tuple[type[Exception], ...] = (OSError,), attempts: int = 6, wait: Callable[[float], None] = time.sleep):
     """The action's result; failures that pass by themselves are tried again, only the action and nothing before it."""
     for n in range(attempts):

@@ -1,8 +1,12 @@
 """Commits that are all or nothing, rows that cannot be written, and listings by prefixes."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark import schema, session
+from quillspark.operators import ledger
 from quillspark.sources import files
 from quillspark.sources.commits import Tables, write_isolating
 from quillspark.sources.listing import store_listing
@@ -95,3 +99,65 @@ def test_a_store_is_listed_by_prefixes(spark, tmp_path):
     assert store_listing(spark, f"file://{root}", depth=2).count() == 6
     got = files.from_listing(listing).collect()
     assert {r["file_path"] for r in got} == {f"s3://bucket/{n}" for n in ("top.pdf", "a/1.pdf", "a/x/2.PDF", "b/3.pdf", "c/d/e/4.pdf")} and all('"' not in r["file_hash"] for r in got)
+
+
+def test_locks_are_taken_and_released(spark):
+    now = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    docs = lambda *names: spark.createDataFrame([(n,) for n in names], "doc_id string")
+    locks = ledger.take_locks(spark.createDataFrame([], schema.LOCKS), docs("a", "b", "b"), "me", now, 60)
+    later = now + F.expr("interval 30 seconds")
+    locks = ledger.take_locks(locks, docs("b", "c"), "you", later, 60)
+    assert {r["doc_id"]: r["owner"] for r in locks.collect()} == {"a": "me", "b": "me", "c": "you"}
+    over = now + F.expr("interval 60 seconds")
+    taken = ledger.take_locks(locks, docs("a", "c"), "you", over, 60)
+    assert {r["doc_id"]: (r["owner"], r["until"].second) for r in taken.collect()} == {"a": ("you", 0), "b": ("me", 0), "c": ("you", 0)}
+    assert {r["doc_id"] for r in ledger.unlocked(docs("a", "b", "c"), locks, "you", later).collect()} == {"c"}
+    assert {r["doc_id"] for r in ledger.release_locks(taken, "you", docs("a")).collect()} == {"b", "c"} and ledger.release_locks(taken, "you").count() == 1
+
+
+def test_runs_of_one_deployment_have_one_quota(spark):
+    now = F.lit("2024-01-01").cast("timestamp")
+    runs = ledger.register_run(spark.createDataFrame([], schema.RUNS), "j1", "d", 30, 1000, now, "general", "t")
+    runs = ledger.register_run(runs, "j2", "d", 30, 1000, now)
+    again = ledger.register_run(runs, "j1", "e", 60, 5, now).collect()
+    assert {(r["job_key"], r["deployment_key"], r["rpm"], r["profile_name"]) for r in again} == {("j1", "e", 60.0, "general"), ("j2", "d", 30.0, None)}
+    with pytest.raises(ValueError, match="other limits in job j"):
+        ledger.register_run(runs, "j3", "d", 31, 1000, now)
+
+
+def test_files_are_decided_by_hash_where_times_do_not_count(spark):
+    at = "2024-01-01 00:00:00"
+    found = spark.createDataFrame([("same", "h", 5), ("changed", "new", 5)], "doc_id string, file_hash string, file_size long").withColumn("last_modified", F.lit(at).cast("timestamp")).withColumn("readable", F.lit(True)).withColumn("file_path", F.col("doc_id"))
+    log = spark.createDataFrame([("same", "SUCCESS", 0, "h"), ("changed", "SUCCESS", 0, "old")], "doc_id string, status string, retry_count int, file_hash string").withColumn("last_modified", F.lit(at).cast("timestamp"))
+    decided = lambda **o: {r["doc_id"]: r["should_process"] for r in ledger.decide(found, log, **o).collect()}
+    assert decided() == {"same": False, "changed": False}  # its time alone says that it is the same
+    assert decided(match_times=False) == {"same": False, "changed": True}
+
+
+def test_reads_end_in_time(spark):
+    slow = spark.range(1, numPartitions=1).select(F.udf(lambda x: time.sleep(20))("id"))
+    start = time.time()
+    with pytest.raises(TimeoutError):
+        session.within(spark, 1.0, slow.collect)
+    assert time.time() - start < 15
+    assert session.within(spark, 30.0, spark.range(5).count) == 5 and not spark.sparkContext.getJobTags()
+
+
+def test_aged_results():
+    now, reads = [0.0], []
+
+    def read():
+        reads.append(now[0])
+        if now[0] == 25:
+            raise RuntimeError("down")
+        return len(reads)
+
+    held = session.Aged(10, lambda: now[0])
+    seen = []
+    for t in (0, 5, 12, 25, 30):
+        now[0] = float(t)
+        seen.append(held.get("k", read))
+    assert seen == [(1, 0.0), (1, 5.0), (2, 0.0), (2, 13.0), (4, 0.0)]
+    with pytest.raises(RuntimeError):
+        now[0] = 25.0
+        session.Aged(10, lambda: now[0]).get("other", read)
