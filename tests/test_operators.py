@@ -1,6 +1,8 @@
 """Pinned cases of operators, mostly those without SQL."""
 
 import datetime as dt
+import itertools
+import random
 import re
 import uuid
 
@@ -218,6 +220,46 @@ def test_truncate(spark, t, n):
     assert len(got) <= max(len(t) if len(t) // 4 <= n else 4 * n, 4 * n) and t.startswith(got)
 
 
+NUMBERED, NAMED = regex.compile(token_chunking.NUMBERED), regex.compile(token_chunking.NAMED, regex.I)
+
+
+def depth_of(line, titles):
+    """The depth of a line that is a heading; 0 for other lines, -1 for blank ones."""
+    line = line.strip()
+    if not line or len(line) > token_chunking.LONGEST_HEADING:
+        return -(not line)
+    number = NUMBERED.fullmatch(line)
+    return 1 + number[1].count(".") if number else int(line.lower() in titles or NAMED.fullmatch(line) is not None)
+
+
+def parts_of(pages, contents):
+    """Units of a document in order: headings, runs of lines between them, and elements of other kinds.
+
+    The contents' first entry of a page opens it. Blank and failed pages are
+    passed over; a page without elements is its raw text.
+    """
+    titles = frozenset(e["title"].strip().lower() for e in contents)
+    opens = {e["page"]: e for e in reversed(contents)}
+    path = []
+    for page in sorted((p for p in pages if not p.get("is_blank") and not p.get("error")), key=lambda p: p["page"]):
+        if entry := opens.get(page["page"]):
+            path[max(0, entry["level"] - 1) :] = [entry["title"]]
+        found = [(e["kind"], e["text"]) for e in page["elements"] or [] if e["text"]]
+        for kind, text in found or [(None, page.get("raw_text") or "")]:
+            if kind != "text":  # whole, as it is
+                if text.strip():
+                    yield token_chunking.Part(text.strip(), page["page"], tuple(path), kind or "text")
+                continue
+            lines = [(line.strip(), depth_of(line, titles)) for line in text.splitlines()]
+            # a run goes on while lines are neither headings nor blank
+            for (depth, _), run in itertools.groupby(enumerate(lines), key=lambda x: (x[1][1], x[0] if x[1][1] > 0 else -1)):
+                said = " ".join(line for _, (line, _) in run)
+                if depth > 0:
+                    path[depth - 1 :] = [said]
+                if depth >= 0:
+                    yield token_chunking.Part(said, page["page"], tuple(path), "text")
+
+
 def filled_plainly(units, policy, tokenizer):
     """Chunks by joining one part after the other and measuring what comes."""
     size = lambda t: len(tokenizer.encode(t))
@@ -242,34 +284,64 @@ def filled_plainly(units, policy, tokenizer):
     return [(text(h), {p.page for p in h}) for h in [*done, held] if h]
 
 
-LINES = st.lists(st.sampled_from(["1.2 Head x", "1 Top", "2.1.1 Deep", "SECTION z", "", "a, b. c", "Alpha", "word " * 3, "word " * 25, "y" * 70]), max_size=6).map("\n".join)
-PAGE = st.fixed_dictionaries({"elements": st.lists(st.fixed_dictionaries({"kind": st.sampled_from(["text", "text", "table"]), "text": LINES}), max_size=3), "raw_text": st.sampled_from([None, "raw text"]), "is_blank": st.sampled_from([False, False, True])})
+STRUCTURE = "doc_id string, pages array<struct<page:int,elements:array<struct<kind:string,text:string>>,is_blank:boolean,error:string,raw_text:string>>, contents array<struct<level:int,title:string,page:int>>"
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(PAGE, max_size=4), st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["Alpha", "Beta"]), st.integers(1, 4)), max_size=3), st.sampled_from([20, 40, 60]), st.sampled_from([0, 5, 10]), st.sampled_from([0, 4, 9]), st.booleans())
-def test_token_chunks_are_filled_greedily(pages, contents, most, least, overlap, headers):
-    policy, words = token_chunking.Policy(most, least, overlap, headers), token_chunking.WordTokenizer()
-    pages = [p | {"page": i, "error": None} for i, p in enumerate(pages, 1)]
-    contents = [{"level": level, "title": title, "page": page} for level, title, page in contents]
-    got = token_chunking.chunk_one("d", pages, contents, policy, words)
-    units = list(token_chunking.parts_of(pages, contents))
-    assert [c["chunk_text"] for c in got] == [t for t, _ in filled_plainly(units, policy, words)]
-    assert all(len(words.encode(c["chunk_text"])) <= most and c["chunk_total"] == len(got) for c in got)
-    assert all(u.page not in {p["page"] for p in pages if p["is_blank"]} for u in units)
+def made_structures(n, seed):
+    rng = random.Random(seed)
+    line = ["1.2 Head x", "1 Top", "2.1.1 Deep", "3.1.4.1.5 Deepest of all", "SECTION z", "", "  ", "a, b. c", "Alpha", "beta ", "word " * 3, "word " * 25, "y" * 70, "x.", "y z!"]
+    text = lambda: "\n".join(rng.choice(line) for _ in range(rng.randint(0, 7)))
+    out = []
+    for i in range(n):
+        pages = [{"page": k, "elements": [{"kind": rng.choice(["text", "text", "table"]), "text": text()} for _ in range(rng.randint(0, 3))], "is_blank": rng.random() < 0.1, "error": "bad" if rng.random() < 0.1 else None, "raw_text": rng.choice([None, "raw text\nof lines"])} for k in range(1, rng.randint(1, 5))]
+        rng.shuffle(pages)
+        out.append((f"d{i}", pages, [{"level": rng.randint(0, 4), "title": rng.choice(["Alpha", "Beta"]), "page": rng.randint(1, 4)} for _ in range(rng.randint(0, 3))]))
+    return out
 
 
-class PatternTokenizer:
-    """Pieces of a published pattern: a mark takes the line end along, a word the space before it."""
+@pytest.mark.parametrize("most,least,overlap,headers,by_pattern", [(20, 0, 4, True, False), (40, 5, 9, True, True), (60, 10, 0, False, False), (20, 5, 9, True, True)])
+def test_token_chunks_are_filled_greedily(spark, most, least, overlap, headers, by_pattern):
+    made = made_structures(150, most + least)
+    policy, tokenizer = token_chunking.Policy(most, least, overlap, headers), pattern_tokenizer() if by_pattern else token_chunking.WordTokenizer()
+    got = {}
+    for r in token_chunking.chunk_documents(spark.createDataFrame(made, STRUCTURE), policy, tokenizer).orderBy("doc_id", "chunk_index").collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    for doc, pages, contents in made:
+        units = list(parts_of(pages, contents))
+        rows = got.get(doc, [])
+        if any(policy.max_tokens - 4 - (len(tokenizer.encode(u.path[-1] + "\n\n")) if headers and u.path else 0) < token_chunking.LEAST_ROOM for u in units):
+            assert [r["error"] is not None for r in rows] == [True]
+            continue
+        wanted = filled_plainly(units, policy, tokenizer)
+        assert [r["chunk_text"] for r in rows] == [t for t, _ in wanted]
+        assert [(r["page_start"], r["page_end"]) for r in rows] == [(min(p), max(p)) for _, p in wanted]
+        assert all(len(tokenizer.encode(r["chunk_text"])) <= most and r["chunk_total"] == len(rows) and r["error"] is None for r in rows)
 
-    def __init__(self):
-        self.pattern = regex.compile(token_chunking.PATTERNS["cl100k_base"])
 
-    def encode(self, t):
-        return self.pattern.findall(t)
+def test_units_and_their_paths(spark):
+    made = made_structures(120, 7)
+    rows = token_chunking.units(spark.createDataFrame(made, STRUCTURE)).collect()
+    for doc, pages, contents in made:
+        own = sorted((r for r in rows if r["doc_id"] == doc), key=lambda r: tuple(r["at"]))
+        assert [(r["text"], r["page"], tuple(r["path"]), r["kind"]) for r in own] == [(p.text, p.page, p.path, p.kind) for p in parts_of(pages, contents)]
+
+
+def pattern_tokenizer():
+    """A class of a function travels to the workers by value."""
+
+    class Pieces:
+        """Pieces of a published pattern: a mark takes the line end along, a word the space before it."""
+
+        def __init__(self):
+            self.pattern = regex.compile(token_chunking.PATTERNS["cl100k_base"])
+
+        def encode(self, t):
+            return self.pattern.findall(t)
+
+        def decode(self, pieces):
+            return "".join(pieces)
 
-    def decode(self, pieces):
-        return "".join(pieces)
+    return Pieces()
 
 
 def within_plainly(t, room, tokenizer):
@@ -292,16 +364,20 @@ def within_plainly(t, room, tokenizer):
 @settings(max_examples=200, deadline=None)
 @given(st.text("ab .,\n1-", max_size=200), st.integers(3, 30))
 def test_parts_are_filled_word_by_word(t, room):
-    assert token_chunking.within(t, room, PatternTokenizer()) == within_plainly(t, room, PatternTokenizer())
+    assert token_chunking.within(t, room, pattern_tokenizer()) == within_plainly(t, room, pattern_tokenizer())
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(["x.", "y.\nz!", "1 Top", "", "word. " * 4, "a, b. c", "-" * 9 + ".", "one two three. " * 9]), max_size=8).map("\n".join), max_size=4), st.sampled_from([20, 40, 60]), st.sampled_from([0, 5, 12]), st.sampled_from([0, 4, 9]))
+@given(st.lists(st.sampled_from(["x.", "y. z!", "1 Top", "word. " * 4, "a, b. c", "-" * 9 + ".", "one two three. " * 9]), max_size=20), st.sampled_from([20, 40, 60]), st.sampled_from([0, 5, 12]), st.sampled_from([0, 4, 9]))
 def test_chunks_are_measured_as_they_are(texts, most, least, overlap):
-    policy, pieces = token_chunking.Policy(most, least, overlap, True), PatternTokenizer()
-    pages = [{"page": i, "elements": [{"kind": "text", "text": t}]} for i, t in enumerate(texts, 1)]
-    got = token_chunking.chunk_one("d", pages, [], policy, pieces)
-    assert [c["chunk_text"] for c in got] == [t for t, _ in filled_plainly(list(token_chunking.parts_of(pages, [])), policy, pieces)]
+    policy, pieces = token_chunking.Policy(most, least, overlap, True), pattern_tokenizer()
+    units = [token_chunking.Part(t.strip(), i, ("1 Top",) if i % 5 else (), "text") for i, t in enumerate(texts)]
+    filling, got = token_chunking.Filling(policy, pieces), []
+    for u in units:
+        room = most - 4 - (len(pieces.encode(u.path[-1] + "\n\n")) if u.path else 0)
+        for t in token_chunking.within(u.text, room, pieces):
+            got.append(filling.add(token_chunking.Part(t, u.page, u.path, u.kind), len(pieces.encode(t))))
+    assert [filling.text(g) for g in [*got, filling.held] if g] == [t for t, _ in filled_plainly(units, policy, pieces)]
 
 
 def test_a_document_that_cannot_be_cut_is_a_row(spark):
@@ -324,7 +400,7 @@ def test_calls_that_fail_leave_the_others(spark):
 
 def test_paths_of_headings():
     pages = [{"page": 2, "elements": [{"kind": "text", "text": "1 One\nbody\n1.1 Sub\nmore\n\nnext"}]}, {"page": 1, "elements": [], "raw_text": "raw"}, {"page": 3, "elements": [{"kind": "text", "text": "x"}], "error": "bad"}]
-    got = [(p.text, p.page, p.path) for p in token_chunking.parts_of(pages, [{"level": 1, "title": "Top", "page": 1}])]
+    got = [(p.text, p.page, p.path) for p in parts_of(pages, [{"level": 1, "title": "Top", "page": 1}])]
     assert got == [("raw", 1, ("Top",)), ("1 One", 2, ("1 One",)), ("body", 2, ("1 One",)), ("1.1 Sub", 2, ("1 One", "1.1 Sub")), ("more", 2, ("1 One", "1.1 Sub")), ("next", 2, ("1 One", "1.1 Sub"))]
 
 
