@@ -101,7 +101,7 @@ def _fit(usable: DataFrame, key: str, vector: str, lists: int) -> np.ndarray:
     sample = usable.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20)))
     lists = lists or int(min(MOST_LISTS, max(1, np.ceil(np.sqrt(count)))))
     rows = sample.select(array_to_vector(_scaled(vector)).alias("features"))
-    found = KMeans(k=lists, distanceMeasure="cosine", seed=1, maxIter=10).fit(rows).clusterCenters() if lists > 1 and count > 1 else [np.array(r[0], float) for r in usable.orderBy(key).select(vector).limit(1).collect()]
+    found = KMeans(k=lists, distanceMeasure="cosine", initMode="random", seed=1, maxIter=10).fit(rows).clusterCenters() if lists > 1 and count > 1 else [np.array(r[0], float) for r in usable.orderBy(key).select(vector).limit(1).collect()]
     centroids = np.array(found)
     norms = np.linalg.norm(centroids, axis=1, keepdims=True)
     return (centroids / np.where(norms > 0, norms, 1)).astype(np.float64)
