@@ -20,6 +20,8 @@ from ..sources.store import stored
 
 #: Characters of a table that are told to a model, and its share of sure words below which a text on an image or a chart is dropped.
 TABLE_CHARS, SURE, SURE_CHART, FEW_WORDS = 2000, 0.60, 0.40, 5
+#: Characters of a page's text that are told with a table and with a chart, and what stands before a chart's labels.
+TABLE_CONTEXT, CHART_CONTEXT, LABELS = 400, 600, "[CHART LABELS/VALUES]"
 
 
 @dataclass(frozen=True)
@@ -29,6 +31,8 @@ class Providers:
     embed: Callable[[list[str]], list]
     ocr: Callable[[list[bytes]], list[tuple[str, float]]] | None = None
     summarise: Callable[[list[str]], list[str]] | None = None
+    #: Descriptions of charts, of (image, context, labels): the page's text, and what is recognised on the image.
+    describe: Callable[[list[dict]], list[str]] | None = None
 
 
 #: Requests to recognisers and summarisers: of few items, in so many tasks at most.
@@ -74,9 +78,16 @@ def analyse(elements: DataFrame) -> DataFrame:
     return rows.join(places, ["doc_id", "page", "ordinal"]).withColumn("ordinal", F.col("place")).drop("place")
 
 
-def recognise(elements: DataFrame, ocr: Callable[[list[bytes]], list[tuple[str, float]]]) -> DataFrame:
+def _around(elements: DataFrame, most: int) -> DataFrame:
+    """doc_id, page and context: the first characters of a page's text."""
+    listed = F.sort_array(F.collect_list(F.struct("ordinal", "text")))
+    texts = elements.where("kind = 'text' and trim(coalesce(text, '')) <> ''").groupBy("doc_id", "page").agg(listed.alias("l"))
+    return texts.select("doc_id", "page", F.left(F.array_join(F.transform("l", lambda x: x["text"]), " "), F.lit(most)).alias("context"))
+
+
+def recognise(elements: DataFrame, ocr: Callable[[list[bytes]], list[tuple[str, float]]], describe: Callable[[list[dict]], list[str]] | None = None) -> DataFrame:
     """Elements whose images have the text that is recognised on them, if it is sure enough.
-    On a scanned page that is the page's text; axes' numbers around an image make it a chart."""
+    On a scanned page that is the page's text; axes' numbers around an image make it a chart, which may be described as well."""
     key = ["doc_id", "page"]
     named = elements.withColumn("id", F.col("ordinal"))
     images = layout.charts(named.where("kind = 'image'").select(*key, "id", *layout.BOX, "image"), named.where("kind = 'text'").select(*key, "id", *layout.BOX, "text"), key)
@@ -84,6 +95,13 @@ def recognise(elements: DataFrame, ocr: Callable[[list[bytes]], list[tuple[str,
     words = F.size(F.filter(F.split("said", r"\s+"), lambda w: w != ""))
     sure = (F.col("confidence") >= F.when(F.col("is_chart"), SURE_CHART).otherwise(SURE)) | (words <= FEW_WORDS)
     said = read.select(*key, F.col("id").alias("ordinal"), F.when(sure, F.col("said")).alias("said"), "is_chart")
+    if describe:
+        said = stored(said, "said")
+        told = F.struct("image", F.coalesce("context", F.lit("")).alias("context"), F.coalesce("said", F.lit("")).alias("labels")).alias("told")
+        charts = said.where("is_chart").join(images.select(*key, F.col("id").alias("ordinal"), "image"), [*key, "ordinal"]).join(_around(elements, CHART_CONTEXT), key, "left")
+        found = _called(charts.select(*key, "ordinal", told), "told", describe, "description string", "descriptions")
+        labels = F.when(F.coalesce("said", F.lit("")) != "", F.concat(F.lit(f"\n\n{LABELS}\n"), F.col("said"))).otherwise("")
+        said = said.join(found, [*key, "ordinal"], "left").withColumn("said", F.when(F.coalesce("description", F.lit("")) != "", F.concat("description", labels)).otherwise(F.col("said"))).drop("description")
     joined = elements.join(said, [*key, "ordinal"], "left")
     kind = F.when((F.col("kind") == "image") & (F.col("page_kind") == "scanned"), "text").when(F.coalesce("is_chart", F.lit(False)), "chart").otherwise(F.col("kind"))
     return joined.withColumns({"text": F.when(F.col("kind") == "image", F.coalesce("said", F.lit(""))).otherwise(F.col("text")), "kind": kind}).drop("said", "is_chart")
@@ -96,7 +114,9 @@ def with_tables(elements: DataFrame, summarise: Callable[[list[str]], list[str]]
     found = tables.process_tables(cells.select("doc_id", "page", "table_index", "cells")).select("doc_id", "page", "table_index", "markdown", "plain_text")
     if summarise:
         found = stored(found, "tables")
-        asked = found.where(F.length("markdown") >= tables.SUMMARY_CHARS).select("doc_id", "page", "table_index", F.left("markdown", F.lit(TABLE_CHARS)).alias("shown"))
+        context = F.when(F.coalesce("context", F.lit("")) != "", F.concat(F.lit("\n\nText of the page:\n"), F.col("context"))).otherwise("")
+        long = found.where(F.length("markdown") >= tables.SUMMARY_CHARS).join(_around(elements, TABLE_CONTEXT), ["doc_id", "page"], "left")
+        asked = long.select("doc_id", "page", "table_index", F.concat(F.left("markdown", F.lit(TABLE_CHARS)), context).alias("shown"))
         found = found.join(_called(asked, "shown", summarise, "summary string", "summaries"), ["doc_id", "page", "table_index"], "left")
     else:
         found = found.withColumn("summary", F.lit(None).cast("string"))
@@ -126,7 +146,7 @@ def ingest(files: DataFrame, contents: DataFrame, log: DataFrame, parser: Callab
     placed = parsed.where("error is null and kind <> 'toc'")
     elements = analyse(stored(regions.into_elements(placed), "placed") if find_tables else placed)
     if providers.ocr:
-        elements = recognise(stored(elements, "analysed"), providers.ocr)
+        elements = recognise(stored(elements, "analysed"), providers.ocr, providers.describe)
     pages = chunking.pages_of(with_tables(stored(elements, "read"), providers.summarise))
     chunks = stored(_embedded(chunking.chunk_documents(pages, toc, limits), providers.embed, dimensions, calls).join(wanted.select("doc_id", "file_name", "file_path"), "doc_id"), "embedded")
     counts = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("chunk_count"), F.count_if(F.col("embedding_status") == "SUCCESS").alias("good"))

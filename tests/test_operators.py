@@ -386,6 +386,30 @@ def test_a_document_that_cannot_be_cut_is_a_row(spark):
     assert {r["doc_id"] for r in chunks.collect()} == {"good"} and [(r["doc_id"], "too long" in r["error"]) for r in failed.collect()] == [("bad", True)]
 
 
+def test_charts_are_described_and_tables_have_their_context(spark):
+    class Read:
+        def __call__(self, images):
+            return [("1 2 3" if i == b"chart" else "noise of many words that nobody is sure about", 0.5) for i in images]
+
+    class Describe:
+        def __call__(self, told):
+            return [f"{x['image'].decode()} near <{x['context']}> with <{x['labels']}>" for x in told]
+
+    class Echo:
+        def __call__(self, shown):
+            return [s.split("Text of the page:")[-1].strip() for s in shown]
+
+    box = lambda y0, y1: (0.0, float(y0), 100.0, float(y1))
+    cells = [["Name", "Dose"], *([f"row {i}", "some milligrams"] for i in range(8))]
+    rows = [("d", 1, 0, "text", *box(0, 10), "axis 10 20 30", None, None, "native"), ("d", 1, 1, "image", *box(12, 80), None, None, bytearray(b"chart"), "native"), ("d", 1, 2, "image", *box(300, 390), None, None, bytearray(b"other"), "native"), ("d", 1, 3, "table", *box(400, 500), None, cells, None, "native")]
+    made = spark.createDataFrame(rows, "doc_id string, page int, ordinal int, kind string, x0 double, y0 double, x1 double, y1 double, text string, cells array<array<string>>, image binary, page_kind string")
+    made = store.stored(made, "made")
+    got = {r["ordinal"]: (r["kind"], r["text"]) for r in pipelines.recognise(made, Read(), Describe()).collect()}
+    assert got[1] == ("chart", "chart near <axis 10 20 30> with <1 2 3>\n\n[CHART LABELS/VALUES]\n1 2 3") and got[2] == ("image", "")
+    tables_ = [r["text"] for r in pipelines.with_tables(made, Echo()).where("kind = 'table'").collect()]
+    assert len(tables_) == 1 and "axis 10 20 30" in tables_[0]
+
+
 def test_calls_that_fail_leave_the_others(spark):
     class Choosy:
         def __call__(self, values):
