@@ -33,7 +33,8 @@ class Limits:
     contents_least: int = 3
 
 
-SEGMENTS = T.ArrayType(T.StringType())
+#: Rows whose texts a task cuts at a time.
+ROWS = 64
 #: Where a text may be cut, by two signs: at a blank line, or behind a sentence.
 PARAGRAPH, SENTENCE = re.compile(r"(?=\n\n)"), re.compile(r"\.\n|[.?!] ")
 
@@ -59,23 +60,35 @@ def segments(text: str, limits: Limits) -> list[str]:
     return [part for a, b in ranges if len(part := text[a:b].strip()) >= limits.least]
 
 
-def split_long(text: Column, limits: Limits) -> Column:
-    """segments() as a column, over Arrow arrays."""
+def cut_rows(batches: Iterator[pa.RecordBatch], limits: Limits, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of parts for rows whose last column is a text: what stands before it, a part's place, their number and the part."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, ROWS):
+            b = whole.slice(start, ROWS)
+            *others, texts = b.columns
+            parts = [[] if t is None else segments(t, limits) for t in texts.to_pylist()]
+            own = pa.array([i for i, p in enumerate(parts) for _ in p], pa.int64())
+            places, totals = pa.array([n for p in parts for n in range(len(p))], pa.int32()), pa.array([len(p) for p in parts for _ in p], pa.int32())
+            yield pa.RecordBatch.from_arrays([*(c.take(own) for c in others), places, totals, pa.array([x for p in parts for x in p], pa.string())], names=names)
 
-    @F.arrow_udf(SEGMENTS)
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else segments(t, limits) for t in texts.to_pylist()], pa.list_(pa.string()))
 
-    return run(text)
+def split_long(rows: DataFrame, text: str, limits: Limits, place: str, total: str) -> DataFrame:
+    """Rows for the segments() of each row's text, in its place, with their place (from 0) and their number.
+
+    Parts come out as rows: of an array's explode() Spark infers a condition, which it moves below the
+    function where nothing can evaluate it.
+    """
+    others = [c for c in rows.columns if c != text]
+    schema = T.StructType([*(rows.schema[c] for c in others), T.StructField(place, T.IntegerType()), T.StructField(total, T.IntegerType()), T.StructField(text, T.StringType())])
+    return rows.select(*others, text).mapInArrow(lambda batches: cut_rows(batches, limits, schema.names), schema)
 
 
 def sliding_window(docs: DataFrame, key: str, text: str, limits: Limits = Limits()) -> DataFrame:
     """key, chunk_index, chunk_total, chunk_text and chunk_id: short texts stay whole and never leave the JVM."""
-    whole = F.length(strip(F.col(text))) <= limits.most
-    rows = docs.select(key, F.col(text).alias("_t"), whole.alias("_whole"))
-    short = rows.where("_whole").select(key, F.filter(F.array(strip(F.col("_t"))), lambda x: F.length(x) >= limits.least).alias("_s"))
-    long = rows.where("not _whole").select(key, split_long(F.col("_t"), limits).alias("_s"))
-    out = short.unionByName(long).select(key, F.size("_s").alias("chunk_total"), F.posexplode("_s").alias("chunk_index", "chunk_text"))
+    body = strip(F.col(text))
+    short = docs.where((F.length(body) <= limits.most) & (F.length(body) >= limits.least)).select(key, F.lit(1).alias("chunk_total"), F.lit(0).alias("chunk_index"), body.alias("chunk_text"))
+    long = split_long(docs.where(F.length(body) > limits.most).select(key, F.col(text).alias("chunk_text")), "chunk_text", limits, "chunk_index", "chunk_total")
+    out = short.unionByName(long)
     return out.withColumn("chunk_id", chunk_id(F.col(key).cast("string"), F.col("chunk_index")))
 
 
@@ -164,7 +177,7 @@ def _emit(groups: DataFrame, level: str, limits: Limits, order: list[str]) -> Da
     """Groups within the size as they are, longer ones as overlapping segments."""
     fits = F.length("text") <= limits.most
     whole = groups.where(fits).withColumns({"seq": F.lit(0), "chunk_level": F.lit(level)})
-    parts = groups.where(~fits).withColumn("s", split_long(F.col("text"), limits)).select(*[c for c in groups.columns if c != "text"], F.posexplode("s").alias("seq", "text")).withColumn("chunk_level", F.lit("split"))
+    parts = split_long(groups.where(~fits), "text", limits, "seq", "_total").withColumn("chunk_level", F.lit("split"))
     return whole.unionByName(parts.select(whole.columns)).select("doc_id", F.array(*(F.col(c).cast("long") for c in [*order, "seq"])).alias("at"), "chunk_level", F.col("title").alias("section_title"), "page_start", "page_end", "content_types", "text")
 
 
