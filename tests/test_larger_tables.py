@@ -19,3 +19,17 @@ def test_a_long_file_is_ingested(spark):
     got = pipelines.ingest(found, contents, log, providers.PlainTextParser(), pipelines.Providers(providers.HashEmbedder(8)), 8, as_of(), LIMITS)
     assert {r["doc_id"]: (r["status"], r["chunk_count"]) for r in got.log.collect()} == {"a": ("SUCCESS", len(chunking.segments(texts["a"], LIMITS))), "b": ("SUCCESS", 1)}
     assert {r["chunk_level"] for r in got.chunks.where("doc_id = 'a'").collect()} == {"split"}
+
+
+def _long_pages(spark, doc_id: str):
+    return spark.createDataFrame([(doc_id, i, False, None, f"Page {i}. " + "Another sentence of it. " * 30, ["text"], f"Part {i}") for i in (1, 2)], PAGES)
+
+
+def test_long_sections_are_cut(spark):
+    contents = spark.createDataFrame([("a", 0, "One", 1), ("a", 1, "Two", 2)], CONTENTS)
+    got = chunking.chunk_documents(_long_pages(spark, "a"), contents, LIMITS).orderBy("chunk_index").collect()
+    for page, title in ((1, "One"), (2, "Two")):
+        own = [r for r in got if r["section_title"] == title]
+        assert [r["chunk_text"] for r in own] == chunking.segments(f"{title}\n\nPage {page}. " + "Another sentence of it. " * 30, LIMITS)
+        assert {(r["chunk_level"], r["page_start"], r["page_end"]) for r in own} == {("split", page, page)}
+    assert [r["chunk_index"] for r in got] == list(range(len(got))) and {r["chunk_total"] for r in got} == {len(got)}
