@@ -33,3 +33,9 @@ def test_long_sections_are_cut(spark):
         assert [r["chunk_text"] for r in own] == chunking.segments(f"{title}\n\nPage {page}. " + "Another sentence of it. " * 30, LIMITS)
         assert {(r["chunk_level"], r["page_start"], r["page_end"]) for r in own} == {("split", page, page)}
     assert [r["chunk_index"] for r in got] == list(range(len(got))) and {r["chunk_total"] for r in got} == {len(got)}
+
+
+def test_levels_of_long_groups_of_pages(spark):
+    chunks = chunking.chunk_documents(_long_pages(spark, "b"), spark.createDataFrame([], CONTENTS), LIMITS)
+    expected = sum(len(chunking.segments(f"Part {i}\n\nPage {i}. " + "Another sentence of it. " * 30, LIMITS)) for i in (1, 2))
+    assert [tuple(r) for r in chunking.level_summary(chunks).collect()] == [("split", expected)]
