@@ -114,7 +114,7 @@ def durations(spark, sf_dir):
 @query(f"WITH {CHANGED} SELECT vec_id, '[' || array_to_string(list_transform(v, lambda x: printf('%.8f', CAST(x AS DOUBLE))), ',') || ']' as_text, TRUE same FROM e WHERE v IS NOT NULL")
 def vector_text(spark, sf_dir):
     rows = _vectors(spark, sf_dir).where("v is not null").withColumn("as_text", vectors.to_text("v"))
-    back = F.zip_with(vectors.from_text("as_text"), "v", lambda a, b: F.abs(a - b) < 1e-6)
+    back = F.zip_with(vectors.from_text("as_text"), "v", lambda a, b: (F.abs(a - b) < 1e-6) | a.eqNullSafe(b))
     return rows.select("vec_id", "as_text", F.forall(back, lambda x: x).alias("same"))
 
 

@@ -1,7 +1,8 @@
 """What only shows on longer texts and larger tables."""
 
-from pyspark.sql import functions as F
+import duckdb
 
+from quillspark.functions import vectors
 from quillspark.operators import chunking, providers
 from quillspark.plans import pipelines
 from quillspark.plans.standins import as_of
@@ -39,3 +40,9 @@ def test_levels_of_long_groups_of_pages(spark):
     chunks = chunking.chunk_documents(_long_pages(spark, "b"), spark.createDataFrame([], CONTENTS), LIMITS)
     expected = sum(len(chunking.segments(f"Part {i}\n\nPage {i}. " + "Another sentence of it. " * 30, LIMITS)) for i in (1, 2))
     assert [tuple(r) for r in chunking.level_summary(chunks).collect()] == [("split", expected)]
+
+
+def test_vectors_as_text_round_as_sql_does(spark):
+    ties = [1 / 512, 3 / 512, -5 / 512, 0.103515625, 0.166015625, 0.0, -0.0, 1e-10, -1e-10, 0.1, 8388607.5, 2.0**60]
+    got = spark.createDataFrame([(ties,)], "v array<float>").select(vectors.to_text("v").alias("t")).first()["t"]
+    assert got == duckdb.execute("SELECT '[' || array_to_string(list_transform(CAST(? AS FLOAT[]), lambda x: printf('%.8f', CAST(x AS DOUBLE))), ',') || ']'", [ties]).fetchone()[0]
