@@ -31,9 +31,14 @@ def fill_merged(rows: Column) -> Column:
     """Empty cells take the last value above them in their column. This also fills cells
     that are really empty, on purpose, as merged ones cannot be told apart."""
 
+    def column(rows: Column, i: Column) -> Column:
+        """A column's cells, made of runs that start with each of its values, so that a cell is looked at once."""
+        starts = F.filter(F.sequence(F.lit(0), F.size(rows) - 1), lambda n: (n == 0) | (_cell(F.get(rows, n), i) != ""))
+        length = lambda s, n, k: F.coalesce(F.get(s, k + 1), F.size(rows)) - n
+        return let(starts, lambda s: F.flatten(F.transform(s, lambda n, k: F.array_repeat(_cell(F.get(rows, n), i), length(s, n, k)))))
+
     def filled(rows: Column) -> Column:
-        places = F.sequence(F.lit(0), _width(rows) - 1)
-        columns = F.transform(places, lambda i: F.aggregate(rows, F.array().cast("array<string>"), lambda done, row: F.concat(done, F.array(F.when(_cell(row, i) != "", _cell(row, i)).otherwise(F.coalesce(F.get(done, F.size(done) - 1), F.lit("")))))))
+        columns = F.transform(F.sequence(F.lit(0), _width(rows) - 1), lambda i: column(rows, i))
         return let(columns, lambda c: F.transform(rows, lambda row, n: F.transform(c, lambda column: F.get(column, n))))
 
     return let(rows, lambda r: F.when(_width(r) > 0, filled(r)).otherwise(r))

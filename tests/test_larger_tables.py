@@ -3,9 +3,10 @@
 import duckdb
 
 from quillspark.functions import vectors
-from quillspark.operators import chunking, providers
+from quillspark.operators import chunking, providers, tables
 from quillspark.plans import pipelines
 from quillspark.plans.standins import as_of
+from quillspark.session import within
 
 PAGES = "doc_id string, page int, is_blank boolean, error string, text string, content_types array<string>, heading string"
 CONTENTS = "doc_id string, position int, title string, page int"
@@ -46,3 +47,20 @@ def test_vectors_as_text_round_as_sql_does(spark):
     ties = [1 / 512, 3 / 512, -5 / 512, 0.103515625, 0.166015625, 0.0, -0.0, 1e-10, -1e-10, 0.1, 8388607.5, 2.0**60]
     got = spark.createDataFrame([(ties,)], "v array<float>").select(vectors.to_text("v").alias("t")).first()["t"]
     assert got == duckdb.execute("SELECT '[' || array_to_string(list_transform(CAST(? AS FLOAT[]), lambda x: printf('%.8f', CAST(x AS DOUBLE))), ',') || ']'", [ties]).fetchone()[0]
+
+
+def _long_table(spark, n: int = 20_000):
+    """Cells of one table of n rows and a header, and its rows once merged cells are filled."""
+    cells = [["Id", "Name", "Note"], *([str(i), f"name {i}" if i % 3 == 1 else "", f"note {i}" if i % 5 == 4 else None] for i in range(n))]
+    filled = cells[:1]
+    for row in cells[1:]:
+        filled.append([c or above for c, above in zip(row, filled[-1], strict=True)])
+    return tables.process_tables(spark.createDataFrame([(cells,)], "cells array<array<string>>").coalesce(1)), filled
+
+
+def test_a_table_of_many_rows_as_markdown(spark):
+    df, filled = _long_table(spark)
+    got = within(spark, 60, lambda: df.select("markdown", "row_count", "has_header").first())
+    widths = [max(3, *(len(r[i]) for r in filled)) for i in range(3)]
+    lines = ["| " + " | ".join(c.ljust(w) for c, w in zip(r, widths, strict=True)) + " |" for r in filled]
+    assert (got["markdown"].split("\n"), got["row_count"], got["has_header"]) == ([lines[0], "|" + "|".join("-" * (w + 2) for w in widths) + "|", *lines[1:]], len(filled), True)
