@@ -64,3 +64,9 @@ def test_a_table_of_many_rows_as_markdown(spark):
     widths = [max(3, *(len(r[i]) for r in filled)) for i in range(3)]
     lines = ["| " + " | ".join(c.ljust(w) for c, w in zip(r, widths, strict=True)) + " |" for r in filled]
     assert (got["markdown"].split("\n"), got["row_count"], got["has_header"]) == ([lines[0], "|" + "|".join("-" * (w + 2) for w in widths) + "|", *lines[1:]], len(filled), True)
+
+
+def test_a_table_of_many_rows_as_plain_text(spark):
+    df, filled = _long_table(spark)
+    got = within(spark, 60, lambda: df.select("plain_text").first())
+    assert got["plain_text"].split("\n") == [" | ".join(f"{h}: {c}" for h, c in zip(filled[0], r, strict=True) if c) for r in filled[1:]]
