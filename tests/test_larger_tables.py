@@ -1,6 +1,7 @@
 """What only shows on longer texts and larger tables."""
 
 import duckdb
+import pyarrow as pa
 
 from quillspark.functions import vectors
 from quillspark.operators import chunking, providers, tables
@@ -70,3 +71,12 @@ def test_a_table_of_many_rows_as_plain_text(spark):
     df, filled = _long_table(spark)
     got = within(spark, 60, lambda: df.select("plain_text").first())
     assert got["plain_text"].split("\n") == [" | ".join(f"{h}: {c}" for h, c in zip(filled[0], r, strict=True) if c) for r in filled[1:]]
+
+
+def test_long_texts_are_cut_some_at_a_time():
+    texts = ["A sentence of a long text. " * 60, None, "short", *["Another sentence of it. " * 40] * 500]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    got = list(chunking.cut_rows(iter([batch]), LIMITS, ["id", "n", "total", "text"]))
+    assert max(len(set(b["id"].to_pylist())) for b in got) <= chunking.ROWS and len(got) > 5
+    rows = [tuple(r.values()) for b in got for r in b.to_pylist()]
+    assert rows == [(i, n, len(parts), x) for i, t in enumerate(texts) for parts in [chunking.segments(t, LIMITS) if t else []] for n, x in enumerate(parts)]
