@@ -12,13 +12,15 @@ exceeds the limit of tokens is answered at once, without a grant.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..operators.quota import Pace
-from .in_order import InOrder
+from .in_order import Blocks, InOrder, rows_of
 
 OUTPUT = "deployment string, request long, asked_ms long, granted_ms long, tokens double"
 GRANTED = Row("deployment", "request", "asked_ms", "granted_ms", "tokens")
@@ -26,10 +28,18 @@ GRANTED = Row("deployment", "request", "asked_ms", "granted_ms", "tokens")
 
 @dataclass
 class Queue:
+    """Requests that wait, as columns: of some millions most may have to."""
+
     pace: Pace
-    waiting: list[tuple] = field(default_factory=list)
+    ts: array = field(default_factory=lambda: array("q"))
+    request: array = field(default_factory=lambda: array("q"))
+    tokens: array = field(default_factory=lambda: array("d"))
     served: int = 0
 
+    def ask(self, ts: int, request: int, tokens: float) -> None:
+        for column, value in ((self.ts, ts), (self.request, request), (self.tokens, tokens)):
+            column.append(value)
+
 
 class Grants(InOrder):
     """Rows of request, ts_ms, tokens and status (200: asks; 429: was refused) of one deployment."""
@@ -40,24 +50,28 @@ class Grants(InOrder):
         self.limits, self.delay = (requests, tokens, period_ms), delay_ms
 
     def open(self, handle) -> None:
-        self.waiting = handle.getListState("waiting", "ts_ms long, request long, tokens double")
+        self.waiting = Blocks(handle, "waiting", "ts_ms long, request long, tokens double")
         self.log = handle.getListState("log", "at long, tokens double")
         self.pace = handle.getValueState("pace", "last long, cooldown long, multiplier double")
 
     def load(self) -> Queue:
         state = tuple(self.pace.get()) if self.pace.exists() else (0, 0, 1.0)
-        return Queue(Pace(*self.limits, *state, log=tuple(tuple(r) for r in self.log.get())), [tuple(r) for r in self.waiting.get()])
+        queue = Queue(Pace(*self.limits, *state, log=tuple(tuple(r) for r in self.log.get())))
+        for row in rows_of(self.waiting.read()):
+            queue.ask(*row)
+        return queue
 
     def save(self, state: Queue) -> None:
-        for kept, rest in ((self.waiting, state.waiting[state.served :]), (self.log, list(state.pace.log))):
-            kept.put(rest) if rest else kept.clear()
+        left = [pa.array(memoryview(c)[state.served :], kind) for c, kind in zip((state.ts, state.request, state.tokens), self.waiting.schema.types, strict=True)]
+        self.waiting.replace(pa.Table.from_arrays(left, schema=self.waiting.schema))
+        log = list(state.pace.log)
+        self.log.put(log) if log else self.log.clear()
         self.pace.update((state.pace.last, state.pace.cooldown, state.pace.multiplier))
 
     def due(self, state: Queue) -> int | None:
-        if state.served == len(state.waiting):
+        if state.served == len(state.ts):
             return None
-        ts, _, tokens = state.waiting[state.served]
-        return state.pace.earliest(ts, tokens)
+        return state.pace.earliest(state.ts[state.served], state.tokens[state.served])
 
     def at_event(self, key, state: Queue, event) -> list[Row]:
         ts, request, tokens, status = event
@@ -66,11 +80,11 @@ class Grants(InOrder):
         elif tokens > state.pace.tokens:
             return [GRANTED(key[0], request, ts, None, tokens)]
         else:
-            state.waiting.append((ts, request, tokens))
+            state.ask(ts, request, tokens)
         return []
 
     def at_due(self, key, state: Queue, now: int) -> list[Row]:
-        ts, request, tokens = state.waiting[state.served]
+        ts, request, tokens = state.ts[state.served], state.request[state.served], state.tokens[state.served]
         state.served += 1
         state.pace.grant(now, tokens)
         return [GRANTED(key[0], request, ts, now, tokens)]

@@ -1,5 +1,8 @@
 """What only shows on longer texts and larger tables."""
 
+import random
+from types import SimpleNamespace
+
 import duckdb
 import pyarrow as pa
 
@@ -8,6 +11,7 @@ from quillspark.operators import chunking, providers, tables
 from quillspark.plans import pipelines
 from quillspark.plans.standins import as_of
 from quillspark.session import within
+from quillspark.streaming import in_order, shared_quota
 
 PAGES = "doc_id string, page int, is_blank boolean, error string, text string, content_types array<string>, heading string"
 CONTENTS = "doc_id string, position int, title string, page int"
@@ -80,3 +84,43 @@ def test_long_texts_are_cut_some_at_a_time():
     assert max(len(set(b["id"].to_pylist())) for b in got) <= chunking.ROWS and len(got) > 5
     rows = [tuple(r.values()) for b in got for r in b.to_pylist()]
     assert rows == [(i, n, len(parts), x) for i, t in enumerate(texts) for parts in [chunking.segments(t, LIMITS) if t else []] for n, x in enumerate(parts)]
+
+
+class Kept:
+    """A state variable of one key in memory."""
+
+    def __init__(self):
+        self.value, self.by_key, self.listed = None, {}, []
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value if self.value is not None else iter(self.listed)
+    getValue = lambda self, k: self.by_key[k]
+    put = lambda self, rows: setattr(self, "listed", list(rows))
+    appendList = lambda self, rows: self.listed.extend(rows)
+
+    def update(self, value):
+        self.value = value
+
+    def updateValue(self, k, value):
+        self.by_key[k] = value
+
+    def clear(self):
+        self.value, self.by_key, self.listed = None, {}, []
+
+
+def test_requests_wait_in_blocks(spark):
+    held, timers = {}, set()
+    kept = lambda name, *_: held.setdefault(name, Kept())
+    handle = SimpleNamespace(getMapState=kept, getListState=kept, getValueState=kept, registerTimer=timers.add, deleteTimer=timers.discard)
+    grants = shared_quota.Grants(5, 1e9, 1000, 100)
+    grants.init(handle)
+    n = 20_000
+    asked = random.Random(0).sample(range(n), n)
+    grants.handleInputRows(("d",), ({"ts_ms": t, "request": t, "tokens": 1.0, "status": 200} for t in asked), None)
+    assert len(held["coming"].by_key) == -(-n // in_order.BLOCK) and timers == {0}
+    got, now = [], -1
+    for now in (9_999, 19_999, 10**9):
+        timers.clear()
+        got += grants.handleExpiredTimer(("d",), SimpleNamespace(getCurrentWatermarkInMs=lambda: now), None)  # noqa: B023
+    assert [r["request"] for r in got] == list(range(n)) and not held["coming"].by_key and not held["waiting"].by_key and not timers
+    assert [r["granted_ms"] for r in got] == [i // 5 * 1000 + i % 5 for i in range(n)]
