@@ -4,14 +4,16 @@ import random
 from types import SimpleNamespace
 
 import duckdb
+import pandas as pd
 import pyarrow as pa
 
 from quillspark.functions import vectors
 from quillspark.operators import chunking, providers, tables
+from quillspark.operators.quota import Bucket
 from quillspark.plans import pipelines
 from quillspark.plans.standins import as_of
 from quillspark.session import within
-from quillspark.streaming import in_order, shared_quota
+from quillspark.streaming import in_order, quota, shared_quota
 
 PAGES = "doc_id string, page int, is_blank boolean, error string, text string, content_types array<string>, heading string"
 CONTENTS = "doc_id string, position int, title string, page int"
@@ -124,3 +126,24 @@ def test_requests_wait_in_blocks(spark):
         got += grants.handleExpiredTimer(("d",), SimpleNamespace(getCurrentWatermarkInMs=lambda: now), None)  # noqa: B023
     assert [r["request"] for r in got] == list(range(n)) and not held["coming"].by_key and not held["waiting"].by_key and not timers
     assert [r["granted_ms"] for r in got] == [i // 5 * 1000 + i % 5 for i in range(n)]
+
+
+def test_a_bucket_answers_some_rows_at_a_time():
+    rows = [(t / 7, float(t % 13), 429 if t % 101 == 0 else 200) for t in range(30_000)]
+    shuffled = random.Random(1).sample(rows, len(rows))
+    frames = [pd.DataFrame(shuffled[i : i + 10_000], columns=["ts", "tokens", "status"]).assign(deployment="d") for i in range(0, len(rows), 10_000)]
+    stream = SimpleNamespace(groupBy=lambda _: SimpleNamespace(applyInPandasWithState=lambda run, *_: run))
+    states = []
+    got = list(quota.throttle(stream, 600.0, 5000.0, 20.0)(("d",), iter(frames), SimpleNamespace(exists=False, update=states.append)))
+    assert max(len(f) for f in got) <= 8192
+    bucket, expected = Bucket(600.0, 5000.0, 20.0, 100.0, 5000 / 6), []
+    for ts, tokens, status in sorted(rows):
+        wait = 0.0
+        if status == 429:
+            bucket = bucket.refused(ts, 2.0)
+        else:
+            bucket, wait = bucket.ask(ts, tokens)
+            bucket = bucket if wait else bucket.succeeded()
+        expected.append(("d", ts, tokens, status, status == 200 and wait == 0, wait, bucket.multiplier))
+    assert [tuple(r) for f in got for r in f.itertuples(index=False)] == expected
+    assert states[-1] == (bucket.requests, bucket.tokens, bucket.last, bucket.cooldown, bucket.multiplier)
