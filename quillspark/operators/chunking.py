@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,8 +34,8 @@ class Limits:
     contents_least: int = 3
 
 
-#: Rows whose texts a task cuts at a time.
-ROWS = 64
+#: Rows whose texts a task cuts at a time, and the bytes of these texts beyond which it takes fewer.
+ROWS, BYTES = 64, 4 << 20
 #: Where a text may be cut, by two signs: at a blank line, or behind a sentence.
 PARAGRAPH, SENTENCE = re.compile(r"(?=\n\n)"), re.compile(r"\.\n|[.?!] ")
 
@@ -60,11 +61,22 @@ def segments(text: str, limits: Limits) -> list[str]:
     return [part for a, b in ranges if len(part := text[a:b].strip()) >= limits.least]
 
 
+def slices(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch whose last column is a text by ROWS rows, or fewer of BYTES in all; a longer text is alone."""
+    start, size = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(whole.columns[-1]), 0).to_pylist()):
+        if i > start and (i - start == ROWS or size + n > BYTES):
+            yield whole.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if start < whole.num_rows:
+        yield whole.slice(start)
+
+
 def cut_rows(batches: Iterator[pa.RecordBatch], limits: Limits, names: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows of parts for rows whose last column is a text: what stands before it, a part's place, their number and the part."""
     for whole in batches:
-        for start in range(0, whole.num_rows, ROWS):
-            b = whole.slice(start, ROWS)
+        for b in slices(whole):
             *others, texts = b.columns
             parts = [[] if t is None else segments(t, limits) for t in texts.to_pylist()]
             own = pa.array([i for i, p in enumerate(parts) for _ in p], pa.int64())

@@ -88,6 +88,14 @@ def test_long_texts_are_cut_some_at_a_time():
     assert rows == [(i, n, len(parts), x) for i, t in enumerate(texts) for parts in [chunking.segments(t, LIMITS) if t else []] for n, x in enumerate(parts)]
 
 
+def test_very_long_texts_are_cut_fewer_at_a_time():
+    texts = ["Another sentence of it. " * 50_000] * 10
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    rows = [b.column("id").to_pylist() for b in chunking.cut_rows(iter([batch]), LIMITS, ["id", "n", "total", "text"])]
+    assert [sorted(set(r)) for r in rows] == [[0, 1, 2], [3, 4, 5], [6, 7, 8], [9]]
+    assert sum(map(len, rows)) == len(texts) * len(chunking.segments(texts[0], LIMITS))
+
+
 class Kept:
     """A state variable of one key in memory."""
 
