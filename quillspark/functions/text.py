@@ -31,7 +31,7 @@ def clean_cell(c: Column, most: int | None = 500) -> Column:
     c = strip(F.regexp_replace(c, CONTROL, ""))
     if most is None:
         return c
-    return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most - 3), F.lit("…"))).otherwise(c)
+    return let(c, lambda x: F.when(F.length(x) > most, F.concat(F.substring(x, 1, most - 3), F.lit("…"))).otherwise(x))
 
 
 def clean_ocr(c: Column) -> Column:

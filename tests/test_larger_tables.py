@@ -6,8 +6,9 @@ from types import SimpleNamespace
 import duckdb
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from quillspark.functions import vectors
+from quillspark.functions import text, vectors
 from quillspark.operators import chunking, providers, tables
 from quillspark.operators.quota import Bucket
 from quillspark.plans import pipelines
@@ -79,6 +80,13 @@ def test_a_table_of_many_rows_as_plain_text(spark):
     assert got["plain_text"].split("\n") == [" | ".join(f"{h}: {c}" for h, c in zip(filled[0], r, strict=True) if c) for r in filled[1:]]
 
 
+def test_a_cell_is_cleaned_once(spark):
+    cells = [None, "", " a\tb\u00ad¶ c ", "x" * 500, "y" * 501]
+    df = spark.createDataFrame([(c,) for c in cells], "c string").select(text.clean_cell(F.col("c")).alias("c"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("¶") == 1
+    assert [r["c"] for r in df.collect()] == ["", "", "a b c", "x" * 500, "y" * 497 + "…"]
+
+
 def test_long_texts_are_cut_some_at_a_time():
     texts = ["A sentence of a long text. " * 60, None, "short", *["Another sentence of it. " * 40] * 500]
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
